@@ -139,6 +139,10 @@ def event_rank(bronze: DataFrame, bucket: str = "hour") -> DataFrame:
     rank = (rows of the user in newer buckets) + row_number within the
     (user, bucket) window. Untimed rows form the last bucket.
     """
+    return _ranked(bronze, bucket).select(*bronze.columns, "event_rank")
+
+
+def _ranked(bronze: DataFrame, bucket: str) -> DataFrame:
     ev = _with_bucket(bronze, bucket)
     offsets = _bucket_offsets(ev, S.BUY_EVENT).select("user_id", "_bucket", "_offset")
     w = Window.partitionBy("user_id", "_bucket").orderBy(*_order_cols())
@@ -161,7 +165,7 @@ def buy_groups(bronze: DataFrame, buy_event: str = S.BUY_EVENT, bucket: str = "h
     times are peers). Otherwise: the largest BUY rank of the nearest newer
     bucket that has one, taken from the small per-bucket table.
     """
-    ranked = event_rank(bronze, bucket)
+    ranked = _ranked(bronze, bucket)
     buy_rank = F.when(F.col("event_name") == buy_event, F.col("event_rank"))
     w_local = (
         Window.partitionBy("user_id", "_bucket")
