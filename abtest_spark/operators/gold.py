@@ -13,7 +13,8 @@ group.
 Two entry points:
 * ``gold_aggregated(silver)`` / ``gold_tunnel(silver)``: layer to layer, from
   per-row flags (how the pipeline runs after silver is written).
-* ``gold_from_bronze(bronze)``: never materialises per-row flags. The
+* ``gold_aggregated_from_events`` / ``gold_tunnel_from_events``: never
+  materialise per-row flags. The
   per-(group, user) rows keep the earliest event time; a user converts in a
   group when that time is at or before the user's newest BUY (untimed groups:
   when the user has any BUY). The per-user statistics are attached *after*
@@ -65,24 +66,33 @@ def users_per_variant(silver: DataFrame, approx: bool = False, rsd: float = 0.01
     return silver.groupBy("experiment_name", "variant_id").agg(agg.alias("users"))
 
 
-def gold_base(bronze: DataFrame, buy_event: str = S.BUY_EVENT) -> DataFrame:
-    """One row per (day, event_name, experiment, variant, user) with the flag.
+def _reduced_flags(events: DataFrame, key: list[str], buy_event: str = S.BUY_EVENT) -> DataFrame:
+    """One row per (key, user) with the group's purchase flag.
 
-    Shared by both gold tables; persist it when computing both.
+    Every aggregate here (earliest time, newest BUY, any BUY) ignores exact
+    duplicate rows, so ``events`` may be raw or deduplicated bronze with the
+    same result; passing raw saves the widest shuffle of the chain.
     """
-    ev = bronze.withColumn("_ts", parsed_ts("timestamp"))
+    ev = events.withColumn("_ts", parsed_ts("timestamp"))
     stats = user_purchase_stats(ev, buy_event).drop("n_rows")
     reduced = (
         explode_experiments(ev.select("user_id", "_ts", "event_name", "experiments"))
         .withColumn("day", F.to_date("_ts"))
-        .groupBy(*S.TUNNEL_KEY, "user_id")
+        .groupBy(*key, "user_id")
         .agg(F.min("_ts").alias("_first_ts"))
     )
+    # The per-user statistics are attached after the reduction: a hot user
+    # contributes one row per group here, not one per event.
     joined = reduced.join(stats.withColumnRenamed("user_id", "_u"), F.col("user_id").eqNullSafe(F.col("_u")), "left")
     flag = F.when(F.col("day").isNull(), F.coalesce(F.col("any_buy"), F.lit(False))).otherwise(
         F.coalesce(F.col("_first_ts") <= F.col("last_buy_ts"), F.lit(False))
     )
-    return joined.select(*S.TUNNEL_KEY, "user_id", flag.alias("flag_purchase"))
+    return joined.select(*key, "user_id", flag.alias("flag_purchase"))
+
+
+def gold_base(events: DataFrame, buy_event: str = S.BUY_EVENT) -> DataFrame:
+    """One row per (day, event_name, experiment, variant, user) with the flag."""
+    return _reduced_flags(events, S.TUNNEL_KEY, buy_event)
 
 
 def gold_tunnel_from_base(base: DataFrame) -> DataFrame:
@@ -94,7 +104,16 @@ def gold_aggregated_from_base(base: DataFrame) -> DataFrame:
     return _counts(per_user, S.GOLD_KEY)
 
 
+def gold_aggregated_from_events(events: DataFrame, buy_event: str = S.BUY_EVENT) -> DataFrame:
+    """gold_aggregated straight from raw or bronze events (no silver)."""
+    return _counts(_reduced_flags(events, S.GOLD_KEY, buy_event), S.GOLD_KEY)
+
+
+def gold_tunnel_from_events(events: DataFrame, buy_event: str = S.BUY_EVENT) -> DataFrame:
+    """gold_tunnel straight from raw or bronze events (no silver)."""
+    return _counts(_reduced_flags(events, S.TUNNEL_KEY, buy_event), S.TUNNEL_KEY)
+
+
 def gold_from_bronze(bronze: DataFrame, buy_event: str = S.BUY_EVENT) -> tuple[DataFrame, DataFrame]:
-    """(gold_aggregated, gold_tunnel) straight from bronze."""
-    base = gold_base(bronze, buy_event)
-    return gold_aggregated_from_base(base), gold_tunnel_from_base(base)
+    """(gold_aggregated, gold_tunnel) from raw or bronze events."""
+    return gold_aggregated_from_events(bronze, buy_event), gold_tunnel_from_events(bronze, buy_event)

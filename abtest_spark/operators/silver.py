@@ -12,10 +12,12 @@ partially aggregated map-side, then a skew-aware attach to the events
 
 Window form (the newest-first ``row_number`` and the propagated BUY rank):
 ``event_rank`` and ``buy_groups``. A window partitioned by user alone would put
-all events of a hot user into one task, so both are computed in two levels:
-a window per (user, time bucket) for the local part plus per-user offsets
-from a small aggregate of bucket counts. Each window task then holds at most
-one bucket of one user.
+all events of a hot user into one task. Instead the events are range
+partitioned on (user, newest-first order), so a hot user spans many
+partitions; windows run per (partition, user), and what crosses partition
+boundaries (rank offsets, BUY ranks of newer rows, equal-time peers) comes
+from small per-(partition, user) aggregates whose windows hold one row per
+partition.
 """
 
 from __future__ import annotations
@@ -93,7 +95,7 @@ def to_silver(bronze: DataFrame, buy_event: str = S.BUY_EVENT, target_partitions
 
 
 # ---------------------------------------------------------------------------
-# Window form, computed in two levels.
+# Window form, with every window bounded.
 # ---------------------------------------------------------------------------
 
 # Newest first; then fixed tie-breakers so the rank is deterministic.
@@ -105,94 +107,99 @@ _RANK_ORDER = [
     ("experiments", "asc_nulls_first"),
     ("_raw_ts", "asc_nulls_first"),
 ]
+_ID_BITS = 33  # monotonically_increasing_id: partition id in the upper bits
 
 
 def _order_cols():
     return [getattr(F.col(c), how)() for c, how in _RANK_ORDER]
 
 
-def _with_bucket(df: DataFrame, bucket: str) -> DataFrame:
-    ev = df.withColumn("_raw_ts", F.col("timestamp")).withColumn("_ts", parsed_ts("timestamp"))
-    return ev.withColumn("_bucket", F.date_trunc(bucket, F.col("_ts")))
+def _ordered(bronze: DataFrame, target_partitions: int | None = None) -> DataFrame:
+    """Events in one global (user, newest-first) order, with stable row ids.
 
-
-def _bucket_offsets(ev: DataFrame, buy_event: str) -> DataFrame:
-    """Per (user, bucket): rows in newer buckets, and the bucket's own counts.
-
-    The input of the window here is one row per (user, bucket), so its size
-    per user is bounded by the number of buckets, not by the user's events.
+    Range partitioning on the full order spreads a hot user over as many
+    partitions as its size needs; each partition is then sorted and every row
+    gets ``_pid`` (partition) and ``_row`` (position in the global order
+    within its partition). The result is checkpointed to the shared
+    checkpoint folder so every consumer (and every retry) sees the same ids.
     """
-    per_bucket = ev.groupBy("user_id", "_bucket").agg(
-        F.count(F.lit(1)).alias("_bucket_rows"),
-        F.max(is_buy("event_name", buy_event)).alias("_bucket_has_buy"),
-    )
-    w = Window.partitionBy("user_id").orderBy(F.col("_bucket").desc_nulls_last())
-    return per_bucket.withColumn(
-        "_offset",
-        F.coalesce(F.sum("_bucket_rows").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long"),
+    from abtest_spark.session import checkpoint_dir
+
+    spark = bronze.sparkSession
+    checkpoint_dir(spark)
+    p = target_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ev = bronze.withColumn("_raw_ts", F.col("timestamp")).withColumn("_ts", parsed_ts("timestamp"))
+    order = [F.col("user_id").asc_nulls_first(), *_order_cols()]
+    ids = (
+        ev.repartitionByRange(p, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_row", F.monotonically_increasing_id())
+        .checkpoint(eager=True)
     )
+    return ids.withColumn("_pid", F.shiftright(F.col("_row"), _ID_BITS))
 
 
-def event_rank(bronze: DataFrame, bucket: str = "hour") -> DataFrame:
-    """Bronze rows with ``event_rank``: 1 = the user's newest event.
+def _pu_join(left: DataFrame, right: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    keys = ["_pid", "user_id", *extra]
+    r = right.select(*[F.col(k).alias(f"_r{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = F.col("_pid") == F.col("_r_pid")
+    for k in keys[1:]:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r{k}"))
+    return left.join(r, cond, "left").drop(*[f"_r{k}" for k in keys])
 
-    rank = (rows of the user in newer buckets) + row_number within the
-    (user, bucket) window. Untimed rows form the last bucket.
-    """
-    return _ranked(bronze, bucket).select(*bronze.columns, "event_rank")
+
+def _ranked(bronze: DataFrame, target_partitions: int | None = None) -> DataFrame:
+    """``event_rank`` = rows of the user in earlier partitions + row number
+    within (partition, user). Windows hold at most one range partition; the
+    offset window holds one row per partition the user spans."""
+    ids = _ordered(bronze, target_partitions)
+    w_local = Window.partitionBy("_pid", "user_id").orderBy("_row")
+    local = ids.withColumn("_local_rank", F.row_number().over(w_local))
+    per_pu = ids.groupBy("_pid", "user_id").agg(F.count(F.lit(1)).alias("_cnt"))
+    w_user = Window.partitionBy("user_id").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_pu.withColumn("_offset", F.coalesce(F.sum("_cnt").over(w_user), F.lit(0)).cast("long")).drop("_cnt")
+    return _pu_join(local, offsets).withColumn("event_rank", (F.col("_offset") + F.col("_local_rank")).cast("int"))
 
 
-def _ranked(bronze: DataFrame, bucket: str) -> DataFrame:
-    ev = _with_bucket(bronze, bucket)
-    offsets = _bucket_offsets(ev, S.BUY_EVENT).select("user_id", "_bucket", "_offset")
-    w = Window.partitionBy("user_id", "_bucket").orderBy(*_order_cols())
-    local = ev.withColumn("_local_rank", F.row_number().over(w))
-    joined = local.join(
-        offsets,
-        local["user_id"].eqNullSafe(offsets["user_id"]) & local["_bucket"].eqNullSafe(offsets["_bucket"]),
-        "left",
-    ).drop(offsets["user_id"]).drop(offsets["_bucket"])
-    return joined.withColumn("event_rank", (F.col("_offset") + F.col("_local_rank")).cast("int"))
+def event_rank(bronze: DataFrame, target_partitions: int | None = None) -> DataFrame:
+    """Bronze rows with ``event_rank``: 1 = the user's newest event (ties
+    broken by the other columns)."""
+    return _ranked(bronze, target_partitions).select(*bronze.columns, "event_rank")
 
 
-def buy_groups(bronze: DataFrame, buy_event: str = S.BUY_EVENT, bucket: str = "hour") -> DataFrame:
+def buy_groups(bronze: DataFrame, buy_event: str = S.BUY_EVENT, target_partitions: int | None = None) -> DataFrame:
     """Window twin of the attribution: ``buy_group`` and ``flag_purchase``.
 
-    ``buy_group`` is the newest-first rank of the nearest BUY at or after the
-    event (ties on time included); NULL when there is none, and
-    ``flag_purchase`` is its non-nullness. Within a bucket: the largest BUY
-    rank among rows at or newer than the event's time (RANGE frame, so equal
-    times are peers). Otherwise: the largest BUY rank of the nearest newer
-    bucket that has one, taken from the small per-bucket table.
+    ``buy_group`` = the newest-first rank of the nearest BUY at or after the
+    event, equal times included (the RANGE frame of the newest-first order);
+    NULL when there is none; ``flag_purchase`` is its non-nullness. Ranks grow
+    along the order, so it is the largest BUY rank in the frame, assembled
+    from three bounded parts:
+      * rows up to this one in its (partition, user) window,
+      * all rows of the user in earlier partitions (per-partition maxima),
+      * rows with the same time (peers), which may follow this row or sit in
+        the next partitions (per-(partition, user, time) maxima).
     """
-    ranked = _ranked(bronze, bucket)
+    ranked = _ranked(bronze, target_partitions)
     buy_rank = F.when(F.col("event_name") == buy_event, F.col("event_rank"))
-    w_local = (
-        Window.partitionBy("user_id", "_bucket")
-        .orderBy(F.col("_ts").desc_nulls_last())
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = ranked.withColumn("_local_buy", F.max(buy_rank).over(w_local))
+    w_run = Window.partitionBy("_pid", "user_id").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    local = ranked.withColumn("_run_max", F.max(buy_rank).over(w_run))
 
-    per_bucket = ranked.groupBy("user_id", "_bucket").agg(F.max(buy_rank).alias("_bucket_max_buy"))
-    w_prev = Window.partitionBy("user_id").orderBy(F.col("_bucket").desc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    # Ranks grow toward older buckets, so "nearest newer bucket with a BUY"
-    # is the largest BUY rank over all newer buckets.
-    carried = per_bucket.withColumn("_newer_buy", F.max("_bucket_max_buy").over(w_prev)).select(
-        "user_id", "_bucket", "_newer_buy"
-    )
-    joined = local.join(
-        carried,
-        local["user_id"].eqNullSafe(carried["user_id"]) & local["_bucket"].eqNullSafe(carried["_bucket"]),
-        "left",
-    ).drop(carried["user_id"]).drop(carried["_bucket"])
+    per_pu = ranked.groupBy("_pid", "user_id").agg(F.max(buy_rank).alias("_pu_max"))
+    w_prev = Window.partitionBy("user_id").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_pu.withColumn("_prev_max", F.max("_pu_max").over(w_prev)).drop("_pu_max")
+
+    per_put = ranked.groupBy("_pid", "user_id", "_ts").agg(F.max(buy_rank).alias("_put_max"))
+    w_peer = Window.partitionBy("user_id", "_ts")
+    peers = per_put.withColumn("_peer_max", F.max("_put_max").over(w_peer)).drop("_put_max")
+
+    joined = _pu_join(_pu_join(local, carried), peers, ("_ts",))
+    bg = F.greatest(F.col("_run_max"), F.col("_prev_max"), F.col("_peer_max"))
     return (
-        joined.withColumn("buy_group", F.coalesce(F.col("_local_buy"), F.col("_newer_buy")).cast("int"))
+        joined.withColumn("buy_group", bg.cast("int"))
         .withColumn("flag_purchase", F.col("buy_group").isNotNull())
         .withColumn("timestamp", F.col("_ts"))
-        .drop("_ts", "_raw_ts", "_bucket", "_offset", "_local_rank", "_local_buy", "_newer_buy")
+        .select(*bronze.columns, "event_rank", "buy_group", "flag_purchase")
     )
 
 

@@ -44,11 +44,12 @@ def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.gold_from_bronze(_bronze(spark, sf_dir))[0]
+    # Gold ignores exact duplicates, so it reads the raw stream directly.
+    return G.gold_aggregated_from_events(_raw(spark, sf_dir))
 
 
 def _tunnel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.gold_from_bronze(_bronze(spark, sf_dir))[1]
+    return G.gold_tunnel_from_events(_raw(spark, sf_dir))
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,3 +70,26 @@ def test_users_per_variant(raw_df):
     exact = G.users_per_variant(silver).first()
     approx = G.users_per_variant(silver, approx=True).first()
     assert exact["users"] == 2 and approx["users"] == 2
+
+
+def test_gold_ignores_exact_duplicates(raw_df):
+    rng = random.Random(5)
+    rows = []
+    for i in range(300):
+        rows.append(
+            (
+                rng.choice([1, 2, 3, None]),
+                rng.choice([None, "x", "2024-01-01 05:00:00", "2024-01-02 07:00:00", "2024-01-02 09:00:00"]),
+                rng.choice(["VIEW", "BUY"]),
+                rng.randrange(4),
+                "MLA",
+                rng.choice(["{a=1, b=2}", "{a=2}", None]),
+            )
+        )
+    raw = raw_df(rows + rows[:120])
+    from abtest_spark.operators import quality as Q
+
+    bronze = Q.deduplicate(raw)
+    for f in (G.gold_aggregated_from_events, G.gold_tunnel_from_events):
+        a, b = f(raw), f(bronze)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -163,3 +163,55 @@ def test_user_journey(raw_df):
     rows = [(u, f"2024-01-0{d} 00:00:00", "VIEW", d, "MLA", EXP) for u in (1683, 5) for d in (3, 1, 2)]
     j = SV.user_journey(SV.flag_purchases(raw_df(rows)), 1683).collect()
     assert [r["item_id"] for r in j] == [1, 2, 3]
+
+
+def _brute_force(rows):
+    """Direct newest-first rank and nearest-later-or-equal BUY rank."""
+    import datetime as dt
+
+    def ts(v):
+        try:
+            return dt.datetime.fromisoformat(v) if v else None
+        except ValueError:
+            return None
+
+    out = {}
+    users = {r[0] for r in rows}
+    for u in users:
+        mine = [r for r in rows if r[0] == u]
+
+        def key(r):
+            t = ts(r[1])
+            # newest first, untimed last; then the tie-breakers ascending (None first)
+            return (
+                t is None,
+                -(t.timestamp()) if t else 0,
+                [(x is not None, x) for x in (r[2], r[3], r[4], r[5], r[1])],
+            )
+
+        mine.sort(key=key)
+        for i, r in enumerate(mine):
+            rank = i + 1
+            t = ts(r[1])
+            frame = [
+                j + 1
+                for j, o in enumerate(mine)
+                if o[2] == "BUY" and (t is None or (ts(o[1]) is not None and ts(o[1]) >= t))
+            ]
+            out[r[3]] = (rank, max(frame) if frame else None)
+    return out
+
+
+def test_window_twin_against_brute_force(raw_df):
+    rng = random.Random(17)
+    rows = []
+    for i in range(500):
+        user = rng.choice([1, 1, 1, 1, 2, None])
+        ts = rng.choice([None, "bad", "2024-01-01 10:00:00", "2024-01-01 10:00:00", "2024-01-01 11:00:00"])
+        ev = rng.choice(["VIEW", "BUY", "VIEW"])
+        rows.append((user, ts, ev, i, "MLA", EXP))
+    df = raw_df(rows)
+    got = {r["item_id"]: (r["event_rank"], r["buy_group"]) for r in SV.buy_groups(df, target_partitions=8).collect()}
+    assert got == _brute_force(rows)
+    ranks = {r["item_id"]: r["event_rank"] for r in SV.event_rank(df, target_partitions=8).collect()}
+    assert ranks == {k: v[0] for k, v in got.items()}
