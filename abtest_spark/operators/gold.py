@@ -66,15 +66,21 @@ def users_per_variant(silver: DataFrame, approx: bool = False, rsd: float = 0.01
     return silver.groupBy("experiment_name", "variant_id").agg(agg.alias("users"))
 
 
-def _reduced_flags(events: DataFrame, key: list[str], buy_event: str = S.BUY_EVENT) -> DataFrame:
+def _reduced_flags(
+    events: DataFrame, key: list[str], buy_event: str = S.BUY_EVENT, stats: DataFrame | None = None
+) -> DataFrame:
     """One row per (key, user) with the group's purchase flag.
 
     Every aggregate here (earliest time, newest BUY, any BUY) ignores exact
     duplicate rows, so ``events`` may be raw or deduplicated bronze with the
     same result; passing raw saves the widest shuffle of the chain.
+    ``stats`` (user_id, last_buy_ts, any_buy) may be given when ``events`` is
+    only part of each user's history (incremental recomputation of some days).
     """
     ev = events.withColumn("_ts", parsed_ts("timestamp"))
-    stats = user_purchase_stats(ev, buy_event).drop("n_rows")
+    if stats is None:
+        stats = user_purchase_stats(ev, buy_event).drop("n_rows")
+    stats = stats.select("user_id", "last_buy_ts", "any_buy")
     reduced = (
         explode_experiments(ev.select("user_id", "_ts", "event_name", "experiments"))
         .withColumn("day", F.to_date("_ts"))
@@ -104,14 +110,18 @@ def gold_aggregated_from_base(base: DataFrame) -> DataFrame:
     return _counts(per_user, S.GOLD_KEY)
 
 
-def gold_aggregated_from_events(events: DataFrame, buy_event: str = S.BUY_EVENT) -> DataFrame:
+def gold_aggregated_from_events(
+    events: DataFrame, buy_event: str = S.BUY_EVENT, stats: DataFrame | None = None
+) -> DataFrame:
     """gold_aggregated straight from raw or bronze events (no silver)."""
-    return _counts(_reduced_flags(events, S.GOLD_KEY, buy_event), S.GOLD_KEY)
+    return _counts(_reduced_flags(events, S.GOLD_KEY, buy_event, stats), S.GOLD_KEY)
 
 
-def gold_tunnel_from_events(events: DataFrame, buy_event: str = S.BUY_EVENT) -> DataFrame:
+def gold_tunnel_from_events(
+    events: DataFrame, buy_event: str = S.BUY_EVENT, stats: DataFrame | None = None
+) -> DataFrame:
     """gold_tunnel straight from raw or bronze events (no silver)."""
-    return _counts(_reduced_flags(events, S.TUNNEL_KEY, buy_event), S.TUNNEL_KEY)
+    return _counts(_reduced_flags(events, S.TUNNEL_KEY, buy_event, stats), S.TUNNEL_KEY)
 
 
 def gold_from_bronze(bronze: DataFrame, buy_event: str = S.BUY_EVENT) -> tuple[DataFrame, DataFrame]:

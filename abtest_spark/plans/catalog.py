@@ -135,6 +135,41 @@ def q_experiment_result_lookup(spark, sf_dir):
     return R.lookup_results(R.experiment_results(gold), R.calendar_requests(gold))
 
 
+def q_csv_roundtrip(spark, sf_dir):
+    """Raw stream exported as headed CSV, then scanned with the declared
+    schema (the production source)."""
+    from abtest_spark.sources.raw import read_raw
+
+    root = _scratch_root(spark)
+    L.export_csv(_raw(spark, sf_dir), f"{root}/raw_csv")
+    return read_raw(spark, f"{root}/raw_csv")
+
+
+def q_pipeline_tunnel(spark, sf_dir):
+    """All four layers written by the pipeline; gold_tunnel read back."""
+    from abtest_spark.plans.pipeline import run_pipeline
+
+    return run_pipeline(spark, _raw(spark, sf_dir), _scratch_root(spark))["gold_tunnel"]
+
+
+def q_stream_gold(spark, sf_dir):
+    """Gold built incrementally by the streaming job: raw rows arrive as two
+    file drops (events up to the 15th plus untimed ones, then the rest), each
+    processed by an available-now trigger. Late BUYs in the second drop flag
+    earlier days."""
+    from abtest_spark.streaming.gold_stream import start_gold_stream
+
+    root = _scratch_root(spark)
+    raw = _raw(spark, sf_dir)
+    late = F.to_date(F.col("timestamp").try_cast("timestamp_ntz")) > F.lit("2024-01-15").cast("date")
+    drops = [raw.where(~F.coalesce(late, F.lit(False))), raw.where(F.coalesce(late, F.lit(False)))]
+    for i, part in enumerate(drops):
+        part.write.mode("overwrite").parquet(f"{root}/src/drop={i}")
+        q = start_gold_stream(spark, f"{root}/src/drop=*", f"{root}/out", fmt="parquet")
+        q.awaitTermination()
+    return L.read_layer(spark, f"{root}/out", "gold_aggregated")
+
+
 def q_quality_report(spark, sf_dir):
     return Q.quality_report(_raw(spark, sf_dir))
 
@@ -144,6 +179,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_events": _raw,
     "write_read_bronze": q_write_read_bronze,
     "write_read_gold": q_write_read_gold,
+    "stream_gold_aggregated": q_stream_gold,
+    "csv_roundtrip": q_csv_roundtrip,
+    "pipeline_gold_tunnel": q_pipeline_tunnel,
     # bronze quality
     "null_profile": lambda s, d: Q.null_profile(_raw(s, d)),
     "invalid_timestamps": lambda s, d: Q.invalid_timestamps(_raw(s, d)),
@@ -340,6 +378,9 @@ ORACLE_SQL: dict[str, str] = {
     "raw_events": "WITH " + _RAW + " SELECT * FROM raw",
     "write_read_bronze": "WITH " + _BRONZE + " SELECT * FROM bronze",
     "write_read_gold": "WITH " + _GOLD + " SELECT * FROM gold",
+    "stream_gold_aggregated": "WITH " + _GOLD + " SELECT * FROM gold",
+    "csv_roundtrip": "WITH " + _RAW + " SELECT * FROM raw",
+    "pipeline_gold_tunnel": "WITH " + _GOLD + " SELECT * FROM tunnel",
     "null_profile": "WITH " + _RAW + """
       SELECT count_if(user_id IS NULL) AS user_id, count_if(event_name IS NULL) AS event_name,
              count_if("timestamp" IS NULL) AS "timestamp", count_if(experiments IS NULL) AS experiments FROM raw""",
