@@ -29,6 +29,7 @@ same draws.
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -134,22 +135,10 @@ def posterior_weights(
     )
 
 
-def bayes_summary(
-    gold: DataFrame,
-    points: int = GRID_POINTS,
-    lo: float = GRID_LO,
-    hi: float = GRID_HI,
-    prior_rate: float = S.PRIOR_RATE,
-    digits: int = 10,
-) -> DataFrame:
-    """Posterior mean and sd of each variant's conversion probability."""
-    totals = variant_totals(gold)
-    cells = _grid_cells(totals, points, lo, hi)
-    weights = posterior_weights(totals, points, lo, hi, prior_rate, cells=cells).select(
-        "experiment_name", "grid_id", "weight"
-    )
+def _moments(cells: DataFrame, weights: DataFrame, digits: int) -> DataFrame:
+    """Weighted first two moments of theta per (experiment, variant)."""
     mom = (
-        cells.join(weights, ["experiment_name", "grid_id"])
+        cells.join(weights.select("experiment_name", "grid_id", "weight"), ["experiment_name", "grid_id"])
         .groupBy("experiment_name", "variant_id")
         .agg(
             F.sum(F.col("weight") * F.col("m1")).alias("_e1"),
@@ -166,6 +155,21 @@ def bayes_summary(
     )
 
 
+def bayes_summary(
+    gold: DataFrame,
+    points: int = GRID_POINTS,
+    lo: float = GRID_LO,
+    hi: float = GRID_HI,
+    prior_rate: float = S.PRIOR_RATE,
+    digits: int = 10,
+) -> DataFrame:
+    """Posterior mean and sd of each variant's conversion probability."""
+    totals = variant_totals(gold)
+    cells = _grid_cells(totals, points, lo, hi)
+    weights = posterior_weights(totals, points, lo, hi, prior_rate, cells=cells)
+    return _moments(cells, weights, digits)
+
+
 # ---------------------------------------------------------------------------
 # Draws, HDI, histogram, comparison
 # ---------------------------------------------------------------------------
@@ -208,24 +212,12 @@ def _draw_blocks(batches, points: int, lo: float, hi: float, block_size: int):
             yield pd.concat(out, ignore_index=True)
 
 
-def posterior_draws(
-    gold: DataFrame,
-    n: int = S.POSTERIOR_SAMPLES,
-    seed: int = 0,
-    points: int = GRID_POINTS,
-    lo: float = GRID_LO,
-    hi: float = GRID_HI,
-    prior_rate: float = S.PRIOR_RATE,
-    block_size: int = 1000,
+def _draws(
+    totals: DataFrame, weights: DataFrame, n: int, seed: int, points: int, lo: float, hi: float, block_size: int
 ) -> DataFrame:
-    """``n`` posterior draws of theta per (experiment, variant).
-
-    The weight vector per experiment has a fixed length (points^2), so it is
-    carried as one array column; each task then produces one block of draws
-    for one variant.
-    """
-    totals = variant_totals(gold)
-    weights = posterior_weights(totals, points, lo, hi, prior_rate)
+    """The weight vector per experiment has a fixed length (points^2), so it
+    is carried as one array column; each task produces one block of draws for
+    one variant."""
     wvec = weights.groupBy("experiment_name").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("grid_id", "weight"))), lambda x: x["weight"]).alias(
             "weights"
@@ -242,64 +234,68 @@ def posterior_draws(
         .withColumn("seed", F.xxhash64(F.lit(seed), "experiment_name", "variant_id", "block"))
         .repartition("experiment_name", "variant_id", "block")
     )
-    return tasks.mapInPandas(
-        lambda it: _draw_blocks(it, points, lo, hi, block_size),
-        DRAW_SCHEMA,
-    )
+    return tasks.mapInPandas(functools.partial(_draw_blocks, points=points, lo=lo, hi=hi, block_size=block_size), DRAW_SCHEMA)
+
+
+def posterior_draws(
+    gold: DataFrame,
+    n: int = S.POSTERIOR_SAMPLES,
+    seed: int = 0,
+    points: int = GRID_POINTS,
+    lo: float = GRID_LO,
+    hi: float = GRID_HI,
+    prior_rate: float = S.PRIOR_RATE,
+    block_size: int = 1000,
+) -> DataFrame:
+    """``n`` posterior draws of theta per (experiment, variant)."""
+    totals = variant_totals(gold)
+    weights = posterior_weights(totals, points, lo, hi, prior_rate)
+    return _draws(totals, weights, n, seed, points, lo, hi, block_size)
 
 
 def hdi(draws: DataFrame, prob: float = S.HDI_PROB, value: str = "theta") -> DataFrame:
-    """Shortest interval holding ``floor(prob * n)`` + 1 sorted draws.
+    """Shortest interval holding ``floor(prob * n) + 1`` sorted draws.
 
     Sorted draws x_0..x_{n-1}, k = floor(prob n): the minimum of
-    x_{i+k} - x_i (first minimum on ties). One window per variant, whose
-    size is the number of draws.
+    x_{i+k} - x_i, first minimum on ties. One aggregate per variant: the
+    sorted draws of one variant form one array (its length is the number of
+    draws, a parameter), and the widths are array expressions on it.
     """
     key = ["experiment_name", "variant_id"]
-    w_n = Window.partitionBy(*key)
-    w = Window.partitionBy(*key).orderBy(value)
-    ranked = (
-        draws.withColumn("_n", F.count(F.lit(1)).over(w_n))
-        .withColumn("_k", F.floor(F.col("_n") * F.lit(prob)).cast("int"))
-        .withColumn("_i", F.row_number().over(w))
+    per = draws.groupBy(*key).agg(F.array_sort(F.collect_list(value)).alias("_x"))
+    n = F.size("_x")
+    k = F.floor(n * F.lit(prob)).cast("int")
+    per = per.withColumn("_k", k)
+    widths = F.transform(
+        F.sequence(F.lit(0), n - F.col("_k") - F.lit(1)),
+        lambda i: F.element_at("_x", i + F.col("_k") + F.lit(1)) - F.element_at("_x", i + F.lit(1)),
     )
-    # lead needs a constant offset; pair ranks through an equi-join on
-    # (key, i + k) instead (one partner per row, no fan-out).
-    lo = ranked.select(*key, "_i", "_k", F.col(value).alias("_lo")).alias("lo")
-    hi = ranked.select(*[F.col(c).alias(f"_h_{c}") for c in key], F.col("_i").alias("_j"), F.col(value).alias("_hi"))
-    cond = [F.col(c) == F.col(f"_h_{c}") for c in key] + [F.col("_j") == F.col("_i") + F.col("_k")]
-    pairs = lo.join(hi, cond).select(*key, "_i", "_lo", "_hi")
-    best = pairs.groupBy(*key).agg(
-        F.min(F.struct((F.col("_hi") - F.col("_lo")).alias("w"), F.col("_i"), F.col("_lo"), F.col("_hi"))).alias("_b")
+    per = per.withColumn("_w", widths)
+    first = F.array_position("_w", F.array_min("_w")).cast("int")
+    return per.select(
+        *key,
+        F.element_at("_x", first).alias("hdi_low"),
+        F.element_at("_x", first + F.col("_k")).alias("hdi_high"),
     )
-    return best.select(*key, F.col("_b._lo").alias("hdi_low"), F.col("_b._hi").alias("hdi_high"))
 
 
 def bayes_hdi(gold: DataFrame, n: int = S.POSTERIOR_SAMPLES, seed: int = 0, prob: float = S.HDI_PROB) -> DataFrame:
-    draws = posterior_draws(gold, n=n, seed=seed)
-    return hdi(draws, prob)
+    return hdi(posterior_draws(gold, n=n, seed=seed), prob)
 
 
 def posterior_histogram(draws: DataFrame, bins: int = 30) -> DataFrame:
     """Counts of draws in ``bins`` equal-width bins per variant (the data
-    behind the posterior plot). Bin edges come from a small per-variant
-    min/max aggregate."""
+    behind the posterior plot). Bin edges come from the variant's min/max
+    (a window over one variant's draws)."""
     key = ["experiment_name", "variant_id"]
-    rng = draws.groupBy(*key).agg(F.min("theta").alias("_lo"), F.max("theta").alias("_hi"))
+    w = Window.partitionBy(*key)
+    ranged = draws.withColumn("_lo", F.min("theta").over(w)).withColumn("_hi", F.max("theta").over(w))
     # width_bucket puts the maximum in bin bins + 1; fold it into the last bin.
-    bucket = F.least(
-        F.width_bucket(F.col("theta"), F.col("_lo"), F.col("_hi") + F.lit(0.0), F.lit(bins)),
-        F.lit(bins),
-    )
+    bucket = F.least(F.width_bucket(F.col("theta"), F.col("_lo"), F.col("_hi"), F.lit(bins)), F.lit(bins))
     return (
-        draws.join(rng, key)
-        .withColumn("bin", F.when(F.col("_hi") > F.col("_lo"), bucket).otherwise(F.lit(1)).cast("int"))
+        ranged.withColumn("bin", F.when(F.col("_hi") > F.col("_lo"), bucket).otherwise(F.lit(1)).cast("int"))
         .groupBy(*key, "bin")
-        .agg(
-            F.count(F.lit(1)).alias("draws"),
-            F.first("_lo").alias("_lo"),
-            F.first("_hi").alias("_hi"),
-        )
+        .agg(F.count(F.lit(1)).alias("draws"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
         .withColumn("bin_low", F.col("_lo") + (F.col("bin") - 1) * (F.col("_hi") - F.col("_lo")) / bins)
         .withColumn("bin_high", F.col("_lo") + F.col("bin") * (F.col("_hi") - F.col("_lo")) / bins)
         .drop("_lo", "_hi")
@@ -317,44 +313,71 @@ def bayes_comparison(summary: DataFrame, control: dict | None = None) -> DataFra
 
     ``summary`` has experiment_name, variant_id, mean, hdi_low, hdi_high.
     Control: ``control[experiment]`` when given, else the smallest
-    variant_id. An equi self-join on the experiment: rows per experiment =
-    its variants.
+    variant_id. The control's values reach the other variants through a
+    window over the experiment's variants (a partition of one experiment's
+    variants), so the summary is read once.
     """
+    w = Window.partitionBy("experiment_name")
     if control:
-        ctl_ids = summary.sparkSession.createDataFrame(
-            list(control.items()), "experiment_name string, control_id string"
-        )
+        ctl = summary.sparkSession.createDataFrame(list(control.items()), "experiment_name string, _control string")
+        # The control table has one row per given experiment: its size is the
+        # caller's dict.
+        base = summary.join(F.broadcast(ctl), "experiment_name")
     else:
-        ctl_ids = summary.groupBy("experiment_name").agg(F.min("variant_id").alias("control_id"))
-    ctl = summary.join(ctl_ids, "experiment_name").where(F.col("variant_id") == F.col("control_id")).select(
-        "experiment_name",
-        F.col("variant_id").alias("control"),
-        F.col("mean").alias("control_mean"),
-        F.col("hdi_low").alias("control_hdi_low"),
-        F.col("hdi_high").alias("control_hdi_high"),
+        base = summary.withColumn("_control", F.min("variant_id").over(w))
+    is_ctl = F.col("variant_id") == F.col("_control")
+
+    def ctl_value(c):
+        return F.max(F.when(is_ctl, F.col(c))).over(w)
+
+    pairs = (
+        base.withColumn("_has_control", F.max(is_ctl).over(w))
+        .withColumn("control_mean", ctl_value("mean"))
+        .withColumn("control_hdi_low", ctl_value("hdi_low"))
+        .withColumn("control_hdi_high", ctl_value("hdi_high"))
+        .where(F.col("_has_control") & ~is_ctl)
+    )
+    sig = intervals_disjoint(
+        F.col("control_hdi_low"), F.col("control_hdi_high"), F.col("hdi_low"), F.col("hdi_high")
     )
-    test = summary.select(
+    return pairs.select(
         "experiment_name",
         F.col("variant_id").alias("variant"),
+        F.col("_control").alias("control"),
+        "control_mean",
+        "control_hdi_low",
+        "control_hdi_high",
         F.col("mean").alias("test_mean"),
         F.col("hdi_low").alias("test_hdi_low"),
         F.col("hdi_high").alias("test_hdi_high"),
-    )
-    pairs = test.join(ctl, "experiment_name").where(F.col("variant") != F.col("control"))
-    sig = intervals_disjoint(
-        F.col("control_hdi_low"), F.col("control_hdi_high"), F.col("test_hdi_low"), F.col("test_hdi_high")
-    )
-    return pairs.withColumn("significant", sig).withColumn(
-        "conclusion",
+        sig.alias("significant"),
         F.when(
-            F.col("significant"),
-            F.format_string("La variante %s tiene diferencias significativas respecto al control.", F.col("variant")),
-        ).otherwise(
-            F.format_string("La variante %s no tiene diferencias significativas respecto al control.", F.col("variant"))
-        ),
+            sig,
+            F.format_string("La variante %s tiene diferencias significativas respecto al control.", F.col("variant_id")),
+        )
+        .otherwise(
+            F.format_string("La variante %s no tiene diferencias significativas respecto al control.", F.col("variant_id"))
+        )
+        .alias("conclusion"),
     )
 
 
-def bayes_report(gold: DataFrame, n: int = S.POSTERIOR_SAMPLES, seed: int = 0) -> DataFrame:
-    """Summary (exact mean, sd) joined with draw-based 95 % HDIs."""
-    return bayes_summary(gold).join(bayes_hdi(gold, n=n, seed=seed), ["experiment_name", "variant_id"])
+def bayes_report(
+    gold: DataFrame,
+    n: int = S.POSTERIOR_SAMPLES,
+    seed: int = 0,
+    prob: float = S.HDI_PROB,
+    points: int = GRID_POINTS,
+    lo: float = GRID_LO,
+    hi: float = GRID_HI,
+    prior_rate: float = S.PRIOR_RATE,
+    block_size: int = 1000,
+) -> DataFrame:
+    """Summary (exact mean, sd) with draw-based HDIs; the grid weights are
+    computed once and feed both."""
+    totals = variant_totals(gold)
+    cells = _grid_cells(totals, points, lo, hi)
+    weights = posterior_weights(totals, points, lo, hi, prior_rate, cells=cells)
+    summary = _moments(cells, weights, 10)
+    intervals = hdi(_draws(totals, weights, n, seed, points, lo, hi, block_size), prob)
+    return summary.join(intervals, ["experiment_name", "variant_id"])

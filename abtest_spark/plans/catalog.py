@@ -52,6 +52,18 @@ def _tunnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.gold_tunnel_from_events(_raw(spark, sf_dir))
 
 
+def _gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold materialised once for the analytics built on it.
+
+    In production the analytics read the written gold layer; here the layer
+    is stood in for by a reliable checkpoint in the shared checkpoint folder,
+    so queries that read gold several times (semi joins, totals, grids) do not
+    recompute it from the raw stream, and a lost executor does not either.
+    """
+    checkpoint_dir(spark)
+    return _gold(spark, sf_dir).checkpoint(eager=True)
+
+
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SV.to_silver(_bronze(spark, sf_dir))
 
@@ -96,7 +108,7 @@ def q_buy_group(spark, sf_dir):
 
 
 def q_chi2_expected(spark, sf_dir):
-    return C.chi2_expected(_gold(spark, sf_dir)).select(
+    return C.chi2_expected(_gold_table(spark, sf_dir)).select(
         "experiment_name",
         "day",
         "variant_id",
@@ -109,29 +121,29 @@ def q_chi2_expected(spark, sf_dir):
 
 
 def q_bayes_grid_weights(spark, sf_dir):
-    totals = B.variant_totals(_gold(spark, sf_dir))
+    totals = B.variant_totals(_gold_table(spark, sf_dir))
     w = B.posterior_weights(totals)
     return w.select("experiment_name", "grid_id", F.round("weight", 12).alias("weight"))
 
 
 def q_bayes_draws(spark, sf_dir):
-    return B.posterior_draws(_gold(spark, sf_dir))
+    return B.posterior_draws(_gold_table(spark, sf_dir))
 
 
 def q_bayes_hdi(spark, sf_dir):
-    return B.bayes_hdi(_gold(spark, sf_dir))
+    return B.bayes_hdi(_gold_table(spark, sf_dir))
 
 
 def q_bayes_comparison(spark, sf_dir):
-    return B.bayes_comparison(B.bayes_report(_gold(spark, sf_dir)))
+    return B.bayes_comparison(B.bayes_report(_gold_table(spark, sf_dir)))
 
 
 def q_posterior_histogram(spark, sf_dir):
-    return B.posterior_histogram(B.posterior_draws(_gold(spark, sf_dir)))
+    return B.posterior_histogram(B.posterior_draws(_gold_table(spark, sf_dir)))
 
 
 def q_experiment_result_lookup(spark, sf_dir):
-    gold = _gold(spark, sf_dir)
+    gold = _gold_table(spark, sf_dir)
     return R.lookup_results(R.experiment_results(gold), R.calendar_requests(gold))
 
 
@@ -203,38 +215,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_tunnel": _tunnel,
     "users_per_variant": lambda s, d: G.users_per_variant(_silver(s, d)),
     # conversion
-    "distinct_experiments": lambda s, d: CV.distinct_experiments(_gold(s, d)),
-    "experiment_days": lambda s, d: CV.experiment_days(_gold(s, d)),
-    "variant_count": lambda s, d: CV.variant_count(_gold(s, d)),
-    "single_variant_experiments": lambda s, d: CV.single_variant_experiments(_gold(s, d)),
-    "multi_variant_experiments": lambda s, d: CV.multi_variant(_gold(s, d)),
-    "conversion_rate": lambda s, d: CV.with_conversion_rate(_gold(s, d)),
-    "conversion_ranking": lambda s, d: CV.conversion_ranking(_gold(s, d)),
-    "top_conversion": lambda s, d: CV.conversion_ranking(_gold(s, d), n=10),
-    "conversion_trend": lambda s, d: CV.conversion_trend(_gold(s, d)),
+    "distinct_experiments": lambda s, d: CV.distinct_experiments(_gold_table(s, d)),
+    "experiment_days": lambda s, d: CV.experiment_days(_gold_table(s, d)),
+    "variant_count": lambda s, d: CV.variant_count(_gold_table(s, d)),
+    "single_variant_experiments": lambda s, d: CV.single_variant_experiments(_gold_table(s, d)),
+    "multi_variant_experiments": lambda s, d: CV.multi_variant(_gold_table(s, d)),
+    "conversion_rate": lambda s, d: CV.with_conversion_rate(_gold_table(s, d)),
+    "conversion_ranking": lambda s, d: CV.conversion_ranking(_gold_table(s, d)),
+    "top_conversion": lambda s, d: CV.conversion_ranking(_gold_table(s, d), n=10),
+    "conversion_trend": lambda s, d: CV.conversion_trend(_gold_table(s, d)),
     "funnel": lambda s, d: CV.funnel(_tunnel(s, d)),
     # chi-square
-    "contingency": lambda s, d: C.contingency(_gold(s, d)),
+    "contingency": lambda s, d: C.contingency(_gold_table(s, d)),
     "chi2_expected": q_chi2_expected,
-    "chi2_test": lambda s, d: C.chi2_test(_gold(s, d)),
-    "chi2_skipped": lambda s, d: C.chi2_skipped(_gold(s, d)),
+    "chi2_test": lambda s, d: C.chi2_test(_gold_table(s, d)),
+    "chi2_skipped": lambda s, d: C.chi2_skipped(_gold_table(s, d)),
     # bayes
-    "variant_totals": lambda s, d: B.variant_totals(_gold(s, d)),
-    "variant_code": lambda s, d: B.variant_code(_gold(s, d)),
+    "variant_totals": lambda s, d: B.variant_totals(_gold_table(s, d)),
+    "variant_code": lambda s, d: B.variant_code(_gold_table(s, d)),
     "bayes_grid_weights": q_bayes_grid_weights,
-    "bayes_summary": lambda s, d: B.bayes_summary(_gold(s, d)),
+    "bayes_summary": lambda s, d: B.bayes_summary(_gold_table(s, d)),
     "bayes_draws": q_bayes_draws,
     "bayes_hdi": q_bayes_hdi,
     "bayes_comparison": q_bayes_comparison,
     "posterior_histogram": q_posterior_histogram,
     # results
-    "experiment_slug": lambda s, d: CV.distinct_experiments(_gold(s, d)).select(
+    "experiment_slug": lambda s, d: CV.distinct_experiments(_gold_table(s, d)).select(
         "experiment_name", R.experiment_slug("experiment_name").alias("exp_name")
     ),
-    "experiment_result": lambda s, d: R.experiment_results_flat(_gold(s, d)),
-    "experiment_result_variants": lambda s, d: R.experiment_result_variants(_gold(s, d)),
-    "experiment_result_json": lambda s, d: R.result_json(R.experiment_results(_gold(s, d))),
-    "winner": lambda s, d: R.winners(_gold(s, d)),
+    "experiment_result": lambda s, d: R.experiment_results_flat(_gold_table(s, d)),
+    "experiment_result_variants": lambda s, d: R.experiment_result_variants(_gold_table(s, d)),
+    "experiment_result_json": lambda s, d: R.result_json(R.experiment_results(_gold_table(s, d))),
+    "winner": lambda s, d: R.winners(_gold_table(s, d)),
     "experiment_result_lookup": q_experiment_result_lookup,
 }
 
