@@ -8,7 +8,7 @@ from abtest_spark.functions.columns import (
     parsed_ts,
     variant_id,
 )
-from abtest_spark.functions.mathfn import chi2_sf, chi2_sf_numpy, ln_beta, ln_gamma
+from abtest_spark.functions.mathfn import chi2_sf, chi2_sf_numpy, gamma_q, ln_beta, ln_gamma
 
 __all__ = [
     "experiment_name",
@@ -21,6 +21,7 @@ __all__ = [
     "variant_id",
     "chi2_sf",
     "chi2_sf_numpy",
+    "gamma_q",
     "ln_beta",
     "ln_gamma",
 ]

@@ -107,3 +107,16 @@ def test_conversion_rate_zero_users(gold_df):
     assert rates == {"1": None, "2": 0.25}
     ranked = [r["variant_id"] for r in CV.conversion_ranking(gold_df(rows)).collect()]
     assert ranked == ["2", "1"]
+
+
+def test_chi2_sf_column_matches_closed_form(spark):
+    from pyspark.sql import functions as F
+
+    from abtest_spark.functions.mathfn import chi2_sf
+
+    cases = [(s, k) for k in (1, 2, 3, 4, 5, 8, 11, 40) for s in (0.0, 1e-6, 0.3, 1.0, 2.16, 5.5, 12.0, 40.0, 120.0)]
+    df = spark.createDataFrame(cases, "stat double, dof int")
+    got = df.select("stat", "dof", chi2_sf(F.col("stat"), F.col("dof")).alias("p")).collect()
+    for r in got:
+        want = chi2_sf_numpy([r["stat"]], [r["dof"]])[0]
+        assert r["p"] == pytest.approx(want, rel=1e-9, abs=1e-13), (r["stat"], r["dof"])
