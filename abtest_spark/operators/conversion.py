@@ -98,3 +98,37 @@ def distinct_experiments(gold: DataFrame) -> DataFrame:
 def experiment_days(gold: DataFrame) -> DataFrame:
     """Distinct (experiment, day) pairs with data (the day choices per experiment)."""
     return gold.where(F.col("day").isNotNull()).select("experiment_name", "day").distinct()
+
+
+def experiment_filter(df: DataFrame, experiment: str) -> DataFrame:
+    """Rows of one experiment."""
+    return df.where(F.col("experiment_name") == F.lit(experiment))
+
+
+def variant_filter(df: DataFrame, variant) -> DataFrame:
+    """Rows of one variant; a NULL variant never matches (equality)."""
+    return df.where(F.col("variant_id") == F.lit(variant))
+
+
+def experiment_day_filter(df: DataFrame, experiment: str, day) -> DataFrame:
+    """Rows of one experiment on one day. On a gold layer partitioned by day
+    the day predicate prunes folders; on timestamp_ntz sources Catalyst turns
+    it into a pushed range."""
+    return experiment_filter(df, experiment).where(F.col("day") == F.lit(day).cast("date"))
+
+
+def has_rows(df: DataFrame) -> bool:
+    """Emptiness guard: reads at most one row."""
+    return not df.isEmpty()
+
+
+def daily_rates(gold: DataFrame) -> DataFrame:
+    """Daily conversion rates of multi-variant experiments as a sample per
+    (experiment, variant): ``theta`` = purchases / users of each dated day
+    with users. The same shape as posterior draws, so the interval and
+    comparison operators apply to it."""
+    return (
+        with_conversion_rate(multi_variant(gold))
+        .where(F.col("day").isNotNull() & F.col("variant_id").isNotNull() & F.col("conversion_rate").isNotNull())
+        .select("experiment_name", "variant_id", F.col("conversion_rate").alias("theta"))
+    )

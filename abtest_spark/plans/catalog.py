@@ -142,6 +142,21 @@ def q_posterior_histogram(spark, sf_dir):
     return B.posterior_histogram(B.posterior_draws(_gold_table(spark, sf_dir)))
 
 
+def q_daily_rate_hdi(spark, sf_dir):
+    """95 % highest-density interval of each variant's daily conversion rates."""
+    return B.hdi(CV.daily_rates(_gold_table(spark, sf_dir)))
+
+
+def q_daily_rate_comparison(spark, sf_dir):
+    """Each variant against its experiment's control (smallest id) on the
+    daily-rate intervals; means are the mean daily rates."""
+    gold = _gold_table(spark, sf_dir)
+    rates = CV.daily_rates(gold)
+    means = rates.groupBy("experiment_name", "variant_id").agg(F.round(F.avg("theta"), 9).alias("mean"))
+    summary = means.join(B.hdi(rates), ["experiment_name", "variant_id"])
+    return B.bayes_comparison(summary)
+
+
 def q_experiment_result_lookup(spark, sf_dir):
     gold = _gold_table(spark, sf_dir)
     return R.lookup_results(R.experiment_results(gold), R.calendar_requests(gold))
@@ -239,6 +254,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bayes_hdi": q_bayes_hdi,
     "bayes_comparison": q_bayes_comparison,
     "posterior_histogram": q_posterior_histogram,
+    "daily_rate_hdi": q_daily_rate_hdi,
+    "daily_rate_comparison": q_daily_rate_comparison,
     # results
     "experiment_slug": lambda s, d: CV.distinct_experiments(_gold_table(s, d)).select(
         "experiment_name", R.experiment_slug("experiment_name").alias("exp_name")
@@ -386,6 +403,23 @@ gw AS (SELECT experiment_name, grid_id, alpha, beta, u / sum(u) OVER (PARTITION
 
 _BAYES = _GOLD + "," + _grid_sql()
 
+_DAILY_HDI = _GOLD + """,
+rates AS (
+  SELECT experiment_name, variant_id, CAST(purchases AS DOUBLE) / CAST(users AS DOUBLE) AS theta
+  FROM multi WHERE day IS NOT NULL AND variant_id IS NOT NULL AND users > 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY experiment_name, variant_id ORDER BY theta) - 1 AS i,
+         count(*) OVER (PARTITION BY experiment_name, variant_id) AS n
+  FROM rates),
+pairs AS (
+  SELECT a.experiment_name, a.variant_id, a.i, a.theta AS lo, b.theta AS hi
+  FROM ranked a JOIN ranked b
+    ON a.experiment_name = b.experiment_name AND a.variant_id = b.variant_id
+   AND b.i = a.i + CAST(floor(a.n * 0.95) AS BIGINT)),
+hdi AS (
+  SELECT experiment_name, variant_id, arg_min(lo, (hi - lo, i)) AS hdi_low, arg_min(hi, (hi - lo, i)) AS hdi_high
+  FROM pairs GROUP BY 1, 2)"""
+
 ORACLE_SQL: dict[str, str] = {
     "raw_events": "WITH " + _RAW + " SELECT * FROM raw",
     "write_read_bronze": "WITH " + _BRONZE + " SELECT * FROM bronze",
@@ -512,6 +546,22 @@ ORACLE_SQL: dict[str, str] = {
       SELECT experiment_name, variant_id, round(e1, 10) AS mean, round(sqrt(greatest(e2 - e1 * e1, 0.0)), 10) AS sd,
              '{S.POSTERIOR_CLASS}' AS class
       FROM mom""",
+    "daily_rate_hdi": "WITH " + _DAILY_HDI + " SELECT * FROM hdi",
+    "daily_rate_comparison": "WITH " + _DAILY_HDI + """,
+      summ AS (
+        SELECT h.*, m.mean, min(h.variant_id) OVER (PARTITION BY h.experiment_name) AS control
+        FROM hdi h JOIN (SELECT experiment_name, variant_id, round(avg(theta), 9) AS mean FROM rates GROUP BY 1, 2) m
+          ON h.experiment_name = m.experiment_name AND h.variant_id = m.variant_id),
+      ctl AS (SELECT experiment_name, mean AS control_mean, hdi_low AS control_hdi_low, hdi_high AS control_hdi_high
+              FROM summ WHERE variant_id = control)
+      SELECT t.experiment_name, t.variant_id AS variant, t.control, c.control_mean, c.control_hdi_low, c.control_hdi_high,
+             t.mean AS test_mean, t.hdi_low AS test_hdi_low, t.hdi_high AS test_hdi_high,
+             NOT (c.control_hdi_high >= t.hdi_low AND c.control_hdi_low <= t.hdi_high) AS significant,
+             CASE WHEN NOT (c.control_hdi_high >= t.hdi_low AND c.control_hdi_low <= t.hdi_high)
+                  THEN 'La variante ' || t.variant_id || ' tiene diferencias significativas respecto al control.'
+                  ELSE 'La variante ' || t.variant_id || ' no tiene diferencias significativas respecto al control.' END AS conclusion
+      FROM summ t JOIN ctl c ON t.experiment_name = c.experiment_name
+      WHERE t.variant_id <> t.control""",
     "experiment_slug": "WITH " + _GOLD + """
       SELECT experiment_name, replace(experiment_name, '/', '|') AS exp_name FROM (SELECT DISTINCT experiment_name FROM gold)""",
     "experiment_result": "WITH " + _GOLD + """

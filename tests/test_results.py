@@ -49,3 +49,27 @@ def test_calendar_requests_include_day_after(gold_df):
     assert days == ["2021-08-01", "2021-08-02", "2021-08-03", "2021-08-04"]
     found = {r["day"]: r["found"] for r in R.lookup_results(R.experiment_results(gold), R.calendar_requests(gold)).collect()}
     assert found == {"2021-08-01": True, "2021-08-02": False, "2021-08-03": True, "2021-08-04": False}
+
+
+def test_filters_and_partition_pruning(spark, gold_df):
+    import contextlib
+    import io
+    import tempfile
+
+    from abtest_spark.operators import conversion as CV
+    from abtest_spark.sources import layers as L
+
+    d2 = D + dt.timedelta(days=1)
+    gold = gold_df([(D, "a/b", "1", 5, 1), (D, "a/b", None, 3, 0), (d2, "a/b", "1", 4, 2), (D, "c", "1", 1, 1)])
+    root = tempfile.mkdtemp(prefix="abtest-filter-")
+    L.write_layer(gold, root, "gold_aggregated", partition_by=["day"])
+    layer = L.read_layer(spark, root, "gold_aggregated")
+    hit = CV.experiment_day_filter(layer, "a/b", "2021-08-02")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        hit.explain("formatted")
+    assert "PartitionFilters: [isnotnull(day" in buf.getvalue()
+    assert [(r["variant_id"], r["users"]) for r in hit.collect()] == [("1", 4)]
+    assert CV.variant_filter(gold, None).count() == 0
+    assert CV.experiment_filter(gold, "c").count() == 1
+    assert CV.has_rows(gold) and not CV.has_rows(CV.experiment_filter(gold, "zzz"))
