@@ -75,9 +75,9 @@ def _scratch_root(spark: SparkSession) -> str:
 
 def q_write_read_bronze(spark, sf_dir):
     root = _scratch_root(spark)
-    L.write_layer(_bronze(spark, sf_dir), root, "bronze", cluster_by=["user_id"], sort_by=["user_id", "timestamp"])
+    L.write_layer(_bronze(spark, sf_dir), root, "bronze", cluster_by=["user_id", "timestamp"], sort_by=["user_id", "timestamp"])
     # Rerun must succeed (overwrite, not error-if-exists).
-    L.write_layer(_bronze(spark, sf_dir), root, "bronze", cluster_by=["user_id"], sort_by=["user_id", "timestamp"])
+    L.write_layer(_bronze(spark, sf_dir), root, "bronze", cluster_by=["user_id", "timestamp"], sort_by=["user_id", "timestamp"])
     return L.read_layer(spark, root, "bronze")
 
 
