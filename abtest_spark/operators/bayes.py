@@ -353,10 +353,10 @@ def bayes_comparison(summary: DataFrame, control: dict | None = None) -> DataFra
         sig.alias("significant"),
         F.when(
             sig,
-            F.format_string("La variante %s tiene diferencias significativas respecto al control.", F.col("variant_id")),
+            F.format_string(S.COMPARISON_SIGNIFICANT, F.col("variant_id")),
         )
         .otherwise(
-            F.format_string("La variante %s no tiene diferencias significativas respecto al control.", F.col("variant_id"))
+            F.format_string(S.COMPARISON_NOT_SIGNIFICANT, F.col("variant_id"))
         )
         .alias("conclusion"),
     )

@@ -2,7 +2,7 @@
 
 Contingency per group: one row per variant with (purchases, users -
 purchases). A group is skipped when any row total or column total is zero;
-a NULL variant matches no rows in the reference's per-variant lookup, so it
+a NULL variant matches no rows in a per-variant equality lookup, so it
 makes a zero row and skips its day. Rows without a day are excluded.
 
 Statistic: sum over cells of (|O - E| - c)^2 / E with E = row total x column
@@ -11,8 +11,9 @@ applied only when dof = 1. dof = variants - 1; dof 0 gives statistic 0 and
 p-value 1.
 
 The plan is one shuffle: the window totals partition by (experiment, day)
-and the final aggregate reuses that partitioning. The p-value UDF runs on
-the one-row-per-group result only.
+and the final aggregate reuses that partitioning. The p-value is a Column
+expression (regularized incomplete gamma), evaluated on the
+one-row-per-group result.
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Variant counts, conversion rates, rankings, trends and funnels on gold.
 
-All experiments are handled at once as grouped plans; the reference's
+All experiments are handled at once as grouped plans; the original
 per-experiment pandas loops become group keys.
 """
 

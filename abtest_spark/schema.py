@@ -40,7 +40,7 @@ TUNNEL_KEY = ["day", "event_name", "experiment_name", "variant_id"]
 LAYERS = ("bronze", "silver", "gold_aggregated", "gold_tunnel")
 
 # ---------------------------------------------------------------------------
-# Fixed values that must match the reference behaviour exactly.
+# Fixed values (texts, patterns, constants) that results must reproduce exactly.
 # ---------------------------------------------------------------------------
 BUY_EVENT = "BUY"
 # Braces stripped from the experiments string, then split on comma+space,
@@ -58,6 +58,8 @@ CHI2_ACCEPT_CONCLUSION = "Se acepta H₀: No hay diferencias significativas."
 CHI2_REJECT_CONCLUSION = "Se rechaza H₀: Hay diferencias significativas."
 CHI2_ACCEPT_DESCRIPTION = "Las variantes parecen comportarse de manera similar."
 CHI2_REJECT_DESCRIPTION = "Hay evidencia de que al menos una variante tiene un comportamiento diferente."
+COMPARISON_SIGNIFICANT = "La variante %s tiene diferencias significativas respecto al control."
+COMPARISON_NOT_SIGNIFICANT = "La variante %s no tiene diferencias significativas respecto al control."
 NOT_FOUND_TEMPLATE = "No data found for experiment '{exp}' on day '{day}'"
 # Bayesian model: alpha, beta ~ Exponential(rate 1/3); 5,000 posterior draws;
 # 95 % highest-density intervals.

@@ -51,7 +51,7 @@ def test_two_forms_agree_random(raw_df):
     a2, t2 = G.gold_from_bronze(bronze)
     assert a1.exceptAll(a2).count() == 0 and a2.exceptAll(a1).count() == 0
     assert t1.exceptAll(t2).count() == 0 and t2.exceptAll(t1).count() == 0
-    # reference form: two distinct counts in one aggregate
+    # original form: two distinct counts in one aggregate
     ref = (
         silver.withColumn("day", F.to_date("timestamp"))
         .groupBy("day", "experiment_name", "variant_id")
