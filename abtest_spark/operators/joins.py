@@ -17,6 +17,10 @@ third of the data. Here such *hot* keys are split:
 4. Shuffle join on (key, salt): every task receives at most about one average
    partition of a hot key.
 
+``per_key`` feeds the total, the hot table and the join side, so it is
+checkpointed once (reliable, shared checkpoint folder) instead of being
+re-derived from the big side three times.
+
 Cold keys get salt 0 and join as usual. Keys are matched null-safely, so a NULL
 key is one group like any other (and can be hot too).
 """
@@ -35,18 +39,27 @@ def _partitions(df: DataFrame, target_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def with_splits(per_key: DataFrame, rows_col: str, target_partitions: int | None = None) -> DataFrame:
+    """Add ``_splits``: 1 for cold keys, ``ceil(rows * P / total)`` for keys
+    holding more than ``total / P`` rows. The total is a scalar subquery."""
+    p = _partitions(per_key, target_partitions)
+    total = per_key.agg(F.sum(rows_col).alias("_total")).scalar()
+    rows = F.col(rows_col).cast("double")
+    return per_key.withColumn(
+        "_splits",
+        F.when(rows * F.lit(p) > total, F.ceil(rows * F.lit(p) / total)).otherwise(F.lit(1)).cast("int"),
+    )
+
+
 def hot_keys(per_key: DataFrame, key: str, rows_col: str, target_partitions: int | None = None) -> DataFrame:
     """Keys holding more than ``total / P`` rows, with their split count.
 
-    At most ``P - 1`` rows by construction (see module doc). The total is a
-    scalar subquery, evaluated once per query.
+    Fewer than ``P`` rows by construction (see module doc).
     """
-    p = _partitions(per_key, target_partitions)
-    total = per_key.agg(F.sum(rows_col).alias("_total")).scalar()
-    rows = F.col(rows_col).cast("double")
-    return per_key.where(rows * F.lit(p) > total).select(
-        F.col(key).alias("_hot_key"),
-        F.ceil(rows * F.lit(p) / total).cast("int").alias("_splits"),
+    return (
+        with_splits(per_key, rows_col, target_partitions)
+        .where(F.col("_splits") > 1)
+        .select(F.col(key).alias("_hot_key"), "_splits")
     )
 
 
@@ -61,23 +74,30 @@ def attach_per_key(
     """``big`` LEFT JOIN ``per_key`` USING (key), null-safe, hot keys salted.
 
     ``salt_cols`` should distinguish big-side rows of one key (for a
-    deduplicated event table: its non-key columns).
+    deduplicated event table: its non-key columns). ``per_key`` is read three
+    times (total, hot keys, join side), so it is checkpointed once to the
+    shared checkpoint folder: it is an aggregate, far smaller than ``big``,
+    and the checkpoint also cuts its lineage for retries.
     """
-    hot = F.broadcast(hot_keys(per_key, key, rows_col, target_partitions))
+    from abtest_spark.session import checkpoint_dir
 
-    big_tagged = big.join(hot, big[key].eqNullSafe(hot["_hot_key"]), "left")
-    salt = F.when(F.col("_splits").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.col("_splits").cast("long")).cast("int")
+    checkpoint_dir(per_key.sparkSession)
+    per_key = with_splits(per_key.checkpoint(eager=True), rows_col, target_partitions)
+    hot = F.broadcast(
+        per_key.where(F.col("_splits") > 1).select(F.col(key).alias("_hot_key"), F.col("_splits").alias("_hot_splits"))
     )
-    big_salted = big_tagged.withColumn("_salt", salt).drop("_hot_key", "_splits")
 
-    pk = per_key.withColumnRenamed(key, "_pk_key")
-    pk_tagged = pk.join(hot, pk["_pk_key"].eqNullSafe(hot["_hot_key"]), "left")
-    salts = F.when(F.col("_splits").isNull(), F.array(F.lit(0))).otherwise(
-        F.sequence(F.lit(0), F.col("_splits") - F.lit(1))
+    big_tagged = big.join(hot, big[key].eqNullSafe(hot["_hot_key"]), "left")
+    salt = F.when(F.col("_hot_splits").isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.col("_hot_splits").cast("long")).cast("int")
     )
-    pk_salted = pk_tagged.withColumn("_pk_salt", F.explode(salts)).drop("_hot_key", "_splits")
+    big_salted = big_tagged.withColumn("_salt", salt).drop("_hot_key", "_hot_splits")
 
+    pk_salted = (
+        per_key.withColumnRenamed(key, "_pk_key")
+        .withColumn("_pk_salt", F.explode(F.sequence(F.lit(0), F.col("_splits") - F.lit(1))))
+        .drop("_splits")
+    )
     joined = big_salted.join(
         pk_salted,
         big_salted[key].eqNullSafe(pk_salted["_pk_key"]) & (big_salted["_salt"] == pk_salted["_pk_salt"]),

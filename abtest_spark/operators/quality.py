@@ -62,12 +62,12 @@ def drop_invalid(df: DataFrame) -> DataFrame:
 def quality_report(raw: DataFrame, keys: Sequence[str] = EVENT_KEY) -> DataFrame:
     """All bronze checks as ``(check, n)`` rows.
 
-    Two scans of the input instead of one job per check: a single map-only
-    aggregate of conditional counts over the raw rows, and one grouped
-    aggregate by the event key (which is also the deduplication), from which
-    duplicate, bronze and malformed counts follow. The residual self-check
-    re-groups the deduplicated rows on the same key, so it reuses the
-    partitioning and adds no shuffle.
+    Two scans of the input instead of one job per check: a single
+    conditional-count aggregate over the raw rows, and one grouped aggregate
+    by the event key. Its keys are the deduplicated rows, so duplicate, bronze
+    and malformed counts follow from it, and the residual self-check
+    re-groups those rows on the same key: same partitioning, no second
+    shuffle of the raw rows.
     """
     row_checks = raw.agg(
         F.count(F.lit(1)).alias("raw_rows"),
@@ -81,7 +81,7 @@ def quality_report(raw: DataFrame, keys: Sequence[str] = EVENT_KEY) -> DataFrame
         F.count(F.lit(1)).alias("bronze_rows"),
         F.count_if(is_malformed_experiments("experiments")).alias("malformed_experiments"),
     )
-    residual = residual_duplicates(deduplicate(raw, keys), keys)
+    residual = residual_duplicates(grouped.select(*keys), keys)
     # Each input is a single-row aggregate; lay them out as rows and union.
     parts = []
     for frame in (row_checks, key_checks, residual):
