@@ -25,17 +25,18 @@ _SHIFT = 8
 def ln_gamma(x: Column) -> Column:
     """Natural log of the gamma function for x > 0 as a Column expression.
 
-    Stirling series to the y^-7 term at y = x + 8; absolute error below 1e-11
-    for x in [1e-4, 1e7]. The shift product is taken as a sum of logs so it
-    cannot overflow.
+    Stirling series to the y^-13 term at y = x + 8 (truncation below 1e-15),
+    then lnG(x) = lnG(x + 8) - ln(x (x+1) ... (x+7)), the product taken as a
+    sum of logs so it cannot overflow.
     """
     y = x + F.lit(float(_SHIFT))
     inv = F.lit(1.0) / y
     inv2 = inv * inv
-    series = inv * (
-        F.lit(1.0 / 12.0)
-        - inv2 * (F.lit(1.0 / 360.0) - inv2 * (F.lit(1.0 / 1260.0) - inv2 * F.lit(1.0 / 1680.0)))
-    )
+    coef = [1.0 / 12.0, 1.0 / 360.0, 1.0 / 1260.0, 1.0 / 1680.0, 1.0 / 1188.0, 691.0 / 360360.0, 1.0 / 156.0]
+    series = F.lit(coef[-1])
+    for c in reversed(coef[:-1]):
+        series = F.lit(c) - inv2 * series
+    series = inv * series
     stirling = (y - F.lit(0.5)) * F.log(y) - y + F.lit(_HALF_LN_2PI) + series
     shift = F.log(x)
     for k in range(1, _SHIFT):

@@ -123,7 +123,7 @@ def q_chi2_expected(spark, sf_dir):
 def q_bayes_grid_weights(spark, sf_dir):
     totals = B.variant_totals(_gold_table(spark, sf_dir))
     w = B.posterior_weights(totals)
-    return w.select("experiment_name", "grid_id", F.round("weight", 12).alias("weight"))
+    return w.select("experiment_name", "grid_id", F.round("weight", 9).alias("weight"))
 
 
 def q_bayes_draws(spark, sf_dir):
@@ -537,7 +537,7 @@ ORACLE_SQL: dict[str, str] = {
              CAST(dense_rank() OVER (PARTITION BY experiment_name ORDER BY variant_id) - 1 AS INTEGER) AS variant_code
       FROM (SELECT DISTINCT experiment_name, variant_id FROM gold WHERE variant_id IS NOT NULL)""",
     "bayes_grid_weights": "WITH " + _BAYES + """
-      SELECT experiment_name, grid_id, round(weight, 12) AS weight FROM gw""",
+      SELECT experiment_name, grid_id, round(weight, 9) AS weight FROM gw""",
     "bayes_summary": "WITH " + _BAYES + f""",
       mom AS (
         SELECT c.experiment_name, c.variant_id, sum(w.weight * c.m1) AS e1, sum(w.weight * c.m2) AS e2
