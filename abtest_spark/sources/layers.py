@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def layer_path(root: str, layer: str) -> str:
@@ -30,6 +31,7 @@ def write_layer(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     mode: str = "overwrite",
+    files_per_partition: int | None = None,
 ) -> None:
     """Write one layer.
 
@@ -39,11 +41,17 @@ def write_layer(
     prune well on later filters. ``partition_by`` writes Hive-style folders
     (e.g. gold by ``day``), which turns day lookups into folder pruning.
     With ``partition_by``, dynamic partition overwrite replaces only the
-    partitions present in ``df``.
+    partitions present in ``df``. By default each partition value is written
+    by one task (one file: right for small tables such as gold); for large
+    layers ``files_per_partition`` spreads every value over that many tasks by
+    a deterministic hash of the row, so one heavy day never lands in one task.
     """
     out = df
     if cluster_by:
         out = out.repartitionByRange(*cluster_by)
+    elif partition_by and files_per_partition:
+        spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(int(files_per_partition)))
+        out = out.repartition(*[F.col(c) for c in partition_by], spread)
     elif partition_by:
         out = out.repartition(*partition_by)
     if sort_by:

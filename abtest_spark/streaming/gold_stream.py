@@ -62,7 +62,8 @@ def process_batch(batch: DataFrame, epoch_id: int, root: str, buy_event: str = S
     if existing is not None:
         mine = existing.join(users, existing["user_id"].eqNullSafe(users["user_id"]), "left_semi")
         new = new.join(mine, _null_safe_on(new, mine, S.RAW_COLUMNS), "left_anti")
-    write_layer(new, root, BRONZE, partition_by=["_day"], mode="append")
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_layer(new, root, BRONZE, partition_by=["_day"], mode="append", files_per_partition=spread)
 
     # Versioned statistics: epoch N = epoch N-1 merged with this batch.
     batch_stats = user_purchase_stats(batch.withColumn("_ts", parsed_ts("timestamp")), buy_event).drop("n_rows")
