@@ -6,14 +6,16 @@ that (exact distinct counts and per-user windows are refused on streams), so
 each micro-batch is processed with ``foreachBatch`` as a small batch job:
 
 1. Deduplicate the batch and append to the bronze layer only rows not already
-   there. The anti-join reads only bronze rows of the batch's users, and makes
-   a retried batch a no-op.
+   there. A duplicate has the same timestamp text, so the anti-join reads
+   only the bronze partitions of the batch's days; it makes a retried batch a
+   no-op. A small (user, day) presence layer is appended as well.
 2. Merge the batch's per-user purchase statistics (newest BUY time, any BUY;
    both idempotent) into a new version of the user-statistics table
    (``epoch=N``), so a retry rewrites the same version from the same inputs.
-3. Affected days = days on which the batch's users have events. Gold is
+3. Affected days = days on which the batch's users have events (from the
+   presence layer, not from bronze). Gold is
    recomputed for those days only, from the bronze rows of those days (the
-   day-partitioned bronze is pruned at runtime by the semi-join) and the
+   day-partitioned bronze is read only in those folders) and the
    merged statistics, and written with dynamic partition overwrite, so other
    days are untouched.
 
@@ -36,6 +38,7 @@ from abtest_spark.sources.layers import layer_path, read_layer, write_layer
 
 BRONZE = "bronze_stream"
 STATS = "user_stats"
+USER_DAYS = "user_days"
 
 
 def _try_read(spark: SparkSession, root: str, layer: str) -> DataFrame | None:
@@ -53,19 +56,48 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols) -> F.Column:
     return cond
 
 
+def _on_days(layer: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows of the day-partitioned ``layer`` whose day is in ``days``.
+
+    The distinct days are at most one per day partition (bounded by the
+    calendar, not by the data volume), so they are fetched and applied as a
+    static partition filter: only those folders are listed and read.
+    """
+    values = [r[0] for r in days.distinct().collect()]
+    cond = F.col("_day").isin([d for d in values if d is not None]) if any(d is not None for d in values) else F.lit(False)
+    if any(d is None for d in values):
+        cond = cond | F.col("_day").isNull()
+    return layer.where(cond)
+
+
 def process_batch(batch: DataFrame, epoch_id: int, root: str, buy_event: str = S.BUY_EVENT) -> None:
     spark = batch.sparkSession
-    new = Q.deduplicate(batch.select(*S.RAW_COLUMNS)).withColumn("_day", F.to_date(parsed_ts("timestamp")))
+    batch = batch.select(*S.RAW_COLUMNS).persist()  # read for rows and for statistics
+    try:
+        _process(spark, batch, epoch_id, root, buy_event)
+    finally:
+        batch.unpersist()
+
+
+def _process(spark: SparkSession, batch: DataFrame, epoch_id: int, root: str, buy_event: str) -> None:
+    new = Q.deduplicate(batch).withColumn("_day", F.to_date(parsed_ts("timestamp")))
     users = new.select("user_id").distinct()
+    batch_days = new.select("_day").distinct()
 
+    # 1. Bronze: append rows not stored yet. A duplicate has the same
+    #    timestamp text, hence the same day: only the batch's days are read.
     existing = _try_read(spark, root, BRONZE)
     if existing is not None:
-        mine = existing.join(users, existing["user_id"].eqNullSafe(users["user_id"]), "left_semi")
+        mine = _on_days(existing, batch_days)
         new = new.join(mine, _null_safe_on(new, mine, S.RAW_COLUMNS), "left_anti")
     spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
     write_layer(new, root, BRONZE, partition_by=["_day"], mode="append", files_per_partition=spread)
+    # (user, day) presence, appended for the whole batch so a retry after a
+    # partial failure still records it; readers take it distinct.
+    presence = batch.select("user_id", F.to_date(parsed_ts("timestamp")).alias("_day")).distinct()
+    write_layer(presence, root, USER_DAYS, mode="append")
 
-    # Versioned statistics: epoch N = epoch N-1 merged with this batch.
+    # 2. Versioned statistics: epoch N = epoch N-1 merged with this batch.
     batch_stats = user_purchase_stats(batch.withColumn("_ts", parsed_ts("timestamp")), buy_event).drop("n_rows")
     prev = _try_read(spark, root, STATS)
     if prev is not None:
@@ -78,11 +110,11 @@ def process_batch(batch: DataFrame, epoch_id: int, root: str, buy_event: str = S
     write_layer(merged.withColumn("epoch", F.lit(epoch_id)), root, STATS, partition_by=["epoch"])
     stats = read_layer(spark, root, STATS).where(F.col("epoch") == epoch_id).drop("epoch")
 
+    # 3. Gold for the days on which the batch's users have events.
+    seen = read_layer(spark, root, USER_DAYS)
+    days = seen.join(users, seen["user_id"].eqNullSafe(users["user_id"]), "left_semi").select("_day").distinct()
     bronze = read_layer(spark, root, BRONZE)
-    days = (
-        bronze.join(users, bronze["user_id"].eqNullSafe(users["user_id"]), "left_semi").select("_day").distinct()
-    )
-    rows = bronze.join(days, bronze["_day"].eqNullSafe(days["_day"]), "left_semi").drop("_day")
+    rows = _on_days(bronze, days).drop("_day")
     write_layer(G.gold_aggregated_from_events(rows, buy_event, stats), root, "gold_aggregated", partition_by=["day"])
     write_layer(G.gold_tunnel_from_events(rows, buy_event, stats), root, "gold_tunnel", partition_by=["day"])
 
