@@ -264,7 +264,7 @@ def hdi(draws: DataFrame, prob: float = S.HDI_PROB, value: str = "theta") -> Dat
     key = ["experiment_name", "variant_id"]
     per = draws.groupBy(*key).agg(F.array_sort(F.collect_list(value)).alias("_x"))
     n = F.size("_x")
-    k = F.floor(n * F.lit(prob)).cast("int")
+    k = F.least(F.floor(n * F.lit(prob)).cast("int"), n - F.lit(1))
     per = per.withColumn("_k", k)
     widths = F.transform(
         F.sequence(F.lit(0), n - F.col("_k") - F.lit(1)),
