@@ -45,15 +45,20 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     scratch = tempfile.mkdtemp(prefix="abtest-bench-")
+    extra = {
+        "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+        "spark.local.dir": scratch,
+        "spark.checkpoint.dir": f"{scratch}/checkpoints",
+    }
+    if os.environ.get("BENCH_EVENT_LOG") == "1":
+        # Stage and task timings for offline inspection (no UI is started).
+        os.makedirs(f"{scratch}/events", exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"{scratch}/events"})
     spark = get_spark(
         app="abtest_bench",
         master=f"local[{cpus}]",
         shuffle_partitions=max(2 * cpus, 8),
-        extra={
-            "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-            "spark.local.dir": scratch,
-            "spark.checkpoint.dir": f"{scratch}/checkpoints",
-        },
+        extra=extra,
     )
 
     def run(df):
