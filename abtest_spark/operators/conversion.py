@@ -10,17 +10,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def variant_count(gold: DataFrame) -> DataFrame:
-    """Distinct non-null variants per experiment, most variants first.
+def variant_count(gold: DataFrame, ordered: bool = False) -> DataFrame:
+    """Distinct non-null variants per experiment (``ordered``: most variants
+    first, then by name, for display).
 
     An experiment whose variants are all NULL gets 0: it is neither a
     single-variant nor a multi-variant experiment.
     """
-    return (
+    counts = (
         gold.where(F.col("experiment_name").isNotNull())
         .groupBy("experiment_name")
         .agg(F.count_distinct("variant_id").alias("variant_count"))
     )
+    return counts.orderBy(F.col("variant_count").desc(), "experiment_name") if ordered else counts
 
 
 def single_variant_experiments(gold: DataFrame) -> DataFrame:

@@ -232,7 +232,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # conversion
     "distinct_experiments": lambda s, d: CV.distinct_experiments(_gold_table(s, d)),
     "experiment_days": lambda s, d: CV.experiment_days(_gold_table(s, d)),
-    "variant_count": lambda s, d: CV.variant_count(_gold_table(s, d)),
+    "variant_count": lambda s, d: CV.variant_count(_gold_table(s, d), ordered=True),
     "single_variant_experiments": lambda s, d: CV.single_variant_experiments(_gold_table(s, d)),
     "multi_variant_experiments": lambda s, d: CV.multi_variant(_gold_table(s, d)),
     "conversion_rate": lambda s, d: CV.with_conversion_rate(_gold_table(s, d)),
