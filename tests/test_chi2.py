@@ -120,3 +120,43 @@ def test_chi2_sf_column_matches_closed_form(spark):
     for r in got:
         want = chi2_sf_numpy([r["stat"]], [r["dof"]])[0]
         assert r["p"] == pytest.approx(want, rel=1e-9, abs=1e-13), (r["stat"], r["dof"])
+
+
+def _numpy_chi2(table, yates=True):
+    import numpy as np
+
+    obs = np.asarray(table, dtype=float)
+    expected = obs.sum(axis=1, keepdims=True) * obs.sum(axis=0, keepdims=True) / obs.sum()
+    dof = obs.shape[0] - 1
+    if dof == 0:
+        return 0.0, 0, 1.0
+    if dof == 1 and yates:
+        diff = expected - obs
+        obs = obs + np.minimum(0.5, np.abs(diff)) * np.sign(diff)
+    stat = float(((obs - expected) ** 2 / expected).sum())
+    return stat, dof, float(chi2_sf_numpy([stat], [dof])[0])
+
+
+def test_random_tables_against_numpy(gold_df):
+    import random
+
+    rng = random.Random(23)
+    rows, tables = [], {}
+    for g in range(40):
+        day = D1 + dt.timedelta(days=g)
+        k = rng.randint(1, 5)
+        t = []
+        for v in range(k):
+            users = rng.randint(20, 3000)
+            purchases = rng.randint(1, users - 1)
+            rows.append((day, "e", str(v), users, purchases))
+            t.append([purchases, users - purchases])
+        tables[day] = t
+    rows.append((D1, "other", "1", 5, 1))  # makes "e" and "other" both present; "other" is single-variant overall
+    got = {r["day"]: r for r in C.chi2_test(gold_df(rows)).collect() if r["experiment_name"] == "e"}
+    assert len(got) == 40
+    for day, t in tables.items():
+        stat, dof, p = _numpy_chi2(t)
+        assert got[day]["dof"] == dof
+        assert got[day]["chi2_statistic"] == pytest.approx(stat, abs=1e-8)
+        assert got[day]["p_value"] == pytest.approx(p, abs=1e-8)

@@ -215,3 +215,38 @@ def test_window_twin_against_brute_force(raw_df):
     assert got == _brute_force(rows)
     ranks = {r["item_id"]: r["event_rank"] for r in SV.event_rank(df, target_partitions=8).collect()}
     assert ranks == {k: v[0] for k, v in got.items()}
+
+
+def _python_parse(text):
+    if text is None:
+        return []
+    out = []
+    for part in text.replace("{", "").replace("}", "").split(", "):
+        fields = part.split("=")
+        out.append((fields[0], fields[1] if len(fields) > 1 else None))
+    return out
+
+
+def test_explode_matches_plain_rule(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    texts = st.lists(
+        st.one_of(st.none(), st.text(alphabet="{}=, ab/1", max_size=14)), min_size=1, max_size=25
+    )
+
+    @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(texts)
+    def check(values):
+        from abtest_spark.schema import RAW_SCHEMA
+
+        rows = [(i, "2024-01-01 00:00:00", "VIEW", i, "MLA", t) for i, t in enumerate(values)]
+        df = spark.createDataFrame(rows, RAW_SCHEMA)
+        got = sorted(
+            ((r["item_id"], r["experiment_name"], r["variant_id"]) for r in SV.explode_experiments(df).collect()),
+            key=str,
+        )
+        want = sorted(((i, n, v) for i, t in enumerate(values) for n, v in _python_parse(t)), key=str)
+        assert got == want
+
+    check()
