@@ -14,21 +14,21 @@ Two entry points:
 * ``gold_aggregated(silver)`` / ``gold_tunnel(silver)``: layer to layer, from
   per-row flags (how the pipeline runs after silver is written).
 * ``gold_aggregated_from_events`` / ``gold_tunnel_from_events``: never
-  materialise per-row flags. The
-  per-(group, user) rows keep the earliest event time; a user converts in a
-  group when that time is at or before the user's newest BUY (untimed groups:
-  when the user has any BUY). The per-user statistics are attached *after*
-  the reduction, so the join sees a bounded number of rows per user.
+  materialise per-row flags, and read the events once. Events are reduced to
+  one row per (group, user) keeping the earliest and latest time; each user's
+  newest BUY comes from a window over that user's reduced rows (bounded by
+  the user's distinct groups, not its events); a user converts in a group when
+  the group's earliest time is at or before that BUY (undated groups: when
+  the user has any BUY).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from abtest_spark import schema as S
-from abtest_spark.functions.columns import parsed_ts
-from abtest_spark.operators.silver import explode_experiments, user_purchase_stats
+from abtest_spark.functions.columns import experiment_name, experiment_parts, parsed_ts, variant_id
 
 
 def _counts(per_user: DataFrame, key: list[str]) -> DataFrame:
@@ -66,6 +66,12 @@ def users_per_variant(silver: DataFrame, approx: bool = False, rsd: float = 0.01
     return silver.groupBy("experiment_name", "variant_id").agg(agg.alias("users"))
 
 
+def _flag() -> F.Column:
+    return F.when(F.col("day").isNull(), F.coalesce(F.col("any_buy"), F.lit(False))).otherwise(
+        F.coalesce(F.col("_first_ts") <= F.col("last_buy_ts"), F.lit(False))
+    )
+
+
 def _reduced_flags(
     events: DataFrame, key: list[str], buy_event: str = S.BUY_EVENT, stats: DataFrame | None = None
 ) -> DataFrame:
@@ -74,26 +80,58 @@ def _reduced_flags(
     Every aggregate here (earliest time, newest BUY, any BUY) ignores exact
     duplicate rows, so ``events`` may be raw or deduplicated bronze with the
     same result; passing raw saves the widest shuffle of the chain.
-    ``stats`` (user_id, last_buy_ts, any_buy) may be given when ``events`` is
-    only part of each user's history (incremental recomputation of some days).
+
+    One scan: events are exploded with ``explode_outer`` (an event without
+    experiments keeps one row with a NULL experiment, since its BUY still
+    counts for the user) and reduced to one row per (day, event, experiment,
+    variant, user) with the earliest and latest time. The user's newest BUY
+    and any-BUY come from a window over that user's reduced rows, whose number
+    is bounded by the user's distinct groups (days x events x variants), not
+    by its event count; no join with a second scan is needed. Rows of events
+    without experiments are dropped after that.
+
+    ``stats`` (user_id, last_buy_ts, any_buy) may be given instead when
+    ``events`` is only part of each user's history (incremental recomputation
+    of some days); it is then attached with a join.
     """
     ev = events.withColumn("_ts", parsed_ts("timestamp"))
-    if stats is None:
-        stats = user_purchase_stats(ev, buy_event).drop("n_rows")
-    stats = stats.select("user_id", "last_buy_ts", "any_buy")
-    reduced = (
-        explode_experiments(ev.select("user_id", "_ts", "event_name", "experiments"))
-        .withColumn("day", F.to_date("_ts"))
-        .groupBy(*key, "user_id")
-        .agg(F.min("_ts").alias("_first_ts"))
+    exploded = (
+        ev.select("user_id", "_ts", "event_name", F.explode_outer(experiment_parts("experiments")).alias("_e"))
+        .select(
+            "user_id",
+            "_ts",
+            "event_name",
+            experiment_name("_e").alias("experiment_name"),
+            variant_id("_e").alias("variant_id"),
+            F.to_date("_ts").alias("day"),
+        )
     )
-    # The per-user statistics are attached after the reduction: a hot user
-    # contributes one row per group here, not one per event.
-    joined = reduced.join(stats.withColumnRenamed("user_id", "_u"), F.col("user_id").eqNullSafe(F.col("_u")), "left")
-    flag = F.when(F.col("day").isNull(), F.coalesce(F.col("any_buy"), F.lit(False))).otherwise(
-        F.coalesce(F.col("_first_ts") <= F.col("last_buy_ts"), F.lit(False))
+    if stats is not None:
+        reduced = (
+            exploded.where(F.col("experiment_name").isNotNull())
+            .groupBy(*key, "user_id")
+            .agg(F.min("_ts").alias("_first_ts"))
+        )
+        st = stats.select(F.col("user_id").alias("_u"), "last_buy_ts", "any_buy")
+        joined = reduced.join(st, F.col("user_id").eqNullSafe(F.col("_u")), "left")
+        return joined.select(*key, "user_id", _flag().alias("flag_purchase"))
+
+    reduced = exploded.groupBy(*S.TUNNEL_KEY, "user_id").agg(
+        F.min("_ts").alias("_first_ts"), F.max("_ts").alias("_last_ts")
+    )
+    buy = F.coalesce(F.col("event_name") == F.lit(buy_event), F.lit(False))
+    per_user = Window.partitionBy("user_id")
+    flagged = (
+        reduced.withColumn("last_buy_ts", F.max(F.when(buy, F.col("_last_ts"))).over(per_user))
+        .withColumn("any_buy", F.max(buy).over(per_user))
+        .where(F.col("experiment_name").isNotNull())
+        .select(*S.TUNNEL_KEY, "user_id", _flag().alias("flag_purchase"))
     )
-    return joined.select(*key, "user_id", flag.alias("flag_purchase"))
+    if list(key) == list(S.TUNNEL_KEY):
+        return flagged
+    # Coarser key: the rows are already partitioned by user, so this
+    # re-grouping needs no shuffle.
+    return flagged.groupBy(*key, "user_id").agg(F.max("flag_purchase").alias("flag_purchase"))
 
 
 def gold_base(events: DataFrame, buy_event: str = S.BUY_EVENT) -> DataFrame:

@@ -60,40 +60,47 @@ def drop_invalid(df: DataFrame) -> DataFrame:
 
 
 def quality_report(raw: DataFrame, keys: Sequence[str] = EVENT_KEY) -> DataFrame:
-    """All bronze checks as ``(check, n)`` rows.
-
-    Two scans of the input instead of one job per check: a single
-    conditional-count aggregate over the raw rows, and one grouped aggregate
-    by the event key. Its keys are the deduplicated rows, so duplicate, bronze
-    and malformed counts follow from it, and the residual self-check
-    re-groups those rows on the same key: same partitioning, no second
-    shuffle of the raw rows.
+    """All bronze checks as ``(check, n)`` rows, from one scan and one shuffle.
+
+    One grouped aggregate by the event key (map-side combined, so a huge
+    group of copies ships one row per task) gives every distinct row with its
+    multiplicity ``_n``. Row-level checks are multiplicity-weighted sums over
+    it and key-level checks are counts over it, in a single aggregate. The
+    residual self-check re-groups those distinct rows on the same key (same
+    partitioning, no new shuffle) and reports repeated groups and their rows.
     """
-    row_checks = raw.agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in NULL_PROFILE_COLUMNS],
-        F.count_if(is_invalid_ts("timestamp")).alias("invalid_timestamps"),
-    )
     grouped = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    key_checks = grouped.agg(
-        F.count_if(F.col("_n") > 1).alias("duplicate_groups"),
-        F.sum(F.col("_n") - 1).cast("long").alias("duplicate_rows_removed"),
+    n = F.col("_n")
+
+    def weighted(cond):
+        return F.coalesce(F.sum(F.when(cond, n)), F.lit(0)).cast("long")
+
+    row_level = {f"null_{c}": F.col(c).isNull() for c in NULL_PROFILE_COLUMNS}
+    row_level["invalid_timestamps"] = is_invalid_ts("timestamp")
+    if not (set(NULL_PROFILE_COLUMNS) | {"timestamp"}) <= set(keys):
+        raise ValueError("quality_report needs the profiled columns in the key")
+    checks = grouped.agg(
+        F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("raw_rows"),
+        *[weighted(cond).alias(name) for name, cond in row_level.items()],
+        F.count_if(n > 1).alias("duplicate_groups"),
+        F.coalesce(F.sum(n - 1), F.lit(0)).cast("long").alias("duplicate_rows_removed"),
         F.count(F.lit(1)).alias("bronze_rows"),
         F.count_if(is_malformed_experiments("experiments")).alias("malformed_experiments"),
     )
-    residual = residual_duplicates(grouped.select(*keys), keys)
-    # Each input is a single-row aggregate; lay them out as rows and union.
+    residual = (
+        grouped.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_groups"), F.sum("_n").alias("_rows"))
+        .where(F.col("_groups") > 1)
+        .agg(
+            F.count(F.lit(1)).alias("residual_duplicate_groups"),
+            F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("residual_duplicate_rows"),
+        )
+    )
+    # Each part is a single-row aggregate; lay them out as rows.
     parts = []
-    for frame in (row_checks, key_checks, residual):
-        cols = frame.columns
-        parts.append(
-            frame.select(
-                F.explode(
-                    F.array(*[F.struct(F.lit(c).alias("check"), F.coalesce(F.col(c), F.lit(0)).cast("long").alias("n")) for c in cols])
-                ).alias("_kv")
-            ).select("_kv.check", "_kv.n")
+    for frame in (checks, residual):
+        kv = F.array(
+            *[F.struct(F.lit(c).alias("check"), F.coalesce(F.col(c), F.lit(0)).cast("long").alias("n")) for c in frame.columns]
         )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        parts.append(frame.select(F.explode(kv).alias("_kv")).select("_kv.check", "_kv.n"))
+    return parts[0].unionByName(parts[1])

@@ -453,7 +453,9 @@ ORACLE_SQL: dict[str, str] = {
       UNION ALL SELECT 'bronze_rows', count(*) FROM grouped
       UNION ALL SELECT 'malformed_experiments', count_if(regexp_extract(experiments, '(\\w+=\\w+)', 0) = '') FROM grouped
       UNION ALL SELECT 'residual_duplicate_groups', count(*) FROM (
-        SELECT 1 FROM bronze GROUP BY user_id, "timestamp", event_name, item_id, site, experiments HAVING count(*) > 1)""",
+        SELECT 1 FROM bronze GROUP BY user_id, "timestamp", event_name, item_id, site, experiments HAVING count(*) > 1)
+      UNION ALL SELECT 'residual_duplicate_rows', CAST(coalesce(sum(c), 0) AS BIGINT) FROM (
+        SELECT count(*) AS c FROM bronze GROUP BY user_id, "timestamp", event_name, item_id, site, experiments HAVING count(*) > 1)""",
     "is_buy": "WITH " + _BRONZE + """
       SELECT *, CASE WHEN event_name = 'BUY' THEN 1 ELSE 0 END AS is_buy FROM bronze""",
     "flag_purchase": "WITH " + _BRONZE + """

@@ -72,6 +72,7 @@ def test_quality_report_counts(raw_df):
     assert rep["null_experiments"] == 1
     assert rep["malformed_experiments"] == 1
     assert rep["residual_duplicate_groups"] == 0
+    assert rep["residual_duplicate_rows"] == 0
 
 
 def test_nothing_but_duplicates_dropped(raw_df):
