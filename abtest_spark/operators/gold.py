@@ -83,12 +83,12 @@ def _reduced_flags(
 
     One scan: events are exploded with ``explode_outer`` (an event without
     experiments keeps one row with a NULL experiment, since its BUY still
-    counts for the user) and reduced to one row per (day, event, experiment,
-    variant, user) with the earliest and latest time. The user's newest BUY
-    and any-BUY come from a window over that user's reduced rows, whose number
-    is bounded by the user's distinct groups (days x events x variants), not
-    by its event count; no join with a second scan is needed. Rows of events
-    without experiments are dropped after that.
+    counts for the user) and reduced to one row per (key, user) with the
+    earliest time and the group's latest BUY time and any-BUY. The user's
+    newest BUY and any-BUY come from a window over that user's reduced rows,
+    whose number is bounded by the user's distinct groups (days x variants),
+    not by its event count; no join with a second scan is needed. Rows of
+    events without experiments are dropped after that.
 
     ``stats`` (user_id, last_buy_ts, any_buy) may be given instead when
     ``events`` is only part of each user's history (incremental recomputation
@@ -116,22 +116,19 @@ def _reduced_flags(
         joined = reduced.join(st, F.col("user_id").eqNullSafe(F.col("_u")), "left")
         return joined.select(*key, "user_id", _flag().alias("flag_purchase"))
 
-    reduced = exploded.groupBy(*S.TUNNEL_KEY, "user_id").agg(
-        F.min("_ts").alias("_first_ts"), F.max("_ts").alias("_last_ts")
-    )
     buy = F.coalesce(F.col("event_name") == F.lit(buy_event), F.lit(False))
+    reduced = exploded.groupBy(*key, "user_id").agg(
+        F.min("_ts").alias("_first_ts"),
+        F.max(F.when(buy, F.col("_ts"))).alias("_buy_ts"),
+        F.max(buy).alias("_has_buy"),
+    )
     per_user = Window.partitionBy("user_id")
-    flagged = (
-        reduced.withColumn("last_buy_ts", F.max(F.when(buy, F.col("_last_ts"))).over(per_user))
-        .withColumn("any_buy", F.max(buy).over(per_user))
+    return (
+        reduced.withColumn("last_buy_ts", F.max("_buy_ts").over(per_user))
+        .withColumn("any_buy", F.max("_has_buy").over(per_user))
         .where(F.col("experiment_name").isNotNull())
-        .select(*S.TUNNEL_KEY, "user_id", _flag().alias("flag_purchase"))
+        .select(*key, "user_id", _flag().alias("flag_purchase"))
     )
-    if list(key) == list(S.TUNNEL_KEY):
-        return flagged
-    # Coarser key: the rows are already partitioned by user, so this
-    # re-grouping needs no shuffle.
-    return flagged.groupBy(*key, "user_id").agg(F.max("flag_purchase").alias("flag_purchase"))
 
 
 def gold_base(events: DataFrame, buy_event: str = S.BUY_EVENT) -> DataFrame:
