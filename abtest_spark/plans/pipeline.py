@@ -64,3 +64,60 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, fmt: str = "par
     silver = build_silver(bronze, root, fmt)
     gold, tunnel = build_gold(silver, root, fmt)
     return {"bronze": bronze, "silver": silver, "gold_aggregated": gold, "gold_tunnel": tunnel}
+
+
+def run_analytics(spark: SparkSession, root: str, fmt: str = "parquet", seed: int = 0) -> dict[str, DataFrame]:
+    """Materialise the analyses of the gold layer under ``root``.
+
+    Reads ``gold_aggregated`` once from storage; writes the variant counts,
+    the chi-square tests and skipped groups, the Bayesian report (exact means,
+    draw-based HDIs) and comparison, and the per-day result documents
+    (partitioned by day, so a lookup reads one folder).
+    """
+    from abtest_spark.operators import bayes as B
+    from abtest_spark.operators import chi2 as C
+    from abtest_spark.operators import conversion as CV
+    from abtest_spark.operators import results as R
+
+    gold = read_layer(spark, root, "gold_aggregated", fmt)
+    report = B.bayes_report(gold, seed=seed)
+    outputs = {
+        "variant_count": (CV.variant_count(gold), ()),
+        "chi2_test": (C.chi2_test(gold), ()),
+        "chi2_skipped": (C.chi2_skipped(gold), ()),
+        "bayes_report": (report, ()),
+        "experiment_results": (R.experiment_results(gold), ("day",)),
+    }
+    for name, (df, parts) in outputs.items():
+        write_layer(df, root, name, fmt=fmt, partition_by=parts)
+    # The comparison reads the written report, so the draws are not redone.
+    write_layer(B.bayes_comparison(read_layer(spark, root, "bayes_report", fmt)), root, "bayes_comparison", fmt=fmt)
+    names = [*outputs, "bayes_comparison"]
+    return {n: read_layer(spark, root, n, fmt) for n in names}
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m abtest_spark.plans.pipeline --raw <csv glob> --root <dir> [--analytics]``
+
+    (or the same module through spark-submit with the package on
+    ``--py-files``; the master and resources come from the submit command).
+    """
+    import argparse
+
+    from abtest_spark.session import get_spark
+    from abtest_spark.sources.raw import read_raw
+
+    ap = argparse.ArgumentParser(description="raw CSV -> bronze/silver/gold layers (+ analyses)")
+    ap.add_argument("--raw", required=True, help="headed CSV file(s) of the raw clickstream")
+    ap.add_argument("--root", required=True, help="shared folder for the layers")
+    ap.add_argument("--format", default="parquet")
+    ap.add_argument("--analytics", action="store_true", help="also materialise the analyses of gold")
+    args = ap.parse_args(argv)
+    spark = get_spark(app="abtest_pipeline")
+    run_pipeline(spark, read_raw(spark, args.raw), args.root, args.format)
+    if args.analytics:
+        run_analytics(spark, args.root, args.format)
+
+
+if __name__ == "__main__":
+    main()

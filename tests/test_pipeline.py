@@ -57,3 +57,16 @@ def test_entry_contract(spark):
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert {"bayes_draws", "bayes_hdi", "bayes_comparison", "posterior_histogram"} == set(q) - set(o)
+
+
+def test_analytics_job(spark):
+    root = tempfile.mkdtemp(prefix="abtest-analytics-")
+    run_pipeline(spark, load_raw(spark, SF), root)
+    from abtest_spark.plans.pipeline import run_analytics
+
+    out = run_analytics(spark, root)
+    assert out["chi2_test"].count() == 60
+    assert out["variant_count"].where("variant_count > 1").count() == 2
+    assert out["bayes_report"].count() == 5
+    assert out["bayes_comparison"].count() == 3
+    assert out["experiment_results"].where("exp_name = 'checkout|button'").count() == 30
