@@ -70,7 +70,10 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scratch_root(spark: SparkSession) -> str:
     """A fresh folder under the shared checkpoint location."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/layers-{uuid.uuid4().hex}"
+    base = checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for the write/read queries")
+    return f"{base.rstrip('/')}/layers-{uuid.uuid4().hex}"
 
 
 def q_write_read_bronze(spark, sf_dir):

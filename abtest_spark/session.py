@@ -45,14 +45,19 @@ def get_spark(
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be a shared filesystem path set by the operator. Only
     when nothing is configured (unit tests, local bench) a scratch folder is
-    created and registered, so lineage cutting still works locally.
+    created and registered, so lineage cutting still works locally. Sessions
+    without a SparkContext handle (Spark Connect) manage the folder on the
+    server; the configured value is returned as is.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no JVM context on this client
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
