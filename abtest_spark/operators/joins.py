@@ -10,10 +10,12 @@ third of the data. Here such *hot* keys are split:
 2. A key is hot when it holds more rows than an average shuffle partition:
    ``rows * P > total``. Fewer than ``P`` keys can satisfy that, so the hot
    table has a proven bound of ``P`` rows and is broadcast.
-3. A hot key with ``rows`` rows gets ``ceil(rows * P / total)`` salt values.
-   Big-side rows pick a salt from a deterministic hash of their own columns
-   (retries recompute the same salt); the per-key row is replicated once per
-   salt value. Replication in total is below ``2 P`` rows.
+3. A hot key with ``rows`` rows gets ``ceil(k * rows * P / total)`` salt
+   values (k = 8 pieces per average partition, so hash collisions of pieces
+   stay cheap). Big-side rows pick a salt from a deterministic hash of their
+   own columns (retries recompute the same salt); the per-key row is
+   replicated once per salt value. Replication in total is below
+   ``(k + 1) P`` rows.
 4. Shuffle join on (key, salt): every task receives at most about one average
    partition of a hot key.
 
@@ -33,21 +35,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Pieces per average partition for a hot key (see ``with_splits``).
+OVERSPLIT = 8
+
+
 def _partitions(df: DataFrame, target_partitions: int | None) -> int:
     if target_partitions:
         return int(target_partitions)
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def with_splits(per_key: DataFrame, rows_col: str, target_partitions: int | None = None) -> DataFrame:
-    """Add ``_splits``: 1 for cold keys, ``ceil(rows * P / total)`` for keys
-    holding more than ``total / P`` rows. The total is a scalar subquery."""
+def with_splits(
+    per_key: DataFrame, rows_col: str, target_partitions: int | None = None, oversplit: int = OVERSPLIT
+) -> DataFrame:
+    """Add ``_splits``: 1 for cold keys; for keys holding more than
+    ``total / P`` rows, ``ceil(oversplit * rows * P / total)`` pieces of about
+    ``1 / oversplit`` of an average partition each. Small pieces matter
+    because (key, salt) pairs are hashed onto partitions: several pieces of
+    one key can share a partition, and smaller pieces keep that collision
+    cheap. The total is a scalar subquery."""
     p = _partitions(per_key, target_partitions)
     total = per_key.agg(F.sum(rows_col).alias("_total")).scalar()
     rows = F.col(rows_col).cast("double")
     return per_key.withColumn(
         "_splits",
-        F.when(rows * F.lit(p) > total, F.ceil(rows * F.lit(p) / total)).otherwise(F.lit(1)).cast("int"),
+        F.when(rows * F.lit(p) > total, F.ceil(rows * F.lit(p * oversplit) / total)).otherwise(F.lit(1)).cast("int"),
     )
 
 
