@@ -14,10 +14,12 @@ Window form (the newest-first ``row_number`` and the propagated BUY rank):
 ``event_rank`` and ``buy_groups``. A window partitioned by user alone would put
 all events of a hot user into one task. Instead the events are range
 partitioned on (user, newest-first order), so a hot user spans many
-partitions; windows run per (partition, user), and what crosses partition
-boundaries (rank offsets, BUY ranks of newer rows, equal-time peers) comes
-from small per-(partition, user) aggregates whose windows hold one row per
-partition.
+partitions (pieces). A range shuffle on (piece, user) then lays the rows out
+balanced by count, which already satisfies every window keyed by (piece,
+user): those need no further exchange. What crosses piece boundaries (rank
+offsets, BUY ranks of newer rows, equal-time peers) concerns fewer than P
+users and at most 2P equal-time runs, so those corrections are broadcast and
+the event rows are never shuffled by user.
 """
 
 from __future__ import annotations
@@ -114,14 +116,14 @@ def _order_cols():
     return [getattr(F.col(c), how)() for c, how in _RANK_ORDER]
 
 
-def _ordered(bronze: DataFrame, target_partitions: int | None = None) -> DataFrame:
-    """Events in one global (user, newest-first) order, with stable row ids.
+def _ordered(bronze: DataFrame, target_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """Events in one global (user, newest-first) order, cut into pieces.
 
     Range partitioning on the full order spreads a hot user over as many
-    partitions as its size needs; each partition is then sorted and every row
-    gets ``_pid`` (partition) and ``_row`` (position in the global order
-    within its partition). The result is checkpointed to the shared
-    checkpoint folder so every consumer (and every retry) sees the same ids.
+    partitions (pieces) as its size needs; each piece is sorted and every row
+    gets ``_row`` (its position, increasing along the order within a piece)
+    and ``_pid`` (its piece). The result is checkpointed to the shared
+    checkpoint folder so every consumer and every retry sees the same ids.
     """
     from abtest_spark.session import checkpoint_dir
 
@@ -136,29 +138,61 @@ def _ordered(bronze: DataFrame, target_partitions: int | None = None) -> DataFra
         .withColumn("_row", F.monotonically_increasing_id())
         .checkpoint(eager=True)
     )
-    return ids.withColumn("_pid", F.shiftright(F.col("_row"), _ID_BITS))
+    return ids.withColumn("_pid", F.shiftright(F.col("_row"), _ID_BITS)), p
 
 
-def _pu_join(left: DataFrame, right: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    keys = ["_pid", "user_id", *extra]
-    r = right.select(*[F.col(k).alias(f"_r{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    cond = F.col("_pid") == F.col("_r_pid")
-    for k in keys[1:]:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_r{k}"))
-    return left.join(r, cond, "left").drop(*[f"_r{k}" for k in keys])
+def _by_piece(ids: DataFrame, p: int) -> DataFrame:
+    """Lay rows out by (piece, user) with a range shuffle: balanced by row
+    count, so the pieces of one user go to different tasks, and it already
+    satisfies every window and aggregate keyed by (piece, user[, time]) below,
+    which then need no further exchange."""
+    return ids.repartitionByRange(p, "_pid", F.col("user_id").asc_nulls_first())
+
+
+def _eq(left: DataFrame, right: DataFrame, cols) -> F.Column:
+    cond = None
+    for c in cols:
+        term = left[c].eqNullSafe(right[c])
+        cond = term if cond is None else cond & term
+    return cond
+
+
+def _attach(big: DataFrame, small: DataFrame, keys) -> DataFrame:
+    """Broadcast-attach a correction table with a proven size bound (see the
+    callers); unmatched rows get NULLs."""
+    renamed = small.select(*[F.col(k).alias(f"_c{k}") for k in keys], *[c for c in small.columns if c not in keys])
+    cond = None
+    for k in keys:
+        term = F.col(k).eqNullSafe(F.col(f"_c{k}"))
+        cond = term if cond is None else cond & term
+    return big.join(F.broadcast(renamed), cond, "left").drop(*[f"_c{k}" for k in keys])
 
 
 def _ranked(bronze: DataFrame, target_partitions: int | None = None) -> DataFrame:
-    """``event_rank`` = rows of the user in earlier partitions + row number
-    within (partition, user). Windows hold at most one range partition; the
-    offset window holds one row per partition the user spans."""
-    ids = _ordered(bronze, target_partitions)
-    w_local = Window.partitionBy("_pid", "user_id").orderBy("_row")
-    local = ids.withColumn("_local_rank", F.row_number().over(w_local))
-    per_pu = ids.groupBy("_pid", "user_id").agg(F.count(F.lit(1)).alias("_cnt"))
-    w_user = Window.partitionBy("user_id").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_pu.withColumn("_offset", F.coalesce(F.sum("_cnt").over(w_user), F.lit(0)).cast("long")).drop("_cnt")
-    return _pu_join(local, offsets).withColumn("event_rank", (F.col("_offset") + F.col("_local_rank")).cast("int"))
+    """``event_rank`` = row number within (piece, user) + rows of the user in
+    earlier pieces.
+
+    The offset is non-zero only for users that continue from an earlier
+    piece. The data is in one global order, so each user occupies a
+    contiguous run of pieces and each piece boundary is crossed by at most one
+    user: fewer than P (piece, user) pairs need an offset. That correction
+    table is broadcast; the event rows are never shuffled by user.
+    """
+    ids, p = _ordered(bronze, target_partitions)
+    laid = _by_piece(ids, p)
+    local = laid.withColumn(
+        "_local_rank", F.row_number().over(Window.partitionBy("_pid", "user_id").orderBy("_row"))
+    )
+    per_piece = laid.groupBy("_pid", "user_id").agg(F.count(F.lit(1)).alias("_cnt"))
+    earlier = Window.partitionBy("user_id").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        per_piece.withColumn("_offset", F.sum("_cnt").over(earlier))
+        .where(F.col("_offset") > 0)
+        .select("_pid", "user_id", "_offset")
+    )
+    return _attach(local, offsets, ["_pid", "user_id"]).withColumn(
+        "event_rank", (F.col("_local_rank") + F.coalesce(F.col("_offset"), F.lit(0))).cast("int")
+    )
 
 
 def event_rank(bronze: DataFrame, target_partitions: int | None = None) -> DataFrame:
@@ -174,27 +208,39 @@ def buy_groups(bronze: DataFrame, buy_event: str = S.BUY_EVENT, target_partition
     event, equal times included (the RANGE frame of the newest-first order);
     NULL when there is none; ``flag_purchase`` is its non-nullness. Ranks grow
     along the order, so it is the largest BUY rank in the frame, assembled
-    from three bounded parts:
-      * rows up to this one in its (partition, user) window,
-      * all rows of the user in earlier partitions (per-partition maxima),
-      * rows with the same time (peers), which may follow this row or sit in
-        the next partitions (per-(partition, user, time) maxima).
+    from four parts:
+      * rows up to this one in its (piece, user) window,
+      * rows with the same time in the same piece (a window per piece, user
+        and time, which may reach past this row),
+      * rows of the user in earlier pieces (non-empty for fewer than P
+        (piece, user) pairs, broadcast),
+      * rows with the same time in other pieces: a run of equal times can
+        only continue across pieces at a piece's first or last row, so at
+        most 2P (user, time) runs qualify (broadcast).
     """
     ranked = _ranked(bronze, target_partitions)
     buy_rank = F.when(F.col("event_name") == buy_event, F.col("event_rank"))
-    w_run = Window.partitionBy("_pid", "user_id").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
-    local = ranked.withColumn("_run_max", F.max(buy_rank).over(w_run))
+    running = Window.partitionBy("_pid", "user_id").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    local = ranked.withColumn("_run_max", F.max(buy_rank).over(running)).withColumn(
+        "_peer_max", F.max(buy_rank).over(Window.partitionBy("_pid", "user_id", "_ts"))
+    )
 
-    per_pu = ranked.groupBy("_pid", "user_id").agg(F.max(buy_rank).alias("_pu_max"))
-    w_prev = Window.partitionBy("user_id").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_pu.withColumn("_prev_max", F.max("_pu_max").over(w_prev)).drop("_pu_max")
+    per_piece = ranked.groupBy("_pid", "user_id").agg(F.max(buy_rank).alias("_piece_max"))
+    earlier = Window.partitionBy("user_id").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        per_piece.withColumn("_prev_max", F.max("_piece_max").over(earlier))
+        .where(F.col("_prev_max").isNotNull())
+        .select("_pid", "user_id", "_prev_max")
+    )
 
-    per_put = ranked.groupBy("_pid", "user_id", "_ts").agg(F.max(buy_rank).alias("_put_max"))
-    w_peer = Window.partitionBy("user_id", "_ts")
-    peers = per_put.withColumn("_peer_max", F.max("_put_max").over(w_peer)).drop("_put_max")
+    ends = ranked.groupBy("_pid").agg(F.min("_row").alias("_first"), F.max("_row").alias("_last"))
+    end_rows = ends.select(F.explode(F.array("_first", "_last")).alias("_row"))
+    edge_runs = ranked.join(F.broadcast(end_rows), "_row", "left_semi").select("user_id", "_ts").distinct()
+    run_rows = ranked.join(F.broadcast(edge_runs), _eq(ranked, edge_runs, ["user_id", "_ts"]), "left_semi")
+    across = run_rows.groupBy("user_id", "_ts").agg(F.max(buy_rank).alias("_run_max_all"))
 
-    joined = _pu_join(_pu_join(local, carried), peers, ("_ts",))
-    bg = F.greatest(F.col("_run_max"), F.col("_prev_max"), F.col("_peer_max"))
+    joined = _attach(_attach(local, carried, ["_pid", "user_id"]), across, ["user_id", "_ts"])
+    bg = F.greatest(F.col("_run_max"), F.col("_peer_max"), F.col("_prev_max"), F.col("_run_max_all"))
     return (
         joined.withColumn("buy_group", bg.cast("int"))
         .withColumn("flag_purchase", F.col("buy_group").isNotNull())
