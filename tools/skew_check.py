@@ -8,7 +8,8 @@ one user, so that user holds a third of all rows), forces shuffle joins
 AQE skew handling off, then runs
   * a plain equi-join of events with the per-user statistics, and
   * ``attach_per_key`` (hot keys salted),
-and also gold (per-user window over reduced rows) and the event-rank twin
+and also the deduplication of a stream where a third of the rows are copies
+of one row, gold (per-user window over reduced rows) and the event-rank twin
 (range-partitioned order); it reports, from Spark's event log, the largest
 number of shuffle records read by one task of each.
 """
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from abtest_spark.functions.columns import parsed_ts  # noqa: E402
 from abtest_spark.operators.gold import gold_aggregated_from_events  # noqa: E402
 from abtest_spark.operators.joins import attach_per_key  # noqa: E402
+from abtest_spark.operators.quality import deduplicate  # noqa: E402
 from abtest_spark.operators.silver import event_rank, user_purchase_stats  # noqa: E402
 from abtest_spark.session import get_spark  # noqa: E402
 from abtest_spark.sources.raw import raw_from_events, read_table  # noqa: E402
@@ -82,6 +84,12 @@ def main() -> None:
     salted.write.format("noop").mode("overwrite").save()
 
     raw = raw_from_events(skewed)
+    # A third of all rows are copies of one row.
+    copies = raw_from_events(events).withColumn("_i", F.monotonically_increasing_id())
+    cols = [c for c in copies.columns if c != "_i"]
+    copies = copies.select(*[F.when(F.col("_i") % 3 == 0, F.lit(None)).otherwise(F.col(c)).alias(c) for c in cols])
+    sc.setJobDescription("dedupe")
+    deduplicate(copies).write.format("noop").mode("overwrite").save()
     sc.setJobDescription("gold")
     gold_aggregated_from_events(raw).write.format("noop").mode("overwrite").save()
     sc.setJobDescription("event_rank")
@@ -109,7 +117,7 @@ def main() -> None:
         "hot_user_rows": total // 3,
         "average_rows_per_partition": total // partitions,
         "max_task_shuffle_records": {
-            k: v for k, v in reads.items() if k in ("plain join", "salted attach", "gold", "event_rank")
+            k: v for k, v in reads.items() if k in ("plain join", "salted attach", "dedupe", "gold", "event_rank")
         },
     }))
 
