@@ -16,8 +16,9 @@ third of the data. Here such *hot* keys are split:
    own columns (retries recompute the same salt); the per-key row is
    replicated once per salt value. Replication in total is below
    ``(k + 1) P`` rows.
-4. Shuffle join on (key, salt): every task receives at most about one average
-   partition of a hot key.
+4. Shuffle join on (key, salt): a hot key reaches the join as many small
+   pieces spread over the tasks, never as one group (measured in
+   ``tools/skew_check.py``).
 
 ``per_key`` feeds the total, the hot table and the join side, so it is
 checkpointed once (reliable, shared checkpoint folder) instead of being
