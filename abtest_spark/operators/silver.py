@@ -109,7 +109,6 @@ _RANK_ORDER = [
     ("experiments", "asc_nulls_first"),
     ("_raw_ts", "asc_nulls_first"),
 ]
-_ID_BITS = 33  # monotonically_increasing_id: partition id in the upper bits
 
 
 def _order_cols():
@@ -136,9 +135,10 @@ def _ordered(bronze: DataFrame, target_partitions: int | None = None) -> tuple[D
         ev.repartitionByRange(p, *order)
         .sortWithinPartitions(*order)
         .withColumn("_row", F.monotonically_increasing_id())
+        .withColumn("_pid", F.spark_partition_id())
         .checkpoint(eager=True)
     )
-    return ids.withColumn("_pid", F.shiftright(F.col("_row"), _ID_BITS)), p
+    return ids, p
 
 
 def _by_piece(ids: DataFrame, p: int) -> DataFrame:
