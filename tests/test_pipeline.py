@@ -70,3 +70,12 @@ def test_analytics_job(spark):
     assert out["bayes_report"].count() == 5
     assert out["bayes_comparison"].count() == 3
     assert out["experiment_results"].where("exp_name = 'checkout|button'").count() == 30
+
+
+def test_pipeline_clustered_layout_same_content(spark):
+    raw = load_raw(spark, SF)
+    a = run_pipeline(spark, raw, tempfile.mkdtemp(prefix="abtest-pipe-a-"))
+    b = run_pipeline(spark, raw, tempfile.mkdtemp(prefix="abtest-pipe-b-"), cluster=True)
+    for name in ("bronze", "silver", "gold_tunnel"):
+        x, y = a[name], b[name].select(*a[name].columns)
+        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
