@@ -45,7 +45,7 @@ LAYERS = ("bronze", "silver", "gold_aggregated", "gold_tunnel")
 BUY_EVENT = "BUY"
 # Braces stripped from the experiments string, then split on comma+space,
 # then each part split on "=" into name and variant.
-EXPERIMENT_BRACES = "[{}]"
+BRACE_CHARS = "{}"
 EXPERIMENT_SEPARATOR = ", "
 VARIANT_SEPARATOR = "="
 # An experiments value is well formed when some substring matches this.

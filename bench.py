@@ -59,7 +59,7 @@ def main() -> None:
     spark = get_spark(
         app="abtest_bench",
         master=f"local[{cpus}]",
-        shuffle_partitions=max(2 * cpus, 8),
+        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(2 * cpus, 8))),
         extra=extra,
     )
 
