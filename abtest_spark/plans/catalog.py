@@ -175,9 +175,9 @@ def q_csv_roundtrip(spark, sf_dir):
     return read_raw(spark, f"{root}/raw_csv")
 
 
-def q_pipeline_tunnel(spark, sf_dir):
-    """All four layers written by the pipeline; gold_tunnel read back."""
-    from abtest_spark.plans.pipeline import run_pipeline
+def q_layers_tunnel(spark, sf_dir):
+    """All four layers written by the ETL job; gold_tunnel read back."""
+    from abtest_spark.plans.etl import run_pipeline
 
     return run_pipeline(spark, _raw(spark, sf_dir), _scratch_root(spark))["gold_tunnel"]
 
@@ -211,7 +211,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "write_read_gold": q_write_read_gold,
     "stream_gold_aggregated": q_stream_gold,
     "csv_roundtrip": q_csv_roundtrip,
-    "pipeline_gold_tunnel": q_pipeline_tunnel,
+    "layers_gold_tunnel": q_layers_tunnel,
     # bronze quality
     "null_profile": lambda s, d: Q.null_profile(_raw(s, d)),
     "invalid_timestamps": lambda s, d: Q.invalid_timestamps(_raw(s, d)),
@@ -429,7 +429,7 @@ ORACLE_SQL: dict[str, str] = {
     "write_read_gold": "WITH " + _GOLD + " SELECT * FROM gold",
     "stream_gold_aggregated": "WITH " + _GOLD + " SELECT * FROM gold",
     "csv_roundtrip": "WITH " + _RAW + " SELECT * FROM raw",
-    "pipeline_gold_tunnel": "WITH " + _GOLD + " SELECT * FROM tunnel",
+    "layers_gold_tunnel": "WITH " + _GOLD + " SELECT * FROM tunnel",
     "null_profile": "WITH " + _RAW + """
       SELECT count_if(user_id IS NULL) AS user_id, count_if(event_name IS NULL) AS event_name,
              count_if("timestamp" IS NULL) AS "timestamp", count_if(experiments IS NULL) AS experiments FROM raw""",

@@ -102,7 +102,7 @@ def run_analytics(spark: SparkSession, root: str, fmt: str = "parquet", seed: in
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``python -m abtest_spark.plans.pipeline --raw <csv glob> --root <dir> [--analytics]``
+    """``python -m abtest_spark.plans.etl --raw <csv glob> --root <dir> [--analytics]``
 
     (or the same module through spark-submit with the package on
     ``--py-files``; the master and resources come from the submit command).
@@ -119,7 +119,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--analytics", action="store_true", help="also materialise the analyses of gold")
     ap.add_argument("--cluster", action="store_true", help="range-cluster bronze and silver on (user, time)")
     args = ap.parse_args(argv)
-    spark = get_spark(app="abtest_pipeline")
+    spark = get_spark(app="abtest_etl")
     run_pipeline(spark, read_raw(spark, args.raw), args.root, args.format, args.cluster)
     if args.analytics:
         run_analytics(spark, args.root, args.format)

@@ -6,14 +6,14 @@ import tempfile
 
 from abtest_spark.operators import gold as G
 from abtest_spark.operators import quality as Q
-from abtest_spark.plans.pipeline import run_pipeline
+from abtest_spark.plans.etl import run_pipeline
 from abtest_spark.sources import layers as L
 from abtest_spark.sources.raw import load_raw, read_raw
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_pipeline_twice_and_matches_direct(spark):
+def test_etl_twice_and_matches_direct(spark):
     root = tempfile.mkdtemp(prefix="abtest-pipe-")
     raw = load_raw(spark, SF)
     run_pipeline(spark, raw, root)
@@ -62,7 +62,7 @@ def test_entry_contract(spark):
 def test_analytics_job(spark):
     root = tempfile.mkdtemp(prefix="abtest-analytics-")
     run_pipeline(spark, load_raw(spark, SF), root)
-    from abtest_spark.plans.pipeline import run_analytics
+    from abtest_spark.plans.etl import run_analytics
 
     out = run_analytics(spark, root)
     assert out["chi2_test"].count() == 60
@@ -72,7 +72,7 @@ def test_analytics_job(spark):
     assert out["experiment_results"].where("exp_name = 'checkout|button'").count() == 30
 
 
-def test_pipeline_clustered_layout_same_content(spark):
+def test_etl_clustered_layout_same_content(spark):
     raw = load_raw(spark, SF)
     a = run_pipeline(spark, raw, tempfile.mkdtemp(prefix="abtest-pipe-a-"))
     b = run_pipeline(spark, raw, tempfile.mkdtemp(prefix="abtest-pipe-b-"), cluster=True)
