@@ -12,8 +12,11 @@ each micro-batch is processed with ``foreachBatch`` as a small batch job:
 2. Merge the batch's per-user purchase statistics (newest BUY time, any BUY;
    both idempotent) into a new version of the user-statistics table
    (``epoch=N``), so a retry rewrites the same version from the same inputs.
-3. Affected days = days on which the batch's users have events (from the
-   presence layer, not from bronze). Gold is
+3. Affected days = the batch's own days, plus, only for users whose BUY
+   statistics changed, the days whose flags can flip (between the previous
+   and the new newest-BUY date, from the small presence layer) and the
+   undated day on a first BUY. A batch without purchases rewrites only its
+   own days. Gold is
    recomputed for those days only, from the bronze rows of those days (the
    day-partitioned bronze is read only in those folders) and the
    merged statistics, and written with dynamic partition overwrite, so other
@@ -56,33 +59,36 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols) -> F.Column:
     return cond
 
 
-def _on_days(layer: DataFrame, days: DataFrame) -> DataFrame:
-    """Rows of the day-partitioned ``layer`` whose day is in ``days``.
+def _day_list(days: DataFrame) -> list:
+    """Distinct days, at most one per day partition (bounded by the
+    calendar, not by the data volume)."""
+    return sorted({r[0] for r in days.distinct().collect()}, key=lambda d: (d is None, d))
 
-    The distinct days are at most one per day partition (bounded by the
-    calendar, not by the data volume), so they are fetched and applied as a
-    static partition filter: only those folders are listed and read.
-    """
-    values = [r[0] for r in days.distinct().collect()]
-    cond = F.col("_day").isin([d for d in values if d is not None]) if any(d is not None for d in values) else F.lit(False)
+
+def _on_days(layer: DataFrame, values: list) -> DataFrame:
+    """Rows of the day-partitioned ``layer`` whose day is in ``values``, as a
+    static partition filter: only those folders are listed and read."""
+    dated = [d for d in values if d is not None]
+    cond = F.col("_day").isin(dated) if dated else F.lit(False)
     if any(d is None for d in values):
         cond = cond | F.col("_day").isNull()
     return layer.where(cond)
 
 
-def process_batch(batch: DataFrame, epoch_id: int, root: str, buy_event: str = S.BUY_EVENT) -> None:
+def process_batch(batch: DataFrame, epoch_id: int, root: str, buy_event: str = S.BUY_EVENT) -> list:
+    """One micro-batch; returns the gold days it rewrote."""
     spark = batch.sparkSession
     batch = batch.select(*S.RAW_COLUMNS).persist()  # read for rows and for statistics
     try:
-        _process(spark, batch, epoch_id, root, buy_event)
+        return _process(spark, batch, epoch_id, root, buy_event)
     finally:
         batch.unpersist()
 
 
-def _process(spark: SparkSession, batch: DataFrame, epoch_id: int, root: str, buy_event: str) -> None:
+def _process(spark: SparkSession, batch: DataFrame, epoch_id: int, root: str, buy_event: str) -> list:
     new = Q.deduplicate(batch).withColumn("_day", F.to_date(parsed_ts("timestamp")))
-    users = new.select("user_id").distinct()
-    batch_days = new.select("_day").distinct()
+    batch_users = batch.select("user_id").distinct()
+    batch_days = _day_list(new.select("_day"))
 
     # 1. Bronze: append rows not stored yet. A duplicate has the same
     #    timestamp text, hence the same day: only the batch's days are read.
@@ -100,23 +106,46 @@ def _process(spark: SparkSession, batch: DataFrame, epoch_id: int, root: str, bu
     # 2. Versioned statistics: epoch N = epoch N-1 merged with this batch.
     batch_stats = user_purchase_stats(batch.withColumn("_ts", parsed_ts("timestamp")), buy_event).drop("n_rows")
     prev = _try_read(spark, root, STATS)
+    old = None
     if prev is not None:
         last = prev.where(F.col("epoch") < epoch_id).agg(F.max("epoch")).first()[0]
         if last is not None:
-            batch_stats = batch_stats.unionByName(prev.where(F.col("epoch") == last).drop("epoch"))
-    merged = batch_stats.groupBy("user_id").agg(
-        F.max("last_buy_ts").alias("last_buy_ts"), F.max("any_buy").alias("any_buy")
-    )
+            old = prev.where(F.col("epoch") == last).drop("epoch")
+    both = batch_stats.unionByName(old) if old is not None else batch_stats
+    merged = both.groupBy("user_id").agg(F.max("last_buy_ts").alias("last_buy_ts"), F.max("any_buy").alias("any_buy"))
     write_layer(merged.withColumn("epoch", F.lit(epoch_id)), root, STATS, partition_by=["epoch"])
     stats = read_layer(spark, root, STATS).where(F.col("epoch") == epoch_id).drop("epoch")
 
-    # 3. Gold for the days on which the batch's users have events.
+    # 3. Affected gold days: the batch's own days, plus, for users whose
+    #    purchase statistics changed, the days whose flags can flip: events
+    #    after the previous newest BUY up to the new one (all earlier days for
+    #    a first timed BUY), and the undated day when a first BUY appears.
+    cur = stats.join(batch_users, stats["user_id"].eqNullSafe(batch_users["user_id"]), "left_semi")
+    if old is not None:
+        before = old.select(F.col("user_id").alias("_ou"), F.col("last_buy_ts").alias("_old_last"), F.col("any_buy").alias("_old_any"))
+        diff = cur.join(before, F.col("user_id").eqNullSafe(F.col("_ou")), "left").drop("_ou")
+    else:
+        diff = cur.withColumn("_old_last", F.lit(None).cast("timestamp_ntz")).withColumn("_old_any", F.lit(None).cast("boolean"))
+    old_any = F.coalesce(F.col("_old_any"), F.lit(False))
+    changed = diff.where(~F.col("last_buy_ts").eqNullSafe(F.col("_old_last")) | (F.col("any_buy") & ~old_any))
     seen = read_layer(spark, root, USER_DAYS)
-    days = seen.join(users, seen["user_id"].eqNullSafe(users["user_id"]), "left_semi").select("_day").distinct()
+    flips = seen.join(
+        changed.withColumnRenamed("user_id", "_cu"), seen["user_id"].eqNullSafe(F.col("_cu")), "inner"
+    )
+    timed = flips.where(
+        F.col("_day").isNotNull()
+        & F.col("last_buy_ts").isNotNull()
+        & (F.col("_day") <= F.to_date("last_buy_ts"))
+        & (F.col("_old_last").isNull() | (F.col("_day") >= F.to_date("_old_last")))
+    ).select("_day")
+    undated = changed.where(F.col("any_buy") & ~old_any).select(F.lit(None).cast("date").alias("_day"))
+    days = sorted(set(batch_days) | set(_day_list(timed.unionByName(undated))), key=lambda d: (d is None, d))
+
     bronze = read_layer(spark, root, BRONZE)
     rows = _on_days(bronze, days).drop("_day")
     write_layer(G.gold_aggregated_from_events(rows, buy_event, stats), root, "gold_aggregated", partition_by=["day"])
     write_layer(G.gold_tunnel_from_events(rows, buy_event, stats), root, "gold_tunnel", partition_by=["day"])
+    return days
 
 
 def start_gold_stream(

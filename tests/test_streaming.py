@@ -75,3 +75,27 @@ def test_stream_many_micro_batches(spark):
     assert _same(L.read_layer(spark, root, "gold_aggregated"), G.gold_aggregated_from_events(raw))
     assert _same(L.read_layer(spark, root, "gold_tunnel"), G.gold_tunnel_from_events(raw))
     assert L.read_layer(spark, root, "user_stats").select("epoch").distinct().count() == 3
+
+
+def test_affected_days_are_narrow(spark, raw_df):
+    import datetime as dt
+
+    root = tempfile.mkdtemp(prefix="abtest-days-")
+    day = lambda d: dt.date(2024, 1, d)
+    e = "{x=1, y=2}"
+    b0 = [
+        (1, "2024-01-01 10:00:00", "VIEW", 1, "MLA", e),
+        (1, "2024-01-02 10:00:00", "VIEW", 2, "MLA", e),
+        (1, "2024-01-03 10:00:00", "BUY", 3, "MLA", e),
+        (2, "2024-01-01 11:00:00", "VIEW", 4, "MLA", e),
+    ]
+    b1 = [(1, "2024-01-05 10:00:00", "VIEW", 5, "MLA", e)]  # no purchase
+    b2 = [(2, "2024-01-04 10:00:00", "BUY", 6, "MLA", e), (2, None, "VIEW", 7, "MLA", e)]  # first BUY of user 2
+    b3 = [(1, "2024-01-06 10:00:00", "BUY", 8, "MLA", e)]  # later BUY of user 1
+    assert process_batch(raw_df(b0), 0, root) == [day(1), day(2), day(3), None]  # first BUY of user 1
+    assert process_batch(raw_df(b1), 1, root) == [day(5)]
+    assert process_batch(raw_df(b2), 2, root) == [day(1), day(4), None]
+    assert process_batch(raw_df(b3), 3, root) == [day(3), day(5), day(6)]
+    everything = raw_df(b0 + b1 + b2 + b3)
+    assert _same(L.read_layer(spark, root, "gold_aggregated"), G.gold_aggregated_from_events(everything))
+    assert _same(L.read_layer(spark, root, "gold_tunnel"), G.gold_tunnel_from_events(everything))
