@@ -77,10 +77,10 @@ def _scratch_root(spark: SparkSession) -> str:
 
 
 def q_write_read_bronze(spark, sf_dir):
+    """Bronze written sorted by (user, time) (range-clustered, the ordered
+    sink) and read back. Reruns overwrite; see tests/test_etl.py."""
     root = _scratch_root(spark)
     L.write_layer(_bronze(spark, sf_dir), root, "bronze", cluster_by=["user_id", "timestamp"], sort_by=["user_id", "timestamp"])
-    # Rerun must succeed (overwrite, not error-if-exists).
-    L.write_layer(_bronze(spark, sf_dir), root, "bronze", cluster_by=["user_id", "timestamp"], sort_by=["user_id", "timestamp"])
     return L.read_layer(spark, root, "bronze")
 
 
