@@ -431,8 +431,8 @@ ORACLE_SQL: dict[str, str] = {
     "csv_roundtrip": "WITH " + _RAW + " SELECT * FROM raw",
     "layers_gold_tunnel": "WITH " + _GOLD + " SELECT * FROM tunnel",
     "null_profile": "WITH " + _RAW + """
-      SELECT count_if(user_id IS NULL) AS user_id, count_if(event_name IS NULL) AS event_name,
-             count_if("timestamp" IS NULL) AS "timestamp", count_if(experiments IS NULL) AS experiments FROM raw""",
+      SELECT CAST(count_if(user_id IS NULL) AS BIGINT) AS user_id, CAST(count_if(event_name IS NULL) AS BIGINT) AS event_name,
+             CAST(count_if("timestamp" IS NULL) AS BIGINT) AS "timestamp", CAST(count_if(experiments IS NULL) AS BIGINT) AS experiments FROM raw""",
     "invalid_timestamps": "WITH " + _RAW + """ SELECT * FROM raw WHERE TRY_CAST("timestamp" AS TIMESTAMP) IS NULL""",
     "duplicate_groups": "WITH " + _RAW + """
       SELECT user_id, "timestamp", event_name, item_id, site, experiments, count(*) AS "count"
@@ -446,15 +446,15 @@ ORACLE_SQL: dict[str, str] = {
     "quality_report": "WITH " + _BRONZE + """,
       grouped AS (SELECT user_id, "timestamp", event_name, item_id, site, experiments, count(*) AS n FROM raw GROUP BY ALL)
       SELECT 'raw_rows' AS "check", count(*) AS n FROM raw
-      UNION ALL SELECT 'null_user_id', count_if(user_id IS NULL) FROM raw
-      UNION ALL SELECT 'null_event_name', count_if(event_name IS NULL) FROM raw
-      UNION ALL SELECT 'null_timestamp', count_if("timestamp" IS NULL) FROM raw
-      UNION ALL SELECT 'null_experiments', count_if(experiments IS NULL) FROM raw
-      UNION ALL SELECT 'invalid_timestamps', count_if(TRY_CAST("timestamp" AS TIMESTAMP) IS NULL) FROM raw
-      UNION ALL SELECT 'duplicate_groups', count_if(n > 1) FROM grouped
+      UNION ALL SELECT 'null_user_id', CAST(count_if(user_id IS NULL) AS BIGINT) FROM raw
+      UNION ALL SELECT 'null_event_name', CAST(count_if(event_name IS NULL) AS BIGINT) FROM raw
+      UNION ALL SELECT 'null_timestamp', CAST(count_if("timestamp" IS NULL) AS BIGINT) FROM raw
+      UNION ALL SELECT 'null_experiments', CAST(count_if(experiments IS NULL) AS BIGINT) FROM raw
+      UNION ALL SELECT 'invalid_timestamps', CAST(count_if(TRY_CAST("timestamp" AS TIMESTAMP) IS NULL) AS BIGINT) FROM raw
+      UNION ALL SELECT 'duplicate_groups', CAST(count_if(n > 1) AS BIGINT) FROM grouped
       UNION ALL SELECT 'duplicate_rows_removed', CAST(sum(n - 1) AS BIGINT) FROM grouped
       UNION ALL SELECT 'bronze_rows', count(*) FROM grouped
-      UNION ALL SELECT 'malformed_experiments', count_if(regexp_extract(experiments, '(\\w+=\\w+)', 0) = '') FROM grouped
+      UNION ALL SELECT 'malformed_experiments', CAST(count_if(regexp_extract(experiments, '(\\w+=\\w+)', 0) = '') AS BIGINT) FROM grouped
       UNION ALL SELECT 'residual_duplicate_groups', count(*) FROM (
         SELECT 1 FROM bronze GROUP BY user_id, "timestamp", event_name, item_id, site, experiments HAVING count(*) > 1)
       UNION ALL SELECT 'residual_duplicate_rows', CAST(coalesce(sum(c), 0) AS BIGINT) FROM (
@@ -483,8 +483,8 @@ ORACLE_SQL: dict[str, str] = {
       SELECT user_id, ts AS "timestamp", event_name, item_id, site, experiments, CAST(rn AS INTEGER) AS event_rank,
              CAST(buy_group AS INTEGER) AS buy_group, buy_group IS NOT NULL AS flag_purchase FROM bg""",
     "user_journey": "WITH " + _GOLD + """
-      SELECT user_id, count(*) AS "rows", count_if(event_name = 'BUY') AS buy_rows,
-             count_if(flag_purchase) AS flagged_rows,
+      SELECT user_id, count(*) AS "rows", CAST(count_if(event_name = 'BUY') AS BIGINT) AS buy_rows,
+             CAST(count_if(flag_purchase) AS BIGINT) AS flagged_rows,
              count(DISTINCT CAST("timestamp" AS DATE)) AS active_days,
              min("timestamp") AS first_ts, max("timestamp") AS last_ts,
              max(CASE WHEN event_name = 'BUY' THEN "timestamp" END) AS last_buy_ts
@@ -542,7 +542,7 @@ ORACLE_SQL: dict[str, str] = {
              CAST(dense_rank() OVER (PARTITION BY experiment_name ORDER BY variant_id) - 1 AS INTEGER) AS variant_code
       FROM (SELECT DISTINCT experiment_name, variant_id FROM gold WHERE variant_id IS NOT NULL)""",
     "bayes_grid_weights": "WITH " + _BAYES + """
-      SELECT experiment_name, grid_id, round(weight, 9) AS weight FROM gw""",
+      SELECT experiment_name, CAST(grid_id AS INTEGER) AS grid_id, round(weight, 9) AS weight FROM gw""",
     "bayes_summary": "WITH " + _BAYES + f""",
       mom AS (
         SELECT c.experiment_name, c.variant_id, sum(w.weight * c.m1) AS e1, sum(w.weight * c.m2) AS e2
