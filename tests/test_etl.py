@@ -79,3 +79,14 @@ def test_etl_clustered_layout_same_content(spark):
     for name in ("bronze", "silver", "gold_tunnel"):
         x, y = a[name], b[name].select(*a[name].columns)
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
+def test_sizing_conf():
+    from abtest_spark.session import sizing_conf
+
+    small = sizing_conf(10 * 1024**2, total_cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = sizing_conf(100 * 1024**4, total_cores=8000)
+    assert big["spark.sql.shuffle.partitions"] == "160000"  # capped at 20 waves
+    mid = sizing_conf(1024**4, total_cores=8000)
+    assert mid["spark.sql.shuffle.partitions"] == "16000"  # at least two waves
