@@ -232,10 +232,13 @@ def _draws(
             F.least(F.lit(block_size), F.lit(n) - F.col("block") * F.lit(block_size)).cast("long"),
         )
         .withColumn("seed", F.xxhash64(F.lit(seed), "experiment_name", "variant_id", "block"))
-        # An explicit partition count: the rows are tiny but each one is a
-        # block of Python draws, so AQE must not coalesce them into one task.
-        .repartition(int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions")), "experiment_name", "variant_id", "block")
     )
+    # An explicit partition count: the rows are tiny but each one is a block
+    # of Python draws, so AQE must not coalesce them into one task. One task
+    # per block at most (the variant count is a small aggregate to count).
+    limit = int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(limit, totals.count() * blocks))
+    tasks = tasks.repartition(parts, "experiment_name", "variant_id", "block")
     return tasks.mapInPandas(functools.partial(_draw_blocks, points=points, lo=lo, hi=hi, block_size=block_size), DRAW_SCHEMA)
 
 
