@@ -42,6 +42,9 @@ from abtest_spark.sources.layers import layer_path, read_layer, write_layer
 BRONZE = "bronze_stream"
 STATS = "user_stats"
 USER_DAYS = "user_days"
+# Files (and write tasks) per day folder and micro-batch: bounds the file
+# count per batch while keeping one busy day off a single task.
+FILES_PER_DAY = 64
 
 
 def _try_read(spark: SparkSession, root: str, layer: str) -> DataFrame | None:
@@ -96,7 +99,7 @@ def _process(spark: SparkSession, batch: DataFrame, epoch_id: int, root: str, bu
     if existing is not None:
         mine = _on_days(existing, batch_days)
         new = new.join(mine, _null_safe_on(new, mine, S.RAW_COLUMNS), "left_anti")
-    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = min(FILES_PER_DAY, int(spark.conf.get("spark.sql.shuffle.partitions")))
     write_layer(new, root, BRONZE, partition_by=["_day"], mode="append", files_per_partition=spread)
     # (user, day) presence, appended for the whole batch so a retry after a
     # partial failure still records it; readers take it distinct.
