@@ -33,9 +33,9 @@ def is_buy(event: str | Column = "event_name", buy_event: str = S.BUY_EVENT) ->
 def experiment_parts(c: str | Column = "experiments") -> Column:
     """``'{a=1, b=2}'`` -> ``['a=1', 'b=2']``; NULL stays NULL."""
     c = F.col(c) if isinstance(c, str) else c
-    # Deleting the two brace characters needs no regex engine: translate
-    # drops every character of its match set that has no replacement.
-    return F.split(F.translate(c, S.BRACE_CHARS, ""), S.EXPERIMENT_SEPARATOR)
+    # A compiled character-class replace; measured faster than translate,
+    # which decodes every row into code points.
+    return F.split(F.regexp_replace(c, S.EXPERIMENT_BRACES, ""), S.EXPERIMENT_SEPARATOR)
 
 
 def experiment_name(part: str | Column = "experiment") -> Column:
