@@ -200,6 +200,14 @@ def q_stream_gold(spark, sf_dir):
     return L.read_layer(spark, f"{root}/out", "gold_aggregated")
 
 
+def _gold_uncut_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold under the uncut marker (every purchase a BUY): most users
+    convert, so many experiment-days have a zero non-conversion total and
+    cannot be tested."""
+    checkpoint_dir(spark)
+    return G.gold_aggregated_from_events(load_raw(spark, sf_dir, buy_min_value=0.0)).checkpoint(eager=True)
+
+
 def q_quality_report(spark, sf_dir):
     return Q.quality_report(_raw(spark, sf_dir))
 
@@ -248,6 +256,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chi2_expected": q_chi2_expected,
     "chi2_test": lambda s, d: C.chi2_test(_gold_table(s, d)),
     "chi2_skipped": lambda s, d: C.chi2_skipped(_gold_table(s, d)),
+    "chi2_test_uncut": lambda s, d: C.chi2_test(_gold_uncut_table(s, d)),
+    "chi2_skipped_uncut": lambda s, d: C.chi2_skipped(_gold_uncut_table(s, d)),
     # bayes
     "variant_totals": lambda s, d: B.variant_totals(_gold_table(s, d)),
     "variant_code": lambda s, d: B.variant_code(_gold_table(s, d)),
@@ -380,6 +390,10 @@ pv AS (
   FROM stat)"""
 
 
+_CHI2_UNCUT = _CHI2.replace("event_type = 'purchase' AND value > 80", "event_type = 'purchase' AND value > 0")
+assert _CHI2_UNCUT != _CHI2
+
+
 def _grid_sql(points: int = B.GRID_POINTS, lo: float = B.GRID_LO, hi: float = B.GRID_HI) -> str:
     step = (math.log(hi) - math.log(lo)) / (points - 1)
     l0 = math.log(lo)
@@ -536,6 +550,18 @@ ORACLE_SQL: dict[str, str] = {
                   WHEN bool_or(row_total = 0) THEN 'zero row total'
                   ELSE 'zero column total' END AS reason
       FROM cont2 WHERE NOT testable GROUP BY 1, 2""",
+    "chi2_skipped_uncut": "WITH " + _CHI2_UNCUT + """
+      SELECT day, experiment_name,
+             CASE WHEN bool_or(variant_id IS NULL) THEN 'null variant'
+                  WHEN bool_or(row_total = 0) THEN 'zero row total'
+                  ELSE 'zero column total' END AS reason
+      FROM cont2 WHERE NOT testable GROUP BY 1, 2""",
+    "chi2_test_uncut": "WITH " + _CHI2_UNCUT + f"""
+      SELECT day, experiment_name, round(chi2_statistic, 9) AS chi2_statistic, dof, round(p_value, 9) AS p_value,
+             p_value < {S.SIGNIFICANCE_LEVEL!r} AS reject_h0,
+             CASE WHEN p_value >= {S.SIGNIFICANCE_LEVEL!r} THEN '{S.CHI2_ACCEPT_CONCLUSION}' ELSE '{S.CHI2_REJECT_CONCLUSION}' END AS conclusion,
+             CASE WHEN p_value >= {S.SIGNIFICANCE_LEVEL!r} THEN '{S.CHI2_ACCEPT_DESCRIPTION}' ELSE '{S.CHI2_REJECT_DESCRIPTION}' END AS description
+      FROM pv""",
     "variant_totals": "WITH " + _BAYES + " SELECT * FROM totals",
     "variant_code": "WITH " + _GOLD + """
       SELECT experiment_name, variant_id,

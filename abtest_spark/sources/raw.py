@@ -27,12 +27,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def raw_from_events(events: DataFrame) -> DataFrame:
+def raw_from_events(events: DataFrame, buy_min_value: float = 80.0) -> DataFrame:
     """Map ``events(event_id, ts, user_id, event_type, value, props)`` to raw.
 
     Rules (integer arithmetic, identical in any SQL engine):
       timestamp   'not-a-time' if event_id % 101 = 0, NULL if % 103 = 0, else ts as text
-      event_name  'BUY' for purchases with value > 80, else upper(event_type)
+      event_name  'BUY' for purchases with value > buy_min_value (80), else upper(event_type)
       item_id     event_id % 500
       site        'MLA' for even users, else 'MLB'
       experiments NULL if event_id % 97 = 0, '{}' if % 89 = 0, '{malformed}' if % 83 = 0,
@@ -47,7 +47,7 @@ def raw_from_events(events: DataFrame) -> DataFrame:
         .otherwise(F.col("ts").cast("string"))
     )
     event_name = (
-        F.when((F.col("event_type") == "purchase") & (F.col("value") > 80), F.lit("BUY"))
+        F.when((F.col("event_type") == "purchase") & (F.col("value") > F.lit(float(buy_min_value))), F.lit("BUY"))
         .otherwise(F.upper(F.col("event_type")))
     )
     experiments = (
@@ -79,6 +79,7 @@ def raw_from_events(events: DataFrame) -> DataFrame:
     return base.withColumn("_copy", F.explode(copies)).select(*RAW_COLUMNS)
 
 
-def load_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw stream derived from ``{sf_dir}/events.parquet``."""
-    return raw_from_events(read_table(spark, sf_dir, "events"))
+def load_raw(spark: SparkSession, sf_dir: str, buy_min_value: float = 80.0) -> DataFrame:
+    """Raw stream derived from ``{sf_dir}/events.parquet``. With
+    ``buy_min_value=0`` every purchase is a BUY (the uncut marker)."""
+    return raw_from_events(read_table(spark, sf_dir, "events"), buy_min_value)

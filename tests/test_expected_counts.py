@@ -53,3 +53,14 @@ def test_pooled_totals_and_posterior_sf001(spark):
     for k, (m, sd) in want.items():
         assert summ[k][0] == pytest.approx(m, abs=1e-10)
         assert summ[k][1] == pytest.approx(sd, abs=1e-8)
+
+
+@pytest.mark.parametrize("sf,tested,skipped", [("sf0.001", 14, 46), ("sf0.01", 22, 38)])
+def test_uncut_marker_skips_groups(spark, sf, tested, skipped):
+    """Every purchase a BUY: most users convert, so many experiment-days have
+    no non-converting user and cannot be tested (SURVEY 7.3)."""
+    d = f"/root/testdata/{sf}"
+    assert Q["chi2_test_uncut"](spark, d).count() == tested
+    sk = Q["chi2_skipped_uncut"](spark, d)
+    assert sk.count() == skipped
+    assert {r["reason"] for r in sk.collect()} == {"zero column total"}
