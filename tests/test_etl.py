@@ -90,3 +90,21 @@ def test_sizing_conf():
     assert big["spark.sql.shuffle.partitions"] == "160000"  # capped at 20 waves
     mid = sizing_conf(1024**4, total_cores=8000)
     assert mid["spark.sql.shuffle.partitions"] == "16000"  # at least two waves
+
+
+def test_command_line_job(spark, raw_df):
+    from abtest_spark.plans.etl import main
+
+    base = tempfile.mkdtemp(prefix="abtest-cli-")
+    rows = [
+        (1, "2024-01-01 10:00:00", "VIEW", 1, "MLA", "{e=1}"),
+        (1, "2024-01-01 11:00:00", "BUY", 2, "MLA", "{e=1}"),
+        (2, "2024-01-01 10:00:00", "VIEW", 3, "MLB", "{e=2}"),
+        (2, "2024-01-01 10:00:00", "VIEW", 3, "MLB", "{e=2}"),
+    ]
+    L.export_csv(raw_df(rows), f"{base}/raw")
+    main(["--raw", f"{base}/raw/*.csv", "--root", f"{base}/layers", "--analytics"])
+    assert L.read_layer(spark, f"{base}/layers", "bronze").count() == 3
+    gold = {r["variant_id"]: (r["users"], r["purchases"]) for r in L.read_layer(spark, f"{base}/layers", "gold_aggregated").collect()}
+    assert gold == {"1": (1, 1), "2": (1, 0)}
+    assert L.read_layer(spark, f"{base}/layers", "chi2_test").count() == 1
