@@ -47,13 +47,16 @@ GRID_LO = 1e-4
 GRID_HI = 80.0
 
 
-def variant_totals(gold: DataFrame, multi_only: bool = True) -> DataFrame:
+def variant_totals(gold: DataFrame, multi_only: bool = True, null_variants: bool = False) -> DataFrame:
     """(experiment, variant) -> s = purchases, n = users summed over days
-    (the undated day included). NULL variants are left out."""
+    (the undated day included). NULL variants are left out, unless
+    ``null_variants``: then their rows form one more group with its own theta
+    (they still inform alpha and beta), as in the original model."""
     src = multi_variant(gold) if multi_only else gold
+    if not null_variants:
+        src = src.where(F.col("variant_id").isNotNull())
     return (
-        src.where(F.col("variant_id").isNotNull())
-        .groupBy("experiment_name", "variant_id")
+        src.groupBy("experiment_name", "variant_id")
         .agg(F.sum("purchases").cast("long").alias("purchases"), F.sum("users").cast("long").alias("users"))
     )
 
@@ -162,9 +165,10 @@ def bayes_summary(
     hi: float = GRID_HI,
     prior_rate: float = S.PRIOR_RATE,
     digits: int = 10,
+    null_variants: bool = False,
 ) -> DataFrame:
     """Posterior mean and sd of each variant's conversion probability."""
-    totals = variant_totals(gold)
+    totals = variant_totals(gold, null_variants=null_variants)
     cells = _grid_cells(totals, points, lo, hi)
     weights = posterior_weights(totals, points, lo, hi, prior_rate, cells=cells)
     return _moments(cells, weights, digits)
@@ -251,9 +255,10 @@ def posterior_draws(
     hi: float = GRID_HI,
     prior_rate: float = S.PRIOR_RATE,
     block_size: int = 1000,
+    null_variants: bool = False,
 ) -> DataFrame:
     """``n`` posterior draws of theta per (experiment, variant)."""
-    totals = variant_totals(gold)
+    totals = variant_totals(gold, null_variants=null_variants)
     weights = posterior_weights(totals, points, lo, hi, prior_rate)
     return _draws(totals, weights, n, seed, points, lo, hi, block_size)
 
@@ -377,12 +382,16 @@ def bayes_report(
     hi: float = GRID_HI,
     prior_rate: float = S.PRIOR_RATE,
     block_size: int = 1000,
+    null_variants: bool = False,
 ) -> DataFrame:
     """Summary (exact mean, sd) with draw-based HDIs; the grid weights are
     computed once and feed both."""
-    totals = variant_totals(gold)
+    totals = variant_totals(gold, null_variants=null_variants)
     cells = _grid_cells(totals, points, lo, hi)
     weights = posterior_weights(totals, points, lo, hi, prior_rate, cells=cells)
     summary = _moments(cells, weights, 10)
-    intervals = hdi(_draws(totals, weights, n, seed, points, lo, hi, block_size), prob)
-    return summary.join(intervals, ["experiment_name", "variant_id"])
+    intervals = hdi(_draws(totals, weights, n, seed, points, lo, hi, block_size), prob).select(
+        F.col("experiment_name").alias("_e"), F.col("variant_id").alias("_v"), "hdi_low", "hdi_high"
+    )
+    cond = (F.col("experiment_name") == F.col("_e")) & F.col("variant_id").eqNullSafe(F.col("_v"))
+    return summary.join(intervals, cond).drop("_e", "_v")

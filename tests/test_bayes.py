@@ -114,3 +114,18 @@ def test_histogram_counts(gold_df):
     tot = {r["variant_id"]: r["n"] for r in hist.groupBy("variant_id").agg(F.sum("draws").alias("n")).collect()}
     assert tot == {"1": 1000, "2": 1000}
     assert hist.agg(F.max("bin")).first()[0] <= 20
+
+
+def test_null_variant_rows_own_theta(gold_df):
+    rows = [(D1, "e", "1", 100, 30), (D1, "e", "2", 100, 20), (D1, "e", None, 100, 90)]
+    gold = gold_df(rows)
+    dropped = {r["variant_id"]: r["mean"] for r in B.bayes_summary(gold).collect()}
+    kept = {r["variant_id"]: r["mean"] for r in B.bayes_summary(gold, null_variants=True).collect()}
+    assert set(dropped) == {"1", "2"} and set(kept) == {"1", "2", None}
+    # the extra group shifts the shared (alpha, beta) posterior, hence the others' means
+    assert kept["1"] != pytest.approx(dropped["1"], abs=1e-6)
+    assert dropped == pytest.approx({"1": 0.2996340213, "2": 0.2065763926}, abs=2e-10)
+    report = B.bayes_report(gold, n=1000, null_variants=True).collect()
+    assert {r["variant_id"] for r in report} == {"1", "2", None}
+    comparison = B.bayes_comparison(B.bayes_report(gold, n=1000, null_variants=True)).collect()
+    assert {r["variant"] for r in comparison} == {"2"}
