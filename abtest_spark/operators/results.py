@@ -101,7 +101,10 @@ def lookup_results(results: DataFrame, requests: DataFrame) -> DataFrame:
     """Answer ``requests(exp_name, day)`` (day as ``YYYY-MM-DD`` text).
 
     Left join on (slug, day): found requests carry the result, the others a
-    ``detail`` message. Requests are few; AQE broadcasts them when small.
+    ``detail`` message. ``status`` and ``response`` are the answer as served:
+    200 with ``{"results": {...}}``, or 404 with ``{"detail": "..."}``.
+    ``results`` is the output of ``experiment_results`` (with the variant
+    lists). Requests are few; AQE broadcasts them when small.
     """
     req = requests.select(
         F.col("exp_name").alias("_req_exp"),
@@ -117,6 +120,18 @@ def lookup_results(results: DataFrame, requests: DataFrame) -> DataFrame:
         S.NOT_FOUND_TEMPLATE.replace("{exp}", "%s").replace("{day}", "%s"), F.col("_req_exp"), F.col("_req_day")
     )
     found = F.col("_res_day").isNotNull()
+    body = F.to_json(
+        F.struct(
+            F.struct(
+                F.col("_req_exp").alias("exp_name"),
+                F.col("_res_day").alias("day"),
+                "number_of_participants",
+                "winner",
+                "variants",
+            ).alias("results")
+        )
+    )
+    missing = F.to_json(F.struct(detail.alias("detail")))
     return joined.select(
         F.col("_req_exp").alias("exp_name"),
         F.col("_req_day").alias("day"),
@@ -124,6 +139,8 @@ def lookup_results(results: DataFrame, requests: DataFrame) -> DataFrame:
         "number_of_participants",
         "winner",
         F.when(found, F.lit(None).cast("string")).otherwise(detail).alias("detail"),
+        F.when(found, F.lit(200)).otherwise(F.lit(404)).alias("status"),
+        F.when(found, body).otherwise(missing).alias("response"),
     )
 
 

@@ -620,15 +620,25 @@ ORACLE_SQL: dict[str, str] = {
       res AS (
         SELECT replace(experiment_name, '/', '|') AS exp_name, strftime(day, '%Y-%m-%d') AS day,
                CAST(sum(users) AS BIGINT) AS number_of_participants,
-               arg_min(variant_id, (-purchases, variant_id)) AS winner
+               arg_min(variant_id, (-purchases, variant_id)) AS winner,
+               list_sort(list({'id': variant_id, 'number_of_purchases': purchases})) AS variants
         FROM gold WHERE day IS NOT NULL AND variant_id IS NOT NULL GROUP BY experiment_name, day),
       span AS (
         SELECT replace(experiment_name, '/', '|') AS exp_name, min(day) AS d0, max(day) AS d1
         FROM gold WHERE day IS NOT NULL AND variant_id IS NOT NULL GROUP BY experiment_name),
       req AS (
         SELECT exp_name, strftime(CAST(unnest(generate_series(CAST(d0 AS TIMESTAMP), CAST(d1 + 1 AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE), '%Y-%m-%d') AS day
-        FROM span)
-      SELECT req.exp_name, req.day, res.day IS NOT NULL AS found, res.number_of_participants, res.winner,
-             CASE WHEN res.day IS NULL THEN 'No data found for experiment ''' || req.exp_name || ''' on day ''' || req.day || '''' END AS detail
-      FROM req LEFT JOIN res ON req.exp_name = res.exp_name AND req.day = res.day""",
+        FROM span),
+      ans AS (
+        SELECT req.exp_name, req.day, res.day IS NOT NULL AS found, res.number_of_participants, res.winner,
+               res.variants,
+               CASE WHEN res.day IS NULL THEN 'No data found for experiment ''' || req.exp_name || ''' on day ''' || req.day || '''' END AS detail
+        FROM req LEFT JOIN res ON req.exp_name = res.exp_name AND req.day = res.day)
+      SELECT exp_name, day, found, number_of_participants, winner, detail,
+             CAST(CASE WHEN found THEN 200 ELSE 404 END AS INTEGER) AS status,
+             CASE WHEN found
+                  THEN CAST(to_json({'results': {'exp_name': exp_name, 'day': day,
+                        'number_of_participants': number_of_participants, 'winner': winner, 'variants': variants}}) AS VARCHAR)
+                  ELSE CAST(to_json({'detail': detail}) AS VARCHAR) END AS response
+      FROM ans""",
 }

@@ -35,6 +35,11 @@ def test_sample_document(gold_df, spark):
     out = {r["day"]: r for r in R.lookup_results(res, req).collect()}
     assert out["2021-08-01"]["found"] and out["2021-08-01"]["winner"] == "1"
     assert out["2024-08-01"]["detail"] == "No data found for experiment 'qadb|sa-on-vip' on day '2024-08-01'"
+    assert out["2021-08-01"]["status"] == 200 and json.loads(out["2021-08-01"]["response"]) == doc
+    assert out["2024-08-01"]["status"] == 404
+    assert json.loads(out["2024-08-01"]["response"]) == {
+        "detail": "No data found for experiment 'qadb|sa-on-vip' on day '2024-08-01'"
+    }
 
 
 def test_winner_tie_goes_to_smallest_id(gold_df):
