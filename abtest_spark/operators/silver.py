@@ -115,19 +115,27 @@ def _order_cols():
     return [getattr(F.col(c), how)() for c, how in _RANK_ORDER]
 
 
-def _ordered(bronze: DataFrame, target_partitions: int | None = None) -> tuple[DataFrame, int]:
+def _ordered(
+    bronze: DataFrame, target_partitions: int | None = None, checkpoint: bool = True
+) -> tuple[DataFrame, int]:
     """Events in one global (user, newest-first) order, cut into pieces.
 
     Range partitioning on the full order spreads a hot user over as many
     partitions (pieces) as its size needs; each piece is sorted and every row
     gets ``_row`` (its position, increasing along the order within a piece)
-    and ``_pid`` (its piece). The result is checkpointed to the shared
-    checkpoint folder so every consumer and every retry sees the same ids.
+    and ``_pid`` (its piece).
+
+    With ``checkpoint`` the result is written to the shared checkpoint folder
+    so every consumer and every retry sees the same ids. That is needed when
+    ``bronze`` comes straight out of a shuffle, whose row order (and so the
+    sampled range bounds) can differ between recomputations. When ``bronze``
+    is read from storage its order is reproducible and the full order breaks
+    every tie, so ``checkpoint=False`` recomputes identical ids and saves
+    writing a copy of the events.
     """
     from abtest_spark.session import checkpoint_dir
 
     spark = bronze.sparkSession
-    checkpoint_dir(spark)
     p = target_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ev = bronze.withColumn("_raw_ts", F.col("timestamp")).withColumn("_ts", parsed_ts("timestamp"))
     order = [F.col("user_id").asc_nulls_first(), *_order_cols()]
@@ -136,8 +144,10 @@ def _ordered(bronze: DataFrame, target_partitions: int | None = None) -> tuple[D
         .sortWithinPartitions(*order)
         .withColumn("_row", F.monotonically_increasing_id())
         .withColumn("_pid", F.spark_partition_id())
-        .checkpoint(eager=True)
     )
+    if checkpoint:
+        checkpoint_dir(spark)
+        ids = ids.checkpoint(eager=True)
     return ids, p
 
 
@@ -168,7 +178,7 @@ def _attach(big: DataFrame, small: DataFrame, keys) -> DataFrame:
     return big.join(F.broadcast(renamed), cond, "left").drop(*[f"_c{k}" for k in keys])
 
 
-def _ranked(bronze: DataFrame, target_partitions: int | None = None) -> DataFrame:
+def _ranked(bronze: DataFrame, target_partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
     """``event_rank`` = row number within (piece, user) + rows of the user in
     earlier pieces.
 
@@ -178,7 +188,7 @@ def _ranked(bronze: DataFrame, target_partitions: int | None = None) -> DataFram
     user: fewer than P (piece, user) pairs need an offset. That correction
     table is broadcast; the event rows are never shuffled by user.
     """
-    ids, p = _ordered(bronze, target_partitions)
+    ids, p = _ordered(bronze, target_partitions, checkpoint)
     laid = _by_piece(ids, p)
     local = laid.withColumn(
         "_local_rank", F.row_number().over(Window.partitionBy("_pid", "user_id").orderBy("_row"))
@@ -195,13 +205,15 @@ def _ranked(bronze: DataFrame, target_partitions: int | None = None) -> DataFram
     )
 
 
-def event_rank(bronze: DataFrame, target_partitions: int | None = None) -> DataFrame:
+def event_rank(bronze: DataFrame, target_partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
     """Bronze rows with ``event_rank``: 1 = the user's newest event (ties
-    broken by the other columns)."""
-    return _ranked(bronze, target_partitions).select(*bronze.columns, "event_rank")
+    broken by the other columns). ``checkpoint=False``: see ``_ordered``."""
+    return _ranked(bronze, target_partitions, checkpoint).select(*bronze.columns, "event_rank")
 
 
-def buy_groups(bronze: DataFrame, buy_event: str = S.BUY_EVENT, target_partitions: int | None = None) -> DataFrame:
+def buy_groups(
+    bronze: DataFrame, buy_event: str = S.BUY_EVENT, target_partitions: int | None = None, checkpoint: bool = True
+) -> DataFrame:
     """Window twin of the attribution: ``buy_group`` and ``flag_purchase``.
 
     ``buy_group`` = the newest-first rank of the nearest BUY at or after the
@@ -218,7 +230,7 @@ def buy_groups(bronze: DataFrame, buy_event: str = S.BUY_EVENT, target_partition
         only continue across pieces at a piece's first or last row, so at
         most 2P (user, time) runs qualify (broadcast).
     """
-    ranked = _ranked(bronze, target_partitions)
+    ranked = _ranked(bronze, target_partitions, checkpoint)
     buy_rank = F.when(F.col("event_name") == buy_event, F.col("event_rank"))
     running = Window.partitionBy("_pid", "user_id").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
     local = ranked.withColumn("_run_max", F.max(buy_rank).over(running)).withColumn(
