@@ -93,3 +93,73 @@ def test_gold_ignores_exact_duplicates(raw_df):
     for f in (G.gold_aggregated_from_events, G.gold_tunnel_from_events):
         a, b = f(raw), f(bronze)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def _python_gold(rows):
+    """Gold by direct computation, following the rules literally."""
+    import datetime as dtm
+
+    def ts(v):
+        try:
+            return dtm.datetime.fromisoformat(v) if v is not None else None
+        except ValueError:
+            return None
+
+    bronze = set(rows)  # exact duplicates collapse
+    by_user = {}
+    for r in bronze:
+        by_user.setdefault(r[0], []).append(r)
+    flagged = []
+    for user, evs in by_user.items():
+        for r in evs:
+            t = ts(r[1])
+            # a BUY at or after this event; untimed events see every BUY
+            flag = any(
+                o[2] == "BUY" and (t is None or (ts(o[1]) is not None and ts(o[1]) >= t)) for o in evs
+            )
+            flagged.append((r, flag))
+    groups = {}
+    for r, flag in flagged:
+        if r[5] is None:
+            continue
+        t = ts(r[1])
+        day = t.date() if t else None
+        for part in r[5].replace("{", "").replace("}", "").split(", "):
+            fields = part.split("=")
+            key = (day, fields[0], fields[1] if len(fields) > 1 else None)
+            users, buyers = groups.setdefault(key, (set(), set()))
+            if r[0] is not None:
+                users.add(r[0])
+                if flag:
+                    buyers.add(r[0])
+    return {k: (len(u), len(b)) for k, (u, b) in groups.items()}
+
+
+def test_gold_against_direct_computation(raw_df):
+    rng = random.Random(29)
+    rows = []
+    for i in range(400):
+        rows.append(
+            (
+                rng.choice([1, 2, 3, 4, None]),
+                rng.choice([None, "junk", "2024-01-01 09:00:00", "2024-01-01 18:00:00", "2024-01-02 09:00:00"]),
+                rng.choice(["VIEW", "CLICK", "BUY", None]),
+                rng.randrange(3),
+                "MLA",
+                rng.choice(["{a=1, b=2}", "{a=2, b=1}", "{a=1}", "{}", "", "{q=2=3, r}", None]),
+            )
+        )
+    rows += rows[:50]
+    got = {
+        (r["day"], r["experiment_name"], r["variant_id"]): (r["users"], r["purchases"])
+        for r in G.gold_aggregated_from_events(raw_df(rows)).collect()
+    }
+    want = _python_gold(rows)
+    assert got == want
+    from abtest_spark.operators import quality as Q
+
+    layered = {
+        (r["day"], r["experiment_name"], r["variant_id"]): (r["users"], r["purchases"])
+        for r in G.gold_aggregated(SV.to_silver(Q.deduplicate(raw_df(rows)))).collect()
+    }
+    assert layered == want
