@@ -10,6 +10,7 @@ EXPECTED = {
     #     sum users, sum purchases, tunnel rows, tunnel sum users, chi-square tests
     "sf0.001": (20, 1000, 43, 2921, 0.6967, 209, 6, 1238, 844, 955, 2390, 60),
     "sf0.01": (200, 10000, 367, 29230, 0.6356, 248, 8, 12342, 7997, 1294, 24154, 60),
+    "sf0.1": (2000, 100000, 4013, 292325, 0.6707, 248, 8, 124037, 83805, 1471, 242648, 60),
 }
 
 
