@@ -82,3 +82,49 @@ def test_nothing_but_duplicates_dropped(raw_df):
     ]
     assert Q.deduplicate(raw_df(rows)).count() == 2
     assert Q.drop_invalid(raw_df(rows)).count() == 0
+
+
+def test_quality_report_against_direct_computation(raw_df):
+    import datetime as dt
+    import random
+    import re
+
+    def invalid(v):
+        try:
+            dt.datetime.fromisoformat(v)
+            return False
+        except (TypeError, ValueError):
+            return True
+
+    rng = random.Random(31)
+    rows = []
+    for i in range(300):
+        rows.append(
+            (
+                rng.choice([1, 2, None]),
+                rng.choice([None, "nope", "2024-01-01 10:00:00", "2024-01-02 11:30:00"]),
+                rng.choice(["VIEW", "BUY", None]),
+                rng.randrange(3),
+                rng.choice(["MLA", None]),
+                rng.choice(["{a=1}", "{}", "", "{x/y=2}", "{bad}", None]),
+            )
+        )
+    rows += rows[:80] + rows[:10]
+    distinct = set(rows)
+    counts = {r: rows.count(r) for r in distinct}
+    want = {
+        "raw_rows": len(rows),
+        "null_user_id": sum(r[0] is None for r in rows),
+        "null_event_name": sum(r[2] is None for r in rows),
+        "null_timestamp": sum(r[1] is None for r in rows),
+        "null_experiments": sum(r[5] is None for r in rows),
+        "invalid_timestamps": sum(invalid(r[1]) for r in rows),
+        "duplicate_groups": sum(c > 1 for c in counts.values()),
+        "duplicate_rows_removed": sum(c - 1 for c in counts.values()),
+        "bronze_rows": len(distinct),
+        "malformed_experiments": sum(r[5] is not None and not re.search(r"\w+=\w+", r[5]) for r in distinct),
+        "residual_duplicate_groups": 0,
+        "residual_duplicate_rows": 0,
+    }
+    got = {r["check"]: r["n"] for r in Q.quality_report(raw_df(rows)).collect()}
+    assert got == want
