@@ -160,3 +160,43 @@ def test_random_tables_against_numpy(gold_df):
         assert got[day]["dof"] == dof
         assert got[day]["chi2_statistic"] == pytest.approx(stat, abs=1e-8)
         assert got[day]["p_value"] == pytest.approx(p, abs=1e-8)
+
+
+def test_skip_rules_random(gold_df):
+    import random
+
+    rng = random.Random(37)
+    rows, expect_tested, expect_skipped = [], set(), {}
+    for g in range(60):
+        day = D1 + dt.timedelta(days=g)
+        kind = rng.choice(["ok", "zero_col_all_buy", "zero_col_none", "zero_row", "null_variant", "undated"])
+        day_key = None if kind == "undated" else day
+        table = []
+        for v in range(rng.randint(2, 4)):
+            users = rng.randint(5, 50)
+            purchases = rng.randint(1, users - 1)
+            if kind == "zero_col_all_buy":
+                purchases = users
+            if kind == "zero_col_none":
+                purchases = 0
+            if kind == "zero_row" and v == 0:
+                users, purchases = 0, 0
+            table.append((str(v), users, purchases))
+        if kind == "null_variant":
+            table.append((None, 3, 1))
+        for vid, users, purchases in table:
+            rows.append((day_key, "e", vid, users, purchases))
+        if kind == "undated":
+            continue
+        if kind == "ok":
+            expect_tested.add(day)
+        else:
+            expect_skipped[day] = {
+                "zero_col_all_buy": "zero column total",
+                "zero_col_none": "zero column total",
+                "zero_row": "zero row total",
+                "null_variant": "null variant",
+            }[kind]
+    gold = gold_df(rows)
+    assert {r["day"] for r in C.chi2_test(gold).collect()} == expect_tested
+    assert {r["day"]: r["reason"] for r in C.chi2_skipped(gold).collect()} == expect_skipped
