@@ -78,3 +78,30 @@ def test_filters_and_partition_pruning(spark, gold_df):
     assert CV.variant_filter(gold, None).count() == 0
     assert CV.experiment_filter(gold, "c").count() == 1
     assert CV.has_rows(gold) and not CV.has_rows(CV.experiment_filter(gold, "zzz"))
+
+
+def test_results_random_with_ties(gold_df):
+    import random
+
+    rng = random.Random(41)
+    rows = []
+    for g in range(30):
+        day = D + dt.timedelta(days=g % 10)
+        exp = f"exp/{g // 10}"
+        for v in rng.sample(["1", "2", "3", "10"], rng.randint(1, 4)):
+            rows.append((day, exp, v, rng.randint(1, 9), rng.randint(0, 3)))  # many ties
+    rows.append((None, "exp/0", "1", 5, 5))
+    rows.append((D, "exp/0", None, 5, 5))
+    want = {}
+    for day, exp, v, users, purchases in rows:
+        if day is None or v is None:
+            continue
+        want.setdefault((exp.replace("/", "|"), day), []).append((v, users, purchases))
+    got = {(r["exp_name"], r["day"]): r for r in R.experiment_results(gold_df(rows)).collect()}
+    assert set(got) == set(want)
+    for key, vs in want.items():
+        r = got[key]
+        assert r["number_of_participants"] == sum(u for _, u, _ in vs)
+        best = min(vs, key=lambda t: (-t[2], t[0]))
+        assert r["winner"] == best[0]
+        assert [(x["id"], x["number_of_purchases"]) for x in r["variants"]] == sorted((v, p) for v, _, p in vs)
