@@ -108,3 +108,20 @@ def test_command_line_job(spark, raw_df):
     gold = {r["variant_id"]: (r["users"], r["purchases"]) for r in L.read_layer(spark, f"{base}/layers", "gold_aggregated").collect()}
     assert gold == {"1": (1, 1), "2": (1, 0)}
     assert L.read_layer(spark, f"{base}/layers", "chi2_test").count() == 1
+
+
+def test_readme_usage_snippet(spark):
+    """The calls shown in the README, end to end."""
+    from abtest_spark.operators import bayes, chi2, results
+    from abtest_spark.plans.etl import run_pipeline as run
+    from abtest_spark.sources import read_raw
+
+    base = tempfile.mkdtemp(prefix="abtest-readme-")
+    L.export_csv(load_raw(spark, SF), f"{base}/clicks")
+    layers = run(spark, read_raw(spark, f"{base}/clicks/*.csv"), f"{base}/ab")
+    gold = layers["gold_aggregated"]
+    assert chi2.chi2_test(gold).count() == 60
+    assert bayes.bayes_comparison(bayes.bayes_report(gold)).count() == 3
+    requests_df = spark.createDataFrame([("checkout|button", "2024-01-05"), ("checkout|button", "2031-01-01")], "exp_name string, day string")
+    answers = {r["day"]: r["status"] for r in results.lookup_results(results.experiment_results(gold), requests_df).collect()}
+    assert answers == {"2024-01-05": 200, "2031-01-01": 404}
