@@ -75,29 +75,35 @@ def main() -> None:
         run(QUERIES[name](spark, warm))
 
     times: dict[str, float] = {}
-    sc.setJobDescription("etl_layers")
-    t0 = time.perf_counter()
-    run_pipeline(spark, load_raw(spark, sf_dir), f"{scratch}/layers")
-    times["etl_layers"] = time.perf_counter() - t0
-    for name in HEADLINE:
+    failed: list[str] = []
+
+    def timed(name, fn):
         sc.setJobDescription(name)
         t0 = time.perf_counter()
-        run(QUERIES[name](spark, sf_dir))
+        try:
+            fn()
+        except Exception as e:  # noqa: BLE001 - report and go on with the others
+            failed.append(name)
+            print(f"{name} failed: {type(e).__name__}: {str(e)[:500]}", file=sys.stderr)
+            return
         times[name] = time.perf_counter() - t0
 
+    timed("etl_layers", lambda: run_pipeline(spark, load_raw(spark, sf_dir), f"{scratch}/layers"))
+    for name in HEADLINE:
+        timed(name, lambda name=name: run(QUERIES[name](spark, sf_dir)))
+
     total = sum(times.values())
-    print(
-        json.dumps(
-            {
-                "metric": "total_query_seconds",
-                "value": round(total, 3),
-                "unit": "sec",
-                "queries": {k: round(v, 3) for k, v in times.items()},
-                "sf": _sf_label(sf_dir),
-                "cpus": cpus,
-            }
-        )
-    )
+    result = {
+        "metric": "total_query_seconds",
+        "value": round(total, 3),
+        "unit": "sec",
+        "queries": {k: round(v, 3) for k, v in times.items()},
+        "sf": _sf_label(sf_dir),
+        "cpus": cpus,
+    }
+    if failed:
+        result["failed"] = failed
+    print(json.dumps(result))
     spark.stop()
 
 
