@@ -57,7 +57,8 @@ def gold_tunnel(silver: DataFrame) -> DataFrame:
 
 
 def users_per_variant(silver: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
-    """Distinct users per (experiment, variant) over all days.
+    """Distinct users per (experiment, variant) over all days, from silver
+    or from any exploded event rows (flags and duplicates do not matter).
 
     ``approx=True`` uses HyperLogLog++ (fixed-size sketches, no per-user
     shuffle) for very large inputs.

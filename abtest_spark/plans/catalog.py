@@ -239,7 +239,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # gold
     "gold_aggregated": _gold,
     "gold_tunnel": _tunnel,
-    "users_per_variant": lambda s, d: G.users_per_variant(_silver(s, d)),
+    # Distinct users per variant need neither flags nor deduplication.
+    "users_per_variant": lambda s, d: G.users_per_variant(SV.explode_experiments(_raw(s, d))),
     # conversion
     "distinct_experiments": lambda s, d: CV.distinct_experiments(_gold_table(s, d)),
     "experiment_days": lambda s, d: CV.experiment_days(_gold_table(s, d)),
