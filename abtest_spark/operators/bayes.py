@@ -239,10 +239,14 @@ def _draws(
     )
     # An explicit partition count: the rows are tiny but each one is a block
     # of Python draws, so AQE must not coalesce them into one task. One task
-    # per block at most (the variant count is a small aggregate to count).
-    limit = int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, min(limit, totals.count() * blocks))
-    tasks = tasks.repartition(parts, "experiment_name", "variant_id", "block")
+    # per core of the cluster spreads the blocks without sizing jobs.
+    spark = totals.sparkSession
+    limit = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no context handle (Spark Connect)
+        cores = limit
+    tasks = tasks.repartition(max(1, min(limit, cores)), "experiment_name", "variant_id", "block")
     return tasks.mapInPandas(functools.partial(_draw_blocks, points=points, lo=lo, hi=hi, block_size=block_size), DRAW_SCHEMA)
 
 
