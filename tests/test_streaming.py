@@ -99,3 +99,30 @@ def test_affected_days_are_narrow(spark, raw_df):
     everything = raw_df(b0 + b1 + b2 + b3)
     assert _same(L.read_layer(spark, root, "gold_aggregated"), G.gold_aggregated_from_events(everything))
     assert _same(L.read_layer(spark, root, "gold_tunnel"), G.gold_tunnel_from_events(everything))
+
+
+def test_random_batches_match_batch_gold(spark, raw_df):
+    import random
+
+    rng = random.Random(43)
+    root = tempfile.mkdtemp(prefix="abtest-randstream-")
+    seen = []
+    for epoch in range(5):
+        batch = []
+        for i in range(40):
+            batch.append(
+                (
+                    rng.choice([1, 2, 3, 4, None]),
+                    rng.choice([None, "x"] + [f"2024-01-0{d} {h:02d}:00:00" for d in range(1, 8) for h in (8, 20)]),
+                    rng.choice(["VIEW", "VIEW", "CLICK", "BUY"]),
+                    rng.randrange(4),
+                    "MLA",
+                    rng.choice(["{e=1, f=2}", "{e=2, f=1}", "{}", None]),
+                )
+            )
+        batch += seen[: rng.randrange(5)]  # replays of earlier rows
+        seen += batch
+        process_batch(raw_df(batch), epoch, root)
+        everything = raw_df(seen)
+        assert _same(L.read_layer(spark, root, "gold_aggregated"), G.gold_aggregated_from_events(everything)), epoch
+    assert _same(L.read_layer(spark, root, "gold_tunnel"), G.gold_tunnel_from_events(raw_df(seen)))
