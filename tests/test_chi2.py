@@ -200,3 +200,38 @@ def test_skip_rules_random(gold_df):
     gold = gold_df(rows)
     assert {r["day"] for r in C.chi2_test(gold).collect()} == expect_tested
     assert {r["day"]: r["reason"] for r in C.chi2_skipped(gold).collect()} == expect_skipped
+
+
+def test_conversion_family_random(gold_df):
+    import random
+
+    rng = random.Random(47)
+    rows = []
+    for e in range(6):
+        variants = rng.sample(["a", "b", "c", None], rng.randint(1, 3))
+        for d in range(3):
+            for v in variants:
+                users = rng.randint(0, 20)
+                rows.append((D1 + dt.timedelta(days=d), f"x{e}", v, users, rng.randint(0, users)))
+    gold = gold_df(rows)
+    counts = {}
+    for _, e, v, _, _ in rows:
+        counts.setdefault(e, set())
+        if v is not None:
+            counts[e].add(v)
+    want_vc = {e: len(vs) for e, vs in counts.items()}
+    assert {r["experiment_name"]: r["variant_count"] for r in CV.variant_count(gold).collect()} == want_vc
+    ordered = [r["variant_count"] for r in CV.variant_count(gold, ordered=True).collect()]
+    assert ordered == sorted(ordered, reverse=True)
+    assert {r["experiment_name"] for r in CV.single_variant_experiments(gold).collect()} == {
+        e for e, n in want_vc.items() if n == 1
+    }
+    multi = {e for e, n in want_vc.items() if n > 1}
+    assert {r["experiment_name"] for r in CV.multi_variant(gold).collect()} == multi
+    ranked = CV.conversion_ranking(gold).collect()
+    assert len(ranked) == sum(1 for r in rows if r[1] in multi)
+    rates = [r["conversion_rate"] for r in ranked]
+    known = [x for x in rates if x is not None]
+    assert known == sorted(known, reverse=True) and rates[: len(known)] == known  # NULL rates last
+    for r in ranked:
+        assert r["conversion_rate"] == (None if r["users"] == 0 else r["purchases"] / r["users"])
