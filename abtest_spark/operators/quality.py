@@ -59,17 +59,18 @@ def drop_invalid(df: DataFrame) -> DataFrame:
     return df.where(~is_invalid_ts("timestamp") & F.col("user_id").isNotNull() & F.col("event_name").isNotNull())
 
 
-def quality_report(raw: DataFrame, keys: Sequence[str] = EVENT_KEY) -> DataFrame:
-    """All bronze checks as ``(check, n)`` rows, from one scan and one shuffle.
+def grouped_by_key(raw: DataFrame, keys: Sequence[str] = EVENT_KEY) -> DataFrame:
+    """Every distinct row with its multiplicity ``_n`` (map-side combined, so
+    a huge group of copies ships one row per task). Its keys are bronze."""
+    return raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
 
-    One grouped aggregate by the event key (map-side combined, so a huge
-    group of copies ships one row per task) gives every distinct row with its
-    multiplicity ``_n``. Row-level checks are multiplicity-weighted sums over
-    it and key-level checks are counts over it, in a single aggregate. The
-    residual self-check re-groups those distinct rows on the same key (same
-    partitioning, no new shuffle) and reports repeated groups and their rows.
-    """
-    grouped = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+def quality_metrics(keys: Sequence[str] = EVENT_KEY) -> list:
+    """The bronze checks as aggregate columns over ``grouped_by_key`` rows:
+    row-level checks are multiplicity-weighted sums, key-level checks are
+    counts. Usable in ``agg`` or, during a write, in ``observe``."""
+    if not (set(NULL_PROFILE_COLUMNS) | {"timestamp"}) <= set(keys):
+        raise ValueError("the quality checks need the profiled columns in the key")
     n = F.col("_n")
 
     def weighted(cond):
@@ -77,16 +78,27 @@ def quality_report(raw: DataFrame, keys: Sequence[str] = EVENT_KEY) -> DataFrame
 
     row_level = {f"null_{c}": F.col(c).isNull() for c in NULL_PROFILE_COLUMNS}
     row_level["invalid_timestamps"] = is_invalid_ts("timestamp")
-    if not (set(NULL_PROFILE_COLUMNS) | {"timestamp"}) <= set(keys):
-        raise ValueError("quality_report needs the profiled columns in the key")
-    checks = grouped.agg(
+    return [
         F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("raw_rows"),
         *[weighted(cond).alias(name) for name, cond in row_level.items()],
         F.count_if(n > 1).alias("duplicate_groups"),
         F.coalesce(F.sum(n - 1), F.lit(0)).cast("long").alias("duplicate_rows_removed"),
         F.count(F.lit(1)).alias("bronze_rows"),
         F.count_if(is_malformed_experiments("experiments")).alias("malformed_experiments"),
-    )
+    ]
+
+
+def quality_report(raw: DataFrame, keys: Sequence[str] = EVENT_KEY) -> DataFrame:
+    """All bronze checks as ``(check, n)`` rows, from one scan and one shuffle.
+
+    One grouped aggregate by the event key gives every distinct row with its
+    multiplicity; the checks of ``quality_metrics`` are one aggregate over
+    it. The residual self-check re-groups those distinct rows on the same key
+    (same partitioning, no new shuffle) and reports repeated groups and their
+    rows.
+    """
+    grouped = grouped_by_key(raw, keys)
+    checks = grouped.agg(*quality_metrics(keys))
     residual = (
         grouped.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_groups"), F.sum("_n").alias("_rows"))

@@ -18,7 +18,7 @@ Physical layout choices:
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from abtest_spark import schema as S
@@ -31,9 +31,21 @@ USER_ORDER = ["user_id", "timestamp"]
 
 
 def build_bronze(raw: DataFrame, root: str, fmt: str = "parquet", cluster: bool = False) -> DataFrame:
-    bronze = Q.deduplicate(raw)
+    """Deduplicate and write bronze; the quality checks are observed during
+    that same write (the dedupe is the grouped aggregate they need), so they
+    cost no extra scan or shuffle, and are stored as a small
+    ``quality_report`` layer of (check, n) rows."""
+    spark = raw.sparkSession
+    observation = Observation("bronze_quality")
+    grouped = Q.grouped_by_key(raw).observe(observation, *Q.quality_metrics())
+    bronze = grouped.select(*S.EVENT_KEY)
     write_layer(bronze, root, "bronze", fmt=fmt, cluster_by=USER_ORDER if cluster else (), sort_by=USER_ORDER)
-    return read_layer(raw.sparkSession, root, "bronze", fmt)
+    metrics = observation.get  # one row of counts, gathered by the write job
+    report = spark.createDataFrame(
+        [(name, int(value)) for name, value in metrics.items()], "check string, n long"
+    )
+    write_layer(report, root, "quality_report", fmt=fmt)
+    return read_layer(spark, root, "bronze", fmt)
 
 
 def build_silver(bronze: DataFrame, root: str, fmt: str = "parquet", cluster: bool = False) -> DataFrame:
@@ -68,7 +80,13 @@ def run_pipeline(
     bronze = build_bronze(raw, root, fmt, cluster)
     silver = build_silver(bronze, root, fmt, cluster)
     gold, tunnel = build_gold(silver, root, fmt)
-    return {"bronze": bronze, "silver": silver, "gold_aggregated": gold, "gold_tunnel": tunnel}
+    return {
+        "bronze": bronze,
+        "silver": silver,
+        "gold_aggregated": gold,
+        "gold_tunnel": tunnel,
+        "quality_report": read_layer(spark, root, "quality_report", fmt),
+    }
 
 
 def run_analytics(spark: SparkSession, root: str, fmt: str = "parquet", seed: int = 0) -> dict[str, DataFrame]:

@@ -125,3 +125,16 @@ def test_readme_usage_snippet(spark):
     requests_df = spark.createDataFrame([("checkout|button", "2024-01-05"), ("checkout|button", "2031-01-01")], "exp_name string, day string")
     answers = {r["day"]: r["status"] for r in results.lookup_results(results.experiment_results(gold), requests_df).collect()}
     assert answers == {"2024-01-05": 200, "2031-01-01": 404}
+
+
+def test_etl_quality_report_observed_during_bronze_write(spark):
+    from abtest_spark.operators import quality as Q
+
+    raw = load_raw(spark, SF)
+    out = run_pipeline(spark, raw, tempfile.mkdtemp(prefix="abtest-obs-"))
+    got = {r["check"]: r["n"] for r in out["quality_report"].collect()}
+    want = {r["check"]: r["n"] for r in Q.quality_report(raw).collect()}
+    want.pop("residual_duplicate_groups")
+    want.pop("residual_duplicate_rows")
+    assert got == want
+    assert got["bronze_rows"] == out["bronze"].count() == 1000
