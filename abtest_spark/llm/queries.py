@@ -4,15 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from abtest_spark.llm.common import table
+from abtest_spark.llm.pfor import token_files, tokenizer_file
+from abtest_spark.llm.pivots import exact_topk
+from abtest_spark.llm.rp_forest import near_duplicate_vectors
 from abtest_spark.llm.simhash import simhash_groups
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=1)
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
+    "op2_exact_topk": op2_exact_topk,
+    "op4_token_files": op4_token_files,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
