@@ -7,10 +7,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abtest_spark.llm.common import table
+from abtest_spark.llm.mixing import mix
 from abtest_spark.llm.pfor import token_files, tokenizer_file
+from abtest_spark.llm.pii import pseudonymize_documents
 from abtest_spark.llm.pivots import exact_topk
 from abtest_spark.llm.rp_forest import near_duplicate_vectors
 from abtest_spark.llm.simhash import simhash_groups
+from abtest_spark.llm.transducer import digests, encode_documents
+
+#: Key of the pseudonyms; production passes its own secret.
+PII_KEY = "example key, not a secret"
+
+#: Domain of a source, as SQL that Spark and DuckDB read alike.
+DOMAIN = "CASE WHEN source = 'src0' THEN 'web' WHEN length(source) = 4 THEN 'reference' ELSE 'forum' END"
+
+#: Weights among siblings of the domain - language - source tree (1 where not given).
+MIX_WEIGHTS = {
+    ("web",): 3,
+    ("reference",): 3,
+    ("forum",): 2,
+    ("web", "en"): 2,
+    ("web", "es"): 4,
+    ("reference", "en"): 3,
+    ("forum", "de"): 3,
+    ("forum", "en", "src10"): 5,
+    ("reference", "fr", "src3"): 6,
+}
+MIX_FRACTION, MIX_EPOCHS, MIX_SEED = 0.6, 2, 11
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """``docs`` mixed to the weights above (columns of mixing.mix)."""
+    path = {"domain": F.expr(DOMAIN), "lang": F.col("lang"), "source": F.col("source")}
+    return mix(docs, path, MIX_WEIGHTS, MIX_FRACTION, MIX_EPOCHS, MIX_SEED)
 
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,10 +50,97 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+def op3_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pseudonymize_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    total = F.aggregate("__pii", F.lit(0), lambda a, x: a + x).cast("long")
+    return found.select("doc_id", "text", total.alias("n_values"), F.col("__pii").alias("by_kind"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=1)
 
 
+def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return chosen.select(
+        "doc_id",
+        F.col("__path")[0].alias("domain"),
+        F.col("__path")[1].alias("lang"),
+        F.col("__path")[2].alias("source"),
+        F.col("__epoch").alias("epoch"),
+        F.col("__tokens").alias("n_tokens"),
+    )
+
+
+def _mixture_sql() -> str:
+    """The same division and prefixes in DuckDB's SQL."""
+    weights = ", ".join(f"('{'/'.join(p)}', {w})" for p, w in MIX_WEIGHTS.items())
+    levels = ["domain", "lang", "source"]
+    steps = []
+    for d in range(1, 4):
+        on, parent = ", ".join(levels[:d]), ", ".join(levels[: d - 1])
+        budget = "least(floor((SELECT sum(tokens) FROM leaves) * {f}), (SELECT sum(cap) FROM cap1))".format(f=MIX_FRACTION)
+        up = f"FROM cap{d} c JOIN share{d - 1} s USING ({parent})" if parent else f"FROM cap{d} c, (SELECT {budget}::DOUBLE AS budget) s"
+        part = f"PARTITION BY {parent}" if parent else ""
+        cols = ", ".join(f"c.{x}" for x in levels[:d])
+        steps.append(
+            f"""
+ranked{d} AS (
+  SELECT {cols}, c.weight, c.cap, s.budget, row_number() OVER w AS place,
+    (s.budget - coalesce(sum(c.cap) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / sum(c.weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  {up}
+  WINDOW w AS ({part} ORDER BY c.cap::DOUBLE / c.weight, {cols})
+),
+marked{d} AS (SELECT *, cap <= weight * level AS whole FROM ranked{d}),
+share{d} AS (
+  SELECT {on}, CASE WHEN whole THEN cap::DOUBLE
+    ELSE weight * min_by(level, place) FILTER (WHERE NOT whole) OVER ({part}) END AS budget
+  FROM marked{d}
+)"""
+        )
+    caps = []
+    for d in (3, 2, 1):
+        on = ", ".join(levels[:d])
+        below = "(SELECT *, tokens * {e} AS cap FROM leaves)".format(e=MIX_EPOCHS) if d == 3 else f"cap{d + 1}"
+        path = " || '/' || ".join(levels[:d])
+        caps.append(
+            f"cap{d} AS (SELECT g.*, coalesce(w.weight, 1) AS weight FROM "
+            f"(SELECT {on}, sum(cap)::BIGINT AS cap FROM {below} GROUP BY {on}) g "
+            f"LEFT JOIN weights w ON w.path = {path})"
+        )
+    return f"""
+WITH docs AS (
+  SELECT doc_id, coalesce({DOMAIN}, '') AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x09-\x0D\x20]+'))::BIGINT AS n_tokens
+  FROM documents
+),
+weights(path, weight) AS (VALUES {weights}),
+leaves AS (SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens FROM docs GROUP BY ALL),
+{", ".join(caps)},{",".join(steps)},
+plan AS (
+  SELECT domain, lang, source,
+    CASE WHEN tokens > 0 THEN floor(budget)::BIGINT // tokens ELSE 0 END AS whole,
+    CASE WHEN tokens > 0 THEN floor(budget)::BIGINT % tokens ELSE 0 END AS rest
+  FROM leaves JOIN share3 USING (domain, lang, source)
+),
+placed AS (
+  SELECT d.*, whole, rest, sum(n_tokens) OVER (
+    PARTITION BY domain, lang, source
+    ORDER BY md5('{MIX_SEED}:' || (whole + 1) || ':' || coalesce(doc_id::VARCHAR, 'null')), n_tokens
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM docs d JOIN plan USING (domain, lang, source)
+)
+SELECT doc_id, domain, lang, source, unnest(range(1, whole + 1)) AS epoch, n_tokens FROM placed
+UNION ALL
+SELECT doc_id, domain, lang, source, whole + 1 AS epoch, n_tokens FROM placed WHERE rest > 0 AND upto <= rest
+"""
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(encode_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json")))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -32,8 +148,13 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_exact_topk": op2_exact_topk,
+    "op3_pii_pseudonyms": op3_pii_pseudonyms,
     "op4_token_files": op4_token_files,
+    "op5_mixture": op5_mixture,
+    "op6_bpe": op6_bpe,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_mixture": _mixture_sql(),
+}

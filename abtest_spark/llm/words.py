@@ -84,11 +84,15 @@ class Memo(dict):
         return value
 
 
-def worker_cache(key: tuple, make: Callable):
-    """``make()`` once per Python worker and key: workers outlive tasks, module globals sent by value do not."""
+def worker_cache(key: tuple, make: Callable, keep: int = 4):
+    """``make()`` once per Python worker and key: workers outlive tasks, module globals sent by value do not.
+
+    The last ``keep`` entries stay.
+    """
     store = sys.__dict__.setdefault("_abtest_worker_cache", {})
     if key not in store:
-        store.clear()  # one operator's caches at a time
+        while len(store) >= keep:
+            del store[next(iter(store))]
         store[key] = make()
     return store[key]
 
