@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abtest_spark.llm.common import table
+from abtest_spark.llm.html_blocks import extract_pages
 from abtest_spark.llm.mixing import mix
 from abtest_spark.llm.pfor import token_files, tokenizer_file
 from abtest_spark.llm.pii import pseudonymize_documents
@@ -141,6 +142,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json")))
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -152,6 +157,7 @@ QUERIES = {
     "op4_token_files": op4_token_files,
     "op5_mixture": op5_mixture,
     "op6_bpe": op6_bpe,
+    "op8_main_text": op8_main_text,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
