@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from abtest_spark.llm import lang_id, toxicity
 from abtest_spark.llm.common import table
 from abtest_spark.llm.html_blocks import extract_pages
 from abtest_spark.llm.mixing import mix
@@ -142,6 +143,20 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json")))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    tagged = docs.select("doc_id", held_out.alias("held_out"), toxicity.tag(F.col("text"), model).alias("t"))
+    return tagged.select(
+        "doc_id",
+        "held_out",
+        F.col("t.score").alias("score"),
+        (F.col("t.score") >= 0.7).cast("int").alias("predicted"),
+        F.col("t.spans").alias("spans"),
+    )
+
+
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
@@ -150,6 +165,42 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (declared: lang, host: source) and pages (declared: markup, host and suffix: url) at once."""
+    none = F.lit(None).cast("string")
+    documents = table(spark, sf_dir, "documents")
+    pages = table(spark, sf_dir, "pages")
+    model = lang_id.train(documents, F.col("text"), F.col("lang"))
+    host = lang_id.host_of(F.col("url"))
+    rows = documents.select(
+        "doc_id",
+        F.lit(None).cast("long").alias("page_id"),
+        "text",
+        F.col("lang").alias("declared"),
+        F.col("source").alias("host"),
+        none.alias("suffix"),
+    ).unionByName(
+        pages.select(
+            F.lit(None).cast("long").alias("doc_id"),
+            "page_id",
+            lang_id.visible_text(F.col("html")).alias("text"),
+            lang_id.declared_language(F.col("html")).alias("declared"),
+            host.alias("host"),
+            lang_id.suffix_of(host).alias("suffix"),
+        )
+    )
+    found = lang_id.identify(rows, model, F.col("text"), F.col("declared"), F.col("host"), F.col("suffix"))
+    return found.select(
+        "doc_id",
+        "page_id",
+        "declared",
+        F.col("__lang").alias("lang"),
+        F.round("__posterior", 6).alias("posterior"),
+        F.col("__text_lang").alias("text_lang"),
+        F.col("__kept").alias("kept"),
+    )
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_exact_topk": op2_exact_topk,
@@ -157,8 +208,10 @@ QUERIES = {
     "op4_token_files": op4_token_files,
     "op5_mixture": op5_mixture,
     "op6_bpe": op6_bpe,
+    "op7_toxicity": op7_toxicity,
     "op8_main_text": op8_main_text,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
