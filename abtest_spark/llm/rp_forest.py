@@ -30,7 +30,7 @@ from abtest_spark.llm.pivots import finite_vector
 TREES = 6
 SPILL = 0.03  # margin on projections of unit vectors
 SAMPLE = 16_384  # rows (smallest id hashes) on which thresholds are fitted
-LEAF_ROWS = 512  # rows a leaf should hold, counted over the whole table
+LEAF_ROWS = 512  # rows of one label that a leaf should hold
 LEAF_MAX = 1024  # rows compared in one piece
 MAX_DEPTH = 24
 BROADCAST_ROWS = 200_000  # oversize leaves beyond this number are joined by shuffle
@@ -84,9 +84,12 @@ class Tree:
 
 def unit_rows(vectors, width: int) -> np.ndarray:
     """Unit vectors in double precision, zero-padded or cut to ``width``."""
-    x = np.zeros((len(vectors), width))
-    for i, v in enumerate(vectors):
-        x[i, : min(len(v), width)] = np.asarray(v, np.float64)[:width]
+    if all(len(v) == width for v in vectors):
+        x = np.array(list(vectors), np.float64).reshape(len(vectors), width)
+    else:
+        x = np.zeros((len(vectors), width))
+        for i, v in enumerate(vectors):
+            x[i, : min(len(v), width)] = np.asarray(v, np.float64)[:width]
     top = np.abs(x).max(1, keepdims=True, initial=0)
     x = np.divide(x, top, out=np.zeros_like(x), where=top > 0)
     norm = np.linalg.norm(x, axis=1, keepdims=True)
@@ -115,16 +118,12 @@ def compare_leaf(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
     block = pdf["block"].to_numpy()
     if first != second:
         linked &= block[:, None] != block[None]
-    lists = pdf["leaves"].to_numpy()
-    earlier = sorted({v for a in lists for v in a if v < here})
-    if earlier:
-        at = {v: i for i, v in enumerate(earlier)}
-        member = np.zeros((len(lists), len(at)), np.float32)
-        for i, a in enumerate(lists):
-            member[i, [at[v] for v in a if v < here]] = 1
-        counted = linked & (member @ member.T == 0)
-    else:
-        counted = linked
+    every = np.concatenate(pdf["leaves"].to_numpy())
+    of = np.repeat(np.arange(len(pdf)), pdf["leaves"].map(len).to_numpy())
+    earlier, at = np.unique(every[every < here], return_inverse=True)
+    member = np.zeros((len(pdf), len(earlier)), np.float32)
+    member[of[every < here], at] = 1
+    counted = linked & (member @ member.T == 0)
     links = counted @ pdf["copies"].to_numpy(np.float64)
     has = linked.any(1)
     rep = pdf["rep"].to_numpy()
@@ -153,7 +152,7 @@ def near_duplicate_vectors(
     """
     base = rows.select(
         F.col(id_col).cast("long").alias("vec_id"),
-        F.col(vec_col).cast("array<double>").alias("vec"),
+        F.col(vec_col).alias("vec"),
         F.col(label_col).cast("string").alias("label"),
     ).withColumn(
         "valid",
@@ -165,12 +164,14 @@ def near_duplicate_vectors(
     distinct = cut(
         base.where("valid").groupBy("label", "vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     )
-    total = distinct.count()
+    sizes = distinct.groupBy("label").agg(F.count("*").alias("n"))
+    total, squares = sizes.agg(F.sum("n"), F.sum(F.col("n") * F.col("n").cast("double"))).first()
+    total, alike = total or 0, (squares or 1.0) / max(total or 1, 1) ** 2  # chance that two rows share a label
     sample = distinct.orderBy(F.xxhash64("rep"), "rep", "label").limit(SAMPLE).select("vec").collect()
     width = max((len(r["vec"]) for r in sample), default=1)
     points = unit_rows([r["vec"] for r in sample], width)
     rng = np.random.default_rng(seed)
-    trees = [Tree(points, LEAF_ROWS * len(points) / max(total, 1), SPILL, rng) for _ in range(TREES)]
+    trees = [Tree(points, LEAF_ROWS / alike * len(points) / max(total, 1), SPILL, rng) for _ in range(TREES)]
     offset = np.concatenate(([0], np.cumsum([len(t.cut_at) for t in trees])))
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -183,8 +184,9 @@ def near_duplicate_vectors(
             ends = np.cumsum(np.bincount(row, minlength=len(pdf)))[:-1]
             yield pdf.assign(leaves=np.split(leaf[order], ends) if len(pdf) else [])
 
+    kind = distinct.schema["vec"].dataType.simpleString()
     routed = cut(
-        distinct.mapInPandas(route, "label string, vec array<double>, rep long, copies long, leaves array<long>")
+        distinct.mapInPandas(route, f"label string, vec {kind}, rep long, copies long, leaves array<long>")
     )
     leaves = routed.select(F.explode("leaves").alias("leaf"), "label", F.size("vec").alias("dim"), "rep")
     over = leaves.groupBy("leaf", "label", "dim").count().where(F.col("count") > LEAF_MAX)
