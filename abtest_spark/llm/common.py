@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abtest_spark.session import checkpoint_dir
@@ -20,6 +20,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def packed(df: DataFrame) -> Column:
+    """The whole row as one struct column, so that an operator's own column names clash with none of it."""
+    return F.struct(*[F.col(f"`{c}`").alias(c) for c in df.columns])
+
+
+def unpacked(df: DataFrame, row: str, replaced: dict[str, Column], added: dict[str, Column]) -> list[Column]:
+    """Columns of ``df`` out of its packed row; ``replaced`` keep their place, ``added`` stand in for columns of their name."""
+    kept = [replaced.get(c, F.col(row)[c]).alias(c) for c in df.columns if c not in added]
+    return kept + [c.alias(name) for name, c in added.items()]
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder path below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abtest_spark.llm.common import cut
+from abtest_spark.llm.common import cut, packed, unpacked
 
 BINS = 1 << 15  # hashed byte trigrams
 SMOOTH = 0.5  # added to every trigram count
@@ -130,23 +130,21 @@ def identify(
     whose best language is in ``accepted`` (all known ones by default), has a
     posterior of MIN_POSTERIOR or more, and whose text is not stranger than
     MAX_STRANGE. Equal posteriors go to the alphabetically first language.
-    Repeated rows and other columns stay as they are; an empty table gives no
-    rows; without any labelled row nothing is kept and the language is null.
+    Repeated rows and other columns stay as they are (input columns of the added
+    names are replaced); an empty table gives no rows; without any labelled row nothing is kept and the language is null.
     """
     if not model.langs:
-        return rows.withColumns(
-            {"__lang": F.lit(None).cast("string"), "__posterior": F.lit(None).cast("double")}
-            | {"__text_lang": F.lit(None).cast("string"), "__kept": F.lit(False)}
-        )
+        none = {"__lang": F.lit(None).cast("string"), "__posterior": F.lit(None).cast("double")}
+        none |= {"__text_lang": F.lit(None).cast("string"), "__kept": F.lit(False)}
+        return rows.select(packed(rows).alias("__row")).select(*unpacked(rows, "__row", {}, none))
     width = len(model.langs)
     names = F.array(*[F.lit(k) for k in model.langs])
-    base = rows.withColumns(
-        {
-            "__e": text_evidence(text, model),
-            "__declared": F.lower(F.regexp_extract(declared, "^([A-Za-z]+)", 1)),
-            "__host": F.lower(host),
-            "__suffix": F.lower(suffix),
-        }
+    base = rows.select(
+        packed(rows).alias("__row"),
+        text_evidence(text, model).alias("__e"),
+        F.lower(F.regexp_extract(declared, "^([A-Za-z]+)", 1)).alias("__declared"),
+        F.lower(host).alias("__host"),
+        F.lower(suffix).alias("__suffix"),
     )
     base = base.withColumns(
         {
@@ -228,7 +226,8 @@ def identify(
             & F.coalesce(mean >= F.get(typical, F.col("__best")) - MAX_STRANGE, F.lit(False)),
         )
     )
-    return base.select(*[F.col(f"`{c}`") for c in rows.columns], "__lang", "__posterior", "__text_lang", "__kept")
+    added = {c: F.col(c) for c in ("__lang", "__posterior", "__text_lang", "__kept")}
+    return base.select(*unpacked(rows, "__row", {}, added))
 
 
 MARKUP = re.compile(r"<(script|style|noscript)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)|<[A-Za-z/!?][^<>]*>", re.S | re.I)

@@ -22,7 +22,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from abtest_spark.llm.common import cut
+from abtest_spark.llm.common import cut, packed, unpacked
 
 BROADCAST_LEAVES = 200_000  # leaf tables up to this many rows (counted) are broadcast
 BUCKET_DIGITS = 3  # hex digits of the order hash: 4096 buckets per leaf
@@ -115,12 +115,15 @@ def mix(
     A null path value is a node of its own (named empty); null and empty texts
     have no tokens: they come with whole epochs and with a prefix that reaches
     their place. Rows of equal id (null ids too) stand next to each other in
-    the epoch's order, fewer tokens first. An empty table gives no rows.
+    the epoch's order, fewer tokens first. Input columns of the added names are
+    replaced. An empty table gives no rows.
     """
-    levels = [f"__{k}" for k in path]
-    base = docs.withColumns(
-        {f"__{k}": F.coalesce(c.cast("string"), F.lit("")) for k, c in path.items()}
-        | {"__tokens": token_count(F.col(text_col))}
+    levels = [f"level_{k}" for k in path]
+    base = docs.select(
+        packed(docs).alias("__row"),
+        token_count(F.col(text_col)).alias("__tokens"),
+        F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("__id"),
+        *[F.coalesce(c.cast("string"), F.lit("")).alias(f"level_{k}") for k, c in path.items()],
     )
     leaves = cut(base.groupBy(*levels).agg(F.sum("__tokens").alias("tokens")))
     plan = leaf_budgets(leaves, levels, weights, fraction, max_epochs).select(
@@ -134,11 +137,10 @@ def mix(
     def with_plan(rows: DataFrame, table: DataFrame) -> DataFrame:
         return rows.join(F.broadcast(table) if n_leaves <= BROADCAST_LEAVES else table, levels)
 
-    number = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), (F.col("__whole") + 1).cast("string"), number))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), (F.col("__whole") + 1).cast("string"), "__id"))
     bucket = F.conv(F.substring("__key", 1, BUCKET_DIGITS), 16, 10).cast("int")
     sums = (
-        with_plan(base.select(*levels, "__tokens", F.col(id_col)), plan)
+        with_plan(base.drop("__row"), plan)
         .where("__rest > 0")
         .withColumn("__key", key)
         .withColumn("__bucket", bucket)
@@ -173,4 +175,5 @@ def mix(
         .withColumn("__epoch", (F.col("__whole") + 1).cast("long"))
         .drop("__sum", *internal)
     )
-    return whole.unionByName(edge).withColumn("__path", F.array(*levels)).drop(*levels)
+    added = {"__epoch": F.col("__epoch"), "__tokens": F.col("__tokens"), "__path": F.array(*levels)}
+    return whole.unionByName(edge).select(*unpacked(docs, "__row", {}, added))

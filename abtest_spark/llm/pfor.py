@@ -31,8 +31,9 @@ from abtest_spark.llm.words import Memo, Splitter, byte_alphabet, chunks, worker
 MAGIC = b"PFORIDS1"
 BLOCK = 128
 PERCENTILE = 0.9
-FILE_IDS = 4_000_000  # ids after which a partition begins its next file
-MEMO = 400_000  # chunks and words remembered per Python worker and generation
+FILE_IDS = 8_000_000  # ids after which a partition begins its next file
+SEGMENT = 1 << 19  # ids packed or unpacked at once
+MEMO = 150_000  # chunks and words remembered per Python worker and generation
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -124,14 +125,45 @@ def decode_blocks(payload: bytes, starts: np.ndarray) -> np.ndarray:
     return out + words[at][:, None]
 
 
-def write_file(doc_ids: list, counts: list[int], ids: np.ndarray) -> bytes:
-    """A whole file. Footer: payload bytes, blocks, documents, ids (uint64 each), magic."""
-    payload, starts = encode_ids(ids)
-    known = np.array([d is not None for d in doc_ids], np.uint8)
-    numbers = np.array([0 if d is None else d for d in doc_ids], np.int64)
-    index = starts.tobytes() + numbers.tobytes() + np.array(counts, np.uint64).tobytes() + known.tobytes()
-    footer = np.array([len(payload), len(starts), len(doc_ids), len(ids)], np.uint64).tobytes()
-    return MAGIC + payload + index + footer + MAGIC
+class FileBuilder:
+    """Collects documents into a file's bytes; ids are packed as they come, so few are held unpacked."""
+
+    def __init__(self):
+        self.doc_ids: list[int | None] = []
+        self.counts: list[int] = []
+        self.n_ids = 0
+        self._held, self._n_held = [], 0
+        self._payload, self._starts, self._size = [], [], 0
+
+    def add(self, doc_id: int | None, ids: bytes) -> None:
+        """One document: its id and its token ids as little-endian uint32."""
+        n = len(ids) // 4
+        self.doc_ids.append(doc_id)
+        self.counts.append(n)
+        self.n_ids += n
+        self._held.append(ids)
+        self._n_held += n
+        if self._n_held >= SEGMENT:
+            self._pack(self._n_held // BLOCK * BLOCK)
+
+    def _pack(self, n: int) -> None:
+        ids = np.frombuffer(b"".join(self._held), "<u4")
+        for at in range(0, n, SEGMENT):
+            payload, starts = encode_ids(ids[at : min(at + SEGMENT, n)])
+            self._payload.append(payload)
+            self._starts.append(starts + np.uint64(self._size))
+            self._size += len(payload)
+        self._held, self._n_held = [ids[n:].tobytes()], len(ids) - n
+
+    def content(self) -> bytes:
+        """The whole file. Footer: payload bytes, blocks, documents, ids (uint64 each), magic."""
+        self._pack(self._n_held)
+        starts = np.concatenate(self._starts) if self._starts else np.zeros(0, np.uint64)
+        known = np.array([d is not None for d in self.doc_ids], np.uint8)
+        numbers = np.array([0 if d is None else d for d in self.doc_ids], np.int64)
+        footer = np.array([self._size, len(starts), len(self.doc_ids), self.n_ids], np.uint64)
+        index = [starts, numbers, np.array(self.counts, np.uint64), known, footer]
+        return b"".join([MAGIC, *self._payload, *(x.tobytes() for x in index), MAGIC])
 
 
 class IdFile:
@@ -151,14 +183,26 @@ class IdFile:
         self.doc_ids = [d if k else None for d, k in zip(numbers, known, strict=True)]
         self.firsts = np.cumsum(self.counts) - self.counts
 
-    def all_ids(self) -> np.ndarray:
-        return decode_blocks(self.payload, self.starts).ravel()[: self.n_ids]
+    def ids(self, first: int, n: int) -> np.ndarray:
+        """n ids from position ``first`` of the file."""
+        b0, b1 = first // BLOCK, -(-(first + n) // BLOCK)
+        return decode_blocks(self.payload, self.starts[b0:b1]).ravel()[first - b0 * BLOCK :][:n]
 
     def doc(self, k: int) -> np.ndarray:
-        first, n = int(self.firsts[k]), int(self.counts[k])
-        b0, b1 = first // BLOCK, -(-(first + n) // BLOCK)
-        ids = decode_blocks(self.payload, self.starts[b0:b1]).ravel()
-        return ids[first - b0 * BLOCK :][:n]
+        return self.ids(int(self.firsts[k]), int(self.counts[k]))
+
+    def crc32(self) -> list[int]:
+        """Checksum of each document's ids as little-endian uint32; about SEGMENT ids are unpacked at once."""
+        out, k = [], 0
+        while k < len(self.counts):
+            first = int(self.firsts[k])
+            last = max(k + 1, int(np.searchsorted(self.firsts, first + SEGMENT)))
+            n = int(self.counts[k:last].sum())
+            raw = memoryview(self.ids(first, n).astype("<u4").tobytes())
+            for a, m in zip((self.firsts[k:last] - first).tolist(), self.counts[k:last].tolist(), strict=True):
+                out.append(zlib.crc32(raw[4 * a : 4 * (a + m)]))
+            k = last
+        return out
 
 
 def library_memo(path: str) -> Memo:
@@ -210,28 +254,23 @@ def write_token_files(
         fs, base = shared_fs(folder)
         fs.create_dir(base, recursive=True)
         part = TaskContext.get().partitionId()
-        made, doc_ids, counts, parts, held = [], [], [], [], 0
+        made, file = [], FileBuilder()
 
-        def flush():
+        def flush() -> None:
             name = f"part-{part:06d}-{len(made):06d}.pfor"
             temporary = f"{base}/.{name}.{uuid.uuid4().hex}"
-            ids = np.frombuffer(b"".join(parts), "<u4")
             with fs.open_output_stream(temporary) as out:
-                out.write(write_file(doc_ids, counts, ids))
+                out.write(file.content())
             fs.move(temporary, f"{base}/{name}")
-            made.append((name, len(doc_ids), len(ids)))
+            made.append((name, len(file.doc_ids), file.n_ids))
 
         for pdf in batches:
             for known, doc_id, text in zip(pdf["known"], pdf["doc_id"], pdf["text"], strict=True):
-                ids = b"".join(map(memo.__getitem__, chunks(text))) + end
-                doc_ids.append(int(doc_id) if known else None)
-                counts.append(len(ids) // 4)
-                parts.append(ids)
-                held += len(ids) // 4
-                if held >= FILE_IDS:
+                file.add(int(doc_id) if known else None, b"".join(map(memo.__getitem__, chunks(text))) + end)
+                if file.n_ids >= FILE_IDS:
                     flush()
-                    doc_ids, counts, parts, held = [], [], [], 0
-        if doc_ids:
+                    file = FileBuilder()
+        if file.doc_ids:
             flush()
         yield pd.DataFrame(made, columns=["file", "docs", "ids"])
 
@@ -250,18 +289,13 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
         for pdf in batches:
             for name, content in zip(pdf["file"], pdf["content"], strict=True):
                 f = IdFile(content)
-                raw = memoryview(f.all_ids().astype("<u4").tobytes())
-                crc = [
-                    zlib.crc32(raw[4 * a : 4 * (a + n)])
-                    for a, n in zip(f.firsts.tolist(), f.counts.tolist(), strict=True)
-                ]
                 yield pd.DataFrame(
                     {
                         "file": name,
                         "doc_id": pd.array(f.doc_ids, dtype="Int64"),
                         "at": f.firsts,
                         "n_tokens": f.counts,
-                        "ids_crc32": crc,
+                        "ids_crc32": f.crc32(),
                     }
                 )
 

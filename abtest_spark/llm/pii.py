@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from abtest_spark.llm.common import packed, unpacked
+
 ROUNDS = 8
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 LAST_DAY = datetime.date(2099, 12, 31).toordinal()
@@ -296,8 +298,11 @@ def pseudonymize(text: Column, key: str) -> Column:
 def pseudonymize_documents(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """``docs`` with personal data in ``text_col`` replaced, plus ``__pii`` (values found of each of KINDS).
 
-    All other columns, repeated rows and nulls stay as they are; empty texts
-    stay empty; an empty table gives no rows.
+    All other columns, repeated rows and nulls stay as they are (an input column
+    named __pii is replaced); empty texts stay empty; an empty table gives no
+    rows.
     """
-    found = docs.withColumn("__moved", pseudonymize(F.col(text_col), key))
-    return found.withColumn(text_col, F.col("__moved.text")).withColumn("__pii", F.col("__moved.counts")).drop("__moved")
+    found = docs.select(packed(docs).alias("row"), pseudonymize(F.col(f"`{text_col}`"), key).alias("moved"))
+    return found.select(
+        *unpacked(docs, "row", {text_col: F.col("moved.text")}, {"__pii": F.col("moved.counts")})
+    )

@@ -1,9 +1,9 @@
 """Toxic spans and document scores by a linear-chain conditional random field.
 
 Labels exist per document, the model works per token. A word counts as labelled
-toxic in toxic documents if it is far more frequent in toxic than in clean ones
-(log-likelihood ratio over a bounded sample of labelled documents, near-copies
-counted once); every other token is labelled clean. A CRF with two states
+toxic in toxic documents if it, or a beginning of it, is far more frequent in
+toxic than in clean ones (log-likelihood ratio over a bounded sample of labelled
+documents, near-copies counted once); every other token is labelled clean. A CRF with two states
 learns from these tokens: word, prefix and suffix features and the transitions.
 Scoring runs forward-backward over whole texts; the marginals give the
 offending offsets and, as the highest marginal, the document's score.
@@ -26,7 +26,7 @@ from abtest_spark.llm.words import Memo
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 2500  # labelled rows (smallest id hashes) that training reads at most
 SAMPLE_CHARS = 30_000  # longer documents are no training rows
-SEED_RATIO = 40.0  # log-likelihood ratio from which a word is labelled toxic
+SEED_RATIO = 25.0  # log-likelihood ratio from which a word, or a beginning of words, is labelled toxic
 COPY_BITS = 6  # training documents whose fingerprints differ in fewer bits count once
 FEATURE_BITS = 18
 PASSES = 60
@@ -39,8 +39,8 @@ WORD = re.compile(r"[^\W\d_]+")
 
 
 def features(word: str) -> list[int]:
-    """Hashed features of a lower-cased word: itself, prefixes of 3 to 5, suffix of 3, and a bias."""
-    names = ["", f"w{word}", *(f"p{word[:k]}" for k in (3, 4, 5) if len(word) >= k), f"s{word[-3:]}"]
+    """Hashed features of a lower-cased word: itself, prefixes of 3 to 8, suffix of 3, and a bias."""
+    names = ["", f"w{word}", *(f"p{word[:k]}" for k in range(3, 9) if len(word) >= k), f"s{word[-3:]}"]
     return [zlib.crc32(n.encode(errors="replace")) >> (32 - FEATURE_BITS) for n in names]
 
 
@@ -107,23 +107,28 @@ class Crf:
         return out
 
 
-def toxic_words(texts: list[list[str]], toxic: np.ndarray) -> set[str]:
-    """Words far more frequent in toxic than in clean documents (document counts)."""
+def stems(word: str) -> list[str]:
+    """The word and its beginnings of 4 to 8 letters (marked), which stand for its inflections."""
+    return [word, *(f"{word[:k]}*" for k in range(4, 9) if len(word) > k)]
+
+
+def toxic_stems(texts: list[list[str]], toxic: np.ndarray) -> set[str]:
+    """Stems far more frequent in toxic than in clean documents (document counts)."""
     counts = (Counter(), Counter())
     for words, y in zip(texts, toxic.tolist(), strict=True):
-        counts[y].update(set(words))
+        counts[y].update({s for w in set(words) for s in stems(w)})
     n = np.array([len(toxic) - toxic.sum(), toxic.sum()], float)
     if n.min() == 0:
         return set()
 
     def part(k: float, m: float, p: float) -> float:
-        return k * np.log(max(k / m, 1e-12) / p) + (m - k) * np.log(max(1 - k / m, 1e-12) / (1 - p)) if m else 0.0
+        return k * np.log(max(k / m, 1e-12) / p) + (m - k) * np.log(max(1 - k / m, 1e-12) / (1 - p))
 
     out = set()
     for w, a in counts[1].items():
         b = counts[0][w]
         p = (a + b) / n.sum()
-        if p < 1 and a / n[1] > 5 * b / n[0] and 2 * (part(a, n[1], p) + part(b, n[0], p)) >= SEED_RATIO:
+        if p < 1 and a >= 4 and a / n[1] > 5 * b / n[0] and 2 * (part(a, n[1], p) + part(b, n[0], p)) >= SEED_RATIO:
             out.add(w)
     return out
 
@@ -145,7 +150,7 @@ def fit(texts: list[str], toxic: list[int]) -> Crf:
     kept = drop_copies(texts)
     y_doc = np.array([int(toxic[i]) for i in kept], np.int64)
     words = [WORD.findall(texts[i].lower()) for i in kept]
-    seeds = toxic_words(words, y_doc)
+    seeds = toxic_stems(words, y_doc)
     order = sorted(range(len(words)), key=lambda i: -len(words[i]))
     words, y_doc = [words[i] for i in order if words[i]], y_doc[[i for i in order if words[i]]]
     theta = np.zeros(1 << FEATURE_BITS)
@@ -156,7 +161,7 @@ def fit(texts: list[str], toxic: list[int]) -> Crf:
     number: dict[str, int] = {}
     ids = np.array([number.setdefault(w, len(number)) for ws in words for w in ws])
     lengths = np.array([len(ws) for ws in words])
-    is_seed = np.array([w in seeds for w in number])
+    is_seed = np.array([any(s in seeds for s in stems(w)) for w in number])
     y = is_seed[ids] & (np.repeat(y_doc, lengths) == 1)
     lists = [features(w) for w in number]
     f_word = np.repeat(np.arange(len(lists)), [len(f) for f in lists])

@@ -1,0 +1,126 @@
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from abtest_spark.llm import lang_id
+from abtest_spark.llm.lang_id import LanguageModel, declared_language, host_of, identify, suffix_of, train, trigram_codes
+
+EN = ["the cat and the dog were in the house with the other one", "this is what they have been thinking of for that long"]
+FR = ["le chat et le chien sont dans la maison avec les autres", "c'est une chose que nous avons toujours voulu faire ici"]
+TIMES = 400  # each text counts as often
+DOCS = "doc_id long, text string, declared string, host string, suffix string, __lang string, c int"
+
+
+def model():
+    counts = {}
+    for lang, texts in (("en", EN), ("fr", FR)):
+        counts[lang] = TIMES * sum(np.bincount(trigram_codes(t), minlength=lang_id.BINS) for t in texts)
+    return LanguageModel(counts)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, *r, "l", 3) for i, r in enumerate(rows)], DOCS)
+
+
+def run(spark, rows, **more):
+    df = frame(spark, rows)
+    cols = [F.col(c) for c in ("text", "declared", "host", "suffix")]
+    out = identify(df, model(), *cols, **more)
+    assert out.columns == ["doc_id", "text", "declared", "host", "suffix", "c", "__lang", "__posterior", "__text_lang", "__kept"]
+    return {r.doc_id: r for r in out.collect()}
+
+
+def direct(rows):
+    """(language, posterior) of each row, computed in Python."""
+    m = model()
+    site = lambda h: None if h is None else ".".join(h.split(".")[-3:])
+    own, sums = [], []
+    for text, *_ in rows:
+        codes = trigram_codes(text or "")
+        s = m.log[codes].sum(0, dtype=float) if len(codes) else np.zeros(2)
+        sums.append(s)
+        own.append(int(s.argmax()) if len(codes) else None)
+    whole = np.array([sum(o == k for o in own) + 1 for k in range(2)]) / (sum(o is not None for o in own) + 2)
+
+    def counts(key, value, skip=None):
+        c = np.zeros(2)
+        for j, r in enumerate(rows):
+            if own[j] is not None and j != skip and value is not None and key(r) == value:
+                c[own[j]] += 1
+        return c
+
+    def likelihood(key, value):
+        values = {key(r) for j, r in enumerate(rows) if own[j] is not None and key(r) is not None}
+        if value not in values:
+            return np.zeros(2)
+        total = sum(counts(key, v) for v in values)
+        return np.log((counts(key, value) + 1) / (total + len(values) + 1))
+
+    out = []
+    for i, r in enumerate(rows):
+        at_site, at_host = counts(lambda x: site(x[2]), site(r[2]), i), counts(lambda x: x[2], r[2], i)
+        p = (at_site + 10 * whole) / (at_site.sum() + 10)
+        p = (at_host + 10 * p) / (at_host.sum() + 10)
+        logs = np.log(p) + 0.25 * sums[i] + likelihood(lambda x: x[1], r[1]) + likelihood(lambda x: x[3], r[3])
+        out.append((("en", "fr")[int(logs.argmax())], 1 / np.exp(logs - logs.max()).sum()))
+    return out
+
+
+def rows():
+    out = [(EN[i % 2], "en", f"h{i % 3}.site.example.org", "org") for i in range(12)]
+    out += [(FR[i % 2], "fr", f"g{i % 2}.lieu.example.fr", "fr") for i in range(8)]
+    out += [("on", "fr", "g0.lieu.example.fr", "fr"), ("on", None, "h0.site.example.org", None), (EN[0], "fr", None, "fr")]
+    out += [(None, "fr", "g1.lieu.example.fr", "fr"), ("", None, None, None), ("12 !! 34", "en", "h0.site.example.org", "org")]
+    return [*out, out[0]]
+
+
+def test_fusion_against_direct_computation(spark):
+    data = rows()
+    got = run(spark, data)
+    for i, (lang, posterior) in enumerate(direct(data)):
+        assert got[i]["__lang"] == lang and math.isclose(got[i]["__posterior"], posterior, rel_tol=1e-4), (i, got[i])
+    assert [i for i, r in sorted(got.items()) if not r["__kept"]] == [23, 24, 25]  # no letters
+
+
+def test_text_of_no_known_language_and_accepted_list(spark):
+    got = run(spark, [*rows()[:20], ("Это совсем другой язык и другая письменность", "en", None, None)])
+    assert not got[20]["__kept"] and all(got[i]["__kept"] for i in range(20))
+    got = run(spark, rows(), accepted=["fr"])
+    assert {r["__lang"] for r in got.values() if r["__kept"]} == {"fr"}
+
+
+def test_empty_table_and_no_labels(spark):
+    assert run(spark, []) == {}
+    df = frame(spark, rows())
+    none = train(df, F.col("text"), F.lit(None).cast("string"))
+    out = identify(df, none, F.col("text"), F.col("declared"), F.col("host"), F.col("suffix"))
+    assert out.count() == len(rows()) and out.where("__kept or __lang is not null").count() == 0
+
+
+def test_training_counts_every_labelled_row(spark):
+    df = spark.createDataFrame([(t, k) for k, ts in (("en", EN), ("fr", FR), (None, EN)) for t in ts], "t string, k string")
+    df = df.crossJoin(spark.range(TIMES))
+    got = train(df.repartition(4), F.col("t"), F.col("k"))
+    assert got.langs == ["en", "fr"] and np.allclose(got.log, model().log)
+
+
+def test_address_and_markup_parts(spark):
+    rows = [("https://u:p@m.Ex-a.example.com:80/x?y", '<!DOCTYPE html><html class="a" lang="fr-CA">'), ("//h.org/", "<html lang=de>"), ("nothing", "<p lang=en>"), (None, None)]
+    df = spark.createDataFrame(rows, "u string, h string")
+    host = host_of(F.col("u"))
+    got = df.select(host, suffix_of(host), declared_language(F.col("h"))).collect()
+    assert [tuple(r) for r in got] == [("m.Ex-a.example.com", "com", "fr"), ("h.org", "org", "de"), (None, None, None), (None, None, None)]
+
+
+def test_query_agrees_with_declared_languages(spark):
+    from abtest_spark.llm.queries import QUERIES
+
+    d = "/root/testdata/sf0.01"
+    got = QUERIES["op10_language_id"](spark, d).collect()
+    n = {t: spark.read.parquet(f"{d}/{t}.parquet").count() for t in ("documents", "pages")}
+    docs, pages = [r for r in got if r.doc_id is not None], [r for r in got if r.page_id is not None]
+    assert len(docs) == n["documents"] and len(pages) == n["pages"] and len(got) == len(docs) + len(pages)
+    for part in (docs, pages):
+        assert sum(r.lang == r.declared for r in part) >= 0.99 * len(part)
+        assert sum(r.kept for r in part) >= 0.99 * len(part)
