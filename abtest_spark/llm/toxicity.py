@@ -25,11 +25,11 @@ from abtest_spark.llm.simhash import fingerprints
 from abtest_spark.llm.words import Memo
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 2500  # labelled rows (smallest id hashes) that training reads at most
-SAMPLE_CHARS = 30_000  # longer documents are no training rows
+SAMPLE_CHARS = 10_000  # longer documents are no training rows
 SEED_RATIO = 25.0  # log-likelihood ratio from which a word, or a beginning of words, is labelled toxic
 COPY_BITS = 6  # training documents whose fingerprints differ in fewer bits count once
 FEATURE_BITS = 18
-PASSES = 60
+PASSES = 150
 L2 = 1e-5
 MEMO = 300_000  # words remembered per task and generation
 TOKENS_AT_ONCE = 500_000
