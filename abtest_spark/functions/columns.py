@@ -8,20 +8,29 @@ from pyspark.sql import functions as F
 from abtest_spark import schema as S
 
 
+# A zone at the end of a time of day: Z, a name, or an offset.
+ZONED = r":\d.*?(?:Z|[A-Za-z]{2,}(?:/\w+)*|[+-]\d{1,2}(?::?\d{2}){0,2})\s*$"
+DATED = r"^\s*[+-]?\d{4,}"
+
+
 def parsed_ts(c: str | Column = "timestamp") -> Column:
-    """Raw timestamp string -> timestamp_ntz, NULL when unparseable.
+    """Raw timestamp string -> timestamp_ntz in UTC, NULL when unparseable.
 
-    ANSI mode (Spark 4 default) makes a plain cast raise on bad input, hence
-    the try-cast. NTZ keeps days independent of the session time zone.
+    Text with an offset or zone is moved to UTC; text without one is read as
+    UTC, whatever the session's time zone. Text without a date (a time of day)
+    is no timestamp. ANSI mode (Spark 4 default) makes a plain cast raise on bad
+    input, hence the try-casts.
     """
     c = F.col(c) if isinstance(c, str) else c
-    return c.try_cast("timestamp_ntz")
+    moved = F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.try_cast("timestamp").cast("timestamp_ntz"))
+    return F.when(c.rlike(ZONED), F.when(c.rlike(DATED), moved)).otherwise(
+        F.when(c.rlike(DATED), c.try_cast("timestamp_ntz"))
+    )
 
 
 def is_invalid_ts(c: str | Column = "timestamp") -> Column:
-    """True when the value does not parse as a timestamp (NULL included)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.try_to_timestamp(c).isNull()
+    """True when ``parsed_ts`` finds no timestamp (NULL included)."""
+    return parsed_ts(c).isNull()
 
 
 def is_buy(event: str | Column = "event_name", buy_event: str = S.BUY_EVENT) -> Column:

@@ -3,7 +3,8 @@
 ``ln_gamma`` is plain arithmetic (codegen). The chi-square upper tail is the
 regularized upper incomplete gamma function Q(dof/2, stat/2), evaluated with
 its power series (x < a + 1) or its continued fraction (x >= a + 1), each as
-a fixed-length ``aggregate`` over a sequence: JVM-side, no Python worker.
+an ``aggregate`` over a sequence whose length grows with sqrt(a), as the terms
+that either needs do: JVM-side, no Python worker.
 ``chi2_sf_numpy`` (closed forms with ``erfc``) is the independent check used
 by the tests.
 """
@@ -86,13 +87,16 @@ def chi2_sf_numpy(stat: np.ndarray, dof: np.ndarray) -> np.ndarray:
     return out
 
 
+# Terms: the series' n-th term near x = a falls as exp(-n^2 / 2a), so 12 sqrt(a)
+# of them reach below 1e-30; the constant covers small a.
 _TERMS = 300
+_TERMS_PER_ROOT = 12
 _TINY = 1e-300
 
 
 def gamma_q(a: Column, x: Column, terms: int = _TERMS) -> Column:
     """Regularized upper incomplete gamma Q(a, x) for a > 0, x >= 0."""
-    steps = F.sequence(F.lit(1), F.lit(terms))
+    steps = F.sequence(F.lit(1), F.lit(terms) + F.ceil(F.sqrt(a) * F.lit(_TERMS_PER_ROOT)).cast("int"))
     log_front = F.log(x) * a - x  # x^a e^-x, in logs
 
     # Power series: P(a, x) = x^a e^-x / G(a+1) * sum_n x^n / ((a+1)...(a+n)).

@@ -316,6 +316,13 @@ def posterior_histogram(draws: DataFrame, bins: int = 30) -> DataFrame:
     )
 
 
+def smallest_id(col: str, over) -> F.Column:
+    """Smallest id of a window: as numbers if all of them are whole numbers, else as text."""
+    number = F.col(col).try_cast("decimal(38,0)")
+    whole = F.min(F.coalesce(number.cast("string") == F.col(col), F.col(col).isNull())).over(over)
+    return F.when(whole, F.min(number).over(over).cast("string")).otherwise(F.min(col).over(over))
+
+
 def intervals_disjoint(c_lo: F.Column, c_hi: F.Column, t_lo: F.Column, t_hi: F.Column) -> F.Column:
     """Significant = the two intervals do not intersect (touching ends
     intersect)."""
@@ -326,19 +333,25 @@ def bayes_comparison(summary: DataFrame, control: dict | None = None) -> DataFra
     """Each non-control variant against its experiment's control.
 
     ``summary`` has experiment_name, variant_id, mean, hdi_low, hdi_high.
-    Control: ``control[experiment]`` when given, else the smallest
-    variant_id. The control's values reach the other variants through a
-    window over the experiment's variants (a partition of one experiment's
-    variants), so the summary is read once.
+    Control: ``control[experiment]`` when given and among its variants, else
+    the smallest variant_id (``control_found`` is false if the given one is
+    missing). The control's values reach the other variants through a window
+    over the experiment's variants (a partition of one experiment's variants),
+    so the summary is read once.
     """
     w = Window.partitionBy("experiment_name")
+    base = summary.withColumn("_given", F.lit(None).cast("string"))
     if control:
-        ctl = summary.sparkSession.createDataFrame(list(control.items()), "experiment_name string, _control string")
+        ctl = summary.sparkSession.createDataFrame(list(control.items()), "experiment_name string, _given string")
         # The control table has one row per given experiment: its size is the
         # caller's dict.
-        base = summary.join(F.broadcast(ctl), "experiment_name")
-    else:
-        base = summary.withColumn("_control", F.min("variant_id").over(w))
+        base = summary.join(F.broadcast(ctl), "experiment_name", "left")
+    there = F.max(F.col("variant_id") == F.col("_given")).over(w)
+    base = base.withColumn("control_found", F.col("_given").isNull() | F.coalesce(there, F.lit(False)))
+    base = base.withColumn(
+        "_control",
+        F.when(F.col("control_found") & F.col("_given").isNotNull(), F.col("_given")).otherwise(smallest_id("variant_id", w)),
+    )
     is_ctl = F.col("variant_id") == F.col("_control")
 
     def ctl_value(c):
@@ -364,6 +377,7 @@ def bayes_comparison(summary: DataFrame, control: dict | None = None) -> DataFra
         F.col("mean").alias("test_mean"),
         F.col("hdi_low").alias("test_hdi_low"),
         F.col("hdi_high").alias("test_hdi_high"),
+        "control_found",
         sig.alias("significant"),
         F.when(
             sig,

@@ -100,7 +100,7 @@ def chi2_statistic(gold: DataFrame, yates: bool = True) -> DataFrame:
     )
 
 
-def chi2_test(gold: DataFrame, alpha: float = S.SIGNIFICANCE_LEVEL, yates: bool = True, digits: int = 9) -> DataFrame:
+def chi2_test(gold: DataFrame, alpha: float = S.SIGNIFICANCE_LEVEL, yates: bool = True) -> DataFrame:
     """Per testable (experiment, day): statistic, dof, p-value, decision and
     the conclusion texts, ordered by day and experiment."""
     stat = chi2_statistic(gold, yates)
@@ -114,9 +114,9 @@ def chi2_test(gold: DataFrame, alpha: float = S.SIGNIFICANCE_LEVEL, yates: bool
         .select(
             "day",
             "experiment_name",
-            F.round("chi2_statistic", digits).alias("chi2_statistic"),
+            "chi2_statistic",
             "dof",
-            F.round("p_value", digits).alias("p_value"),
+            "p_value",
             "reject_h0",
             "conclusion",
             "description",

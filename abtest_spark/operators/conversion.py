@@ -124,6 +124,13 @@ def has_rows(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
+def presence(df: DataFrame, experiments: list[str]) -> DataFrame:
+    """(experiment_name, present): the emptiness guard of many lookups at once."""
+    asked = df.sparkSession.createDataFrame([(e,) for e in experiments], "experiment_name string")
+    there = distinct_experiments(df).withColumn("present", F.lit(True))
+    return asked.join(there, "experiment_name", "left").withColumn("present", F.coalesce("present", F.lit(False)))
+
+
 def daily_rates(gold: DataFrame) -> DataFrame:
     """Daily conversion rates of multi-variant experiments as a sample per
     (experiment, variant): ``theta`` = purchases / users of each dated day

@@ -14,17 +14,16 @@ Two entry points:
 * ``gold_aggregated(silver)`` / ``gold_tunnel(silver)``: layer to layer, from
   per-row flags (how the pipeline runs after silver is written).
 * ``gold_aggregated_from_events`` / ``gold_tunnel_from_events``: never
-  materialise per-row flags, and read the events once. Events are reduced to
-  one row per (group, user) keeping the earliest and latest time; each user's
-  newest BUY comes from a window over that user's reduced rows (bounded by
-  the user's distinct groups, not its events); a user converts in a group when
-  the group's earliest time is at or before that BUY (undated groups: when
-  the user has any BUY).
+  materialise per-row flags. Events are reduced to one row per (group, user)
+  keeping the earliest time; each user's newest BUY is a grouped maximum over
+  the BUY rows, joined on the user; a user converts in a group when the
+  group's earliest time is at or before that BUY (undated groups: when the
+  user has any BUY).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from abtest_spark import schema as S
@@ -82,18 +81,14 @@ def _reduced_flags(
     duplicate rows, so ``events`` may be raw or deduplicated bronze with the
     same result; passing raw saves the widest shuffle of the chain.
 
-    One scan: events are exploded with ``explode_outer`` (an event without
-    experiments keeps one row with a NULL experiment, since its BUY still
-    counts for the user) and reduced to one row per (key, user) with the
-    earliest time and the group's latest BUY time and any-BUY. The user's
-    newest BUY and any-BUY come from a window over that user's reduced rows,
-    whose number is bounded by the user's distinct groups (days x variants),
-    not by its event count; no join with a second scan is needed. Rows of
-    events without experiments are dropped after that.
-
-    ``stats`` (user_id, last_buy_ts, any_buy) may be given instead when
-    ``events`` is only part of each user's history (incremental recomputation
-    of some days); it is then attached with a join.
+    Events are exploded and reduced to one row per (key, user) with the
+    earliest time. Each user's newest BUY is a grouped maximum over the BUY rows
+    alone (a scan of three columns, filtered at the source, map-side combined);
+    it is joined on the user, and adaptive skew handling can split a user with
+    many groups. No window and no task ever holds all rows of a user.
+
+    ``stats`` (user_id, last_buy_ts, any_buy) is given when ``events`` is only
+    part of each user's history (incremental recomputation of some days).
     """
     ev = events.withColumn("_ts", parsed_ts("timestamp"))
     exploded = (
@@ -107,29 +102,23 @@ def _reduced_flags(
             F.to_date("_ts").alias("day"),
         )
     )
-    if stats is not None:
-        reduced = (
-            exploded.where(F.col("experiment_name").isNotNull())
-            .groupBy(*key, "user_id")
-            .agg(F.min("_ts").alias("_first_ts"))
-        )
-        st = stats.select(F.col("user_id").alias("_u"), "last_buy_ts", "any_buy")
-        joined = reduced.join(st, F.col("user_id").eqNullSafe(F.col("_u")), "left")
-        return joined.select(*key, "user_id", _flag().alias("flag_purchase"))
-
-    buy = F.coalesce(F.col("event_name") == F.lit(buy_event), F.lit(False))
-    reduced = exploded.groupBy(*key, "user_id").agg(
-        F.min("_ts").alias("_first_ts"),
-        F.max(F.when(buy, F.col("_ts"))).alias("_buy_ts"),
-        F.max(buy).alias("_has_buy"),
+    if stats is None:
+        # Only BUY rows of known users: filtered at the scan, a few columns.
+        bought = ev.where((F.col("event_name") == F.lit(buy_event)) & F.col("user_id").isNotNull())
+        stats = bought.groupBy("user_id").agg(F.max("_ts").alias("last_buy_ts"), F.lit(True).alias("any_buy"))
+    reduced = exploded.where(F.col("experiment_name").isNotNull()).groupBy(*key, "user_id").agg(
+        F.min("_ts").alias("_first_ts")
     )
-    per_user = Window.partitionBy("user_id")
-    return (
-        reduced.withColumn("last_buy_ts", F.max("_buy_ts").over(per_user))
-        .withColumn("any_buy", F.max("_has_buy").over(per_user))
-        .where(F.col("experiment_name").isNotNull())
-        .select(*key, "user_id", _flag().alias("flag_purchase"))
+    # The anonymous (NULL) user is never counted, its groups only have to exist:
+    # its rows match no statistics and are spread by their group.
+    salt = F.when(F.col("user_id").isNull(), F.pmod(F.xxhash64(*key), F.lit(1 << 20)) + 1).otherwise(F.lit(0).cast("long"))
+    known = stats.where(F.col("user_id").isNotNull()).select(
+        F.col("user_id").alias("_u"), F.lit(0).cast("long").alias("_s"), "last_buy_ts", "any_buy"
+    )
+    joined = reduced.withColumn("_salt", salt).join(
+        known, (F.col("user_id") == F.col("_u")) & (F.col("_salt") == F.col("_s")), "left"
     )
+    return joined.select(*key, "user_id", _flag().alias("flag_purchase"))
 
 
 def gold_base(events: DataFrame, buy_event: str = S.BUY_EVENT) -> DataFrame:
@@ -163,3 +152,13 @@ def gold_tunnel_from_events(
 def gold_from_bronze(bronze: DataFrame, buy_event: str = S.BUY_EVENT) -> tuple[DataFrame, DataFrame]:
     """(gold_aggregated, gold_tunnel) from raw or bronze events."""
     return gold_aggregated_from_events(bronze, buy_event), gold_tunnel_from_events(bronze, buy_event)
+
+
+def gold_ordered(gold: DataFrame) -> DataFrame:
+    """gold_aggregated by day and experiment (undated rows first); ties by variant."""
+    return gold.orderBy(*S.GOLD_KEY)
+
+
+def tunnel_ordered(tunnel: DataFrame) -> DataFrame:
+    """gold_tunnel by day, event and experiment (undated rows first); ties by variant."""
+    return tunnel.orderBy(*S.TUNNEL_KEY)

@@ -45,6 +45,14 @@ def residual_duplicates(bronze: DataFrame, keys: Sequence[str] = EVENT_KEY) -> D
     return duplicate_groups(bronze, keys).agg(F.count(F.lit(1)).alias("residual_duplicate_groups"))
 
 
+def residual_counts(bronze: DataFrame, keys: Sequence[str] = EVENT_KEY) -> DataFrame:
+    """One row: key groups still repeated after deduplication, and their rows."""
+    return duplicate_groups(bronze, keys).agg(
+        F.count(F.lit(1)).alias("residual_duplicate_groups"),
+        F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("residual_duplicate_rows"),
+    )
+
+
 def malformed_experiments(df: DataFrame, col: str = "experiments") -> DataFrame:
     """Rows whose experiments text has no ``word=word`` substring.
 

@@ -201,7 +201,7 @@ def _ranked(bronze: DataFrame, target_partitions: int | None = None, checkpoint:
         .select("_pid", "user_id", "_offset")
     )
     return _attach(local, offsets, ["_pid", "user_id"]).withColumn(
-        "event_rank", (F.col("_local_rank") + F.coalesce(F.col("_offset"), F.lit(0))).cast("int")
+        "event_rank", (F.col("_local_rank") + F.coalesce(F.col("_offset"), F.lit(0))).cast("long")
     )
 
 
@@ -254,7 +254,7 @@ def buy_groups(
     joined = _attach(_attach(local, carried, ["_pid", "user_id"]), across, ["user_id", "_ts"])
     bg = F.greatest(F.col("_run_max"), F.col("_peer_max"), F.col("_prev_max"), F.col("_run_max_all"))
     return (
-        joined.withColumn("buy_group", bg.cast("int"))
+        joined.withColumn("buy_group", bg.cast("long"))
         .withColumn("flag_purchase", F.col("buy_group").isNotNull())
         .withColumn("timestamp", F.col("_ts"))
         .select(*bronze.columns, "event_rank", "buy_group", "flag_purchase")
@@ -264,3 +264,13 @@ def buy_groups(
 def user_journey(df: DataFrame, user_id) -> DataFrame:
     """Rows of one user, oldest first (the spot check of the attribution)."""
     return df.where(F.col("user_id") == F.lit(user_id)).orderBy(F.col("timestamp").asc_nulls_last())
+
+
+def journeys(bronze: DataFrame) -> DataFrame:
+    """Every user's events, oldest first (untimed last), with ``buy_group`` and ``flag_purchase``."""
+    columns = [c for c in bronze.columns if c != "event_rank"]
+    return (
+        buy_groups(bronze)
+        .orderBy("user_id", F.col("timestamp").asc_nulls_last(), F.desc("event_rank"))
+        .select(*columns, "buy_group", "flag_purchase")
+    )

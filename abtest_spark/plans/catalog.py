@@ -28,7 +28,8 @@ from abtest_spark.operators import results as R
 from abtest_spark.operators import silver as SV
 from abtest_spark.session import checkpoint_dir
 from abtest_spark.sources import layers as L
-from abtest_spark.sources.raw import load_raw
+from abtest_spark.functions.columns import parsed_ts
+from abtest_spark.sources.raw import load_raw, read_table
 
 # ---------------------------------------------------------------------------
 # Spark side
@@ -212,6 +213,88 @@ def q_quality_report(spark, sf_dir):
     return Q.quality_report(_raw(spark, sf_dir))
 
 
+def _rounded(test: DataFrame) -> DataFrame:
+    """The chi-square test at nine decimals, for comparison with SQL."""
+    return test.withColumns({c: F.round(c, 9) for c in ("chi2_statistic", "p_value")})
+
+
+def q_csv_reordered(spark, sf_dir):
+    """Raw stream exported with other columns around and in another order, then
+    scanned: columns are bound by the header's names."""
+    from abtest_spark.sources.raw import read_raw
+
+    path = f"{_scratch_root(spark)}/csv"
+    out = _raw(spark, sf_dir).withColumn("note", F.lit("x, y"))
+    L.export_csv(out.select("event_name", "note", "item_id", "experiments", "timestamp", "site", "user_id"), path)
+    return read_raw(spark, path)
+
+
+def q_csv_bad_values(spark, sf_dir):
+    """Values that do not fit the declared types: every 7th user id is written as text."""
+    from abtest_spark.sources.raw import bad_values, read_raw_text
+
+    path = f"{_scratch_root(spark)}/csv"
+    raw = _raw(spark, sf_dir)
+    user = F.when(F.col("user_id") % 7 == 0, F.concat(F.lit("u-"), F.col("user_id"))).otherwise(F.col("user_id").cast("string"))
+    L.export_csv(raw.withColumn("user_id", user), path)
+    return bad_values(read_raw_text(spark, path))
+
+
+def q_rerun_gold(spark, sf_dir):
+    """The gold layer written for all days and then again, to the same root, from
+    the events before the 15th: the second write replaces the first."""
+    root = _scratch_root(spark)
+    raw = _raw(spark, sf_dir)
+    early = raw.where(parsed_ts("timestamp") < F.lit("2024-01-15").cast("timestamp_ntz"))
+    for part in (raw, early):
+        L.write_layer(G.gold_aggregated_from_events(part), root, "gold_aggregated", partition_by=["day"])
+    return L.read_layer(spark, root, "gold_aggregated")
+
+
+def q_offset_timestamps(spark, sf_dir):
+    """Per day (UTC) of timestamps with offsets: events, flagged events; invalid ones have no day.
+
+    Every 3rd event's text gets -05:00, every other 5th +09:30, every other 7th
+    keeps only its time of day.
+    """
+    e = read_table(spark, sf_dir, "events")
+    i, text = F.col("event_id"), F.col("ts").cast("string")
+    ts = (
+        F.when(i % 3 == 0, F.concat(text, F.lit("-05:00")))
+        .when(i % 5 == 0, F.concat(text, F.lit("+09:30")))
+        .when(i % 7 == 0, F.date_format("ts", "HH:mm:ss"))
+        .otherwise(text)
+    )
+    event = F.when((F.col("event_type") == "purchase") & (F.col("value") > 80), F.lit("BUY")).otherwise(F.upper("event_type"))
+    rows = e.select(
+        "user_id", ts.alias("timestamp"), event.alias("event_name"), i.alias("item_id"), F.lit("s").alias("site"), F.lit("{}").alias("experiments")
+    )
+    flagged = SV.flag_purchases(rows)
+    return flagged.groupBy(F.to_date("timestamp").alias("day")).agg(
+        F.count(F.lit(1)).alias("events"), F.count_if("flag_purchase").alias("flagged")
+    )
+
+
+def q_quality_layer(spark, sf_dir):
+    """The quality report that the ETL job stores beside a clustered bronze layer."""
+    from abtest_spark.plans.etl import build_bronze
+
+    root = _scratch_root(spark)
+    build_bronze(_raw(spark, sf_dir), root, cluster=True)
+    return L.read_layer(spark, root, "quality_report")
+
+
+def q_journey(spark, sf_dir):
+    """Every user's events in time order, with purchase group and flag."""
+    return SV.journeys(_bronze(spark, sf_dir))
+
+
+def q_emptiness(spark, sf_dir):
+    """Which lookups have rows: each experiment's share of the funnel, and an experiment that does not exist."""
+    tunnel = _tunnel(spark, sf_dir)
+    return CV.presence(tunnel, ["checkout/button", "search/ranking", "no/such"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources / sinks
     "raw_events": _raw,
@@ -219,6 +302,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "write_read_gold": q_write_read_gold,
     "stream_gold_aggregated": q_stream_gold,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_reordered": q_csv_reordered,
+    "csv_bad_values": q_csv_bad_values,
+    "rerun_gold": q_rerun_gold,
+    "offset_timestamps": q_offset_timestamps,
+    "quality_layer_clustered": q_quality_layer,
     "layers_gold_tunnel": q_layers_tunnel,
     # bronze quality
     "null_profile": lambda s, d: Q.null_profile(_raw(s, d)),
@@ -235,33 +323,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver": _silver,
     "event_rank": lambda s, d: SV.event_rank(_bronze(s, d)),
     "buy_group": q_buy_group,
-    "user_journey": q_user_journey,
+    "user_journey": q_journey,
+    "user_summary": q_user_journey,
     # gold
     "gold_aggregated": _gold,
     "gold_tunnel": _tunnel,
     # Distinct users per variant need neither flags nor deduplication.
     "users_per_variant": lambda s, d: G.users_per_variant(SV.explode_experiments(_raw(s, d))),
     # conversion
-    "distinct_experiments": lambda s, d: CV.distinct_experiments(_gold_table(s, d)),
-    "experiment_days": lambda s, d: CV.experiment_days(_gold_table(s, d)),
+    "distinct_experiments": lambda s, d: CV.distinct_experiments(_gold(s, d)),
+    "experiment_days": lambda s, d: CV.experiment_days(_gold(s, d)),
     "variant_count": lambda s, d: CV.variant_count(_gold_table(s, d), ordered=True),
     "single_variant_experiments": lambda s, d: CV.single_variant_experiments(_gold_table(s, d)),
     "multi_variant_experiments": lambda s, d: CV.multi_variant(_gold_table(s, d)),
-    "conversion_rate": lambda s, d: CV.with_conversion_rate(_gold_table(s, d)),
+    "conversion_rate": lambda s, d: CV.with_conversion_rate(_gold(s, d)),
     "conversion_ranking": lambda s, d: CV.conversion_ranking(_gold_table(s, d)),
     "top_conversion": lambda s, d: CV.conversion_ranking(_gold_table(s, d), n=10),
     "conversion_trend": lambda s, d: CV.conversion_trend(_gold_table(s, d)),
     "funnel": lambda s, d: CV.funnel(_tunnel(s, d)),
+    "experiment_filter": lambda s, d: CV.experiment_filter(_gold(s, d), "search/ranking"),
+    "variant_filter": lambda s, d: CV.variant_filter(CV.experiment_filter(_gold(s, d), "search/ranking"), "2"),
+    "emptiness": q_emptiness,
+    "gold_ordered": lambda s, d: G.gold_ordered(_gold(s, d)),
+    "tunnel_ordered": lambda s, d: G.tunnel_ordered(_tunnel(s, d)),
     # chi-square
     "contingency": lambda s, d: C.contingency(_gold_table(s, d)),
     "chi2_expected": q_chi2_expected,
-    "chi2_test": lambda s, d: C.chi2_test(_gold_table(s, d)),
+    "chi2_test": lambda s, d: _rounded(C.chi2_test(_gold_table(s, d))),
     "chi2_skipped": lambda s, d: C.chi2_skipped(_gold_table(s, d)),
-    "chi2_test_uncut": lambda s, d: C.chi2_test(_gold_uncut_table(s, d)),
+    "chi2_test_uncut": lambda s, d: _rounded(C.chi2_test(_gold_uncut_table(s, d))),
     "chi2_skipped_uncut": lambda s, d: C.chi2_skipped(_gold_uncut_table(s, d)),
     # bayes
     "variant_totals": lambda s, d: B.variant_totals(_gold_table(s, d)),
-    "variant_code": lambda s, d: B.variant_code(_gold_table(s, d)),
+    "variant_code": lambda s, d: B.variant_code(_gold(s, d)),
     "bayes_grid_weights": q_bayes_grid_weights,
     "bayes_summary": lambda s, d: B.bayes_summary(_gold_table(s, d)),
     "bayes_draws": q_bayes_draws,
@@ -274,10 +368,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "experiment_slug": lambda s, d: CV.distinct_experiments(_gold_table(s, d)).select(
         "experiment_name", R.experiment_slug("experiment_name").alias("exp_name")
     ),
-    "experiment_result": lambda s, d: R.experiment_results_flat(_gold_table(s, d)),
-    "experiment_result_variants": lambda s, d: R.experiment_result_variants(_gold_table(s, d)),
-    "experiment_result_json": lambda s, d: R.result_json(R.experiment_results(_gold_table(s, d))),
-    "winner": lambda s, d: R.winners(_gold_table(s, d)),
+    "experiment_result": lambda s, d: R.experiment_results_flat(_gold(s, d)),
+    "experiment_result_variants": lambda s, d: R.experiment_result_variants(_gold(s, d)),
+    "experiment_result_json": lambda s, d: R.result_json(R.experiment_results(_gold(s, d))),
+    "winner": lambda s, d: R.winners(_gold(s, d)),
     "experiment_result_lookup": q_experiment_result_lookup,
 }
 
@@ -438,7 +532,44 @@ hdi AS (
   SELECT experiment_name, variant_id, arg_min(lo, (hi - lo, i)) AS hdi_low, arg_min(hi, (hi - lo, i)) AS hdi_high
   FROM pairs GROUP BY 1, 2)"""
 
+_RANKED = _BRONZE + """,
+      ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_name ASC NULLS FIRST,
+               item_id ASC NULLS FIRST, site ASC NULLS FIRST, experiments ASC NULLS FIRST,
+               "timestamp" ASC NULLS FIRST) AS rn FROM ev),
+      bg AS (
+        SELECT *, max(CASE WHEN event_name = 'BUY' THEN rn END) OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST
+               RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS buy_group FROM ranked)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "csv_reordered": "WITH " + _RAW + " SELECT * FROM raw",
+    "csv_bad_values": "WITH " + _RAW + """
+      SELECT 'user_id' AS "column", CAST(count_if(user_id % 7 = 0) AS BIGINT) AS n FROM raw
+      UNION ALL SELECT unnest(['timestamp', 'event_name', 'item_id', 'site', 'experiments']), 0""",
+    "rerun_gold": "WITH " + _GOLD.replace(
+        "FROM bronze),", "FROM bronze WHERE TRY_CAST(\"timestamp\" AS TIMESTAMP) < TIMESTAMP '2024-01-15'),", 1
+    ) + " SELECT * FROM gold",
+    "offset_timestamps": """
+      WITH e AS (
+        SELECT user_id, event_type = 'purchase' AND value > 80 AS buy,
+               CASE WHEN event_id % 3 = 0 THEN ts + INTERVAL 5 HOUR
+                    WHEN event_id % 5 = 0 THEN ts - INTERVAL '9 hours 30 minutes'
+                    WHEN event_id % 7 = 0 THEN NULL ELSE ts END AS t
+        FROM events),
+      s AS (SELECT user_id, max(t) FILTER (buy) AS last, bool_or(buy) AS bought FROM e GROUP BY 1)
+      SELECT CAST(t AS DATE) AS day, count(*) AS events,
+             CAST(count_if(CASE WHEN t IS NULL THEN coalesce(bought, false) ELSE coalesce(t <= last, false) END) AS BIGINT) AS flagged
+      FROM e JOIN s ON e.user_id IS NOT DISTINCT FROM s.user_id GROUP BY 1""",
+    "user_journey": "WITH " + _RANKED + """
+      SELECT user_id, ts AS "timestamp", event_name, item_id, site, experiments, buy_group,
+             buy_group IS NOT NULL AS flag_purchase FROM bg""",
+    "experiment_filter": "WITH " + _GOLD + " SELECT * FROM gold WHERE experiment_name = 'search/ranking'",
+    "variant_filter": "WITH " + _GOLD + " SELECT * FROM gold WHERE experiment_name = 'search/ranking' AND variant_id = '2'",
+    "emptiness": "WITH " + _GOLD + """
+      SELECT e AS experiment_name, EXISTS (SELECT 1 FROM tunnel WHERE experiment_name = e) AS present
+      FROM (SELECT unnest(['checkout/button', 'search/ranking', 'no/such']) AS e)""",
+    "gold_ordered": "WITH " + _GOLD + " SELECT * FROM gold ORDER BY day, experiment_name, variant_id",
+    "tunnel_ordered": "WITH " + _GOLD + " SELECT * FROM tunnel ORDER BY day, event_name, experiment_name, variant_id",
     "raw_events": "WITH " + _RAW + " SELECT * FROM raw",
     "write_read_bronze": "WITH " + _BRONZE + " SELECT * FROM bronze",
     "write_read_gold": "WITH " + _GOLD + " SELECT * FROM gold",
@@ -485,7 +616,7 @@ ORACLE_SQL: dict[str, str] = {
       SELECT user_id, "timestamp", event_name, item_id, site, experiments,
              CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_name ASC NULLS FIRST,
                item_id ASC NULLS FIRST, site ASC NULLS FIRST, experiments ASC NULLS FIRST,
-               "timestamp" ASC NULLS FIRST) AS INTEGER) AS event_rank
+               "timestamp" ASC NULLS FIRST) AS BIGINT) AS event_rank
       FROM ev""",
     "buy_group": "WITH " + _BRONZE + """,
       ranked AS (
@@ -495,9 +626,9 @@ ORACLE_SQL: dict[str, str] = {
       bg AS (
         SELECT *, max(CASE WHEN event_name = 'BUY' THEN rn END) OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST
                RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS buy_group FROM ranked)
-      SELECT user_id, ts AS "timestamp", event_name, item_id, site, experiments, CAST(rn AS INTEGER) AS event_rank,
-             CAST(buy_group AS INTEGER) AS buy_group, buy_group IS NOT NULL AS flag_purchase FROM bg""",
-    "user_journey": "WITH " + _GOLD + """
+      SELECT user_id, ts AS "timestamp", event_name, item_id, site, experiments, CAST(rn AS BIGINT) AS event_rank,
+             CAST(buy_group AS BIGINT) AS buy_group, buy_group IS NOT NULL AS flag_purchase FROM bg""",
+    "user_summary": "WITH " + _GOLD + """
       SELECT user_id, count(*) AS "rows", CAST(count_if(event_name = 'BUY') AS BIGINT) AS buy_rows,
              CAST(count_if(flag_purchase) AS BIGINT) AS flagged_rows,
              count(DISTINCT CAST("timestamp" AS DATE)) AS active_days,
@@ -587,11 +718,11 @@ ORACLE_SQL: dict[str, str] = {
       ctl AS (SELECT experiment_name, mean AS control_mean, hdi_low AS control_hdi_low, hdi_high AS control_hdi_high
               FROM summ WHERE variant_id = control)
       SELECT t.experiment_name, t.variant_id AS variant, t.control, c.control_mean, c.control_hdi_low, c.control_hdi_high,
-             t.mean AS test_mean, t.hdi_low AS test_hdi_low, t.hdi_high AS test_hdi_high,
+             t.mean AS test_mean, t.hdi_low AS test_hdi_low, t.hdi_high AS test_hdi_high, true AS control_found,
              NOT (c.control_hdi_high >= t.hdi_low AND c.control_hdi_low <= t.hdi_high) AS significant,
              CASE WHEN NOT (c.control_hdi_high >= t.hdi_low AND c.control_hdi_low <= t.hdi_high)
-                  THEN 'La variante ' || t.variant_id || ' tiene diferencias significativas respecto al control.'
-                  ELSE 'La variante ' || t.variant_id || ' no tiene diferencias significativas respecto al control.' END AS conclusion
+                  THEN replace('""" + S.COMPARISON_SIGNIFICANT + """', '%s', t.variant_id)
+                  ELSE replace('""" + S.COMPARISON_NOT_SIGNIFICANT + """', '%s', t.variant_id) END AS conclusion
       FROM summ t JOIN ctl c ON t.experiment_name = c.experiment_name
       WHERE t.variant_id <> t.control""",
     "experiment_slug": "WITH " + _GOLD + """
@@ -643,3 +774,5 @@ ORACLE_SQL: dict[str, str] = {
                   ELSE CAST(to_json({'detail': detail}) AS VARCHAR) END AS response
       FROM ans""",
 }
+
+ORACLE_SQL["quality_layer_clustered"] = ORACLE_SQL["quality_report"]

@@ -12,7 +12,7 @@ Physical layout choices:
   ``cluster=True`` adds a range shuffle on (user_id, timestamp) for
   lookup-heavy use (the time in the range key splits a hot user over files).
 * gold tables are written partitioned by ``day``: a per-day lookup reads one
-  folder, and a rerun for some days overwrites only those partitions.
+  folder. A rerun replaces the whole table.
 """
 
 from __future__ import annotations
@@ -28,6 +28,9 @@ from abtest_spark.operators import silver as SV
 from abtest_spark.sources.layers import read_layer, write_layer
 
 USER_ORDER = ["user_id", "timestamp"]
+# The other columns part a user's (or the anonymous user's) untimed rows.
+CLUSTER_ORDER = [*USER_ORDER, "event_name", "item_id", "site", "experiments"]
+SILVER_ORDER = [*USER_ORDER, "event_name", "item_id", "site", "experiment_name", "variant_id"]
 
 
 def build_bronze(raw: DataFrame, root: str, fmt: str = "parquet", cluster: bool = False) -> DataFrame:
@@ -37,10 +40,15 @@ def build_bronze(raw: DataFrame, root: str, fmt: str = "parquet", cluster: bool
     ``quality_report`` layer of (check, n) rows."""
     spark = raw.sparkSession
     observation = Observation("bronze_quality")
-    grouped = Q.grouped_by_key(raw).observe(observation, *Q.quality_metrics())
-    bronze = grouped.select(*S.EVENT_KEY)
-    write_layer(bronze, root, "bronze", fmt=fmt, cluster_by=USER_ORDER if cluster else (), sort_by=USER_ORDER)
-    metrics = observation.get  # one row of counts, gathered by the write job
+    grouped = Q.grouped_by_key(raw)
+    if cluster:
+        # Observed above the range shuffle: its sampling runs what is below once more.
+        grouped = grouped.repartitionByRange(*CLUSTER_ORDER)
+    bronze = grouped.observe(observation, *Q.quality_metrics()).select(*S.EVENT_KEY)
+    write_layer(bronze, root, "bronze", fmt=fmt, sort_by=USER_ORDER)
+    metrics = dict(observation.get)  # one row of counts, gathered by the write job
+    # The self-check reads what was written.
+    metrics |= Q.residual_counts(read_layer(spark, root, "bronze", fmt)).first().asDict()
     report = spark.createDataFrame(
         [(name, int(value)) for name, value in metrics.items()], "check string, n long"
     )
@@ -50,7 +58,7 @@ def build_bronze(raw: DataFrame, root: str, fmt: str = "parquet", cluster: bool
 
 def build_silver(bronze: DataFrame, root: str, fmt: str = "parquet", cluster: bool = False) -> DataFrame:
     silver = SV.to_silver(bronze)
-    write_layer(silver, root, "silver", fmt=fmt, cluster_by=USER_ORDER if cluster else (), sort_by=USER_ORDER)
+    write_layer(silver, root, "silver", fmt=fmt, cluster_by=SILVER_ORDER if cluster else (), sort_by=USER_ORDER)
     return read_layer(bronze.sparkSession, root, "silver", fmt)
 
 

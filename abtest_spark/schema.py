@@ -37,6 +37,21 @@ SILVER_COLUMNS = [
 GOLD_KEY = ["day", "experiment_name", "variant_id"]
 TUNNEL_KEY = ["day", "event_name", "experiment_name", "variant_id"]
 
+# Declared schemas of the stored layers: an empty layer reads back typed, and
+# the partition column keeps its place.
+RAW_DDL = "user_id long, timestamp string, event_name string, item_id long, site string, experiments string"
+LAYER_SCHEMAS = {
+    "bronze": RAW_DDL,
+    "silver": "user_id long, timestamp timestamp_ntz, event_name string, item_id long, site string, "
+    "experiment_name string, variant_id string, flag_purchase boolean",
+    "gold_aggregated": "day date, experiment_name string, variant_id string, users long, purchases long",
+    "gold_tunnel": "day date, event_name string, experiment_name string, variant_id string, users long, purchases long",
+    "quality_report": "check string, n long",
+    "bronze_stream": f"{RAW_DDL}, _day date",
+    "user_stats": "user_id long, last_buy_ts timestamp_ntz, any_buy boolean, epoch long",
+    "user_days": "user_id long, _day date",
+}
+
 LAYERS = ("bronze", "silver", "gold_aggregated", "gold_tunnel")
 
 # ---------------------------------------------------------------------------

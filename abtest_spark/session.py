@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -48,11 +50,12 @@ def get_spark(
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be a shared filesystem path set by the operator. Only
-    when nothing is configured (unit tests, local bench) a scratch folder is
-    created and registered, so lineage cutting still works locally. Sessions
-    without a SparkContext handle (Spark Connect) manage the folder on the
-    server; the configured value is returned as is.
+    On a cluster this must be a shared filesystem path set by the operator; it
+    is an error if it is missing there. Only with a ``local`` master (unit
+    tests, local bench) a scratch folder is created, registered and removed at
+    exit, so lineage cutting still works. Sessions without a SparkContext handle
+    (Spark Connect) manage the folder on the server; the configured value is
+    returned as is.
     """
     try:
         sc = spark.sparkContext
@@ -63,7 +66,10 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir()
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="abtest-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
 

@@ -13,13 +13,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from abtest_spark.schema import LAYER_SCHEMAS
+
 
 def layer_path(root: str, layer: str) -> str:
     return f"{root.rstrip('/')}/{layer}"
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(layer_path(root, layer))
+    """The stored layer. Layers of the model are read with their declared
+    schema (column order included), others with the schema found in the files."""
+    reader = spark.read.format(fmt)
+    schema = LAYER_SCHEMAS.get(layer) if fmt == "parquet" else None
+    if schema is None:
+        return reader.load(layer_path(root, layer))
+    return reader.schema(schema).load(layer_path(root, layer)).select(*[c.split()[0] for c in schema.split(", ")])
 
 
 def write_layer(
@@ -32,6 +40,7 @@ def write_layer(
     cluster_by: Sequence[str] = (),
     mode: str = "overwrite",
     files_per_partition: int | None = None,
+    dynamic: bool = False,
 ) -> None:
     """Write one layer.
 
@@ -40,8 +49,8 @@ def write_layer(
     output file, so files hold contiguous key ranges and row-group statistics
     prune well on later filters. ``partition_by`` writes Hive-style folders
     (e.g. gold by ``day``), which turns day lookups into folder pruning.
-    With ``partition_by``, dynamic partition overwrite replaces only the
-    partitions present in ``df``. By default each partition value is written
+    An overwrite replaces the whole layer; with ``dynamic`` only the partitions
+    present in ``df`` (a backfill of given days, a micro-batch). By default each partition value is written
     by one task (one file: right for small tables such as gold); for large
     layers ``files_per_partition`` spreads every value over that many tasks by
     a deterministic hash of the row, so one heavy day never lands in one task.
@@ -58,7 +67,7 @@ def write_layer(
         out = out.sortWithinPartitions(*sort_by)
     writer = out.write.format(fmt).mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     writer.save(layer_path(root, layer))
 
 

@@ -1,7 +1,7 @@
 """Raw clickstream sources.
 
-``read_raw`` is the production source: a headed CSV read with a declared
-schema (no inference pass over the data). ``raw_from_events`` derives the same
+``read_raw`` is the production source: a headed CSV read by column name with a
+declared schema (no inference pass over the data). ``raw_from_events`` derives the same
 six-column raw stream from the driver's ``events`` table with integer rules,
 injecting the junk the quality checks must find (bad and missing timestamps,
 missing and malformed experiments, exact duplicate rows).
@@ -9,18 +9,73 @@ missing and malformed experiments, exact duplicate rows).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from abtest_spark.schema import RAW_COLUMNS, RAW_SCHEMA
 
 
+def _header(spark: SparkSession, path: str, schema, **options) -> list[str]:
+    """Column names of the files' header (first line only, no pass over the data)."""
+    names = spark.read.options(header=True, inferSchema=False, **options).csv(path).columns
+    missing = [c for c in schema.names if c not in names]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {', '.join(missing)}")
+    return names
+
+
+def _typed(text: DataFrame, schema) -> DataFrame:
+    """Declared columns by name; a value that does not fit its type becomes NULL."""
+    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _text_reader(reader, names: list[str], options: dict):
+    # With enforceSchema off every file's header is held against these names,
+    # so a file whose columns stand in another order fails instead of shifting.
+    text = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    return reader.schema(text).options(header=True, enforceSchema=False, **options)
+
+
+def read_raw_text(spark: SparkSession, path: str, schema=RAW_SCHEMA, **options) -> DataFrame:
+    """Headed CSV as text, columns by the header's names (extra ones included)."""
+    return _text_reader(spark.read, _header(spark, path, schema, **options), options).csv(path)
+
+
 def read_raw(spark: SparkSession, path: str, schema=RAW_SCHEMA, **options) -> DataFrame:
-    """Headed CSV with typed columns; ``timestamp`` kept as text."""
-    reader = spark.read.schema(schema).option("header", True)
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    return reader.csv(path)
+    """Headed CSV with typed columns, bound by header name; ``timestamp`` kept as text.
+
+    Columns may stand in any order and extra ones are ignored; a missing column
+    raises, and so does a file whose header differs from the first one's. Values
+    that do not fit the declared type become NULL and are counted by
+    ``bad_values``; pass a schema with string ids to keep textual ids.
+    """
+    return _typed(read_raw_text(spark, path, schema, **options), schema)
+
+
+def bad_values(text: DataFrame, schema=RAW_SCHEMA) -> DataFrame:
+    """(column, n): values of ``read_raw_text`` that do not fit the declared type."""
+    counts = text.agg(
+        *[
+            F.count_if(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull()).alias(f.name)
+            for f in schema.fields
+        ]
+    )
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in schema.names]
+    return counts.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.column", "_p.n")
+
+
+def read_raw_stream(spark: SparkSession, path: str, schema=RAW_SCHEMA, **options) -> DataFrame:
+    """The same as a stream over arriving files; the header is taken from the files there at the start.
+
+    With none yet, files must hold the declared columns in the declared order.
+    """
+    try:
+        names = _header(spark, path, schema)
+    except AnalysisException:  # no file yet
+        names = schema.names
+    return _typed(_text_reader(spark.readStream, names, options).csv(path), schema)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -37,6 +37,7 @@ from abtest_spark.functions.columns import parsed_ts
 from abtest_spark.operators import gold as G
 from abtest_spark.operators import quality as Q
 from abtest_spark.operators.silver import user_purchase_stats
+from abtest_spark.sources.raw import read_raw_stream
 from abtest_spark.sources.layers import layer_path, read_layer, write_layer
 
 BRONZE = "bronze_stream"
@@ -116,7 +117,7 @@ def _process(spark: SparkSession, batch: DataFrame, epoch_id: int, root: str, bu
             old = prev.where(F.col("epoch") == last).drop("epoch")
     both = batch_stats.unionByName(old) if old is not None else batch_stats
     merged = both.groupBy("user_id").agg(F.max("last_buy_ts").alias("last_buy_ts"), F.max("any_buy").alias("any_buy"))
-    write_layer(merged.withColumn("epoch", F.lit(epoch_id)), root, STATS, partition_by=["epoch"])
+    write_layer(merged.withColumn("epoch", F.lit(epoch_id).cast("long")), root, STATS, partition_by=["epoch"], dynamic=True)
     stats = read_layer(spark, root, STATS).where(F.col("epoch") == epoch_id).drop("epoch")
 
     # 3. Affected gold days: the batch's own days, plus, for users whose
@@ -146,8 +147,8 @@ def _process(spark: SparkSession, batch: DataFrame, epoch_id: int, root: str, bu
 
     bronze = read_layer(spark, root, BRONZE)
     rows = _on_days(bronze, days).drop("_day")
-    write_layer(G.gold_aggregated_from_events(rows, buy_event, stats), root, "gold_aggregated", partition_by=["day"])
-    write_layer(G.gold_tunnel_from_events(rows, buy_event, stats), root, "gold_tunnel", partition_by=["day"])
+    write_layer(G.gold_aggregated_from_events(rows, buy_event, stats), root, "gold_aggregated", partition_by=["day"], dynamic=True)
+    write_layer(G.gold_tunnel_from_events(rows, buy_event, stats), root, "gold_tunnel", partition_by=["day"], dynamic=True)
     return days
 
 
@@ -166,12 +167,11 @@ def start_gold_stream(
     shared storage as the layers). ``max_files_per_trigger`` bounds the size
     of a micro-batch.
     """
-    reader = spark.readStream.schema(S.RAW_SCHEMA).format(fmt)
+    options = {"maxFilesPerTrigger": max_files_per_trigger} if max_files_per_trigger else {}
     if fmt == "csv":
-        reader = reader.option("header", True)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(source_dir)
+        stream = read_raw_stream(spark, source_dir, **options)
+    else:
+        stream = spark.readStream.schema(S.RAW_SCHEMA).format(fmt).options(**options).load(source_dir)
     writer = (
         stream.writeStream.foreachBatch(lambda df, eid: process_batch(df, eid, root))
         .option("checkpointLocation", checkpoint_location or layer_path(root, "_stream_checkpoint"))

@@ -129,3 +129,23 @@ def test_null_variant_rows_own_theta(gold_df):
     assert {r["variant_id"] for r in report} == {"1", "2", None}
     comparison = B.bayes_comparison(B.bayes_report(gold, n=1000, null_variants=True)).collect()
     assert {r["variant"] for r in comparison} == {"2"}
+
+
+def test_partial_and_wrong_control_maps_keep_every_experiment(spark):
+    rows = [(e, v, 0.1, 0.05 * int(v), 0.05 * int(v) + 0.04) for e in ("a", "b") for v in ("1", "2", "10")]
+    summary = spark.createDataFrame(rows, "experiment_name string, variant_id string, mean double, hdi_low double, hdi_high double")
+
+    def controls(given):
+        got = B.bayes_comparison(summary, given).collect()
+        assert len(got) == 4
+        return {(r["experiment_name"], r["control"], r["control_found"]) for r in got}
+
+    assert controls(None) == {("a", "1", True), ("b", "1", True)}
+    assert controls({"a": "10"}) == {("a", "10", True), ("b", "1", True)}
+    assert controls({"a": "9", "b": "2"}) == {("a", "1", False), ("b", "2", True)}
+
+
+def test_smallest_id_is_numeric_for_whole_numbers(spark):
+    rows = [("n", "10", 0.1, 0.0, 0.2), ("n", "2", 0.1, 0.0, 0.2), ("t", "10", 0.1, 0.0, 0.2), ("t", "b", 0.1, 0.0, 0.2)]
+    summary = spark.createDataFrame(rows, "experiment_name string, variant_id string, mean double, hdi_low double, hdi_high double")
+    assert {(r["experiment_name"], r["control"]) for r in B.bayes_comparison(summary).collect()} == {("n", "2"), ("t", "10")}

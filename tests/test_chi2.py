@@ -235,3 +235,25 @@ def test_conversion_family_random(gold_df):
     assert known == sorted(known, reverse=True) and rates[: len(known)] == known  # NULL rates last
     for r in ranked:
         assert r["conversion_rate"] == (None if r["users"] == 0 else r["purchases"] / r["users"])
+
+
+def test_tail_is_not_rounded_and_holds_at_many_degrees(spark):
+    from pyspark.sql import functions as F
+
+    from abtest_spark.functions.mathfn import chi2_sf, chi2_sf_numpy
+
+    cases = [(60.0, 1), (200.0, 4), (2000.0, 2000), (20000.0, 20000), (20300.0, 20000), (19000.0, 20000), (9999.0, 10001)]
+    df = spark.createDataFrame(cases, "s double, k int")
+    got = [r[0] for r in df.select(chi2_sf(F.col("s"), F.col("k"))).collect()]
+    want = chi2_sf_numpy(*zip(*cases, strict=True))
+    assert 0 < got[0] < 1e-12
+    for g, w in zip(got, want, strict=True):
+        assert abs(g - w) <= 1e-9 * max(w, 1e-30) + 1e-12 * (w > 1e-3)
+
+
+def test_library_keeps_small_p_values(gold_df):
+    import datetime as dt
+
+    d = dt.date(2024, 1, 1)
+    row = C.chi2_test(gold_df([(d, "e", "1", 1000, 100), (d, "e", "2", 1000, 500)])).first()
+    assert 0 < row["p_value"] < 1e-12

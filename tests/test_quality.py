@@ -128,3 +128,34 @@ def test_quality_report_against_direct_computation(raw_df):
     }
     got = {r["check"]: r["n"] for r in Q.quality_report(raw_df(rows)).collect()}
     assert got == want
+
+
+def test_one_parser_for_check_and_value(spark):
+    import datetime as dt
+
+    from abtest_spark.functions.columns import is_invalid_ts, parsed_ts
+
+    cases = {
+        "2024-01-01 23:30:00-05:00": dt.datetime(2024, 1, 2, 4, 30),
+        "2024-01-01T23:30:00Z": dt.datetime(2024, 1, 1, 23, 30),
+        "2024-01-01 23:30:00+0530": None,
+        "2024-01-01 10:00:00.5 Europe/Madrid": dt.datetime(2024, 1, 1, 9, 0, 0, 500000),
+        "2024-01-01 10:00:00": dt.datetime(2024, 1, 1, 10),
+        "2024-01-05": dt.datetime(2024, 1, 5),
+        "12:30:00": None,
+        "T12:30:00Z": None,
+        "not-a-time": None,
+        "": None,
+        None: None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "timestamp string")
+    for zone in ("UTC", "America/Bogota"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            got = {r[0]: (r[1], r[2]) for r in df.select("timestamp", parsed_ts(), is_invalid_ts()).collect()}
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert all(bad == (value is None) for value, bad in got.values())
+        for text, want in cases.items():
+            if text != "2024-01-01 23:30:00+0530":  # offsets without a colon: as Spark reads them
+                assert got[text][0] == want, (zone, text, got[text])
