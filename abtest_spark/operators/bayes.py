@@ -5,19 +5,23 @@ Beta(alpha, beta) for each variant; every gold row (day) is
 Binomial(users, theta_v). Days pool, so each variant is summarised by
 s_v = sum of purchases and n_v = sum of users.
 
-Instead of a single-machine MCMC sampler the posterior is integrated on a
-log-spaced (alpha, beta) grid: given (alpha, beta) the thetas are conjugate,
-so
+Instead of a single-machine MCMC sampler the posterior is integrated on a grid
+in u = ln(alpha / beta) and v = ln(alpha + beta): given (alpha, beta) the thetas
+are conjugate, so
 
-  log w(a, b) = -rate (a + b) + ln a + ln b
+  log w(u, v) = -rate (a + b) + ln a + ln b
                 + sum_v [lnB(a + s_v, b + n_v - s_v) - lnB(a, b)]
 
-(ln a + ln b is the Jacobian of the log grid), and posterior moments of
-theta_v are w-weighted averages of the Beta(a + s_v, b + n_v - s_v)
-moments. Every step is a DataFrame operation: a generator expands each
-(experiment, variant) row over the grid, a grouped sum gives log w per
-(experiment, grid point), a window over the experiment's grid points (a
-fixed number of rows) normalises, and a join + grouped sum gives moments.
+(ln a + ln b is the Jacobian), and posterior moments of theta_v are w-weighted
+averages of the Beta(a + s_v, b + n_v - s_v) moments. The grid fits itself to
+each experiment: a first one spans all that the prior and the number of
+variants allow, each following one is centred on the former's weighted mean and
+spans 16 of its standard deviations to either side (at least four of its steps),
+so neither a fixed end nor a fixed step limits many or sharp variants.
+
+Every step is a DataFrame operation: totals are partitioned by experiment once,
+a generator expands each (experiment, variant) row over the grid, and the sums
+per grid point, the normalisation and the moments all reuse that partitioning.
 Work is experiments x variants x grid points: it grows with the number of
 experiments, not with events.
 
@@ -42,9 +46,12 @@ from abtest_spark import schema as S
 from abtest_spark.functions.mathfn import ln_beta
 from abtest_spark.operators.conversion import multi_variant
 
-GRID_POINTS = 60
-GRID_LO = 1e-4
-GRID_HI = 80.0
+GRID_POINTS = 64  # per axis
+GRID_ROUNDS = 3  # grids after the first one
+GRID_SPAN = 16.0  # standard deviations to either side of the mean
+U_END = 25.0  # the first grid's ln(alpha / beta) ends, 1e-11 of the prior's weight beyond
+SUM_LO = 1e-6  # its smallest alpha + beta
+SUM_PER_VARIANT = 60.0  # its largest, per variant and one more: the prior leaves e^-20 per variant beyond
 
 
 def variant_totals(gold: DataFrame, multi_only: bool = True, null_variants: bool = False) -> DataFrame:
@@ -75,103 +82,124 @@ def variant_code(gold: DataFrame) -> DataFrame:
     )
 
 
-def _grid_value(idx: F.Column, points: int, lo: float, hi: float) -> F.Column:
-    step = (math.log(hi) - math.log(lo)) / (points - 1)
-    return F.exp(F.lit(math.log(lo)) + idx.cast("double") * F.lit(step))
+def _first_box(totals: DataFrame) -> DataFrame:
+    """Totals partitioned by experiment, with the ends and steps of the first grid."""
+    variants = F.count(F.lit(1)).over(Window.partitionBy("experiment_name"))
+    end = F.log((variants + 1) * F.lit(SUM_PER_VARIANT))
+    low = F.lit(math.log(SUM_LO))
+    return (
+        totals.repartition("experiment_name")
+        .withColumn("_u0", F.lit(-U_END))
+        .withColumn("_du", F.lit(2 * U_END / (GRID_POINTS - 1)))
+        .withColumn("_v0", low)
+        .withColumn("_dv", (end - low) / F.lit(GRID_POINTS - 1))
+    )
 
 
-def _grid_cells(totals: DataFrame, points: int, lo: float, hi: float) -> DataFrame:
-    """Each (experiment, variant) row expanded over the grid, with its
+def _grid_cells(boxed: DataFrame) -> DataFrame:
+    """Each (experiment, variant) row expanded over its grid, with its
     log-likelihood term and the conditional first two moments of theta."""
+    cells = boxed.withColumn("grid_id", F.explode(F.sequence(F.lit(0), F.lit(GRID_POINTS * GRID_POINTS - 1))))
     g = F.col("grid_id")
-    a = _grid_value(F.floor(g / points), points, lo, hi)
-    b = _grid_value(F.pmod(g, F.lit(points)), points, lo, hi)
+    cells = cells.withColumn("_u", F.col("_u0") + F.floor(g / GRID_POINTS) * F.col("_du")).withColumn(
+        "_v", F.col("_v0") + F.pmod(g, F.lit(GRID_POINTS)) * F.col("_dv")
+    )
+    total, odds = F.exp("_v"), F.exp("_u")
+    cells = cells.withColumn("alpha", total * odds / (odds + F.lit(1.0))).withColumn("beta", total / (odds + F.lit(1.0)))
     s = F.col("purchases").cast("double")
     n = F.col("users").cast("double")
-    cells = (
-        totals.withColumn("grid_id", F.explode(F.sequence(F.lit(0), F.lit(points * points - 1))))
-        .withColumn("alpha", a)
-        .withColumn("beta", b)
-    )
     ap = F.col("alpha") + s
     bp = F.col("beta") + n - s
     return cells.select(
-        "experiment_name",
-        "variant_id",
-        "grid_id",
-        "alpha",
-        "beta",
+        "*",
         (ln_beta(ap, bp) - ln_beta(F.col("alpha"), F.col("beta"))).alias("loglik"),
         (ap / (ap + bp)).alias("m1"),
         (ap * (ap + F.lit(1.0)) / ((ap + bp) * (ap + bp + F.lit(1.0)))).alias("m2"),
     )
 
 
-def posterior_weights(
-    totals: DataFrame,
-    points: int = GRID_POINTS,
-    lo: float = GRID_LO,
-    hi: float = GRID_HI,
-    prior_rate: float = S.PRIOR_RATE,
-    cells: DataFrame | None = None,
-) -> DataFrame:
-    """(experiment, grid_id) -> alpha, beta, normalised posterior weight."""
-    cells = cells if cells is not None else _grid_cells(totals, points, lo, hi)
-    lw = cells.groupBy("experiment_name", "grid_id").agg(
-        F.first("alpha").alias("alpha"),
-        F.first("beta").alias("beta"),
-        F.sum("loglik").alias("_loglik"),
+def _weights(cells: DataFrame, prior_rate: float) -> DataFrame:
+    """One row per (experiment, grid point) with its normalised weight.
+
+    The window holds one experiment's grid points: a fixed-size partition.
+    """
+    points = cells.groupBy("experiment_name", "grid_id").agg(
+        *[F.first(c).alias(c) for c in ("_u", "_v", "_du", "_dv", "alpha", "beta")], F.sum("loglik").alias("_loglik")
     )
-    lw = lw.withColumn(
-        "_lw",
-        F.col("_loglik") - F.lit(prior_rate) * (F.col("alpha") + F.col("beta")) + F.log("alpha") + F.log("beta"),
+    log_weight = (
+        F.col("_loglik") - F.lit(prior_rate) * (F.col("alpha") + F.col("beta")) + F.log("alpha") + F.log("beta")
     )
-    # The window holds one experiment's grid points: a fixed-size partition.
     w = Window.partitionBy("experiment_name")
-    unnorm = lw.withColumn("_u", F.exp(F.col("_lw") - F.max("_lw").over(w)))
-    return unnorm.select(
-        "experiment_name",
-        "grid_id",
-        "alpha",
-        "beta",
-        (F.col("_u") / F.sum("_u").over(w)).alias("weight"),
-    )
+    points = points.withColumn("_lw", log_weight)
+    points = points.withColumn("_w", F.exp(F.col("_lw") - F.max("_lw").over(w)))
+    return points.withColumn("weight", F.col("_w") / F.sum("_w").over(w))
+
+
+def posterior_boxes(totals: DataFrame, prior_rate: float = S.PRIOR_RATE) -> DataFrame:
+    """Totals with the box of the last grid of their experiment."""
+    boxed = _first_box(totals)
+    for _ in range(GRID_ROUNDS):
+        points = _weights(_grid_cells(boxed), prior_rate)
+        moments = points.groupBy("experiment_name").agg(
+            F.sum(F.col("weight") * F.col("_u")).alias("_mu"),
+            F.sum(F.col("weight") * F.col("_u") * F.col("_u")).alias("_uu"),
+            F.sum(F.col("weight") * F.col("_v")).alias("_mv"),
+            F.sum(F.col("weight") * F.col("_v") * F.col("_v")).alias("_vv"),
+            F.first("_du").alias("_hu"),
+            F.first("_dv").alias("_hv"),
+        )
 
+        def half(square: str, mean: str, step: str) -> F.Column:
+            sd = F.sqrt(F.greatest(F.col(square) - F.col(mean) * F.col(mean), F.lit(0.0)))
+            return F.lit(GRID_SPAN) * F.greatest(sd, F.col(step) / 4)
 
-def _moments(cells: DataFrame, weights: DataFrame, digits: int) -> DataFrame:
-    """Weighted first two moments of theta per (experiment, variant)."""
-    mom = (
-        cells.join(weights.select("experiment_name", "grid_id", "weight"), ["experiment_name", "grid_id"])
-        .groupBy("experiment_name", "variant_id")
-        .agg(
-            F.sum(F.col("weight") * F.col("m1")).alias("_e1"),
-            F.sum(F.col("weight") * F.col("m2")).alias("_e2"),
+        box = moments.select(
+            "experiment_name",
+            (F.col("_mu") - half("_uu", "_mu", "_hu")).alias("_u0"),
+            (2 * half("_uu", "_mu", "_hu") / F.lit(GRID_POINTS - 1)).alias("_du"),
+            (F.col("_mv") - half("_vv", "_mv", "_hv")).alias("_v0"),
+            (2 * half("_vv", "_mv", "_hv") / F.lit(GRID_POINTS - 1)).alias("_dv"),
         )
+        boxed = boxed.select("experiment_name", "variant_id", "purchases", "users").join(box, "experiment_name")
+    return boxed
+
+
+def posterior_weights(totals: DataFrame, prior_rate: float = S.PRIOR_RATE) -> DataFrame:
+    """(experiment, grid_id) -> alpha, beta, normalised posterior weight, and
+    whether the point is on the grid's outer ring (where next to no weight may be)."""
+    points = _weights(_grid_cells(posterior_boxes(totals, prior_rate)), prior_rate)
+    row, column = F.floor(F.col("grid_id") / GRID_POINTS), F.pmod(F.col("grid_id"), F.lit(GRID_POINTS))
+    edge = row.isin(0, GRID_POINTS - 1) | column.isin(0, GRID_POINTS - 1)
+    return points.select("experiment_name", "grid_id", "alpha", "beta", "weight", edge.alias("on_edge"))
+
+
+def _moments(boxed: DataFrame, prior_rate: float) -> DataFrame:
+    """Mean and sd of theta per (experiment, variant), without a join of cells and weights."""
+    cells = _grid_cells(boxed)
+    point = Window.partitionBy("experiment_name", "grid_id")
+    whole = Window.partitionBy("experiment_name")
+    cells = cells.withColumn(
+        "_lw",
+        F.sum("loglik").over(point) - F.lit(prior_rate) * (F.col("alpha") + F.col("beta")) + F.log("alpha") + F.log("beta"),
+    )
+    cells = cells.withColumn("_w", F.exp(F.col("_lw") - F.max("_lw").over(whole)))
+    mom = cells.groupBy("experiment_name", "variant_id").agg(
+        (F.sum(F.col("_w") * F.col("m1")) / F.sum("_w")).alias("_e1"),
+        (F.sum(F.col("_w") * F.col("m2")) / F.sum("_w")).alias("_e2"),
     )
     sd = F.sqrt(F.greatest(F.col("_e2") - F.col("_e1") * F.col("_e1"), F.lit(0.0)))
     return mom.select(
         "experiment_name",
         "variant_id",
-        F.round("_e1", digits).alias("mean"),
-        F.round(sd, digits).alias("sd"),
+        F.col("_e1").alias("mean"),
+        sd.alias("sd"),
         F.lit(S.POSTERIOR_CLASS).alias("class"),
     )
 
 
-def bayes_summary(
-    gold: DataFrame,
-    points: int = GRID_POINTS,
-    lo: float = GRID_LO,
-    hi: float = GRID_HI,
-    prior_rate: float = S.PRIOR_RATE,
-    digits: int = 10,
-    null_variants: bool = False,
-) -> DataFrame:
+def bayes_summary(gold: DataFrame, prior_rate: float = S.PRIOR_RATE, null_variants: bool = False) -> DataFrame:
     """Posterior mean and sd of each variant's conversion probability."""
-    totals = variant_totals(gold, null_variants=null_variants)
-    cells = _grid_cells(totals, points, lo, hi)
-    weights = posterior_weights(totals, points, lo, hi, prior_rate, cells=cells)
-    return _moments(cells, weights, digits)
+    return _moments(posterior_boxes(variant_totals(gold, null_variants=null_variants), prior_rate), prior_rate)
 
 
 # ---------------------------------------------------------------------------
@@ -188,18 +216,16 @@ DRAW_SCHEMA = T.StructType(
 )
 
 
-def _draw_blocks(batches, points: int, lo: float, hi: float, block_size: int):
-    grid = np.exp(np.linspace(math.log(lo), math.log(hi), points))
+def _draw_blocks(batches, block_size: int):
     for pdf in batches:
         out = []
         for row in pdf.itertuples(index=False):
             w = np.asarray(row.weights, dtype="float64")
-            w = w / w.sum()
             rng = np.random.default_rng(np.uint64(row.seed & 0xFFFFFFFFFFFFFFFF))
             size = int(row.block_rows)
-            g = rng.choice(len(w), size=size, p=w)
-            a = grid[g // points] + float(row.purchases)
-            b = grid[g % points] + float(row.users - row.purchases)
+            g = rng.choice(len(w), size=size, p=w / w.sum())
+            a = np.asarray(row.alphas)[g] + float(row.purchases)
+            b = np.asarray(row.betas)[g] + float(row.users - row.purchases)
             theta = rng.beta(a, b)
             start = int(row.block) * block_size
             out.append(
@@ -216,20 +242,31 @@ def _draw_blocks(batches, points: int, lo: float, hi: float, block_size: int):
             yield pd.concat(out, ignore_index=True)
 
 
-def _draws(
-    totals: DataFrame, weights: DataFrame, n: int, seed: int, points: int, lo: float, hi: float, block_size: int
-) -> DataFrame:
-    """The weight vector per experiment has a fixed length (points^2), so it
-    is carried as one array column; each task produces one block of draws for
-    one variant."""
-    wvec = weights.groupBy("experiment_name").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("grid_id", "weight"))), lambda x: x["weight"]).alias(
-            "weights"
-        )
+def _draws(boxed: DataFrame, n: int, seed: int, prior_rate: float, block_size: int) -> DataFrame:
+    """The grid of an experiment has a fixed length, so it is carried as arrays;
+    each task row produces one block of draws for one variant."""
+    points = _weights(_grid_cells(boxed), prior_rate)
+    grid = points.groupBy("experiment_name").agg(
+        F.array_sort(F.collect_list(F.struct("grid_id", "weight", "alpha", "beta"))).alias("_g")
+    )
+    grid = grid.select(
+        "experiment_name", F.col("_g.weight").alias("weights"), F.col("_g.alpha").alias("alphas"), F.col("_g.beta").alias("betas")
     )
     blocks = (n + block_size - 1) // block_size
+    # An explicit partition count: the rows are tiny but each one is a variant's
+    # Python draws, so AQE must not coalesce them into one task. One task per
+    # core of the cluster spreads the variants without sizing jobs; a variant's
+    # blocks are made after the shuffle, so its grid is shipped once.
+    spark = boxed.sparkSession
+    limit = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no context handle (Spark Connect)
+        cores = limit
     tasks = (
-        totals.join(wvec, "experiment_name")
+        boxed.select("experiment_name", "variant_id", "purchases", "users")
+        .join(grid, "experiment_name")
+        .repartition(max(1, min(limit, cores)), "experiment_name", "variant_id")
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
         .withColumn(
             "block_rows",
@@ -237,34 +274,20 @@ def _draws(
         )
         .withColumn("seed", F.xxhash64(F.lit(seed), "experiment_name", "variant_id", "block"))
     )
-    # An explicit partition count: the rows are tiny but each one is a block
-    # of Python draws, so AQE must not coalesce them into one task. One task
-    # per core of the cluster spreads the blocks without sizing jobs.
-    spark = totals.sparkSession
-    limit = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no context handle (Spark Connect)
-        cores = limit
-    tasks = tasks.repartition(max(1, min(limit, cores)), "experiment_name", "variant_id", "block")
-    return tasks.mapInPandas(functools.partial(_draw_blocks, points=points, lo=lo, hi=hi, block_size=block_size), DRAW_SCHEMA)
+    return tasks.mapInPandas(functools.partial(_draw_blocks, block_size=block_size), DRAW_SCHEMA)
 
 
 def posterior_draws(
     gold: DataFrame,
     n: int = S.POSTERIOR_SAMPLES,
     seed: int = 0,
-    points: int = GRID_POINTS,
-    lo: float = GRID_LO,
-    hi: float = GRID_HI,
     prior_rate: float = S.PRIOR_RATE,
     block_size: int = 1000,
     null_variants: bool = False,
 ) -> DataFrame:
     """``n`` posterior draws of theta per (experiment, variant)."""
-    totals = variant_totals(gold, null_variants=null_variants)
-    weights = posterior_weights(totals, points, lo, hi, prior_rate)
-    return _draws(totals, weights, n, seed, points, lo, hi, block_size)
+    boxed = posterior_boxes(variant_totals(gold, null_variants=null_variants), prior_rate)
+    return _draws(boxed, n, seed, prior_rate, block_size)
 
 
 def hdi(draws: DataFrame, prob: float = S.HDI_PROB, value: str = "theta") -> DataFrame:
@@ -395,20 +418,14 @@ def bayes_report(
     n: int = S.POSTERIOR_SAMPLES,
     seed: int = 0,
     prob: float = S.HDI_PROB,
-    points: int = GRID_POINTS,
-    lo: float = GRID_LO,
-    hi: float = GRID_HI,
     prior_rate: float = S.PRIOR_RATE,
     block_size: int = 1000,
     null_variants: bool = False,
 ) -> DataFrame:
-    """Summary (exact mean, sd) with draw-based HDIs; the grid weights are
-    computed once and feed both."""
-    totals = variant_totals(gold, null_variants=null_variants)
-    cells = _grid_cells(totals, points, lo, hi)
-    weights = posterior_weights(totals, points, lo, hi, prior_rate, cells=cells)
-    summary = _moments(cells, weights, 10)
-    intervals = hdi(_draws(totals, weights, n, seed, points, lo, hi, block_size), prob).select(
+    """Summary (exact mean, sd) with draw-based HDIs, from one fit of the grid."""
+    boxed = posterior_boxes(variant_totals(gold, null_variants=null_variants), prior_rate)
+    summary = _moments(boxed, prior_rate)
+    intervals = hdi(_draws(boxed, n, seed, prior_rate, block_size), prob).select(
         F.col("experiment_name").alias("_e"), F.col("variant_id").alias("_v"), "hdi_low", "hdi_high"
     )
     cond = (F.col("experiment_name") == F.col("_e")) & F.col("variant_id").eqNullSafe(F.col("_v"))

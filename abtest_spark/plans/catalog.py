@@ -218,6 +218,21 @@ def _rounded(test: DataFrame) -> DataFrame:
     return test.withColumns({c: F.round(c, 9) for c in ("chi2_statistic", "p_value")})
 
 
+def _summary_rounded(summary: DataFrame) -> DataFrame:
+    return summary.withColumns({"mean": F.round("mean", 9), "sd": F.round("sd", 7)})
+
+
+def q_bayes_many(spark, sf_dir):
+    """Summary of an experiment with a hundred variants: every event is in
+    variant user_id % 100, a purchase event converts."""
+    e = read_table(spark, sf_dir, "events")
+    gold = e.groupBy((F.col("user_id") % 100).cast("string").alias("variant_id")).agg(
+        F.count(F.lit(1)).alias("users"), F.count_if(F.col("event_type") == "purchase").alias("purchases")
+    )
+    gold = gold.withColumn("day", F.lit(None).cast("date")).withColumn("experiment_name", F.lit("hundred"))
+    return _summary_rounded(B.bayes_summary(gold))
+
+
 def q_csv_reordered(spark, sf_dir):
     """Raw stream exported with other columns around and in another order, then
     scanned: columns are bound by the header's names."""
@@ -357,7 +372,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "variant_totals": lambda s, d: B.variant_totals(_gold_table(s, d)),
     "variant_code": lambda s, d: B.variant_code(_gold(s, d)),
     "bayes_grid_weights": q_bayes_grid_weights,
-    "bayes_summary": lambda s, d: B.bayes_summary(_gold_table(s, d)),
+    "bayes_summary": lambda s, d: _summary_rounded(B.bayes_summary(_gold_table(s, d))),
+    "bayes_summary_many_variants": q_bayes_many,
     "bayes_draws": q_bayes_draws,
     "bayes_hdi": q_bayes_hdi,
     "bayes_comparison": q_bayes_comparison,
@@ -489,30 +505,53 @@ _CHI2_UNCUT = _CHI2.replace("event_type = 'purchase' AND value > 80", "event_typ
 assert _CHI2_UNCUT != _CHI2
 
 
-def _grid_sql(points: int = B.GRID_POINTS, lo: float = B.GRID_LO, hi: float = B.GRID_HI) -> str:
-    step = (math.log(hi) - math.log(lo)) / (points - 1)
-    l0 = math.log(lo)
-    return f"""
+def _grid_sql() -> str:
+    """The self-fitting grid of operators.bayes in SQL: a first grid and GRID_ROUNDS more."""
+    p = B.GRID_POINTS
+    out = [
+        f"""
 totals AS (
   SELECT experiment_name, variant_id, CAST(sum(purchases) AS BIGINT) AS purchases, CAST(sum(users) AS BIGINT) AS users
   FROM multi WHERE variant_id IS NOT NULL GROUP BY 1, 2),
-gcells0 AS (SELECT t.*, unnest(range(0, {points * points})) AS grid_id FROM totals t),
-gcells AS (
-  SELECT experiment_name, variant_id, grid_id, a AS alpha, b AS beta,
-         lgamma(a + purchases) + lgamma(b + users - purchases) - lgamma(a + b + users)
-           - (lgamma(a) + lgamma(b) - lgamma(a + b)) AS loglik,
+box0 AS (
+  SELECT experiment_name, {-B.U_END!r} AS u0, {2 * B.U_END / (p - 1)!r} AS du, {math.log(B.SUM_LO)!r} AS v0,
+         (ln((count(*) + 1) * {B.SUM_PER_VARIANT!r}) - {math.log(B.SUM_LO)!r}) / {p - 1} AS dv
+  FROM totals GROUP BY 1)"""
+    ]
+    for r in range(B.GRID_ROUNDS + 1):
+        out.append(
+            f"""
+cells{r} AS (
+  SELECT *, lgamma(a + purchases) + lgamma(b + users - purchases) - lgamma(a + b + users)
+              - (lgamma(a) + lgamma(b) - lgamma(a + b)) AS loglik,
          (a + purchases) / (a + b + users) AS m1,
          (a + purchases) * (a + purchases + 1) / ((a + b + users) * (a + b + users + 1)) AS m2
-  FROM (SELECT *, exp({l0!r} + CAST(grid_id // {points} AS DOUBLE) * {step!r}) AS a,
-                  exp({l0!r} + CAST(grid_id % {points} AS DOUBLE) * {step!r}) AS b FROM gcells0)),
-glw AS (
-  SELECT experiment_name, grid_id, min(alpha) AS alpha, min(beta) AS beta,
-         sum(loglik) - {S.PRIOR_RATE!r} * (min(alpha) + min(beta)) + ln(min(alpha)) + ln(min(beta)) AS lw
-  FROM gcells GROUP BY 1, 2),
-gw0 AS (SELECT *, exp(lw - max(lw) OVER (PARTITION BY experiment_name)) AS u FROM glw),
-gw AS (SELECT experiment_name, grid_id, alpha, beta, u / sum(u) OVER (PARTITION BY experiment_name) AS weight FROM gw0)"""
-
-
+  FROM (SELECT *, exp(v) * exp(u) / (exp(u) + 1) AS a, exp(v) / (exp(u) + 1) AS b
+        FROM (SELECT *, u0 + (grid_id // {p}) * du AS u, v0 + (grid_id % {p}) * dv AS v
+              FROM (SELECT t.*, x.u0, x.du, x.v0, x.dv, unnest(range(0, {p * p})) AS grid_id
+                    FROM totals t JOIN box{r} x USING (experiment_name))))),
+lw{r} AS (
+  SELECT experiment_name, grid_id, min(u) AS u, min(v) AS v, min(du) AS du, min(dv) AS dv,
+         sum(loglik) - {S.PRIOR_RATE!r} * (min(a) + min(b)) + ln(min(a)) + ln(min(b)) AS lw
+  FROM cells{r} GROUP BY 1, 2),
+w{r} AS (
+  SELECT *, e / sum(e) OVER (PARTITION BY experiment_name) AS weight
+  FROM (SELECT *, exp(lw - max(lw) OVER (PARTITION BY experiment_name)) AS e FROM lw{r}))"""
+        )
+        if r < B.GRID_ROUNDS:
+            half = "{s} * greatest(sqrt(greatest(sum(weight * {x} * {x}) - sum(weight * {x}) * sum(weight * {x}), 0.0)), min(d{x}) / 4)"
+            hu, hv = (half.format(s=repr(B.GRID_SPAN), x=x) for x in "uv")
+            out.append(
+                f"""
+box{r + 1} AS (
+  SELECT experiment_name, sum(weight * u) - {hu} AS u0, 2 * {hu} / {p - 1} AS du,
+         sum(weight * v) - {hv} AS v0, 2 * {hv} / {p - 1} AS dv
+  FROM w{r} GROUP BY 1)"""
+            )
+    return ",".join(out)
+
+
+_LAST = B.GRID_ROUNDS
 _BAYES = _GOLD + "," + _grid_sql()
 
 _DAILY_HDI = _GOLD + """,
@@ -700,13 +739,13 @@ ORACLE_SQL: dict[str, str] = {
              CAST(dense_rank() OVER (PARTITION BY experiment_name ORDER BY variant_id) - 1 AS INTEGER) AS variant_code
       FROM (SELECT DISTINCT experiment_name, variant_id FROM gold WHERE variant_id IS NOT NULL)""",
     "bayes_grid_weights": "WITH " + _BAYES + """
-      SELECT experiment_name, CAST(grid_id AS INTEGER) AS grid_id, round(weight, 9) AS weight FROM gw""",
+      SELECT experiment_name, CAST(grid_id AS INTEGER) AS grid_id, round(weight, 9) AS weight FROM w""" + str(_LAST),
     "bayes_summary": "WITH " + _BAYES + f""",
       mom AS (
         SELECT c.experiment_name, c.variant_id, sum(w.weight * c.m1) AS e1, sum(w.weight * c.m2) AS e2
-        FROM gcells c JOIN gw w ON c.experiment_name = w.experiment_name AND c.grid_id = w.grid_id
+        FROM cells{_LAST} c JOIN w{_LAST} w ON c.experiment_name = w.experiment_name AND c.grid_id = w.grid_id
         GROUP BY 1, 2)
-      SELECT experiment_name, variant_id, round(e1, 10) AS mean, round(sqrt(greatest(e2 - e1 * e1, 0.0)), 10) AS sd,
+      SELECT experiment_name, variant_id, round(e1, 9) AS mean, round(sqrt(greatest(e2 - e1 * e1, 0.0)), 7) AS sd,
              '{S.POSTERIOR_CLASS}' AS class
       FROM mom""",
     "daily_rate_hdi": "WITH " + _DAILY_HDI + " SELECT * FROM hdi",
@@ -776,3 +815,10 @@ ORACLE_SQL: dict[str, str] = {
 }
 
 ORACLE_SQL["quality_layer_clustered"] = ORACLE_SQL["quality_report"]
+ORACLE_SQL["bayes_summary_many_variants"] = (
+    """WITH multi AS (
+  SELECT 'hundred' AS experiment_name, CAST(user_id % 100 AS VARCHAR) AS variant_id,
+         count(*) AS users, count_if(event_type = 'purchase') AS purchases
+  FROM events GROUP BY 2),"""
+    + ORACLE_SQL["bayes_summary"][len("WITH " + _GOLD + ",") :]
+)

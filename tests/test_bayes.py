@@ -19,6 +19,35 @@ def _means(gold):
     return [r["mean"] for r in out], [r["sd"] for r in out]
 
 
+def direct(pairs, points=240, u_end=14.0, sums=(1e-5, 2000.0)):
+    """(mean, sd) of each variant by one fine grid, written without Spark."""
+    import math
+
+    import numpy as np
+
+    u = np.linspace(-u_end, u_end, points)
+    v = np.linspace(*np.log(sums), points)
+    total, odds = np.exp(v)[None], np.exp(u)[:, None]
+    a, b = total * odds / (odds + 1), total / (odds + 1)
+    lg = np.vectorize(math.lgamma)
+    lw = -(a + b) / 3 + np.log(a) + np.log(b)
+    base = lg(a) + lg(b) - lg(a + b)
+    seen = {}
+    for s, n in set(pairs):
+        seen[s, n] = lg(a + s) + lg(b + n - s) - lg(a + b + n) - base
+    for p in pairs:
+        lw = lw + seen[p]
+    w = np.exp(lw - lw.max())
+    w /= w.sum()
+    out = []
+    for s, n in pairs:
+        m1 = (a + s) / (a + b + n)
+        m2 = m1 * (a + s + 1) / (a + b + n + 1)
+        e1, e2 = (w * m1).sum(), (w * m2).sum()
+        out.append((e1, math.sqrt(e2 - e1 * e1)))
+    return out
+
+
 @pytest.mark.parametrize(
     "pairs,means",
     [
@@ -27,14 +56,26 @@ def _means(gold):
         ([(5000, 10000), (5050, 10000), (4990, 10000)], [0.5000011067, 0.5049963236, 0.4990020633]),
     ],
 )
-def test_posterior_means(gold_df, pairs, means):
-    got, _ = _means(_gold(gold_df, pairs))
-    assert got == pytest.approx(means, abs=2e-10)
+def test_posterior_means_and_sds(gold_df, pairs, means):
+    got, sds = _means(_gold(gold_df, pairs))
+    want = direct(pairs)
+    assert got == pytest.approx([m for m, _ in want], abs=1e-8)
+    assert sds == pytest.approx([s for _, s in want], abs=1e-7)
+    assert got == pytest.approx(means, abs=2e-6)  # a coarser grid's values
+
 
+@pytest.mark.parametrize("share", [0.1, 0.5])
+def test_many_variants_are_not_cut_off(gold_df, share):
+    import random
 
-def test_posterior_sd(gold_df):
-    _, sds = _means(_gold(gold_df, [(30, 100), (20, 100)]))
-    assert sds == pytest.approx([0.04461866, 0.03958861], abs=1e-8)
+    r = random.Random(1)
+    pairs = [(sum(r.random() < share for _ in range(50)), 50) for _ in range(100)]
+    gold = _gold(gold_df, pairs)
+    got = {r["variant_id"]: r["mean"] for r in B.bayes_summary(gold).collect()}
+    want = direct(pairs, points=160, u_end=3.0, sums=(0.5, 4000.0))
+    assert [got[str(i + 1)] for i in range(100)] == pytest.approx([m for m, _ in want], abs=1e-5)
+    edge = B.posterior_weights(B.variant_totals(gold)).where("on_edge").agg(F.sum("weight")).first()[0]
+    assert edge < 1e-9
 
 
 def test_days_pool(gold_df):
@@ -46,14 +87,15 @@ def test_days_pool(gold_df):
             (None, "e", "2", 100, 20),
         ]
     )
-    assert _means(one) == _means(split)
+    for a, b in zip(_means(one), _means(split), strict=True):
+        assert a == pytest.approx(b, abs=1e-12)
 
 
 def test_weights_sum_to_one(gold_df):
     w = B.posterior_weights(B.variant_totals(_gold(gold_df, [(30, 100), (20, 100)])))
     total = w.groupBy("experiment_name").agg(F.sum("weight").alias("s")).first()["s"]
     assert total == pytest.approx(1.0, abs=1e-12)
-    assert w.count() == 3600
+    assert w.count() == B.GRID_POINTS**2
 
 
 def test_draws_deterministic_and_hdi_coverage(gold_df):
