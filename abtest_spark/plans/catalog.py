@@ -233,6 +233,50 @@ def q_bayes_many(spark, sf_dir):
     return _summary_rounded(B.bayes_summary(gold))
 
 
+def q_bayes_draws_check(spark, sf_dir):
+    """Seeded draws against the exact posterior: their number, mean and sd (four
+    standard errors), the share inside the interval, and the histogram's total."""
+    gold = _gold_table(spark, sf_dir)
+    key = ["experiment_name", "variant_id"]
+    checkpoint_dir(spark)
+    draws = B.posterior_draws(gold).checkpoint(eager=True)
+    inside = F.col("theta").between(F.col("hdi_low"), F.col("hdi_high"))
+    moments = draws.join(B.hdi(draws), key).groupBy(*key).agg(
+        F.count(F.lit(1)).alias("draws"),
+        F.avg("theta").alias("m"),
+        F.stddev("theta").alias("s"),
+        F.count_if(inside).alias("inside"),
+    )
+    bins = B.posterior_histogram(draws).groupBy(*key).agg(F.sum("draws").alias("binned"), F.max("bin").alias("bins"))
+    n, error = F.col("draws"), F.col("sd") / F.sqrt("draws")
+    return (
+        moments.join(bins, key)
+        .join(B.bayes_summary(gold), key)
+        .select(
+            *key,
+            "draws",
+            (F.abs(F.col("m") - F.col("mean")) <= 4 * error).alias("mean_ok"),
+            (F.abs(F.col("s") - F.col("sd")) <= 4 * error).alias("sd_ok"),
+            (F.col("inside") == F.floor(n * S.HDI_PROB) + 1).alias("hdi_ok"),
+            ((F.col("binned") == n) & (F.col("bins") == 30)).alias("histogram_ok"),
+        )
+    )
+
+
+def q_bayes_comparison_means(spark, sf_dir):
+    """The comparison's pairs and exact means, with a given control in one experiment."""
+    report = B.bayes_report(_gold_table(spark, sf_dir), n=200)
+    pairs = B.bayes_comparison(report, {"search/ranking": "2", "no/such": "1"})
+    return pairs.select(
+        "experiment_name",
+        "variant",
+        "control",
+        F.round("control_mean", 9).alias("control_mean"),
+        F.round("test_mean", 9).alias("test_mean"),
+        "control_found",
+    )
+
+
 def q_csv_reordered(spark, sf_dir):
     """Raw stream exported with other columns around and in another order, then
     scanned: columns are bound by the header's names."""
@@ -376,6 +420,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bayes_summary_many_variants": q_bayes_many,
     "bayes_draws": q_bayes_draws,
     "bayes_hdi": q_bayes_hdi,
+    "bayes_draws_check": q_bayes_draws_check,
+    "bayes_comparison_means": q_bayes_comparison_means,
     "bayes_comparison": q_bayes_comparison,
     "posterior_histogram": q_posterior_histogram,
     "daily_rate_hdi": q_daily_rate_hdi,
@@ -822,3 +868,15 @@ ORACLE_SQL["bayes_summary_many_variants"] = (
   FROM events GROUP BY 2),"""
     + ORACLE_SQL["bayes_summary"][len("WITH " + _GOLD + ",") :]
 )
+ORACLE_SQL["bayes_draws_check"] = "WITH " + _BAYES + """
+      SELECT experiment_name, variant_id, CAST(5000 AS BIGINT) AS draws, true AS mean_ok, true AS sd_ok,
+             true AS hdi_ok, true AS histogram_ok FROM totals"""
+ORACLE_SQL["bayes_comparison_means"] = (
+    "WITH summary AS ("
+    + ORACLE_SQL["bayes_summary"]
+    + """),
+      c AS (SELECT *, CASE WHEN experiment_name = 'search/ranking' THEN '2' ELSE min(variant_id) OVER (PARTITION BY experiment_name) END AS control
+            FROM summary)
+      SELECT t.experiment_name, t.variant_id AS variant, t.control, k.mean AS control_mean, t.mean AS test_mean, true AS control_found
+      FROM c t JOIN c k ON t.experiment_name = k.experiment_name AND k.variant_id = t.control WHERE t.variant_id <> t.control"""
+)
