@@ -1,7 +1,7 @@
 """Per-(experiment, day) result documents and their lookup.
 
 A result names the day's participants, the winning variant (most
-purchases; ties go to the smallest variant id) and the variant list. Lookups
+purchases; ties go to the smallest variant id, whole numbers by value) and the variant list. Lookups
 take the experiment slug (``/`` written as ``|``) and a ``YYYY-MM-DD`` day;
 a request without data gets the not-found detail text instead of a result.
 
@@ -22,30 +22,36 @@ def _addressable(gold: DataFrame) -> DataFrame:
     return gold.where(F.col("day").isNotNull() & F.col("variant_id").isNotNull())
 
 
+def _id_order(col: str = "variant_id") -> F.Column:
+    """Sort key of variant ids: whole numbers by value, then the others as text."""
+    number = F.col(col).try_cast("decimal(38,0)")
+    plain = F.when(number.cast("string") == F.col(col), number)
+    return F.struct(plain.isNull().alias("text"), plain.alias("number"), F.col(col).alias("id"))
+
+
 def experiment_results(gold: DataFrame) -> DataFrame:
     """One row per (experiment, day): the nested result document.
 
-    ``variants`` is an array of structs ordered by id; its length is the
-    number of variants of one experiment (small), so the collect is bounded.
+    ``variants`` is an array of structs ordered by id (whole numbers by value);
+    its length is the number of variants of one experiment (small), so the
+    collect is bounded.
     """
     return (
         _addressable(gold)
         .groupBy("experiment_name", "day")
         .agg(
             F.sum("users").cast("long").alias("number_of_participants"),
-            F.min(F.struct((-F.col("purchases")).alias("p"), F.col("variant_id").alias("id"))).alias("_best"),
-            F.array_sort(
-                F.collect_list(
-                    F.struct(F.col("variant_id").alias("id"), F.col("purchases").alias("number_of_purchases"))
-                )
-            ).alias("variants"),
+            F.min(F.struct((-F.col("purchases")).alias("p"), _id_order().alias("o"))).alias("_best"),
+            F.array_sort(F.collect_list(F.struct(_id_order().alias("o"), F.col("purchases").alias("n")))).alias("_v"),
         )
         .select(
             experiment_slug("experiment_name").alias("exp_name"),
             "day",
             "number_of_participants",
-            F.col("_best.id").alias("winner"),
-            "variants",
+            F.col("_best.o.id").alias("winner"),
+            F.transform(
+                "_v", lambda v: F.struct(v["o"]["id"].alias("id"), v["n"].alias("number_of_purchases"))
+            ).alias("variants"),
         )
     )
 
@@ -73,28 +79,36 @@ def winners(gold: DataFrame) -> DataFrame:
     return (
         _addressable(gold)
         .groupBy("experiment_name", "day")
-        .agg(F.min(F.struct((-F.col("purchases")).alias("p"), F.col("variant_id").alias("id"))).alias("_best"))
+        .agg(F.min(F.struct((-F.col("purchases")).alias("p"), _id_order().alias("o"))).alias("_best"))
         .select(
             "experiment_name",
             "day",
-            F.col("_best.id").alias("winner"),
+            F.col("_best.o.id").alias("winner"),
             (-F.col("_best.p")).alias("winner_purchases"),
         )
     )
 
 
+def _body(exp_name: F.Column, day: F.Column) -> F.Column:
+    """``{"results": {...}}`` as JSON. Ids are numbers if all of the document's are whole numbers."""
+
+    def document(cast: str) -> F.Column:
+        variants = F.transform(
+            "variants", lambda v: F.struct(v["id"].try_cast(cast).alias("id"), v["number_of_purchases"])
+        )
+        winner = F.col("winner").try_cast(cast).alias("winner")
+        inner = F.struct(
+            exp_name.alias("exp_name"), day.alias("day"), "number_of_participants", winner, variants.alias("variants")
+        )
+        return F.to_json(F.struct(inner.alias("results")))
+
+    whole = F.forall("variants", lambda v: F.coalesce(v["id"].try_cast("long").cast("string") == v["id"], F.lit(False)))
+    return F.when(whole, document("long")).otherwise(document("string"))
+
+
 def result_json(results: DataFrame) -> DataFrame:
     """exp_name, day, and the response body ``{"results": {...}}`` as JSON."""
-    body = F.struct(
-        F.struct(
-            "exp_name",
-            F.date_format("day", "yyyy-MM-dd").alias("day"),
-            "number_of_participants",
-            "winner",
-            "variants",
-        ).alias("results")
-    )
-    return results.select("exp_name", "day", F.to_json(body).alias("json"))
+    return results.select("exp_name", "day", _body(F.col("exp_name"), F.date_format("day", "yyyy-MM-dd")).alias("json"))
 
 
 def lookup_results(results: DataFrame, requests: DataFrame) -> DataFrame:
@@ -120,17 +134,7 @@ def lookup_results(results: DataFrame, requests: DataFrame) -> DataFrame:
         S.NOT_FOUND_TEMPLATE.replace("{exp}", "%s").replace("{day}", "%s"), F.col("_req_exp"), F.col("_req_day")
     )
     found = F.col("_res_day").isNotNull()
-    body = F.to_json(
-        F.struct(
-            F.struct(
-                F.col("_req_exp").alias("exp_name"),
-                F.col("_res_day").alias("day"),
-                "number_of_participants",
-                "winner",
-                "variants",
-            ).alias("results")
-        )
-    )
+    body = _body(F.col("_req_exp"), F.col("_res_day"))
     missing = F.to_json(F.struct(detail.alias("detail")))
     return joined.select(
         F.col("_req_exp").alias("exp_name"),

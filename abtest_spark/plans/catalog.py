@@ -822,8 +822,8 @@ ORACLE_SQL: dict[str, str] = {
     "experiment_result_json": "WITH " + _GOLD + """,
       res AS (
         SELECT replace(experiment_name, '/', '|') AS exp_name, day, CAST(sum(users) AS BIGINT) AS number_of_participants,
-               arg_min(variant_id, (-purchases, variant_id)) AS winner,
-               list_sort(list({'id': variant_id, 'number_of_purchases': purchases})) AS variants
+               CAST(arg_min(variant_id, (-purchases, variant_id)) AS BIGINT) AS winner,
+               list_sort(list({'id': CAST(variant_id AS BIGINT), 'number_of_purchases': purchases})) AS variants
         FROM gold WHERE day IS NOT NULL AND variant_id IS NOT NULL GROUP BY experiment_name, day)
       SELECT exp_name, day,
              CAST(to_json({'results': {'exp_name': exp_name, 'day': strftime(day, '%Y-%m-%d'),
@@ -837,8 +837,8 @@ ORACLE_SQL: dict[str, str] = {
       res AS (
         SELECT replace(experiment_name, '/', '|') AS exp_name, strftime(day, '%Y-%m-%d') AS day,
                CAST(sum(users) AS BIGINT) AS number_of_participants,
-               arg_min(variant_id, (-purchases, variant_id)) AS winner,
-               list_sort(list({'id': variant_id, 'number_of_purchases': purchases})) AS variants
+               CAST(arg_min(variant_id, (-purchases, variant_id)) AS BIGINT) AS winner,
+               list_sort(list({'id': CAST(variant_id AS BIGINT), 'number_of_purchases': purchases})) AS variants
         FROM gold WHERE day IS NOT NULL AND variant_id IS NOT NULL GROUP BY experiment_name, day),
       span AS (
         SELECT replace(experiment_name, '/', '|') AS exp_name, min(day) AS d0, max(day) AS d1
@@ -851,7 +851,7 @@ ORACLE_SQL: dict[str, str] = {
                res.variants,
                CASE WHEN res.day IS NULL THEN 'No data found for experiment ''' || req.exp_name || ''' on day ''' || req.day || '''' END AS detail
         FROM req LEFT JOIN res ON req.exp_name = res.exp_name AND req.day = res.day)
-      SELECT exp_name, day, found, number_of_participants, winner, detail,
+      SELECT exp_name, day, found, number_of_participants, CAST(winner AS VARCHAR) AS winner, detail,
              CAST(CASE WHEN found THEN 200 ELSE 404 END AS INTEGER) AS status,
              CASE WHEN found
                   THEN CAST(to_json({'results': {'exp_name': exp_name, 'day': day,

@@ -11,34 +11,34 @@ D = dt.date(2021, 8, 1)
 def test_sample_document(gold_df, spark):
     gold = gold_df(
         [
-            (D, "qadb/sa-on-vip", "1", 1500, 1500),
-            (D, "qadb/sa-on-vip", "2", 1200, 1200),
-            (D, "qadb/sa-on-vip", "3", 800, 800),
+            (D, "shop/tiles", "1", 1500, 1500),
+            (D, "shop/tiles", "2", 1200, 1200),
+            (D, "shop/tiles", "3", 800, 800),
         ]
     )
     res = R.experiment_results(gold)
     doc = json.loads(R.result_json(res).first()["json"])
     assert doc == {
         "results": {
-            "exp_name": "qadb|sa-on-vip",
+            "exp_name": "shop|tiles",
             "day": "2021-08-01",
             "number_of_participants": 3500,
-            "winner": "1",
+            "winner": 1,
             "variants": [
-                {"id": "1", "number_of_purchases": 1500},
-                {"id": "2", "number_of_purchases": 1200},
-                {"id": "3", "number_of_purchases": 800},
+                {"id": 1, "number_of_purchases": 1500},
+                {"id": 2, "number_of_purchases": 1200},
+                {"id": 3, "number_of_purchases": 800},
             ],
         }
     }
-    req = spark.createDataFrame([("qadb|sa-on-vip", "2021-08-01"), ("qadb|sa-on-vip", "2024-08-01")], "exp_name string, day string")
+    req = spark.createDataFrame([("shop|tiles", "2021-08-01"), ("shop|tiles", "2024-08-01")], "exp_name string, day string")
     out = {r["day"]: r for r in R.lookup_results(res, req).collect()}
     assert out["2021-08-01"]["found"] and out["2021-08-01"]["winner"] == "1"
-    assert out["2024-08-01"]["detail"] == "No data found for experiment 'qadb|sa-on-vip' on day '2024-08-01'"
+    assert out["2024-08-01"]["detail"] == "No data found for experiment 'shop|tiles' on day '2024-08-01'"
     assert out["2021-08-01"]["status"] == 200 and json.loads(out["2021-08-01"]["response"]) == doc
     assert out["2024-08-01"]["status"] == 404
     assert json.loads(out["2024-08-01"]["response"]) == {
-        "detail": "No data found for experiment 'qadb|sa-on-vip' on day '2024-08-01'"
+        "detail": "No data found for experiment 'shop|tiles' on day '2024-08-01'"
     }
 
 
@@ -48,6 +48,16 @@ def test_winner_tie_goes_to_smallest_id(gold_df):
     assert w["winner"] == "1" and w["winner_purchases"] == 5
 
 
+def test_ids_by_value_and_as_text(gold_df):
+    gold = gold_df(
+        [(D, "n", "10", 9, 5), (D, "n", "2", 9, 5), (D, "m", "10", 9, 1), (D, "m", "b", 9, 5), (D, "m", "02", 9, 5)]
+    )
+    docs = {r["exp_name"]: json.loads(r["json"])["results"] for r in R.result_json(R.experiment_results(gold)).collect()}
+    assert docs["n"]["winner"] == 2 and [v["id"] for v in docs["n"]["variants"]] == [2, 10]
+    assert docs["m"]["winner"] == "02" and [v["id"] for v in docs["m"]["variants"]] == ["10", "02", "b"]
+    assert {w["experiment_name"]: w["winner"] for w in R.winners(gold).collect()} == {"n": "2", "m": "02"}
+
+
 def test_calendar_requests_include_day_after(gold_df):
     gold = gold_df([(D, "e", "1", 1, 0), (D + dt.timedelta(days=2), "e", "1", 1, 0)])
     days = sorted(r["day"] for r in R.calendar_requests(gold).collect())
