@@ -112,6 +112,6 @@ def test_results_random_with_ties(gold_df):
     for key, vs in want.items():
         r = got[key]
         assert r["number_of_participants"] == sum(u for _, u, _ in vs)
-        best = min(vs, key=lambda t: (-t[2], t[0]))
+        best = min(vs, key=lambda t: (-t[2], int(t[0])))
         assert r["winner"] == best[0]
-        assert [(x["id"], x["number_of_purchases"]) for x in r["variants"]] == sorted((v, p) for v, _, p in vs)
+        assert [(x["id"], x["number_of_purchases"]) for x in r["variants"]] == sorted(((v, p) for v, _, p in vs), key=lambda t: int(t[0]))
