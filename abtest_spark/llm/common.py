@@ -10,7 +10,18 @@ from pyspark.sql import functions as F
 from abtest_spark.session import checkpoint_dir
 
 
+ARROW_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_ROWS = 1000  # rows of an Arrow batch: texts are long, and a batch is held whole in the JVM and in Python
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keeps the session's Arrow batches to ARROW_ROWS rows, which bounds the memory of tasks with texts."""
+    if int(spark.conf.get(ARROW_CONF)) > ARROW_ROWS:
+        spark.conf.set(ARROW_CONF, str(ARROW_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

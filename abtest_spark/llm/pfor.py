@@ -33,7 +33,7 @@ BLOCK = 128
 PERCENTILE = 0.9
 FILE_IDS = 8_000_000  # ids after which a partition begins its next file
 SEGMENT = 1 << 19  # ids packed or unpacked at once
-MEMO = 150_000  # chunks and words remembered per Python worker and generation
+MEMO = 180_000  # chunks and words remembered per Python worker and generation
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -221,8 +221,7 @@ def library_memo(path: str) -> Memo:
     words = Memo(word, MEMO)
 
     def chunk(text: str) -> bytes:
-        found = split(text)
-        return word(found[0]) if len(found) == 1 else b"".join([words[p] for p in found])
+        return b"".join([words[p] for p in split(text)])
 
     return Memo(chunk, MEMO)
 
@@ -249,7 +248,7 @@ def write_token_files(
     )
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = worker_cache(("pfor", tokenizer_path), lambda: library_memo(tokenizer_path))
+        memo = worker_cache("pfor", (tokenizer_path,), lambda: library_memo(tokenizer_path))
         end = np.array([end_id], "<u4").tobytes()
         fs, base = shared_fs(folder)
         fs.create_dir(base, recursive=True)

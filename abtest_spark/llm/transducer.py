@@ -27,12 +27,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from abtest_spark.llm.common import scratch, shared_fs
-from abtest_spark.llm.words import Memo, Splitter, byte_alphabet, chunks, worker_cache
+from abtest_spark.llm.words import Splitter, byte_alphabet, chunks
 
 LEXICON_WORDS = 50_000  # most frequent words that are compiled
-COUNT_FLUSH = 200_000  # distinct chunks a counting task holds before it emits them
-MEMO = 250_000  # chunks remembered per Python worker and generation
+COUNT_FLUSH = 100_000  # distinct chunks a counting task holds before it emits them
+MEMO = 100_000  # chunks remembered per Python worker and generation
+CHUNKS_AT_ONCE = 200_000  # chunks of texts that are encoded together
+LONG_WORD = 64  # bytes from which a word is merged by itself
+NO_RANK = 1 << 30
 MAGIC = b"ACYCLIC1"
+#: The file's arrays: arcs (state, label), their targets, words before them, output starts, outputs, final states.
+KINDS = ("<i8", "<u4", "<u4", "<u4", "u1", "u1")
 
 
 class Merger:
@@ -41,47 +46,94 @@ class Merger:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             model = json.load(f)
-        self.vocab, merges = model["model"]["vocab"], model["model"]["merges"]
-        self.end = model["model"]["end_of_word_suffix"] or ""
-        self.added = {t["content"]: t["id"] for t in model["added_tokens"]}
+        vocab, merges, end = (model["model"][k] for k in ("vocab", "merges", "end_of_word_suffix"))
         sign = byte_alphabet()
-        self.inner = [self.vocab[c] for c in sign]
-        self.final = [self.vocab[c + self.end] for c in sign]
+        self.inner = [vocab[c] for c in sign]
+        self.final = [vocab[c + (end or "")] for c in sign]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in merges)
-        self.rank = {(self.vocab[a], self.vocab[b]): (k, self.vocab[a + b]) for k, (a, b) in enumerate(pairs)}
-
-    def ids(self, word: bytes) -> list[int]:
-        """Repeatedly joins the leftmost pair of lowest rank."""
-        s = [self.inner[b] for b in word[:-1]] + [self.final[b] for b in word[-1:]]
-        if len(s) > 64:
-            return self._long(s)
-        rank = self.rank.get
-        while len(s) > 1:
-            found = [(p[0], i, p[1]) for i, p in enumerate(map(rank, zip(s, s[1:], strict=False))) if p]
-            if not found:
-                break
-            _, i, joined = min(found)
-            s[i : i + 2] = [joined]
-        return s
-
-    def _long(self, s: list[int]) -> list[int]:
-        """The same with a heap and linked neighbours, n log n in the word's length."""
+        triples = np.array([(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs], np.int64).reshape(-1, 3)
+        keys = triples[:, 0] << 32 | triples[:, 1]
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.rank_of, self.joined = np.append(keys[order], -1), np.append(order, NO_RANK), triples[:, 2]
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Merge rank of each pair, NO_RANK where there is none."""
+        key = left << 32 | right
+        at = np.searchsorted(self.keys[:-1], key)
+        return np.where(self.keys[at] == key, self.rank_of[at], NO_RANK)
+
+    def start(self, word: bytes) -> list[int]:
+        """The symbols of a word before any merge."""
+        return [self.inner[b] for b in word[:-1]] + [self.final[b] for b in word[-1:]]
+
+    def ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word as little-endian uint32: repeatedly joins the leftmost pair of lowest rank.
+
+        Words of one length are merged together, a step of all of them at once.
+        """
+        out: list[bytes] = [b""] * len(words)
+        inner, final = np.array(self.inner), np.array(self.final)
+        for size, places in same_length(words).items():
+            if size > LONG_WORD:
+                for i in places:
+                    out[i] = np.array(self.merge_long(self.start(words[i])), "<u4").tobytes()
+                continue
+            raw = np.frombuffer(b"".join([words[i] for i in places]), np.uint8).reshape(-1, size)
+            symbols = inner[raw]
+            symbols[:, -1] = final[raw[:, -1]]
+            self._merge(symbols, np.array(places), out)
+        return out
+
+    def _merge(self, s: np.ndarray, place: np.ndarray, out: list[bytes]) -> None:
+        ranks = self._ranks(s[:, :-1], s[:, 1:])
+        while len(s):
+            width = s.shape[1]
+            if width == 1:
+                done = np.ones(len(s), bool)
+            else:
+                best = ranks.argmin(1)
+                lowest = ranks[np.arange(len(s)), best]
+                done = lowest == NO_RANK
+            raw, step = s[done].astype("<u4").tobytes(), 4 * width
+            for k, i in enumerate(place[done].tolist()):
+                out[i] = raw[k * step : (k + 1) * step]
+            if done.all():
+                return
+            go = ~done
+            s, ranks, place, best, lowest = s[go], ranks[go], place[go], best[go], lowest[go]
+            row = np.arange(len(s))
+            s[row, best] = self.joined[lowest]
+            stay = np.ones(s.shape, bool)
+            stay[row, best + 1] = False
+            s = s[stay].reshape(len(row), width - 1)
+            stay = np.ones(ranks.shape, bool)
+            stay[row, best] = False
+            ranks = ranks[stay].reshape(len(row), width - 2)
+            i = np.flatnonzero(best > 0)
+            ranks[i, best[i] - 1] = self._ranks(s[i, best[i] - 1], s[i, best[i]])
+            i = np.flatnonzero(best < width - 2)
+            ranks[i, best[i]] = self._ranks(s[i, best[i]], s[i, best[i] + 1])
+
+    def merge_long(self, s: list[int]) -> list[int]:
+        """The same for one word with a heap and linked neighbours, n log n in its length."""
         after, before = list(range(1, len(s) + 1)), list(range(-1, len(s) - 1))
-        heap = []
+        first = self._ranks(np.array(s[:-1], np.int64), np.array(s[1:], np.int64)).tolist()
+        heap = [(r, i, s[i], s[i + 1]) for i, r in enumerate(first) if r != NO_RANK]
+        heapq.heapify(heap)
 
         def push(i: int) -> None:
             j = after[i]
-            if j < len(s) and (p := self.rank.get((s[i], s[j]))):
-                heapq.heappush(heap, (p[0], i, p[1], s[i], s[j]))
+            if j < len(s):
+                r = int(self._ranks(np.array([s[i]], np.int64), np.array([s[j]], np.int64))[0])
+                if r != NO_RANK:
+                    heapq.heappush(heap, (r, i, s[i], s[j]))
 
-        for i in range(len(s) - 1):
-            push(i)
         while heap:
-            _, i, joined, left, right = heapq.heappop(heap)
+            r, i, left, right = heapq.heappop(heap)
             j = after[i] if s[i] == left else len(s)
             if j >= len(s) or s[j] != right:
                 continue  # one of the two has been joined meanwhile
-            s[i], s[j] = joined, -1
+            s[i], s[j] = int(self.joined[r]), -1
             after[i] = after[j]
             if after[j] < len(s):
                 before[after[j]] = i
@@ -91,8 +143,15 @@ class Merger:
         return [x for x in s if x >= 0]
 
 
-def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
-    """The automaton file of ``entries`` (word -> ids), built from the sorted words.
+def _tokens(path: str) -> dict[int, str]:
+    """Token of each id, special tokens included."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)
+    return {i: t for t, i in model["model"]["vocab"].items()} | {t["id"]: t["content"] for t in model["added_tokens"]}
+
+
+def compile_lexicon(entries: dict[bytes, bytes]) -> bytes:
+    """The automaton file of ``entries`` (word -> ids as little-endian uint32), built from the sorted words.
 
     States that end alike are merged as soon as no later word can change them.
     """
@@ -124,65 +183,82 @@ def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
     freeze(0)
     states.append((path[0][0], tuple(path[0][1])))
     holds = []  # words that each state leads to
-    first, label, target, before = [0], [], [], []
-    for final, arcs in states:
+    arc, target, before = [], [], []  # arcs in ascending order of (state, label)
+    for k, (final, arcs) in enumerate(states):
         n = int(final)
         for b, t in arcs:
-            label.append(b)
+            arc.append(k << 8 | b)
             target.append(t)
             before.append(n)
             n += holds[t]
         holds.append(n)
-        first.append(len(label))
-    out_first = np.concatenate(([0], np.cumsum([len(entries[w]) for w in words]))).astype(np.uint32)
+    out_first = np.concatenate(([0], np.cumsum([len(entries[w]) for w in words]))).astype(np.uint32)  # in bytes
     parts = [
-        np.array(first, np.uint32),
+        np.array(arc, np.int64),
         np.array(target, np.uint32),
         np.array(before, np.uint32),
         out_first,
-        np.array([i for w in words for i in entries[w]], np.uint32),
+        np.frombuffer(b"".join([entries[w] for w in words]), np.uint8),
         np.array([f for f, _ in states], np.uint8),
-        np.array(label, np.uint8),
     ]
     sizes = np.array([p.nbytes for p in parts], np.uint64).tobytes()
     return MAGIC + sizes + b"".join(p.tobytes() for p in parts)
 
 
 class Lexicon:
-    """A memory-mapped automaton file; ``ids(word)`` is None for words it does not hold."""
+    """A memory-mapped automaton file; ``ids(words)`` has None for words it does not hold."""
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
             self.map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
         if self.map[:8] != MAGIC:
             raise ValueError("not a lexicon file")
-        at, view, parts = 64, memoryview(self.map), []
-        for n in np.frombuffer(self.map[8:64], np.uint64).tolist():
-            parts.append((at, view[at : at + n]))
+        at, parts = 56, []
+        for n, kind in zip(np.frombuffer(self.map[8:56], np.uint64).tolist(), KINDS, strict=True):
+            parts.append((at, np.frombuffer(self.map, kind, n // np.dtype(kind).itemsize, at)))
             at += n
-        self.first, self.target, self.before, self.out_first, self.out = (v.cast("I") for _, v in parts[:5])
-        self.final, self.label_at = parts[5][1], parts[6][0]
-        self.root = len(self.final) - 1
-
-    def ids(self, word: bytes) -> list[int] | None:
-        state, number, base, find = self.root, 0, self.label_at, self.map.find
-        first, target, before = self.first, self.target, self.before
-        for i in range(len(word)):
-            k = find(word[i : i + 1], base + first[state], base + first[state + 1]) - base
-            if k < 0:
-                return None
-            number += before[k]
-            state = target[k]
-        if not self.final[state]:
-            return None
-        return self.out[self.out_first[number] : self.out_first[number + 1]].tolist()
+        self.arc, self.target, self.before, self.out_first, _, self.final = (v for _, v in parts)
+        self.out_at = parts[4][0]
+
+    def ids(self, words: list[bytes]) -> list[bytes | None]:
+        """Walks all words of one length at a time, a byte of each per step."""
+        out: list[bytes | None] = [None] * len(words)
+        if len(self.arc) == 0:
+            return out
+        for size, places in same_length(words).items():
+            raw = np.frombuffer(b"".join([words[i] for i in places]), np.uint8).reshape(-1, size)
+            alive, number = np.arange(len(places)), np.zeros(len(places), np.int64)
+            state = np.full(len(places), len(self.final) - 1, np.int64)  # the root is the last state
+            for k in range(size):
+                want = state << 8 | raw[alive, k]
+                at = np.minimum(np.searchsorted(self.arc, want), len(self.arc) - 1)
+                hit = self.arc[at] == want
+                alive, at = alive[hit], at[hit]
+                number, state = number[hit] + self.before[at], self.target[at].astype(np.int64)
+                if len(alive) == 0:
+                    break
+            there = self.final[state] == 1
+            number = number[there]
+            first, last = self.out_first[number] + self.out_at, self.out_first[number + 1] + self.out_at
+            for j, a, b in zip(alive[there].tolist(), first.tolist(), last.tolist(), strict=True):
+                out[places[j]] = self.map[a:b]
+        return out
+
+
+def same_length(words: list[bytes]) -> dict[int, list[int]]:
+    """Positions of the non-empty words by length."""
+    out: dict[int, list[int]] = {}
+    for i, w in enumerate(words):
+        if w:
+            out.setdefault(len(w), []).append(i)
+    return out
 
 
 def word_counts(docs: DataFrame, tokenizer_path: str, text_col: str = "text") -> DataFrame:
     """(word binary, n) over every document: exact counts, partly summed in the tasks."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split = worker_cache(("split", tokenizer_path), lambda: _splitter(tokenizer_path)).pieces
+        split = _splitter(tokenizer_path).pieces
         seen: Counter = Counter()
 
         def emit() -> pd.DataFrame:
@@ -216,9 +292,9 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, words: int = LEXICON_WOR
     """Compiles the ``words`` most frequent words of ``docs``; returns the shipped file's name."""
     spark = docs.sparkSession
     top = word_counts(docs, tokenizer_path, text_col).orderBy(F.desc("n"), "word").limit(words).collect()
-    merger = Merger(tokenizer_path)
-    content = compile_lexicon({bytes(r["word"]): merger.ids(bytes(r["word"])) for r in top})
-    return ship(spark, content)
+    known = [bytes(r["word"]) for r in top]
+    ids = Merger(tokenizer_path).ids(known)
+    return ship(spark, compile_lexicon(dict(zip(known, ids, strict=True))))
 
 
 def ship(spark: SparkSession, content: bytes) -> str:
@@ -232,20 +308,45 @@ def ship(spark: SparkSession, content: bytes) -> str:
     return name
 
 
-def encoder(tokenizer_path: str, lexicon_path: str) -> Memo:
-    """Chunk of text -> its ids as little-endian uint32 bytes."""
-    split, merger, lexicon = _splitter(tokenizer_path).pieces, Merger(tokenizer_path), Lexicon(lexicon_path)
-
-    def ids(piece: bytes | int) -> list[int]:
-        if isinstance(piece, int):
-            return [piece]
-        known = lexicon.ids(piece)
-        return merger.ids(piece) if known is None else known
+class Encoder:
+    """Encodes texts in groups: distinct chunks once, words by the lexicon, the others by merges.
 
-    def chunk(text: str) -> bytes:
-        return np.array([i for p in split(text) for i in ids(p)], "<u4").tobytes()
+    Chunks of former groups are remembered in two generations of bounded size.
+    """
 
-    return Memo(chunk, MEMO)
+    def __init__(self, tokenizer_path: str, lexicon_path: str):
+        self.split = _splitter(tokenizer_path).pieces
+        self.merger, self.lexicon = Merger(tokenizer_path), Lexicon(lexicon_path)
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def encode(self, lists: list[list[str]]) -> list[np.ndarray]:
+        """Ids of each text, given as its chunks."""
+        known, todo = {}, []
+        for c in set().union(*lists):
+            ids = self.new.get(c)
+            if ids is None:
+                ids = self.old.get(c)
+            if ids is None:
+                todo.append(c)
+            else:
+                known[c] = ids
+        known |= self._chunks(todo)
+        if len(self.new) + len(known) > MEMO:
+            self.old, self.new = self.new, {}
+        if len(known) <= MEMO:
+            self.new |= known
+        return [np.frombuffer(b"".join(map(known.__getitem__, x)), "<i4") for x in lists]
+
+    def _chunks(self, todo: list[str]) -> dict[str, bytes]:
+        split = [self.split(c) for c in todo]
+        distinct = {p for found in split for p in found}
+        ids: dict[bytes | int, bytes] = {p: p.to_bytes(4, "little") for p in distinct if isinstance(p, int)}
+        words = [p for p in distinct if isinstance(p, bytes)]
+        ids.update(zip(words, self.lexicon.ids(words), strict=True))
+        merge = [p for p in words if ids[p] is None]
+        ids.update(zip(merge, self.merger.ids(merge), strict=True))
+        return {c: b"".join([ids[p] for p in found]) for c, found in zip(todo, split, strict=True)}
 
 
 def encode(text: Column, tokenizer_path: str, lexicon: str) -> Column:
@@ -253,13 +354,17 @@ def encode(text: Column, tokenizer_path: str, lexicon: str) -> Column:
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        memo = worker_cache(
-            ("encode", tokenizer_path, lexicon), lambda: encoder(tokenizer_path, SparkFiles.get(lexicon))
-        )
+        encoder = Encoder(tokenizer_path, SparkFiles.get(lexicon))
         for batch in batches:
-            yield pd.Series(
-                [np.frombuffer(b"".join(map(memo.__getitem__, chunks(t or ""))), "<i4") for t in batch], dtype=object
-            )
+            lists, size = [], 0
+            for t in batch:  # in groups, so that a batch's ids and decoded texts are never all held
+                lists.append(chunks(t or ""))
+                size += len(lists[-1])
+                if size >= CHUNKS_AT_ONCE:
+                    yield pd.Series(encoder.encode(lists), dtype=object)
+                    lists, size = [], 0
+            if lists:
+                yield pd.Series(encoder.encode(lists), dtype=object)
 
     return encoded(text)
 
@@ -269,8 +374,7 @@ def decode(ids: Column, tokenizer_path: str) -> Column:
 
     @F.pandas_udf(T.StringType())
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        merger = worker_cache(("decode", tokenizer_path), lambda: Merger(tokenizer_path))
-        token = {i: t for t, i in [*merger.vocab.items(), *merger.added.items()]}.get
+        token = _tokens(tokenizer_path).get
         for batch in batches:
             yield pd.Series(
                 [" ".join(filter(None, map(token, () if x is None else x.tolist()))) for x in batch], dtype=object

@@ -84,17 +84,16 @@ class Memo(dict):
         return value
 
 
-def worker_cache(key: tuple, make: Callable, keep: int = 4):
-    """``make()`` once per Python worker and key: workers outlive tasks, module globals sent by value do not.
+def worker_cache(kind: str, key: tuple, make: Callable):
+    """``make()`` once per Python worker: workers outlive tasks, module globals sent by value do not.
 
-    The last ``keep`` entries stay.
+    Of each kind only the last key's value stays.
     """
     store = sys.__dict__.setdefault("_abtest_worker_cache", {})
-    if key not in store:
-        while len(store) >= keep:
-            del store[next(iter(store))]
-        store[key] = make()
-    return store[key]
+    if kind not in store or store[kind][0] != key:
+        store.pop(kind, None)
+        store[kind] = (key, make())
+    return store[kind][1]
 
 
 def byte_alphabet() -> list[str]:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abtest_spark.llm import lang_id
-from abtest_spark.llm.common import scratch, table
+from abtest_spark.llm.common import bounded_batches, scratch, table
 from abtest_spark.llm.pfor import tokenizer_file
 from abtest_spark.llm.pii import pseudonymize_documents
 from abtest_spark.llm.queries import PII_KEY, mixed
@@ -21,6 +21,7 @@ from abtest_spark.llm.transducer import digests, encode_documents
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose language is identified stay; ``lang`` becomes the identified one."""
+    bounded_batches(spark)
     model = lang_id.train(docs, F.col("text"), F.col("lang"))
     none = F.lit(None).cast("string")
     found = lang_id.identify(docs, model, F.col("text"), F.col("lang"), F.col("source"), none)
@@ -29,22 +30,26 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: three-word shingles, three bits."""
+    bounded_batches(spark)
     return drop_near_duplicates(docs, shingle=3, max_bits=3).select(*docs.columns)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data becomes pseudonyms; ``n_chars`` follows the new text."""
+    bounded_batches(spark)
     moved = pseudonymize_documents(docs, PII_KEY)
     return moved.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows of the mixture, once per epoch they are chosen in."""
+    bounded_batches(spark)
     return mixed(docs).select(*docs.columns)
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded text."""
+    bounded_batches(spark)
     return digests(encode_documents(docs, tokenizer_file("word_bpe_49k.json")))
 
 

@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 from abtest_spark.llm import pfor
 from abtest_spark.llm.pfor import FileBuilder, IdFile, decode_blocks, encode_ids, token_files, tokenizer_file
-from abtest_spark.llm.transducer import Lexicon, Merger, compile_lexicon, digests, encode_documents, encoder, word_counts
+from abtest_spark.llm.transducer import Encoder, Lexicon, Merger, compile_lexicon, digests, encode_documents, word_counts
 from abtest_spark.llm.words import chunks
 
 DOCS = "doc_id long, text string, known boolean, word string, ids string, file string"
@@ -108,13 +108,13 @@ def test_token_files_query(spark, library):
 def test_lexicon_holds_exactly_its_words(tmp_path):
     r = random.Random(1)
     words = {bytes(r.choices(b"abc", k=r.randint(1, 7))) + r.choice([b"", b"ing", b"s"]) for _ in range(400)}
-    entries = {w: [r.randint(0, 50000) for _ in range(r.randint(0, 4))] for w in words}
+    entries = {w: r.randbytes(4 * r.randint(0, 4)) for w in words}
     path = tmp_path / "lexicon"
     path.write_bytes(compile_lexicon(entries))
     lexicon = Lexicon(str(path))
-    assert all(lexicon.ids(w) == ids for w, ids in entries.items())
+    assert lexicon.ids(list(entries)) == list(entries.values())
     others = {bytes(r.choices(b"abcgins", k=r.randint(0, 9))) for _ in range(2000)} - words
-    assert all(lexicon.ids(w) is None for w in others)
+    assert lexicon.ids([*others, b"", b"abc" * 50]) == [None] * (len(others) + 2)
     letters = sum(len(w) for w in words)
     assert len(lexicon.final) < letters / 3  # equal suffixes are shared
 
@@ -122,19 +122,19 @@ def test_lexicon_holds_exactly_its_words(tmp_path):
 def test_empty_lexicon(tmp_path, library):
     path = tmp_path / "lexicon"
     path.write_bytes(compile_lexicon({}))
-    memo = encoder(tokenizer_file(), str(path))
-    for t in TEXTS:
-        got = np.frombuffer(b"".join(memo[c] for c in chunks(t or "")), "<u4").tolist()
-        assert got == ids_of(library, t), t
+    encoder = Encoder(tokenizer_file(), str(path))
+    for group in (TEXTS, TEXTS[::-1], TEXTS[:1]):
+        for t, got in zip(group, encoder.encode([chunks(t or "") for t in group]), strict=True):
+            assert got.tolist() == ids_of(library, t), t
 
 
-def test_merges_of_long_and_short_words_agree():
+def test_merges_of_long_and_short_words_agree(library):
     merger = Merger(tokenizer_file())
     r = random.Random(2)
-    for _ in range(200):
-        word = bytes(r.choices(b"aeioustrnhel", k=r.randint(1, 60)))
-        start = [merger.inner[b] for b in word[:-1]] + [merger.final[word[-1]]]
-        assert merger.ids(word) == merger._long(start)
+    words = [bytes(r.choices(b"aeioustrnhel", k=r.randint(1, 90))) for _ in range(300)] + [b"", b"a", b"the"]
+    for w, ids in zip(words, merger.ids(words), strict=True):
+        ids = np.frombuffer(ids, "<u4").tolist()
+        assert ids == ids_of(library, w.decode()) == (merger.merge_long(merger.start(w)) if w else [])
 
 
 def test_encoding_of_odd_texts(spark, library):
