@@ -11,7 +11,7 @@ from abtest_spark.session import checkpoint_dir
 
 
 ARROW_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
-ARROW_ROWS = 1000  # rows of an Arrow batch: texts are long, and a batch is held whole in the JVM and in Python
+ARROW_ROWS = 500  # rows of an Arrow batch: texts are long, and a batch is held whole in the JVM and in Python
 
 
 def bounded_batches(spark: SparkSession) -> None:
