@@ -31,8 +31,8 @@ from abtest_spark.llm.words import Splitter, byte_alphabet, chunks
 
 LEXICON_WORDS = 50_000  # most frequent words that are compiled
 COUNT_FLUSH = 40_000  # distinct chunks a counting task holds before it emits them
-MEMO = 50_000  # chunks remembered per Python worker and generation
-CHUNKS_AT_ONCE = 60_000  # chunks of texts that are encoded together
+MEMO = 90_000  # chunks remembered per Python worker and generation
+CHUNKS_AT_ONCE = 120_000  # chunks of texts that are encoded together
 LONG_WORD = 64  # bytes from which a word is merged by itself
 NO_RANK = 1 << 30
 MAGIC = b"ACYCLIC1"
