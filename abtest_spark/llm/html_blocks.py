@@ -3,10 +3,20 @@
 A page is cut into blocks at block-level tags. Pass one decides the clear
 blocks: those inside boilerplate containers (navigation, header, footer, aside,
 form, adverts, notices, comments, ...) and those with many linked characters
-are dropped; blocks inside the page's article container, and long blocks with
-many stop words, are kept. Pass two settles what is left, short or undecided
-blocks: each takes the label of the nearest decided blocks before and after it,
-kept only if those agree, or if the only neighbour it has is kept.
+are dropped; long blocks with many stop words are kept. Pass two settles what is
+left, short or undecided blocks: each takes the label of the nearest decided
+blocks before and after it, kept only if those agree, or if the only neighbour
+it has is kept, or if only the kept one is its sibling.
+
+These rules run on every page. An article container only shifts them: where it
+holds most of the running text, thresholds are lower inside it (and undecided
+blocks stay unless their neighbours are dropped) and higher outside; where it
+does not, as with a teaser beside the story, they are the same on both sides.
+Blocks look for neighbours on their own side of the container.
+
+Stop words cover English, French, German and Spanish. A block without any is
+undecided, not boilerplate, and on a page without running text in these
+languages length and links decide alone.
 """
 
 from __future__ import annotations
@@ -14,6 +24,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,7 +33,22 @@ from pyspark.sql import functions as F
 LINK_DENSITY = 0.33  # share of linked characters from which a block is dropped
 STOP_HIGH, STOP_LOW = 0.30, 0.15  # stop words per word
 LENGTH_LONG, LENGTH_SHORT = 200, 70  # characters
-ARTICLE_LINKS = 0.8  # inside an article only blocks that are nearly all links are dropped
+
+
+class Limits(NamedTuple):
+    links: float
+    stop_high: float
+    stop_low: float
+    long: int
+    short: int
+
+
+PLAIN = Limits(LINK_DENSITY, STOP_HIGH, STOP_LOW, LENGTH_LONG, LENGTH_SHORT)
+#: Inside the article that holds the page's text: only blocks that are nearly all links are dropped.
+LOWER = Limits(0.8, 0.20, 0.10, 120, 40)
+#: Outside the article that holds the page's text.
+HIGHER = Limits(0.20, 0.30, 0.20, 400, 140)
+ARTICLE_WEIGHT = 2  # a character of running text in an article counts as so many outside
 
 #: Function words of the languages that pages are written in.
 STOP_WORDS = frozenset(
@@ -47,6 +73,8 @@ RAW_TAGS = frozenset("script style noscript template svg math iframe object canv
 #: Their content is never the article's.
 BOILER_TAGS = frozenset("nav footer aside form menu button select dialog header head".split())
 ARTICLE_TAGS = frozenset("article main".split())
+#: Blocks of running text; those of one parent are siblings.
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre figcaption".split())
 #: A following tag of this name closes an open one.
 CLOSES_ITSELF = frozenset("p li dt dd tr td th option".split())
 
@@ -100,16 +128,20 @@ def _kind(name: str, rest: str, inside_article: bool) -> str:
 
 
 class Block:
-    __slots__ = ("parts", "linked", "boiler", "article", "named")
+    """Text, share of linked characters, what containers it is in, and its parent element's number."""
+
+    __slots__ = ("parts", "linked", "boiler", "article", "named", "parent", "text", "links", "stop")
 
-    def __init__(self, boiler: bool, article: bool, named: bool):
+    def __init__(self, boiler: bool, article: bool, named: bool, parent: int):
         self.parts, self.linked, self.boiler, self.article, self.named = [], 0, boiler, article, named
+        self.parent, self.text, self.links, self.stop = parent, "", 0.0, 0.0
 
 
-def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
-    """(text, linked characters, in boilerplate, in an article, in a container named like one) in page order."""
+def blocks(page: str) -> list[Block]:
+    """Blocks with text in page order."""
     out: list[Block] = []
     stack: list[tuple[str, str]] = []  # open elements: (name, kind)
+    parents, elements = [0], 0  # numbers of the open elements that hold blocks
     depth = {"boiler": 0, "article": 0, "named": 0, "a": 0, "": 0}
     current: Block | None = None
     at, end = 0, len(page)
@@ -120,7 +152,7 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
         if current is None:
             if not text.strip():
                 return
-            current = Block(depth["boiler"] > 0, depth["article"] > 0, depth["named"] > 0)
+            current = Block(depth["boiler"] > 0, depth["article"] > 0, depth["named"] > 0, parents[-1])
             out.append(current)
         current.parts.append(text)
         if depth["a"]:
@@ -131,6 +163,8 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
             name, kind = stack.pop()
             depth[kind] -= 1
             depth["a"] -= name == "a"
+            if name in BLOCK_TAGS and name not in TEXT_TAGS:
+                parents.pop()
 
     while at < end:
         m = TAG.search(page, at)
@@ -168,53 +202,79 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
         stack.append((name, kind))
         depth[kind] += 1
         depth["a"] += name == "a"
+        if name in BLOCK_TAGS and name not in TEXT_TAGS:
+            elements += 1
+            parents.append(elements)
     found = []
     for b in out:
-        text = " ".join("".join(b.parts).split())
-        if text:
-            found.append((text, b.linked, b.boiler, b.article, b.named))
+        b.text = " ".join("".join(b.parts).split())
+        if b.text:
+            b.links = b.linked / max(1, len(b.text) - b.text.count(" "))
+            if not b.boiler:
+                words = WORD.findall(b.text.lower())
+                b.stop = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+            found.append(b)
     return found
 
 
+def _clear(b: Block, limits: Limits, known: bool) -> bool | None:
+    """Pass one: the label of a clear block, None for others. ``known``: the page is in a language with stop words."""
+    size = len(b.text)
+    if b.boiler or b.links >= limits.links:
+        return False
+    if size >= limits.long and (b.stop >= limits.stop_low or not known):
+        return True
+    if size >= limits.short and (b.stop >= limits.stop_high or b.named):
+        return True
+    if size >= limits.long and b.stop and limits is not LOWER:
+        return False
+    return None
+
+
+def _near(found: list[Block], labels: list[bool | None]) -> list[int]:
+    """Position of the nearest decided block before each one, on its side of the article, or -1."""
+    out, last = [], {False: -1, True: -1}
+    for i, b in enumerate(found):
+        out.append(last[b.article])
+        if labels[i] is not None:
+            last[b.article] = i
+    return out
+
+
 def main_text(page: str) -> str:
     """Kept blocks joined by a line break; empty if none."""
     found = blocks(page)
-    has_article = any(article and not boiler for _, _, boiler, article, _ in found)
-    labels: list[bool | None] = []
-    for text, linked, boiler, article, named in found:
-        links = linked / max(1, len(text) - text.count(" "))
-        if boiler:
-            labels.append(False)
-        elif has_article:
-            labels.append(article and links < ARTICLE_LINKS)
-        elif links >= LINK_DENSITY:
-            labels.append(False)
-        else:
-            words = WORD.findall(text.lower())
-            stop = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-            if len(text) >= LENGTH_LONG and stop >= STOP_LOW or len(text) >= LENGTH_SHORT and stop >= STOP_HIGH:
-                labels.append(True)
-            elif named and len(text) >= LENGTH_SHORT:
-                labels.append(True)
-            elif len(text) >= LENGTH_LONG:
-                labels.append(False)
-            else:
-                labels.append(None)  # short or few stop words: pass two
-    before, last = [], None
-    for label in labels:
-        last = label if label is not None else last
-        before.append(last)
-    after, last = [], None
-    for label in reversed(labels):
-        last = label if label is not None else last
-        after.append(last)
+    free = [b for b in found if not b.boiler]
+    running = [b for b in free if len(b.text) >= LENGTH_SHORT and b.links < LINK_DENSITY]
+    known = any(b.stop >= STOP_LOW for b in running)
+    has_article = any(b.article for b in free)
+    inside = sum(len(b.text) for b in running if b.article)
+    leads = inside * ARTICLE_WEIGHT >= sum(len(b.text) for b in running) - inside
+    limits = []
+    for b in found:
+        limits.append(PLAIN if not has_article or not leads else LOWER if b.article else HIGHER)
+    labels = [_clear(b, x, known) for b, x in zip(found, limits, strict=True)]
+    # boilerplate in the middle of the leading article says nothing of the text around it
+    voting = [None if b.boiler and x is LOWER else label for b, x, label in zip(found, limits, labels, strict=True)]
+    before = _near(found, voting)
+    after = [len(found) - 1 - k if k >= 0 else -1 for k in reversed(_near(found[::-1], voting[::-1]))]
     kept = []
-    for (text, *_, named), label, a, b in zip(found, labels, before, reversed(after), strict=True):
+    for i, b in enumerate(found):
+        label = labels[i]
         if label is None:
-            near = [x for x in (a, b) if x is not None]
-            label = bool(near) and (all(near) or named and any(near)) or not near and named
+            near = [k for k in (before[i], after[i]) if k >= 0]
+            votes = [labels[k] for k in near]
+            if limits[i] is LOWER:
+                label = any(votes) or not votes
+            elif limits[i] is HIGHER:
+                label = len(votes) == 2 and all(votes)
+            elif not votes:
+                label = b.named
+            else:
+                siblings = [labels[k] for k in near if found[k].parent == b.parent]
+                label = all(votes) or any(votes) and (b.named or siblings == [True])
         if label:
-            kept.append(text)
+            kept.append(b.text)
     return "\n".join(kept)
 
 

@@ -73,3 +73,33 @@ def test_query_against_the_article_elements(spark):
         parts = [" ".join(html.unescape(re.sub("<[^>]+>", "", b)).split()) for b in re.split("</?(?:p|h1|br)>", inner)]
         want = "\n".join(p for p in parts if p)
         assert (r.url, r.text, r.n_chars) == (pages[r.page_id].url, want, len(want))
+
+
+def test_density_rules_run_beside_an_article_element():
+    """A teaser or widget in an article element does not stand for the page; long text beside an article is kept."""
+    card = "<article class='card'><h3>Another story</h3><p>Read on</p></article>"
+    assert main_text(f"<div class='content'><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div>{card}<footer>f</footer>") == f"T\n{LONG}\n{LONG}"
+    intro = f"{LONG} {LONG}"
+    assert main_text(f"<div><p>{intro}</p></div><article><p>{intro}</p><p>a</p></article><p>out</p>") == f"{intro}\n{intro}\na"
+    assert main_text(f"<div><p>{intro}</p></div><article><p>{LONG}</p></article>") == f"{intro}\n{LONG}"
+    links = "<p><a href='x'>one of the other stories</a></p>"
+    assert main_text(f"<article><p>{LONG}</p>{links}<p>more</p>{links}</article>") == LONG
+
+
+def test_text_without_known_stop_words_is_undecided():
+    polish = "Litwo! Ojczyzno moja! ty jesteś jak zdrowie; ile cię trzeba cenić, ten tylko dowie, kto cię stracił. " * 3
+    text = polish.strip()
+    assert main_text(f"<nav>n</nav><div><p>{polish}</p><p>{polish}</p></div><footer>f</footer>") == f"{text}\n{text}"
+    assert main_text(f"<div><p>{LONG}</p><p>{polish}</p><p>{LONG}</p></div>") == f"{LONG}\n{text}\n{LONG}"
+
+
+def test_article_elements_renamed(spark):
+    """The sf0.1 pages with article turned into div: the rules find the same text without the element."""
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("html").collect()]
+    kept = whole = found = same = 0
+    for p in pages:
+        want, got = main_text(p).split("\n"), main_text(re.sub("(</?)article>", r"\1div>", p)).split("\n")
+        both = set(want) & set(got)
+        kept += sum(len(x) for x in want if x in both)
+        whole, found, same = whole + sum(map(len, want)), found + sum(map(len, got)), same + (want == got)
+    assert kept >= 0.97 * whole and kept >= 0.99 * found and same >= 0.9 * len(pages), (kept, whole, found, same)
