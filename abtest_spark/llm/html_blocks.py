@@ -100,9 +100,12 @@ ARTICLE_NAMES = re.compile(
 )
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^<>\"']|\"[^\"]{0,4096}\"|'[^']{0,4096}')*)>",
+    r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)",
     re.S,
 )
+#: Up to the next attribute value, the end of the tag, or what no tag holds.
+TO_VALUE = re.compile(r"[^<>=]*(?:=\s*)?")
+BARE_VALUE = re.compile(r"[^\s<>]*")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -127,6 +130,39 @@ def _kind(name: str, rest: str, inside_article: bool) -> str:
     return "article" if name in ARTICLE_TAGS else ""
 
 
+class Tags:
+    """Ends of the tags of one page, in time that grows with the page.
+
+    Quoted values, which begin after an equals sign, have any length. A tag that
+    is not closed, or whose value is not, is text.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last = page, {q: page.rfind(q) for q in "\"'"}
+        self.open: set[int] = set()  # places outside values from which no tag ends
+
+    def end(self, at: int) -> int:
+        """Position of the '>' of the tag whose name ends at ``at``, or -1."""
+        page, passed = self.page, []
+        while at not in self.open:
+            passed.append(at)
+            stop = TO_VALUE.match(page, at).end()
+            c = page[stop : stop + 1]
+            if page[at:stop].rstrip()[-1:] == "=" and c not in ("", "<", ">"):
+                if c not in self.last:
+                    at = BARE_VALUE.match(page, stop).end()
+                elif self.last[c] > stop:
+                    at = page.find(c, stop + 1) + 1
+                else:
+                    break
+            elif c == ">":
+                return stop
+            else:
+                break
+        self.open.update(passed)
+        return -1
+
+
 class Block:
     """Text, share of linked characters, what containers it is in, and its parent element's number."""
 
@@ -144,7 +180,7 @@ def blocks(page: str) -> list[Block]:
     parents, elements = [0], 0  # numbers of the open elements that hold blocks
     depth = {"boiler": 0, "article": 0, "named": 0, "a": 0, "": 0}
     current: Block | None = None
-    at, end = 0, len(page)
+    at, end, tags = 0, len(page), Tags(page)
 
     def add(text: str) -> None:
         nonlocal current
@@ -174,8 +210,14 @@ def blocks(page: str) -> list[Block]:
         if m.start() > at:
             add(page[at : m.start()])
         at = m.end()
-        name = (m["name"] or "").lower()
-        if not name:
+        name, rest = (m["name"] or "").lower(), ""
+        if name:
+            stop = tags.end(at)
+            if stop < 0:
+                add(m[0])
+                continue
+            rest, at = page[at:stop], stop + 1
+        else:
             if m[0].startswith("<![CDATA["):
                 add(html.escape(m[0][9:-3]))
             continue
@@ -190,13 +232,13 @@ def blocks(page: str) -> list[Block]:
         if name in CLOSES_ITSELF and stack and stack[-1][0] == name:
             close(len(stack) - 1)
         if name in RAW_TAGS:
-            if not m["rest"].rstrip().endswith("/"):
+            if not rest.rstrip().endswith("/"):
                 stop = re.compile(f"</{name}[^>]*>?", re.I).search(page, at)
                 at = stop.end() if stop else end
             continue
-        if name in VOID_TAGS or m["rest"].endswith("/"):
+        if name in VOID_TAGS or rest.endswith("/"):
             continue
-        kind = _kind(name, m["rest"], depth["article"] > 0)
+        kind = _kind(name, rest, depth["article"] > 0)
         if kind and current is not None:
             current = None  # another container begins
         stack.append((name, kind))

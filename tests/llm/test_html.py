@@ -103,3 +103,17 @@ def test_article_elements_renamed(spark):
         kept += sum(len(x) for x in want if x in both)
         whole, found, same = whole + sum(map(len, want)), found + sum(map(len, got)), same + (want == got)
     assert kept >= 0.97 * whole and kept >= 0.99 * found and same >= 0.9 * len(pages), (kept, whole, found, same)
+
+
+@pytest.mark.parametrize("quote", ["'", '"'])
+@pytest.mark.parametrize("size", [4096, 4097, 1_000_000])
+def test_attribute_values_of_any_length(quote, size):
+    value = quote + "x>y<" * (size // 4) + "z" * (size % 4) + quote
+    page = f"<nav data-a={value}>menu</nav><article data-props = {value} id=a><p>a<img src={value}>b</p></article><div class=ad title={value}>buy</div>"
+    assert main_text(page) == "ab"
+
+
+def test_tags_without_an_end_are_text_and_end_soon():
+    assert main_text("<article><p>a <b title=it's>b</b> <i x='y>c</i></article>") == "a b <i x='y>c"
+    for page in ('<p a="' + ' a="<p"' * 100_000, "<p a='<p b=\"" * 50_000, "<p a=" + "<p a='x' " * 50_000):
+        main_text(page)
