@@ -16,6 +16,7 @@ import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from abtest_spark.llm.common import packed, unpacked
 
 ROUNDS = 8
+LONG = 160  # longer values are permuted digit by digit, not as one number
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 LAST_DAY = datetime.date(2099, 12, 31).toordinal()
 KINDS = ("email", "secret", "iban", "ip", "date", "phone", "ssn", "card")
@@ -57,6 +59,23 @@ class Feistel:
             return x
         return self._walk(kind, n, (self._walk(kind, n, x, True) + 1) % n, False)
 
+    def _rounds(self, kind: bytes, digits: np.ndarray, sizes: np.ndarray, forward: bool) -> np.ndarray:
+        halves, mid = [slice(0, len(digits) // 2), slice(len(digits) // 2, None)], digits.astype(np.uint64)
+        for r in range(ROUNDS) if forward else reversed(range(ROUNDS)):
+            to, by = halves[r % 2], halves[1 - r % 2]
+            text = b"%b%d|%b|" % (self.key, r, kind) + mid[by].astype(np.uint8).tobytes()
+            n = len(mid[to])
+            add = np.frombuffer(hashlib.shake_256(text).digest(8 * n), "<u8") % sizes[to]
+            mid[to] = (mid[to] + (add if forward else sizes[to] - add)) % sizes[to]
+        return mid
+
+    def move_digits(self, kind: str, digits: list[int], sizes: list[int]) -> list[int]:
+        """The same for a value of any length, given as digits below ``sizes``: each half is moved by the other in turn,
+        so every digit depends on all of them and the time grows with the length."""
+        s, k = np.array(sizes, np.uint64), f"{kind}|{len(sizes)}".encode()
+        mid = self._rounds(k, np.array(digits, np.uint64), s, True)
+        return self._rounds(k, (mid + np.uint64(1)) % s, s, False).tolist()
+
 
 def luhn_digit(payload: str) -> str:
     total = 0
@@ -76,6 +95,12 @@ def move_characters(f: Feistel, kind: str, text: str) -> str:
     """ASCII letters and digits of ``text`` permuted within their class; case and other characters stay."""
     x, n, low = 0, 1, text.lower()
     sizes = [26 if "a" <= c <= "z" else 10 if "0" <= c <= "9" else 1 for c in low]
+    if len(text) > LONG:
+        shape = "".join("a" if s == 26 else "0" if s == 10 else c for c, s in zip(low, sizes, strict=True))
+        digits = [ord(c) - (97 if s == 26 else 48) if s > 1 else 0 for c, s in zip(low, sizes, strict=True)]
+        new = f.move_digits(kind + shape, digits, sizes)
+        moved = (chr(d + (97 if s == 26 else 48)) if s > 1 else c for d, s, c in zip(new, sizes, low, strict=True))
+        return "".join(d.upper() if c.isupper() else d for c, d in zip(text, moved, strict=True))
     for c, s in zip(low, sizes, strict=True):
         if s > 1:
             x, n = x * s + (ord(c) - (97 if s == 26 else 48)), n * s
@@ -92,8 +117,10 @@ def move_characters(f: Feistel, kind: str, text: str) -> str:
 
 def _hex(f: Feistel, text: str) -> str:
     """A run of hex digits stays one."""
-    n = 16 ** len(text)
-    new = f"{f.move('hex', n, int(text, 16)):0{len(text)}x}"
+    if len(text) > LONG:
+        new = "".join(f"{d:x}" for d in f.move_digits("hex", [int(c, 16) for c in text], [16] * len(text)))
+    else:
+        new = f"{f.move('hex', 16 ** len(text), int(text, 16)):0{len(text)}x}"
     return new.upper() if text.upper() == text and text.lower() != text else new
 
 
@@ -200,8 +227,9 @@ DETECTORS: list[tuple[str, str, re.Pattern, Callable]] = [
         "secret",
         "",
         re.compile(
-            r"(?i:\b(?:token|api[_-]?key|secret|password|passwd)\b\s{0,4}[=:]\s{0,4}[\"']?)(?P<named>[A-Za-z0-9+/_-]{16,512})"
-            r"|(?<![A-Za-z0-9])(?P<hex>[0-9a-f]{32,512}|[0-9A-F]{32,512})(?![A-Za-z0-9])",
+            r"(?i:\b(?:token|api[_-]?key|secret|password|passwd)\b\s{0,4}[=:]\s{0,4}[\"']?)(?P<named>[A-Za-z0-9+/_-]{16,})"
+            # random hex digits of such a length hold a letter: without any, a longer run is a number
+            r"|(?<![A-Za-z0-9])(?P<hex>[0-9]{32,512}|(?=[0-9]*[a-f])[0-9a-f]{32,}|(?=[0-9]*[A-F])[0-9A-F]{32,})(?![A-Za-z0-9])",
             re.A,
         ),
         secret,

@@ -93,3 +93,25 @@ def test_query_leaves_no_planted_value(spark):
         assert (r.text != old) == bool(r.n_values)
         changed += bool(values)
     assert changed
+
+
+@pytest.mark.parametrize("size", [160, 161, 300, 512, 513, 600, 5000, 200_001])
+def test_secrets_of_any_length(size):
+    named, digits = ("aB3+xY7/q_Z-" * size)[:size], ("04dbebab91ab85687d33" * size)[:size]
+    new = only(f"secret={named} end", "secret")
+    got = re.fullmatch(r"secret=(\S+) end", new)[1]
+    assert [(c.isupper(), c.isalpha(), c.isdigit()) for c in got] == [(c.isupper(), c.isalpha(), c.isdigit()) for c in named]
+    # every part moves, also when only the last character differs
+    other = only(f"secret={named[:-1]}{'c' if named[-1] == 'b' else 'b'} end" if named[-1].isalpha() else f"secret={named}b end", "secret")[7:]
+    for k in range(0, size - 60, 60):
+        assert got[k : k + 60] != named[k : k + 60] and got[k : k + 60] != other[k : k + 60]
+    for run in (digits, digits.upper()):
+        new = only(f"x {run} y", "secret")
+        assert re.fullmatch(f"x [{'0-9a-f' if run == digits else '0-9A-F'}]{{{size}}} y", new)
+        assert all(new[k + 2 : k + 62] != run[k : k + 60] for k in range(0, size - 60, 60))
+
+
+def test_digits_of_long_values_are_permuted_without_fixed_points():
+    values = [[a, b, 0, c] for a in range(3) for b in range(4) for c in range(5)]
+    moved = [F1.move_digits("x", v, [3, 4, 1, 5]) for v in values]
+    assert sorted(moved) == values and all(a != b for a, b in zip(moved, values, strict=True))
