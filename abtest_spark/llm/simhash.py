@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from abtest_spark.llm.common import connected_components, cut
+from abtest_spark.llm.common import connected_components, cut, packed, unpacked
 from abtest_spark.llm.xxh64 import hash_windows
 
 POSITION_SETS = [
@@ -124,6 +124,32 @@ def near_pairs(prints: DataFrame, max_bits: int = 3) -> DataFrame:
     ).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"), F.bit_count(x).alias("bits"))
 
 
+def _grouped(
+    docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Prints (doc_id, h, fp) of every row, groups (fp, component) of fingerprints, and of each component the row of the
+    smallest doc_id and then text hash: (component, low struct<doc_id, h>).
+
+    Fingerprints are linked, not ids: an id that repeats with different texts joins no groups.
+    """
+    prints = cut(
+        docs.select(
+            F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("h"), simhash(F.col(text_col), shingle).alias("fp")
+        )
+    )
+    copies = cut(prints.where("doc_id is not null").groupBy("fp").agg(F.min(F.struct("doc_id", "h")).alias("low")))
+    found = connected_components(near_pairs(copies.select(F.col("fp").alias("rep"), "fp"), max_bits).select("a", "b"))
+    named = copies.join(found, copies["fp"] == found["node"], "left").select(
+        "fp", "low", F.coalesce("component", "fp").alias("component")
+    )
+    return prints, named.select("fp", "component"), named.groupBy("component").agg(F.min("low").alias("low"))
+
+
+def text_hash(text: Column) -> Column:
+    """SHA-256 of ``text``, null as empty."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
 def simhash_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3
 ) -> DataFrame:
@@ -134,12 +160,8 @@ def simhash_groups(
     repeated; null and empty texts have fingerprint zero and link like any
     other; an empty table gives no rows.
     """
-    prints = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), simhash(F.col(text_col), shingle).alias("fp")))
-    copies = cut(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    found = connected_components(near_pairs(copies, max_bits).select("a", "b"))
-    named = copies.join(found, copies["rep"] == found["node"], "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id")
-    )
+    prints, groups, lowest = _grouped(docs, id_col, text_col, shingle, max_bits)
+    named = groups.join(lowest, "component").select("fp", F.col("low.doc_id").alias("component_id"))
     return prints.join(named, "fp", "left").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -150,17 +172,19 @@ def simhash_groups(
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """``docs`` with one row for each group of near-duplicates: the smallest doc_id's.
 
-    Of repeated rows of that doc_id one stays. Rows without a doc_id are kept.
+    Of rows that repeat that doc_id within the group, the one of the smallest
+    text hash stays, then of the smallest hash of all columns; a doc_id that
+    repeats in several groups can stay once in each. Rows without a doc_id are
+    kept.
     """
-    kept = (
-        simhash_groups(docs, "doc_id", "text", shingle, max_bits)
-        .where("doc_id = component_id")
-        .select(F.col("doc_id").alias("__kept"))
-        .distinct()
+    lowest = _grouped(docs, "doc_id", "text", shingle, max_bits)[2]
+    kept = lowest.select(F.col("low.doc_id").alias("id"), F.col("low.h").alias("h"))
+    named = docs.where("doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("id"), text_hash(F.col("text")).alias("h"), packed(docs).alias("row")
     )
-    named = docs.where("doc_id is not null")
-    return (
-        named.join(kept, named["doc_id"] == kept["__kept"], "left_semi")
-        .dropDuplicates(["doc_id"])
-        .unionByName(docs.where("doc_id is null"))
+    one = (
+        named.join(kept, ["id", "h"], "left_semi")
+        .groupBy("id", "h")
+        .agg(F.min_by("row", F.struct(F.col("row.text").isNotNull(), F.xxhash64("row"))).alias("row"))
     )
+    return one.select(*unpacked(docs, "row", {}, {})).unionByName(docs.where("doc_id is null"))

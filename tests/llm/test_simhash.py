@@ -127,3 +127,15 @@ def test_query_against_all_pairs(spark):
 def test_no_duplicate_free_rows_lost(spark):
     df = spark.range(50).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
     assert drop_near_duplicates(df).count() == 50
+
+
+def test_a_repeated_id_loses_no_other_text(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(80)) for x in "abc")
+    rows = [(5, a, "en"), (5, b, "en"), (5, b, "de"), (5, b, "de"), (7, a, "en"), (2, c, "en"), (5, c, "fr"), (9, None, "en"), (9, "", "en")]
+    kept = []
+    for order in (rows, rows[::-1], rows * 2):
+        df = spark.createDataFrame(order, "doc_id long, text string, lang string").repartition(3)
+        kept.append(sorted(map(tuple, drop_near_duplicates(df).collect()), key=str))
+        assert {(r.doc_id, r.component_id) for r in simhash_groups(df).collect()} == {(5, 5), (7, 5), (2, 2), (5, 2), (9, 9)}
+    assert kept[0] == kept[1] == kept[2]
+    assert [(i, t) for i, t, _ in kept[0]] == [(2, c), (5, a), (5, b), (9, None)]
