@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from abtest_spark.llm import lang_id, toxicity
+from abtest_spark.llm import fim, lang_id, toxicity
 from abtest_spark.llm.common import table
 from abtest_spark.llm.html_blocks import extract_pages
 from abtest_spark.llm.mixing import mix
@@ -201,6 +201,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_exact_topk": op2_exact_topk,
@@ -212,6 +216,7 @@ QUERIES = {
     "op8_main_text": op8_main_text,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_language_id": op10_language_id,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
