@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from abtest_spark.llm import fim, lang_id, toxicity
+from abtest_spark.llm import conversation, fim, lang_id, toxicity
 from abtest_spark.llm.common import table
 from abtest_spark.llm.html_blocks import extract_pages
 from abtest_spark.llm.mixing import mix
@@ -205,6 +205,12 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(fim.fill_in_middle(table(spark, sf_dir, "documents")))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation.damaged(table(spark, sf_dir, "conversations"))
+    found = conversation.repair_conversations(rows, *[F.col(c) for c in ("conv_id", "turn", "role", "text", "there")])
+    return conversation.digests(found)
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_exact_topk": op2_exact_topk,
@@ -217,6 +223,7 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_language_id": op10_language_id,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
