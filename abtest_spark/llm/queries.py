@@ -16,6 +16,7 @@ from abtest_spark.llm.pivots import exact_topk
 from abtest_spark.llm.rp_forest import near_duplicate_vectors
 from abtest_spark.llm.simhash import simhash_groups
 from abtest_spark.llm.transducer import digests, encode_documents
+from abtest_spark.llm.url_filter import filter_urls
 
 #: Key of the pseudonyms; production passes its own secret.
 PII_KEY = "example key, not a secret"
@@ -37,6 +38,9 @@ MIX_WEIGHTS = {
 }
 MIX_FRACTION, MIX_EPOCHS, MIX_SEED = 0.6, 2, 11
 
+#: Verdict of each address rule (host and path).
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
 
 def mixed(docs: DataFrame) -> DataFrame:
     """``docs`` mixed to the weights above (columns of mixing.mix)."""
@@ -205,6 +209,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(fim.fill_in_middle(table(spark, sf_dir, "documents")))
 
 
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = conversation.damaged(table(spark, sf_dir, "conversations"))
     found = conversation.repair_conversations(rows, *[F.col(c) for c in ("conv_id", "turn", "role", "text", "there")])
@@ -223,6 +231,7 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_language_id": op10_language_id,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_url_filter": op12_url_filter,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
