@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 _HALF_LN_2PI = 0.5 * math.log(2.0 * math.pi)
 # Shift used by ln_gamma: lnG(x) = lnG(x + 8) - ln(x (x+1) ... (x+7)).
 _SHIFT = 8
+# Coefficients of the Stirling series, of alternating sign.
+_STIRLING = [1.0 / 12.0, 1.0 / 360.0, 1.0 / 1260.0, 1.0 / 1680.0, 1.0 / 1188.0, 691.0 / 360360.0, 1.0 / 156.0]
 
 
 def ln_gamma(x: Column) -> Column:
@@ -33,9 +35,8 @@ def ln_gamma(x: Column) -> Column:
     y = x + F.lit(float(_SHIFT))
     inv = F.lit(1.0) / y
     inv2 = inv * inv
-    coef = [1.0 / 12.0, 1.0 / 360.0, 1.0 / 1260.0, 1.0 / 1680.0, 1.0 / 1188.0, 691.0 / 360360.0, 1.0 / 156.0]
-    series = F.lit(coef[-1])
-    for c in reversed(coef[:-1]):
+    series = F.lit(_STIRLING[-1])
+    for c in reversed(_STIRLING[:-1]):
         series = F.lit(c) - inv2 * series
     series = inv * series
     stirling = (y - F.lit(0.5)) * F.log(y) - y + F.lit(_HALF_LN_2PI) + series
@@ -49,6 +50,20 @@ def ln_beta(a: Column, b: Column) -> Column:
     return ln_gamma(a) + ln_gamma(b) - ln_gamma(a + b)
 
 
+def ln_gamma_text(x: str) -> str:
+    """``ln_gamma`` of a column as SQL text: built at once, where an expression of Columns is built call by call."""
+    y = f"({x} + {float(_SHIFT)!r}D)"
+    series = f"{_STIRLING[-1]!r}D"
+    for c in reversed(_STIRLING[:-1]):
+        series = f"({c!r}D - {series} / ({y} * {y}))"
+    shift = " - ".join(f"ln({x} + {float(k)!r}D)" for k in range(_SHIFT))
+    return f"(({y} - 0.5D) * ln({y}) - {y} + {_HALF_LN_2PI!r}D + {series} / {y} - {shift})"
+
+
+def ln_beta_text(a: str, b: str) -> str:
+    return f"({ln_gamma_text(a)} + {ln_gamma_text(b)} - {ln_gamma_text(f'({a} + {b})')})"
+
+
 def chi2_sf_numpy(stat: np.ndarray, dof: np.ndarray) -> np.ndarray:
     """Upper tail P(X >= stat) of a chi-square with integer ``dof``.
 
@@ -92,6 +107,9 @@ def chi2_sf_numpy(stat: np.ndarray, dof: np.ndarray) -> np.ndarray:
 _TERMS = 300
 _TERMS_PER_ROOT = 12
 _TINY = 1e-300
+# Steps of the continued fraction, two of which are a term of its usual form.
+_BETA_TERMS = 80
+_BETA_TERMS_PER_ROOT = 3
 
 
 def gamma_q(a: Column, x: Column, terms: int = _TERMS) -> Column:
@@ -133,6 +151,39 @@ def gamma_q(a: Column, x: Column, terms: int = _TERMS) -> Column:
     return F.least(F.greatest(q, F.lit(0.0)), F.lit(1.0))
 
 
+def beta_cdf(x: Column, a: Column, b: Column) -> Column:
+    """Regularized incomplete beta I_x(a, b) for a, b > 0; 0 and 1 outside (0, 1).
+
+    Continued fraction (modified Lentz) on the side of the mean where it
+    converges fast, 1 - I_{1-x}(b, a) on the other; its length grows with
+    sqrt(a + b), as the terms it needs do.
+    """
+    flip = x > (a + F.lit(1.0)) / (a + b + F.lit(2.0))
+    p, q = F.when(flip, b).otherwise(a), F.when(flip, a).otherwise(b)
+    z = F.when(flip, F.lit(1.0) - x).otherwise(x)
+    steps = F.sequence(F.lit(2), F.lit(_BETA_TERMS) + F.ceil(F.sqrt(a + b) * F.lit(_BETA_TERMS_PER_ROOT)).cast("int"))
+
+    def lentz(acc, n):
+        m = F.floor(n / 2)
+        even = m * (q - m) * z / ((p + 2 * m - 1) * (p + 2 * m))
+        odd = -(p + m) * (p + q + m) * z / ((p + 2 * m) * (p + 2 * m + 1))
+        k = F.when(n % 2 == 0, even).otherwise(odd)
+        # the product takes the former step's factors, so that no expression is evaluated for two fields
+        return F.struct(
+            (F.lit(1.0) + k / acc["c"] + F.lit(_TINY)).alias("c"),
+            (F.lit(1.0) / (F.lit(1.0) + k * acc["d"] + F.lit(_TINY))).alias("d"),
+            (acc["h"] * acc["c"] * acc["d"]).alias("h"),
+        )
+
+    first = F.lit(1.0) / (F.lit(1.0) - (p + q) * z / (p + 1) + F.lit(_TINY))
+    start = F.struct(F.lit(1.0).alias("c"), first.alias("d"), F.lit(1.0).alias("h"))
+    last = F.aggregate(steps, start, lentz, lambda acc: acc["h"] * acc["c"] * acc["d"])
+    front = F.exp(p * F.log(z) + q * F.log(F.lit(1.0) - z) - ln_beta(p, q)) / p
+    part = F.least(F.greatest(front * last, F.lit(0.0)), F.lit(1.0))
+    inside = F.when(flip, F.lit(1.0) - part).otherwise(part)
+    return F.when(x <= 0, F.lit(0.0)).when(x >= 1, F.lit(1.0)).otherwise(inside)
+
+
 def chi2_sf(stat: Column, dof: Column) -> Column:
     """Upper tail P(X >= stat) of a chi-square with ``dof`` degrees of
     freedom; dof 0 gives 1."""

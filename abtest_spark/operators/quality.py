@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abtest_spark.functions.columns import is_invalid_ts, is_malformed_experiments
@@ -124,3 +124,71 @@ def quality_report(raw: DataFrame, keys: Sequence[str] = EVENT_KEY) -> DataFrame
         )
         parts.append(frame.select(F.explode(kv).alias("_kv")).select("_kv.check", "_kv.n"))
     return parts[0].unionByName(parts[1])
+
+
+# ---------------------------------------------------------------------------
+# Quality of a table that grows by batches: a mergeable state instead of a reread
+# ---------------------------------------------------------------------------
+
+#: Row-level faults as bits of a state row's ``faults``.
+FAULTS = (*[f"null_{c}" for c in NULL_PROFILE_COLUMNS], "invalid_timestamps", "malformed_experiments")
+
+
+def _fault_bits() -> Column:
+    conditions = [F.col(c).isNull() for c in NULL_PROFILE_COLUMNS]
+    conditions += [is_invalid_ts("timestamp"), F.coalesce(is_malformed_experiments("experiments"), F.lit(False))]
+    bits = F.lit(0)
+    for i, c in enumerate(conditions):
+        bits = bits + F.when(c, F.lit(1 << i)).otherwise(F.lit(0))
+    return bits
+
+
+def key_hash(keys: Sequence[str] = EVENT_KEY) -> Column:
+    """SHA-256 of the key columns, nulls and column ends told apart."""
+    parts = [F.coalesce(F.concat(F.char_length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in keys]
+    return F.unhex(F.sha2(F.concat_ws(",", *parts).cast("binary"), 256))
+
+
+def quality_state(batch: DataFrame, state: DataFrame | None = None, keys: Sequence[str] = EVENT_KEY) -> DataFrame:
+    """One row per distinct event of a batch of raw rows: key (hash), copies, faults, written, and the event's columns.
+
+    ``written`` is 1 for events that ``state`` (of the batches before) does not
+    hold: these are to be appended to bronze; the others were written already.
+    """
+    rows = grouped_by_key(batch, keys).select(
+        key_hash(keys).alias("key"), F.col("_n").alias("copies"), _fault_bits().alias("faults"), *keys
+    )
+    if state is None:
+        return rows.withColumn("written", F.lit(1).cast("long"))
+    known = state.where("written > 0").select("key").distinct().withColumn("_known", F.lit(1))
+    joined = rows.join(known, "key", "left")
+    return joined.withColumn("written", F.when(F.col("_known").isNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")).drop("_known")
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """One row per event of several states: copies and writes add up, faults are the event's own."""
+    return states.groupBy("key").agg(
+        F.sum("copies").alias("copies"), F.first("faults").alias("faults"), F.sum("written").alias("written")
+    )
+
+
+def state_report(state: DataFrame) -> DataFrame:
+    """The ``quality_report`` rows of all batches behind a merged state, without reading raw or bronze again.
+
+    ``residual_*`` count events that were written to bronze more than once.
+    """
+    n = F.col("copies")
+    sums = {name: F.sum(F.when(F.col("faults").bitwiseAND(F.lit(1 << i)) != 0, n)) for i, name in enumerate(FAULTS)}
+    sums["malformed_experiments"] = F.count_if(F.col("faults").bitwiseAND(F.lit(1 << (len(FAULTS) - 1))) != 0)
+    again = F.col("written") > 1
+    checks = state.agg(
+        F.sum(n).alias("raw_rows"),
+        *[c.alias(name) for name, c in sums.items()],
+        F.count_if(n > 1).alias("duplicate_groups"),
+        F.sum(n - 1).alias("duplicate_rows_removed"),
+        F.count(F.lit(1)).alias("bronze_rows"),
+        F.count_if(again).alias("residual_duplicate_groups"),
+        F.sum(F.when(again, F.col("written"))).alias("residual_duplicate_rows"),
+    )
+    rows = [F.struct(F.lit(c).alias("check"), F.coalesce(F.col(c), F.lit(0)).cast("long").alias("n")) for c in checks.columns]
+    return checks.select(F.explode(F.array(*rows)).alias("_kv")).select("_kv.check", "_kv.n")

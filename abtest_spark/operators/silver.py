@@ -36,6 +36,7 @@ from abtest_spark.functions.columns import (
     variant_id,
 )
 from abtest_spark.operators.joins import attach_per_key
+from abtest_spark.session import checkpoint_dir
 
 
 def with_is_buy(df: DataFrame, buy_event: str = S.BUY_EVENT) -> DataFrame:
@@ -96,6 +97,38 @@ def to_silver(bronze: DataFrame, buy_event: str = S.BUY_EVENT, target_partitions
     return explode_experiments(flagged).select(*S.SILVER_COLUMNS)
 
 
+def flag_purchases_bucketed(table: DataFrame, files: DataFrame, buckets: int, buy_event: str = S.BUY_EVENT) -> DataFrame:
+    """``flag_purchases`` of a bronze table in ``buckets`` buckets by user: no event is shuffled.
+
+    ``table`` is the bucketed table, ``files`` the same rows read as plain
+    files. The per-user statistics are partly aggregated in the tasks and
+    dealt to the buckets; the events meet them where they are. A hot user (as
+    in ``joins``: more rows than an average bucket) would make one bucket's
+    task long, and the NULL user has no bucket join; their events are read from
+    the plain files, split by size, and get their statistics by a broadcast of
+    fewer than ``buckets + 1`` rows.
+    """
+    spark = table.sparkSession
+    checkpoint_dir(spark)
+    stats = user_purchase_stats(files.withColumn("_ts", parsed_ts("timestamp")), buy_event).checkpoint()
+    total = stats.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+    hot = (F.col("n_rows") * buckets > total) | F.col("user_id").isNull()
+    special = stats.where(hot)
+    few = F.broadcast(special)
+    events = table.withColumn("_ts", parsed_ts("timestamp"))
+    plain = events.join(F.broadcast(special.select("user_id").where("user_id is not null")), "user_id", "left_anti")
+    plain = plain.where("user_id is not null").join(stats.where(~hot).hint("merge"), "user_id", "left")
+    rest = files.withColumn("_ts", parsed_ts("timestamp")).alias("e")
+    rest = rest.join(few.alias("s"), F.col("e.user_id").eqNullSafe(F.col("s.user_id")))
+    rest = rest.select("e.*", "s.last_buy_ts", "s.any_buy", "s.n_rows")
+    return (
+        plain.unionByName(rest)
+        .withColumn("flag_purchase", _flag())
+        .withColumn("timestamp", F.col("_ts"))
+        .drop("_ts", "last_buy_ts", "any_buy", "n_rows")
+    )
+
+
 # ---------------------------------------------------------------------------
 # Window form, with every window bounded.
 # ---------------------------------------------------------------------------
@@ -133,8 +166,6 @@ def _ordered(
     every tie, so ``checkpoint=False`` recomputes identical ids and saves
     writing a copy of the events.
     """
-    from abtest_spark.session import checkpoint_dir
-
     spark = bronze.sparkSession
     p = target_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ev = bronze.withColumn("_raw_ts", F.col("timestamp")).withColumn("_ts", parsed_ts("timestamp"))

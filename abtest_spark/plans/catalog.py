@@ -11,7 +11,6 @@ different floating-point paths are rounded identically on both sides.
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Callable
 
@@ -23,9 +22,12 @@ from abtest_spark.operators import bayes as B
 from abtest_spark.operators import chi2 as C
 from abtest_spark.operators import conversion as CV
 from abtest_spark.operators import gold as G
+from abtest_spark.operators import ordering as O
 from abtest_spark.operators import quality as Q
 from abtest_spark.operators import results as R
+from abtest_spark.operators import sessions as SE
 from abtest_spark.operators import silver as SV
+from abtest_spark.operators import sketches as K
 from abtest_spark.session import checkpoint_dir
 from abtest_spark.sources import layers as L
 from abtest_spark.functions.columns import parsed_ts
@@ -130,20 +132,33 @@ def q_bayes_grid_weights(spark, sf_dir):
     return w.select("experiment_name", "grid_id", F.round("weight", 9).alias("weight"))
 
 
+def _places(df: DataFrame, **places: int) -> DataFrame:
+    """Computed doubles at so many decimals, for comparison with SQL."""
+    return df.withColumns({c: F.round(c, n) for c, n in places.items()})
+
+
 def q_bayes_draws(spark, sf_dir):
-    return B.posterior_draws(_gold_table(spark, sf_dir))
+    return _places(B.posterior_draws(_gold_table(spark, sf_dir)), theta=6)
 
 
 def q_bayes_hdi(spark, sf_dir):
-    return B.bayes_hdi(_gold_table(spark, sf_dir))
+    return _places(B.bayes_hdi(_gold_table(spark, sf_dir)), hdi_low=6, hdi_high=6)
+
+
+def q_bayes_hdi_mass(spark, sf_dir):
+    """Probability inside each 95 % interval, by incomplete beta functions instead of the curve the interval came from."""
+    gold = _gold_table(spark, sf_dir)
+    return _places(B.interval_mass(gold, B.bayes_hdi(gold)), mass=6)
 
 
 def q_bayes_comparison(spark, sf_dir):
-    return B.bayes_comparison(B.bayes_report(_gold_table(spark, sf_dir)))
+    found = B.bayes_comparison(B.bayes_report(_gold_table(spark, sf_dir)))
+    ends = ("control_hdi_low", "control_hdi_high", "test_hdi_low", "test_hdi_high")
+    return _places(found, control_mean=9, test_mean=9, **dict.fromkeys(ends, 6))
 
 
 def q_posterior_histogram(spark, sf_dir):
-    return B.posterior_histogram(B.posterior_draws(_gold_table(spark, sf_dir)))
+    return _places(B.posterior_bins(_gold_table(spark, sf_dir)), bin_low=6, bin_high=6, mass=6)
 
 
 def q_daily_rate_hdi(spark, sf_dir):
@@ -234,39 +249,24 @@ def q_bayes_many(spark, sf_dir):
 
 
 def q_bayes_draws_check(spark, sf_dir):
-    """Seeded draws against the exact posterior: their number, mean and sd (four
-    standard errors), the share inside the interval, and the histogram's total."""
+    """Number, mean and sd of the draws, and how many are inside the exact interval."""
     gold = _gold_table(spark, sf_dir)
     key = ["experiment_name", "variant_id"]
-    checkpoint_dir(spark)
-    draws = B.posterior_draws(gold).checkpoint(eager=True)
     inside = F.col("theta").between(F.col("hdi_low"), F.col("hdi_high"))
-    moments = draws.join(B.hdi(draws), key).groupBy(*key).agg(
+    found = B.posterior_draws(gold).join(B.bayes_hdi(gold), key).groupBy(*key).agg(
         F.count(F.lit(1)).alias("draws"),
-        F.avg("theta").alias("m"),
-        F.stddev("theta").alias("s"),
+        F.avg("theta").alias("mean"),
+        F.stddev("theta").alias("sd"),
         F.count_if(inside).alias("inside"),
     )
-    bins = B.posterior_histogram(draws).groupBy(*key).agg(F.sum("draws").alias("binned"), F.max("bin").alias("bins"))
-    n, error = F.col("draws"), F.col("sd") / F.sqrt("draws")
-    return (
-        moments.join(bins, key)
-        .join(B.bayes_summary(gold), key)
-        .select(
-            *key,
-            "draws",
-            (F.abs(F.col("m") - F.col("mean")) <= 4 * error).alias("mean_ok"),
-            (F.abs(F.col("s") - F.col("sd")) <= 4 * error).alias("sd_ok"),
-            (F.col("inside") == F.floor(n * S.HDI_PROB) + 1).alias("hdi_ok"),
-            ((F.col("binned") == n) & (F.col("bins") == 30)).alias("histogram_ok"),
-        )
-    )
+    return _places(found, mean=6, sd=6)
 
 
 def q_bayes_comparison_means(spark, sf_dir):
     """The comparison's pairs and exact means, with a given control in one experiment."""
-    report = B.bayes_report(_gold_table(spark, sf_dir), n=200)
-    pairs = B.bayes_comparison(report, {"search/ranking": "2", "no/such": "1"})
+    none = F.lit(None).cast("double")
+    summary = B.bayes_summary(_gold_table(spark, sf_dir)).withColumns({"hdi_low": none, "hdi_high": none})
+    pairs = B.bayes_comparison(summary, {"search/ranking": "2", "no/such": "1"})
     return pairs.select(
         "experiment_name",
         "variant",
@@ -354,6 +354,55 @@ def q_emptiness(spark, sf_dir):
     return CV.presence(tunnel, ["checkout/button", "search/ranking", "no/such"])
 
 
+def q_users_rollup(spark, sf_dir):
+    """Distinct users and buyers of each variant over all days, from the stored daily sketches."""
+    return K.rollup_users(_sketch_layer(spark, sf_dir))
+
+
+def _sketch_layer(spark, sf_dir):
+    root = _scratch_root(spark)
+    L.write_layer(K.gold_sketches(_silver(spark, sf_dir)), root, "gold_sketches", partition_by=["day"])
+    return L.read_layer(spark, root, "gold_sketches")
+
+
+def q_silver_bucketed(spark, sf_dir):
+    """Silver from a bronze table bucketed by user: the events meet their users' statistics without a shuffle."""
+    root, buckets = _scratch_root(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"bronze_{uuid.uuid4().hex}"
+    table = L.write_bucketed(_bronze(spark, sf_dir), root, "bronze", name, buckets, sort_by=["user_id", "timestamp"])
+    flagged = SV.flag_purchases_bucketed(table, L.read_layer(spark, root, "bronze"), buckets)
+    return SV.explode_experiments(flagged).select(*S.SILVER_COLUMNS)
+
+
+def q_quality_batches(spark, sf_dir):
+    """The quality report of three drops, the last of which delivers every fifth user's rows again, from the stored
+    states of the drops: neither raw rows nor bronze are read again."""
+    root = _scratch_root(spark)
+    raw = _raw(spark, sf_dir)
+    drops = [raw.where("item_id < 250"), raw.where("item_id >= 250"), raw.where("user_id % 5 = 0")]
+    for i, drop in enumerate(drops):
+        state = L.read_layer(spark, root, "quality_state") if i else None
+        L.write_layer(Q.quality_state(drop, state), root, "quality_state", mode="append")
+    return Q.state_report(Q.merge_states(L.read_layer(spark, root, "quality_state")))
+
+
+def q_order_chi2(spark, sf_dir):
+    tests = C.chi2_test(_gold_table(spark, sf_dir)).select("day", "experiment_name", "dof")
+    return O.with_position(tests, ["day", "experiment_name"])
+
+
+def q_order_bronze(spark, sf_dir):
+    """Bronze by user and time, as the ordered sink lays it out."""
+    rows = _bronze(spark, sf_dir).withColumn("_ts", parsed_ts("timestamp"))
+    return O.with_position(rows, ["user_id", "_ts", "event_name", "item_id", "site", "experiments", "timestamp"]).drop("_ts")
+
+
+def q_order_conversion(spark, sf_dir):
+    rates = CV.with_conversion_rate(CV.multi_variant(_gold_table(spark, sf_dir)))
+    order = [F.desc_nulls_last("conversion_rate"), *[F.asc_nulls_last(c) for c in ("experiment_name", "variant_id", "day")]]
+    return O.with_position(rates.select("experiment_name", "variant_id", "day", "conversion_rate"), order)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources / sinks
     "raw_events": _raw,
@@ -389,6 +438,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_tunnel": _tunnel,
     # Distinct users per variant need neither flags nor deduplication.
     "users_per_variant": lambda s, d: G.users_per_variant(SV.explode_experiments(_raw(s, d))),
+    "users_rollup": q_users_rollup,
+    "users_rollup_weeks": lambda s, d: K.rollup_weeks(_sketch_layer(s, d)),
+    "silver_bucketed": q_silver_bucketed,
+    # sessions
+    "user_sessions": lambda s, d: SE.user_sessions(_bronze(s, d)),
+    "session_summary": lambda s, d: SE.session_summary(SE.user_sessions(_bronze(s, d), "12 hours")),
+    # batches
+    "quality_report_batches": q_quality_batches,
+    # orders, as positions
+    "order_bronze": q_order_bronze,
+    "order_gold": lambda s, d: O.with_position(_gold(s, d).select(*S.GOLD_KEY), S.GOLD_KEY),
+    "order_tunnel": lambda s, d: O.with_position(_tunnel(s, d).select(*S.TUNNEL_KEY), S.TUNNEL_KEY),
+    "order_variant_count": lambda s, d: O.with_position(
+        CV.variant_count(_gold_table(s, d)), [F.desc("variant_count"), "experiment_name"]
+    ),
+    "order_conversion": q_order_conversion,
+    "order_funnel": lambda s, d: O.with_position(
+        CV.funnel(_tunnel(s, d)), ["experiment_name", "variant_id", "users", "day", "event_name"]
+    ),
+    "order_chi2": q_order_chi2,
     # conversion
     "distinct_experiments": lambda s, d: CV.distinct_experiments(_gold(s, d)),
     "experiment_days": lambda s, d: CV.experiment_days(_gold(s, d)),
@@ -420,6 +489,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bayes_summary_many_variants": q_bayes_many,
     "bayes_draws": q_bayes_draws,
     "bayes_hdi": q_bayes_hdi,
+    "bayes_hdi_mass": q_bayes_hdi_mass,
     "bayes_draws_check": q_bayes_draws_check,
     "bayes_comparison_means": q_bayes_comparison_means,
     "bayes_comparison": q_bayes_comparison,
@@ -551,54 +621,203 @@ _CHI2_UNCUT = _CHI2.replace("event_type = 'purchase' AND value > 80", "event_typ
 assert _CHI2_UNCUT != _CHI2
 
 
+_SQL_ROUNDS = 4  # grids in SQL; a resolved experiment keeps its own
+
+
 def _grid_sql() -> str:
-    """The self-fitting grid of operators.bayes in SQL: a first grid and GRID_ROUNDS more."""
+    """The grid of operators.bayes in SQL: a first one and refinements where it is too wide."""
     p = B.GRID_POINTS
+    u0, u1 = f"lo - 2 - {B.FALL_OFF} / (n_some + 1)", f"hi + 2 + {B.FALL_OFF} / (n_rest + 1)"
+    v0, v1 = f"-3.0 - {B.FALL_OFF} / (n_both + 2)", f"ln((k + 1) * {B.SUM_PER_VARIANT})"
     out = [
         f"""
 totals AS (
   SELECT experiment_name, variant_id, CAST(sum(purchases) AS BIGINT) AS purchases, CAST(sum(users) AS BIGINT) AS users
   FROM multi WHERE variant_id IS NOT NULL GROUP BY 1, 2),
 box0 AS (
-  SELECT experiment_name, {-B.U_END!r} AS u0, {2 * B.U_END / (p - 1)!r} AS du, {math.log(B.SUM_LO)!r} AS v0,
-         (ln((count(*) + 1) * {B.SUM_PER_VARIANT!r}) - {math.log(B.SUM_LO)!r}) / {p - 1} AS dv
-  FROM totals GROUP BY 1)"""
+  SELECT experiment_name, {u0} AS u0, ({u1} - ({u0})) / {p - 1} AS du, {v0} AS v0, ({v1} - ({v0})) / {p - 1} AS dv
+  FROM (SELECT experiment_name, min(ln((purchases + 0.5) / (users - purchases + 0.5))) AS lo,
+               max(ln((purchases + 0.5) / (users - purchases + 0.5))) AS hi, count(*) AS k, count_if(purchases > 0) AS n_some,
+               count_if(purchases < users) AS n_rest, count_if(purchases > 0 AND purchases < users) AS n_both
+        FROM totals GROUP BY 1))"""
     ]
-    for r in range(B.GRID_ROUNDS + 1):
+    for r in range(_SQL_ROUNDS):
         out.append(
             f"""
-cells{r} AS (
-  SELECT *, lgamma(a + purchases) + lgamma(b + users - purchases) - lgamma(a + b + users)
-              - (lgamma(a) + lgamma(b) - lgamma(a + b)) AS loglik,
-         (a + purchases) / (a + b + users) AS m1,
-         (a + purchases) * (a + purchases + 1) / ((a + b + users) * (a + b + users + 1)) AS m2
-  FROM (SELECT *, exp(v) * exp(u) / (exp(u) + 1) AS a, exp(v) / (exp(u) + 1) AS b
-        FROM (SELECT *, u0 + (grid_id // {p}) * du AS u, v0 + (grid_id % {p}) * dv AS v
-              FROM (SELECT t.*, x.u0, x.du, x.v0, x.dv, unnest(range(0, {p * p})) AS grid_id
-                    FROM totals t JOIN box{r} x USING (experiment_name))))),
-lw{r} AS (
-  SELECT experiment_name, grid_id, min(u) AS u, min(v) AS v, min(du) AS du, min(dv) AS dv,
-         sum(loglik) - {S.PRIOR_RATE!r} * (min(a) + min(b)) + ln(min(a)) + ln(min(b)) AS lw
-  FROM cells{r} GROUP BY 1, 2),
 w{r} AS (
   SELECT *, e / sum(e) OVER (PARTITION BY experiment_name) AS weight
-  FROM (SELECT *, exp(lw - max(lw) OVER (PARTITION BY experiment_name)) AS e FROM lw{r}))"""
+  FROM (SELECT *, exp(lw - max(lw) OVER (PARTITION BY experiment_name)) AS e
+        FROM (SELECT experiment_name, grid_id, min(u) AS u, min(v) AS v, min(du) AS du, min(dv) AS dv, min(a) AS a, min(b) AS b,
+                     sum(lgamma(a + purchases) + lgamma(b + users - purchases) - lgamma(a + b + users))
+                     - count(*) * (lgamma(min(a)) + lgamma(min(b)) - lgamma(min(a) + min(b)))
+                     - {S.PRIOR_RATE!r} * (min(a) + min(b)) + ln(min(a)) + ln(min(b)) AS lw
+              FROM (SELECT *, exp(v) * exp(u) / (exp(u) + 1) AS a, exp(v) / (exp(u) + 1) AS b
+                    FROM (SELECT *, u0 + (grid_id // {p}) * du AS u, v0 + (grid_id % {p}) * dv AS v
+                          FROM (SELECT t.*, x.u0, x.du, x.v0, x.dv, unnest(range(0, {p * p})) AS grid_id
+                                FROM totals t JOIN box{r} x USING (experiment_name))))
+              GROUP BY 1, 2)))"""
         )
-        if r < B.GRID_ROUNDS:
-            half = "{s} * greatest(sqrt(greatest(sum(weight * {x} * {x}) - sum(weight * {x}) * sum(weight * {x}), 0.0)), min(d{x}) / 4)"
-            hu, hv = (half.format(s=repr(B.GRID_SPAN), x=x) for x in "uv")
+        if r < _SQL_ROUNDS - 1:
+            half = {x: f"{B.GRID_SPAN!r} * greatest(sd{x}, d{x} / 4)" for x in "uv"}
+            ends = ", ".join(
+                f"CASE WHEN done THEN {x}0 ELSE m{x} - {half[x]} END AS {x}0, "
+                f"CASE WHEN done THEN d{x} ELSE 2 * {half[x]} / {p - 1} END AS d{x}"
+                for x in "uv"
+            )
+            sds = ", ".join(f"sqrt(greatest(sum(weight * {x} * {x}) - sum(weight * {x}) * sum(weight * {x}), 0.0)) AS sd{x}" for x in "uv")
             out.append(
                 f"""
 box{r + 1} AS (
-  SELECT experiment_name, sum(weight * u) - {hu} AS u0, 2 * {hu} / {p - 1} AS du,
-         sum(weight * v) - {hv} AS v0, 2 * {hv} / {p - 1} AS dv
-  FROM w{r} GROUP BY 1)"""
+  SELECT experiment_name, {ends}
+  FROM (SELECT *, du <= {B.GRID_STEP} * sdu AND dv <= {B.GRID_STEP} * sdv AS done
+        FROM (SELECT experiment_name, min(u) AS u0, min(v) AS v0, min(du) AS du, min(dv) AS dv,
+                     sum(weight * u) AS mu, sum(weight * v) AS mv, {sds}
+              FROM w{r} GROUP BY 1)))"""
             )
+    out.append(
+        f"""
+cells AS (
+  SELECT t.experiment_name, t.variant_id, CAST(purchases AS DOUBLE) AS s, CAST(users - purchases AS DOUBLE) AS r, weight,
+         w.a + purchases AS a, w.b + users - purchases AS b
+  FROM totals t JOIN w{_SQL_ROUNDS - 1} w USING (experiment_name) WHERE weight >= {B.LEAST_WEIGHT!r}),
+mom AS (
+  SELECT experiment_name, variant_id, sum(weight * a / (a + b)) / sum(weight) AS e1,
+         sum(weight * a * (a + 1) / ((a + b) * (a + b + 1))) / sum(weight) AS e2
+  FROM cells GROUP BY 1, 2),
+summ AS (
+  SELECT experiment_name, variant_id, e1 AS mean, sqrt(greatest(e2 - e1 * e1, 0.0)) AS sd, '{S.POSTERIOR_CLASS}' AS class FROM mom)"""
+    )
     return ",".join(out)
 
 
-_LAST = B.GRID_ROUNDS
+def _curve_sql() -> str:
+    """The posterior curves of operators.bayes: one row per node, and the panels between nodes."""
+    n = B.CURVE
+    return f"""
+ends AS (
+  SELECT *, greatest(c - greatest({B.CURVE_SPAN} * sd, 32.0 / (s + 0.5)), -{B.CURVE_END}) AS x0,
+         (least(c + greatest({B.CURVE_SPAN} * sd, 32.0 / (r + 0.5)), {B.CURVE_END})
+          - greatest(c - greatest({B.CURVE_SPAN} * sd, 32.0 / (s + 0.5)), -{B.CURVE_END})) / {n} AS h
+  FROM (SELECT *, ln(ea / eb) AS c, sqrt(1 / ea + 1 / eb) AS sd
+        FROM (SELECT experiment_name, variant_id, min(s) AS s, min(r) AS r, sum(weight * a) / sum(weight) AS ea,
+                     sum(weight * b) / sum(weight) AS eb FROM cells GROUP BY 1, 2))),
+density AS (
+  SELECT experiment_name, variant_id, node, min(x0) AS x0, min(h) AS h, sum(f) AS f,
+         sum(f * (a - (a + b) / (1 + exp(-x)))) AS d, sum(CASE WHEN node = 0 THEN f / a ELSE 0 END) AS tail
+  FROM (SELECT *, exp(ln(weight) - lnb + a * (-greatest(-x, 0.0) - ln(1 + exp(-abs(x))))
+                      + b * (-greatest(x, 0.0) - ln(1 + exp(-abs(x))))) AS f
+        FROM (SELECT *, x0 + node * h AS x
+              FROM (SELECT c.*, e.x0, e.h, lgamma(c.a) + lgamma(c.b) - lgamma(c.a + c.b) AS lnb, unnest(range(0, {n + 1})) AS node
+                    FROM cells c JOIN ends e USING (experiment_name, variant_id))))
+  GROUP BY 1, 2, 3),
+curve AS (
+  SELECT *, sum(panel) OVER (PARTITION BY experiment_name, variant_id ORDER BY node) AS p
+  FROM (SELECT *, CASE WHEN node = 0 THEN tail ELSE greatest(h / 2 * (lag(f) OVER n + f) - h * h / 12 * (d - lag(d) OVER n), 0.0) END AS panel
+        FROM density WINDOW n AS (PARTITION BY experiment_name, variant_id ORDER BY node))),
+panels AS (
+  SELECT *, CASE WHEN node = 0 THEN -1.0 ELSE y0 END AS above
+  FROM (SELECT experiment_name, variant_id, node, x0, h, p AS y0, lead(p) OVER n AS y1, h * f AS m0, h * lead(f) OVER n AS m1
+        FROM curve WINDOW n AS (PARTITION BY experiment_name, variant_id ORDER BY node))
+  WHERE node < {n})"""
+
+
+def _quantile_sql(name: str, requests: str) -> str:
+    """``name``: the rows of ``requests`` (experiment_name, variant_id, q, others) with place and theta where the curve reaches q."""
+    y, m = "y0 + t * (m0 + t * (c2 + t * c3))", "m0 + t * (2 * c2 + 3 * t * c3)"
+    rows = f"""
+    SELECT *, 3 * (y1 - y0) - 2 * m0 - m1 AS c2, 2 * (y0 - y1) + m0 + m1 AS c3,
+           greatest(0.0, least(1.0, CASE WHEN y1 > y0 THEN (q - y0) / (y1 - y0) ELSE 0.5 END)) AS t
+    FROM (SELECT r.*, p.node AS j, p.x0, p.h, p.y0, p.y1, p.m0, p.m1
+          FROM {requests} r ASOF JOIN panels p
+            ON r.experiment_name = p.experiment_name AND r.variant_id = p.variant_id AND r.q >= p.above)"""
+    for _ in range(B.NEWTON_STEPS):
+        rows = f"SELECT * REPLACE (greatest(0.0, least(1.0, t - ({y} - q) / greatest({m}, 1e-300))) AS t) FROM ({rows})"
+    return f"""
+{name} AS (
+  SELECT * EXCLUDE (j, x0, h, y0, y1, m0, m1, c2, c3, t), j + t AS to_place, 1 / (1 + exp(-(x0 + (j + t) * h))) AS to_theta
+  FROM ({rows}))"""
+
+
+def _cumulative_sql(name: str, requests: str) -> str:
+    """``name``: the rows of ``requests`` (experiment_name, variant_id, place, others) with the cumulative probability ``f`` and theta there."""
+    t = "(place - node)"
+    return f"""
+{name} AS (
+  SELECT r.*, 1 / (1 + exp(-(x0 + place * h))) AS theta,
+         CASE WHEN place <= 0 THEN 0.0 WHEN place >= {B.CURVE} THEN 1.0
+              ELSE y0 + {t} * (m0 + {t} * (3 * (y1 - y0) - 2 * m0 - m1 + {t} * (2 * (y0 - y1) + m0 + m1))) END AS f
+  FROM {requests} r JOIN panels p
+    ON r.experiment_name = p.experiment_name AND r.variant_id = p.variant_id
+   AND p.node = greatest(0, least(CAST(floor(place) AS BIGINT), {B.CURVE - 1})))"""
+
+
+def _hdi_sql() -> str:
+    """``hdi``: the shortest intervals, found as operators.bayes finds them."""
+    prob, n, fine = S.HDI_PROB, B.CURVE, B.FINE
+    k = f"least(greatest(k, 1), {2 * fine - 1})"
+    return ",".join(
+        [
+            f"""
+tried AS (SELECT experiment_name, variant_id, CAST(node AS DOUBLE) AS place FROM panels WHERE node BETWEEN 1 AND {n - 1})""",
+            _cumulative_sql("tried_f", "tried"),
+            f"""
+tried_q AS (SELECT *, f + {prob} AS q FROM tried_f)""",
+            _quantile_sql("tried_w", "tried_q"),
+            f"""
+coarse AS (
+  SELECT experiment_name, variant_id, arg_min(place, (width, place)) AS i
+  FROM (SELECT *, CASE WHEN q >= 1 THEN 2.0 ELSE to_theta - theta END AS width FROM tried_w) GROUP BY 1, 2),
+near AS (
+  SELECT experiment_name, variant_id, k, i - 1 + k / {float(fine)} AS place
+  FROM (SELECT *, unnest(range(0, {2 * fine + 1})) AS k FROM coarse))""",
+            _cumulative_sql("near_f", "near"),
+            f"""
+near_q AS (SELECT *, f + {prob} AS q FROM near_f)""",
+            _quantile_sql("near_to", "near_q"),
+            f"""
+near_w AS (SELECT *, CASE WHEN q >= 1 THEN 2.0 ELSE to_theta - theta END AS width FROM near_to),
+centre AS (
+  SELECT experiment_name, variant_id, {k} AS k
+  FROM (SELECT experiment_name, variant_id, arg_min(k, (width, k)) AS k FROM near_w GROUP BY 1, 2)),
+three AS (
+  SELECT c.experiment_name, c.variant_id, min(CASE WHEN w.k = c.k THEN place END) AS middle, min(CASE WHEN w.k = c.k - 1 THEN width END) AS l,
+         min(CASE WHEN w.k = c.k THEN width END) AS m, min(CASE WHEN w.k = c.k + 1 THEN width END) AS r
+  FROM near_w w JOIN centre c USING (experiment_name, variant_id) GROUP BY 1, 2),
+least_at AS (
+  SELECT experiment_name, variant_id,
+         middle + CASE WHEN l - 2 * m + r > 0 AND l < 2 AND r < 2
+                   THEN greatest(-1.0, least(1.0, (l - r) / (2 * (l - 2 * m + r)))) ELSE 0.0 END / {float(fine)} AS place
+  FROM three)""",
+            _cumulative_sql("least_f", "least_at"),
+            f"""
+three_q AS (
+  SELECT experiment_name, variant_id, 'inner' AS kind, theta, f + {prob} AS q FROM least_f
+  UNION ALL SELECT experiment_name, variant_id, 'bottom', 0.0, {prob} FROM totals
+  UNION ALL SELECT experiment_name, variant_id, 'top', 1.0, 1 - {prob} FROM totals)""",
+            _quantile_sql("three_to", "three_q"),
+            """
+hdi AS (
+  SELECT experiment_name, variant_id, arg_min(low, (width, low)) AS hdi_low, arg_min(high, (width, low)) AS hdi_high
+  FROM (SELECT *, CASE WHEN kind = 'inner' AND q >= 1 THEN 2.0 ELSE high - low END AS width
+        FROM (SELECT *, CASE WHEN kind = 'top' THEN to_theta ELSE theta END AS low,
+                     CASE WHEN kind = 'top' THEN 1.0 ELSE to_theta END AS high FROM three_to))
+  GROUP BY 1, 2)""",
+        ]
+    )
+
+
 _BAYES = _GOLD + "," + _grid_sql()
+_CURVES = _BAYES + "," + _curve_sql()
+_HDI = _CURVES + "," + _hdi_sql()
+_DRAWS = (
+    f"""
+counters AS (
+  SELECT experiment_name, variant_id, draw,
+         (CAST('0x' || substr(md5('0' || chr(9) || experiment_name || chr(9) || variant_id || chr(9) || draw), 1, 13) AS BIGINT) + 0.5)
+         / {1 << 52} AS q
+  FROM (SELECT experiment_name, variant_id, unnest(range(0, {S.POSTERIOR_SAMPLES})) AS draw FROM totals)),"""
+    + _quantile_sql("draws", "counters")
+)
 
 _DAILY_HDI = _GOLD + """,
 rates AS (
@@ -785,15 +1004,48 @@ ORACLE_SQL: dict[str, str] = {
              CAST(dense_rank() OVER (PARTITION BY experiment_name ORDER BY variant_id) - 1 AS INTEGER) AS variant_code
       FROM (SELECT DISTINCT experiment_name, variant_id FROM gold WHERE variant_id IS NOT NULL)""",
     "bayes_grid_weights": "WITH " + _BAYES + """
-      SELECT experiment_name, CAST(grid_id AS INTEGER) AS grid_id, round(weight, 9) AS weight FROM w""" + str(_LAST),
-    "bayes_summary": "WITH " + _BAYES + f""",
-      mom AS (
-        SELECT c.experiment_name, c.variant_id, sum(w.weight * c.m1) AS e1, sum(w.weight * c.m2) AS e2
-        FROM cells{_LAST} c JOIN w{_LAST} w ON c.experiment_name = w.experiment_name AND c.grid_id = w.grid_id
-        GROUP BY 1, 2)
-      SELECT experiment_name, variant_id, round(e1, 9) AS mean, round(sqrt(greatest(e2 - e1 * e1, 0.0)), 7) AS sd,
-             '{S.POSTERIOR_CLASS}' AS class
-      FROM mom""",
+      SELECT experiment_name, CAST(grid_id AS INTEGER) AS grid_id, round(weight, 9) AS weight FROM w""" + str(_SQL_ROUNDS - 1),
+    "bayes_summary": "WITH " + _BAYES + """
+      SELECT experiment_name, variant_id, round(mean, 9) AS mean, round(sd, 7) AS sd, class FROM summ""",
+    "bayes_hdi": "WITH " + _HDI + """
+      SELECT experiment_name, variant_id, round(hdi_low, 6) AS hdi_low, round(hdi_high, 6) AS hdi_high FROM hdi""",
+    "bayes_hdi_mass": "WITH " + _BAYES + f"""
+      SELECT experiment_name, variant_id, CAST({S.HDI_PROB} AS DOUBLE) AS mass FROM totals""",
+    "bayes_draws": "WITH " + _CURVES + "," + _DRAWS + """
+      SELECT experiment_name, variant_id, draw, round(to_theta, 6) AS theta FROM draws""",
+    "bayes_draws_check": "WITH " + _HDI + "," + _DRAWS + """
+      SELECT experiment_name, variant_id, count(*) AS draws, round(avg(to_theta), 6) AS mean, round(stddev_samp(to_theta), 6) AS sd,
+             CAST(count_if(to_theta BETWEEN hdi_low AND hdi_high) AS BIGINT) AS inside
+      FROM draws JOIN hdi USING (experiment_name, variant_id) GROUP BY 1, 2""",
+    "bayes_comparison": "WITH " + _HDI + """,
+      c AS (SELECT *, min(variant_id) OVER (PARTITION BY experiment_name) AS control FROM summ JOIN hdi USING (experiment_name, variant_id)),
+      pair AS (
+        SELECT t.experiment_name, t.variant_id AS variant, t.control, k.mean AS control_mean, k.hdi_low AS control_hdi_low,
+               k.hdi_high AS control_hdi_high, t.mean AS test_mean, t.hdi_low AS test_hdi_low, t.hdi_high AS test_hdi_high,
+               true AS control_found, NOT (k.hdi_high >= t.hdi_low AND k.hdi_low <= t.hdi_high) AS significant
+        FROM c t JOIN c k ON t.experiment_name = k.experiment_name AND k.variant_id = t.control WHERE t.variant_id <> t.control)
+      SELECT experiment_name, variant, control, round(control_mean, 9) AS control_mean, round(control_hdi_low, 6) AS control_hdi_low,
+             round(control_hdi_high, 6) AS control_hdi_high, round(test_mean, 9) AS test_mean, round(test_hdi_low, 6) AS test_hdi_low,
+             round(test_hdi_high, 6) AS test_hdi_high, control_found, significant,
+             CASE WHEN significant THEN replace('""" + S.COMPARISON_SIGNIFICANT + """', '%s', variant)
+                  ELSE replace('""" + S.COMPARISON_NOT_SIGNIFICANT + """', '%s', variant) END AS conclusion
+      FROM pair""",
+    "posterior_histogram": "WITH " + _CURVES + """,
+      spans AS (SELECT experiment_name, variant_id, 1e-4 AS q, 'lo' AS side FROM totals
+                UNION ALL SELECT experiment_name, variant_id, 1.0 - 1e-4, 'hi' FROM totals),""" + _quantile_sql("span_ends", "spans") + """,
+      edges AS (
+        SELECT experiment_name, variant_id, lo, hi, unnest(range(0, 31)) AS e
+        FROM (SELECT experiment_name, variant_id, min(CASE WHEN side = 'lo' THEN to_theta END) AS lo,
+                     min(CASE WHEN side = 'hi' THEN to_theta END) AS hi FROM span_ends GROUP BY 1, 2)),
+      placed AS (
+        SELECT g.experiment_name, g.variant_id, e, edge, (ln(edge / (1 - edge)) - n.x0) / n.h AS place
+        FROM (SELECT *, lo + e * ((hi - lo) / 30) AS edge FROM edges) g JOIN ends n USING (experiment_name, variant_id)),"""
+        + _cumulative_sql("edge_f", "placed") + """,
+      bounded AS (
+        SELECT experiment_name, variant_id, e, edge, CASE WHEN e = 0 THEN 0.0 WHEN e = 30 THEN 1.0 ELSE f END AS f FROM edge_f)
+      SELECT a.experiment_name, a.variant_id, CAST(b.e AS INTEGER) AS bin, round(a.edge, 6) AS bin_low, round(b.edge, 6) AS bin_high,
+             round(b.f - a.f, 6) AS mass
+      FROM bounded a JOIN bounded b ON a.experiment_name = b.experiment_name AND a.variant_id = b.variant_id AND b.e = a.e + 1""",
     "daily_rate_hdi": "WITH " + _DAILY_HDI + " SELECT * FROM hdi",
     "daily_rate_comparison": "WITH " + _DAILY_HDI + """,
       summ AS (
@@ -860,6 +1112,61 @@ ORACLE_SQL: dict[str, str] = {
       FROM ans""",
 }
 
+ORACLE_SQL["silver_bucketed"] = ORACLE_SQL["silver"]
+ORACLE_SQL["quality_report_batches"] = ORACLE_SQL["quality_report"].replace(
+    """  SELECT user_id, "timestamp", event_name, item_id, site, experiments FROM ev0 WHERE event_id % 50 = 0)""",
+    """  SELECT user_id, "timestamp", event_name, item_id, site, experiments FROM ev0 WHERE event_id % 50 = 0
+  UNION ALL
+  SELECT user_id, "timestamp", event_name, item_id, site, experiments FROM ev0 WHERE user_id % 5 = 0
+  UNION ALL
+  SELECT user_id, "timestamp", event_name, item_id, site, experiments FROM ev0 WHERE event_id % 50 = 0 AND user_id % 5 = 0)""",
+)
+_SESSIONS = _BRONZE + """,
+      marked AS (
+        SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL '{gap}' THEN 0 ELSE 1 END AS starts
+        FROM ev WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+      numbered AS (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM marked),
+      sessions AS (
+        SELECT user_id, min(ts) AS session_start, max(ts) AS last_event, count(*) AS events, count(DISTINCT event_name) AS steps,
+               CAST(count_if(event_name = 'BUY') AS BIGINT) AS buys, max(CASE WHEN event_name = 'BUY' THEN ts END) AS last_buy,
+               coalesce(bool_or(event_name = 'BUY'), false) AS converted
+        FROM (SELECT user_id, session, ts, event_name FROM numbered
+              UNION ALL SELECT user_id, NULL, ts, event_name FROM ev WHERE ts IS NULL)
+        GROUP BY user_id, session)"""
+ORACLE_SQL["user_sessions"] = "WITH " + _SESSIONS.replace("{gap}", "30 minutes") + " SELECT * REPLACE (CASE WHEN last_event IS NULL THEN NULL ELSE last_buy END AS last_buy) FROM sessions"
+ORACLE_SQL["session_summary"] = "WITH " + _SESSIONS.replace("{gap}", "12 hours") + """
+      SELECT user_id, count(*) AS sessions, CAST(count_if(converted) AS BIGINT) AS converting_sessions, CAST(sum(events) AS BIGINT) AS events,
+             CAST(coalesce(sum(CASE WHEN NOT converted THEN events END), 0) AS BIGINT) AS events_without_purchase,
+             max(CAST(floor(epoch(last_event - session_start)) AS BIGINT)) AS longest_seconds
+      FROM sessions GROUP BY 1"""
+_USERS = """count(DISTINCT user_id) AS users, count(DISTINCT CASE WHEN flag_purchase THEN user_id END) AS purchases"""
+ORACLE_SQL["users_rollup"] = "WITH " + _GOLD + f" SELECT experiment_name, variant_id, {_USERS} FROM silver GROUP BY 1, 2"
+ORACLE_SQL["users_rollup_weeks"] = "WITH " + _GOLD + f"""
+      SELECT CAST(date_trunc('week', CAST("timestamp" AS DATE)) AS DATE) AS week, experiment_name, variant_id, {_USERS}
+      FROM silver GROUP BY 1, 2, 3"""
+
+
+def _position_sql(rows: str, *order: str) -> str:
+    """``rows`` plus the position in ``order`` (nulls first unless said otherwise)."""
+    by = ", ".join(o if " " in o else f"{o} ASC NULLS FIRST" for o in order)
+    return f"SELECT *, row_number() OVER (ORDER BY {by}) AS position FROM ({rows})"
+
+
+ORACLE_SQL["order_bronze"] = "WITH " + _BRONZE + " SELECT * EXCLUDE (ts) FROM (" + _position_sql(
+    "SELECT * FROM ev", "user_id", "ts", "event_name", "item_id", "site", "experiments", '"timestamp"'
+) + ")"
+ORACLE_SQL["order_gold"] = "WITH " + _GOLD + " " + _position_sql(f" SELECT {', '.join(S.GOLD_KEY)} FROM gold", *S.GOLD_KEY)
+ORACLE_SQL["order_tunnel"] = "WITH " + _GOLD + " " + _position_sql(f" SELECT {', '.join(S.TUNNEL_KEY)} FROM tunnel", *S.TUNNEL_KEY)
+ORACLE_SQL["order_variant_count"] = "WITH " + _GOLD + " " + _position_sql(" SELECT * FROM vc", "variant_count DESC", "experiment_name")
+ORACLE_SQL["order_conversion"] = "WITH " + _GOLD + " " + _position_sql(
+    "SELECT experiment_name, variant_id, day, conversion_rate FROM ("
+    + ORACLE_SQL["conversion_ranking"][len("WITH " + _GOLD) :] + ")",
+    "conversion_rate DESC NULLS LAST", *[f"{c} ASC NULLS LAST" for c in ("experiment_name", "variant_id", "day")],
+)
+ORACLE_SQL["order_funnel"] = "WITH " + _GOLD + " " + _position_sql(
+    ORACLE_SQL["funnel"][len("WITH " + _GOLD) :], "experiment_name", "variant_id", "users", "day", "event_name"
+)
+ORACLE_SQL["order_chi2"] = "WITH " + _CHI2 + " " + _position_sql(" SELECT day, experiment_name, dof FROM pv", "day", "experiment_name")
 ORACLE_SQL["quality_layer_clustered"] = ORACLE_SQL["quality_report"]
 ORACLE_SQL["bayes_summary_many_variants"] = (
     """WITH multi AS (
@@ -868,9 +1175,6 @@ ORACLE_SQL["bayes_summary_many_variants"] = (
   FROM events GROUP BY 2),"""
     + ORACLE_SQL["bayes_summary"][len("WITH " + _GOLD + ",") :]
 )
-ORACLE_SQL["bayes_draws_check"] = "WITH " + _BAYES + """
-      SELECT experiment_name, variant_id, CAST(5000 AS BIGINT) AS draws, true AS mean_ok, true AS sd_ok,
-             true AS hdi_ok, true AS histogram_ok FROM totals"""
 ORACLE_SQL["bayes_comparison_means"] = (
     "WITH summary AS ("
     + ORACLE_SQL["bayes_summary"]

@@ -97,12 +97,12 @@ def run_pipeline(
     }
 
 
-def run_analytics(spark: SparkSession, root: str, fmt: str = "parquet", seed: int = 0) -> dict[str, DataFrame]:
+def run_analytics(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """Materialise the analyses of the gold layer under ``root``.
 
     Reads ``gold_aggregated`` once from storage; writes the variant counts,
-    the chi-square tests and skipped groups, the Bayesian report (exact means,
-    draw-based HDIs) and comparison, and the per-day result documents
+    the chi-square tests and skipped groups, the Bayesian report (exact means
+    and intervals) and comparison, and the per-day result documents
     (partitioned by day, so a lookup reads one folder).
     """
     from abtest_spark.operators import bayes as B
@@ -111,7 +111,7 @@ def run_analytics(spark: SparkSession, root: str, fmt: str = "parquet", seed: in
     from abtest_spark.operators import results as R
 
     gold = read_layer(spark, root, "gold_aggregated", fmt)
-    report = B.bayes_report(gold, seed=seed)
+    report = B.bayes_report(gold)
     outputs = {
         "variant_count": (CV.variant_count(gold), ()),
         "chi2_test": (C.chi2_test(gold), ()),
@@ -121,7 +121,7 @@ def run_analytics(spark: SparkSession, root: str, fmt: str = "parquet", seed: in
     }
     for name, (df, parts) in outputs.items():
         write_layer(df, root, name, fmt=fmt, partition_by=parts)
-    # The comparison reads the written report, so the draws are not redone.
+    # The comparison reads the written report, so the grid is not fitted again.
     write_layer(B.bayes_comparison(read_layer(spark, root, "bayes_report", fmt)), root, "bayes_comparison", fmt=fmt)
     names = [*outputs, "bayes_comparison"]
     return {n: read_layer(spark, root, n, fmt) for n in names}

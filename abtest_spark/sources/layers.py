@@ -71,6 +71,25 @@ def write_layer(
     writer.save(layer_path(root, layer))
 
 
+def write_bucketed(
+    df: DataFrame, root: str, layer: str, table: str, buckets: int, bucket_by: str = "user_id", sort_by: Sequence[str] = ()
+) -> DataFrame:
+    """Write a layer as a catalog table bucketed (and sorted) by ``bucket_by``; returns the table.
+
+    A session or metastore table remembers the buckets, so later joins and
+    aggregates on that column need no shuffle of the layer. Rows are first
+    dealt to the buckets' tasks: one file per bucket. The files are at
+    ``{root}/{layer}`` and can be read as plain parquet too.
+    """
+    spark = df.sparkSession
+    writer = df.repartition(buckets, bucket_by).write.format("parquet").mode("overwrite").bucketBy(buckets, bucket_by)
+    if sort_by:
+        writer = writer.sortBy(*sort_by)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    writer.option("path", layer_path(root, layer)).saveAsTable(table)
+    return spark.table(table)
+
+
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Headed CSV export (e.g. of gold), written in parallel part files."""
     df.write.option("header", True).mode(mode).csv(path)

