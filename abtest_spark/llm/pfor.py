@@ -215,8 +215,10 @@ def library_memo(path: str) -> Memo:
 
     def word(piece: bytes | int) -> bytes:
         if isinstance(piece, int):
-            return np.array([piece], "<u4").tobytes()
-        return np.array([t.id for t in merge(piece.decode("latin-1").translate(sign))], "<u4").tobytes()
+            return piece.to_bytes(4, "little")
+        # printable ASCII stands for itself in the byte alphabet
+        name = piece.decode() if piece.isalnum() else piece.decode("latin-1").translate(sign)
+        return b"".join([t.id.to_bytes(4, "little") for t in merge(name)])
 
     words = Memo(word, MEMO)
 

@@ -42,8 +42,13 @@ class Splitter:
 
     def pieces(self, chunk: str) -> list[bytes | int]:
         """UTF-8 bytes of each word piece; the id of each special token."""
-        if chunk.isascii() and chunk.isalpha():
-            return [chunk.lower().encode()]
+        if chunk.isascii():
+            low = chunk.lower()
+            if low.isalpha():
+                return [low.encode()]
+            if low[:-1].isalpha():  # a word and one sign or digit behind it
+                raw = low.encode()
+                return [raw[:-1], raw[-1:]]
         if "<|" not in chunk:
             return self._plain(chunk)
         out = []
