@@ -70,6 +70,8 @@ BLOCK_TAGS = frozenset(
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is not text.
 RAW_TAGS = frozenset("script style noscript template svg math iframe object canvas textarea title".split())
+#: Those that end, where they are never closed, at the next block of the page.
+SOFT_RAW_TAGS = frozenset("noscript template svg math object canvas".split())
 #: Their content is never the article's.
 BOILER_TAGS = frozenset("nav footer aside form menu button select dialog header head".split())
 ARTICLE_TAGS = frozenset("article main".split())
@@ -86,6 +88,9 @@ BOILER_NAMES = re.compile(
     r"legal|disclaimer|widget|hidden|skip-?link)(?=$|[\s_-])",
     re.I,
 )
+#: What readers wrote, under whatever longer name.
+COMMENT_NAMES = re.compile(r"comment|respon[ds]|disqus|discussion|repl(?:y|ies)", re.I)
+ACQUITTED_FROM = 0.8  # share of the running text from which an element is none of what a part of its name says
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 #: Names of layouts and of the article's own title, which hold a boilerplate word but no boilerplate.
 LAYOUT_NAMES = re.compile(r"(?:has|no|with|without|is|show|hide)[_-]|(?:article|post|entry|story)[_-](?:header|title)$", re.I)
@@ -98,6 +103,7 @@ ARTICLE_NAMES = re.compile(
     r"story-?(?:body|content|text)?|main-?(?:content|text)|content-?(?:body|main|text)?|body-?text)(?=$|[\s_-])",
     re.I,
 )
+BLOCK_START = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK_TAGS))})(?=[\s/>])", re.I)
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)",
@@ -110,8 +116,14 @@ ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 WORD = re.compile(r"[^\W\d_]+")
 
 
+def _only_boiler(name: str) -> bool:
+    """Whether every part of a class name or id is a boilerplate word."""
+    parts = [x for x in re.split("[_-]", name) if x]
+    return BOILER_NAMES.fullmatch(name) is not None or all(BOILER_NAMES.fullmatch(x) for x in parts)
+
+
 def _kind(name: str, rest: str, inside_article: bool) -> str:
-    """What an element is to its content: 'boiler', 'article' or ''."""
+    """What an element is to its content: 'boiler', 'suspect' (a longer name with a boilerplate word in it), 'named', 'article' or ''."""
     if name in BOILER_TAGS and not (name == "header" and inside_article):
         return "boiler"
     if rest and name not in ("body", "html"):
@@ -121,8 +133,11 @@ def _kind(name: str, rest: str, inside_article: bool) -> str:
         if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", at.get("style", ""), re.I):
             return "boiler"
         names = [x for x in f"{at.get('class', '')} {at.get('id', '')}".split() if not LAYOUT_NAMES.match(x)]
-        if any(CARD_NAMES.search(x) if name in ARTICLE_TAGS else BOILER_NAMES.search(x) for x in names):
+        said = [(x, m) for x in names if (m := (CARD_NAMES if name in ARTICLE_TAGS else BOILER_NAMES).search(x))]
+        if any(COMMENT_NAMES.search(x) or _only_boiler(x) for x, _ in said):
             return "boiler"
+        if said:
+            return "suspect"
         if name not in ARTICLE_TAGS and any(ARTICLE_NAMES.search(x) for x in names):
             return "named"
         if at.get("itemprop", "").lower() in ("articlebody", "text") or at.get("role", "").lower() in ("main", "article"):
@@ -166,11 +181,31 @@ class Tags:
 class Block:
     """Text, share of linked characters, what containers it is in, and its parent element's number."""
 
-    __slots__ = ("parts", "linked", "boiler", "article", "named", "parent", "text", "links", "stop")
+    __slots__ = ("parts", "linked", "boiler", "article", "named", "parent", "suspects", "text", "links", "stop")
 
-    def __init__(self, boiler: bool, article: bool, named: bool, parent: int):
+    def __init__(self, boiler: bool, article: bool, named: bool, parent: int, suspects: tuple[int, ...]):
         self.parts, self.linked, self.boiler, self.article, self.named = [], 0, boiler, article, named
-        self.parent, self.text, self.links, self.stop = parent, "", 0.0, 0.0
+        self.parent, self.suspects, self.text, self.links, self.stop = parent, suspects, "", 0.0, 0.0
+
+    def running(self) -> bool:
+        return len(self.text) >= LENGTH_SHORT and self.links < LINK_DENSITY
+
+
+def _judge(found: list[Block]) -> None:
+    """Blocks in suspect elements are boilerplate, unless the element holds nearly all running text and no article is elsewhere."""
+    clear = [b for b in found if not b.boiler and b.running()]
+    total = sum(len(b.text) for b in clear)
+    share: dict[int, int] = {}
+    for b in clear:
+        for k in b.suspects:
+            share[k] = share.get(k, 0) + len(b.text)
+    innocent = {
+        k
+        for k, n in share.items()
+        if n >= ACQUITTED_FROM * total and not any((b.article or b.named) and k not in b.suspects for b in clear)
+    }
+    for b in found:
+        b.boiler = b.boiler or any(k not in innocent for k in b.suspects)
 
 
 def blocks(page: str) -> list[Block]:
@@ -178,7 +213,10 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, str]] = []  # open elements: (name, kind)
     parents, elements = [0], 0  # numbers of the open elements that hold blocks
-    depth = {"boiler": 0, "article": 0, "named": 0, "a": 0, "": 0}
+    suspects: list[int] = []  # numbers of the open elements that are suspect
+    depth = {"boiler": 0, "suspect": 0, "article": 0, "named": 0, "a": 0, "": 0}
+    n_suspects = 0
+    unclosed: set[str] = set()  # names of raw elements with no end tag further on
     current: Block | None = None
     at, end, tags = 0, len(page), Tags(page)
 
@@ -188,7 +226,7 @@ def blocks(page: str) -> list[Block]:
         if current is None:
             if not text.strip():
                 return
-            current = Block(depth["boiler"] > 0, depth["article"] > 0, depth["named"] > 0, parents[-1])
+            current = Block(depth["boiler"] > 0, depth["article"] > 0, depth["named"] > 0, parents[-1], tuple(suspects))
             out.append(current)
         current.parts.append(text)
         if depth["a"]:
@@ -198,6 +236,8 @@ def blocks(page: str) -> list[Block]:
         while len(stack) > k:
             name, kind = stack.pop()
             depth[kind] -= 1
+            if kind == "suspect":
+                suspects.pop()
             depth["a"] -= name == "a"
             if name in BLOCK_TAGS and name not in TEXT_TAGS:
                 parents.pop()
@@ -233,8 +273,13 @@ def blocks(page: str) -> list[Block]:
             close(len(stack) - 1)
         if name in RAW_TAGS:
             if not rest.rstrip().endswith("/"):
-                stop = re.compile(f"</{name}[^>]*>?", re.I).search(page, at)
-                at = stop.end() if stop else end
+                stop = None if name in unclosed else re.compile(f"</{name}[^>]*>?", re.I).search(page, at)
+                if stop is None:
+                    unclosed.add(name)
+                    begin = BLOCK_START.search(page, at) if name in SOFT_RAW_TAGS else None
+                    at = begin.start() if begin else end
+                else:
+                    at = stop.end()
             continue
         if name in VOID_TAGS or rest.endswith("/"):
             continue
@@ -243,6 +288,9 @@ def blocks(page: str) -> list[Block]:
             current = None  # another container begins
         stack.append((name, kind))
         depth[kind] += 1
+        if kind == "suspect":
+            n_suspects += 1
+            suspects.append(n_suspects)
         depth["a"] += name == "a"
         if name in BLOCK_TAGS and name not in TEXT_TAGS:
             elements += 1
@@ -252,10 +300,12 @@ def blocks(page: str) -> list[Block]:
         b.text = " ".join("".join(b.parts).split())
         if b.text:
             b.links = b.linked / max(1, len(b.text) - b.text.count(" "))
-            if not b.boiler:
-                words = WORD.findall(b.text.lower())
-                b.stop = sum(w in STOP_WORDS for w in words) / max(1, len(words))
             found.append(b)
+    _judge(found)
+    for b in found:
+        if not b.boiler:
+            words = WORD.findall(b.text.lower())
+            b.stop = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     return found
 
 
@@ -287,7 +337,7 @@ def main_text(page: str) -> str:
     """Kept blocks joined by a line break; empty if none."""
     found = blocks(page)
     free = [b for b in found if not b.boiler]
-    running = [b for b in free if len(b.text) >= LENGTH_SHORT and b.links < LINK_DENSITY]
+    running = [b for b in free if b.running()]
     known = any(b.stop >= STOP_LOW for b in running)
     has_article = any(b.article for b in free)
     inside = sum(len(b.text) for b in running if b.article)

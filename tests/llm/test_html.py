@@ -26,6 +26,9 @@ LONG = "It was the best of times, it was the worst of times, it was the age of w
         ("<article><p style='display:none'>no<p hidden>no</p><p>yes</article>", "yes"),
         ("<ARTICLE><P>Up</P><STYLE>p{}</STYLE></ARTICLE>", "Up"),
         ("<article><p>cut short <a href='x", "cut short <a href='x"),
+        ("<article><svg><title>t</title><p>kept</article>", "kept"),
+        ("<article><p>a</p><object data=x>no<p>kept<canvas>no</p><p>more</article>", "a\nkept\nmore"),
+        ("<article><p>a</p><svg><text>no</text></svg><p>kept</p><script>x<p>no</article>", "a\nkept"),
     ],
 )
 def test_structure(page, text):
@@ -117,3 +120,18 @@ def test_tags_without_an_end_are_text_and_end_soon():
     assert main_text("<article><p>a <b title=it's>b</b> <i x='y>c</i></article>") == "a b <i x='y>c"
     for page in ('<p a="' + ' a="<p"' * 100_000, "<p a='<p b=\"" * 50_000, "<p a=" + "<p a='x' " * 50_000):
         main_text(page)
+
+
+@pytest.mark.parametrize("name", ['id="social-history"', 'class="legal-news-story"', 'class="post-tags-wide"', 'id="x" class="share_price_report"'])
+def test_a_boilerplate_word_in_a_longer_name_is_no_verdict(name):
+    """The element that holds the story keeps it; the same name beside a story is boilerplate."""
+    story = f"<p>{LONG}</p><p>{LONG} And more.</p>"
+    want = f"{LONG}\n{LONG} And more."
+    assert main_text(f"<body><nav><a href=/>Home</a></nav><div {name}>{story}</div><footer>c</footer></body>") == want
+    assert main_text(f"<body><article>{story}</article><div {name}><p>{LONG}</p></div></body>") == want
+    assert main_text(f"<body><div id=content>{story}</div><div {name}><p>{LONG}</p></div></body>") == want
+
+
+@pytest.mark.parametrize("name", ["comments-wide", "reader-comment-list", "cookie-notice", "sidebar", "social_share"])
+def test_names_that_stay_verdicts(name):
+    assert main_text(f"<body><div class='{name}'><p>{LONG}</p><p>{LONG}</p></div></body>") == ""
