@@ -10,6 +10,7 @@ every way of writing them; no value keeps itself.
 from __future__ import annotations
 
 import datetime
+import ipaddress
 import hashlib
 import math
 import re
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from abtest_spark.llm.common import packed, unpacked
 
 ROUNDS = 8
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 LONG = 160  # longer values are permuted digit by digit, not as one number
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 LAST_DAY = datetime.date(2099, 12, 31).toordinal()
@@ -91,28 +93,36 @@ def fill_digits(shape: str, digits: str) -> str:
     return "".join(next(it) if c.isdigit() else c for c in shape)
 
 
+#: Letters and digits that are permuted among themselves; capitals go with their small letters.
+CLASSES = (
+    "".join(map(chr, range(0x61, 0x7B))),  # a-z
+    "0123456789",
+    "".join(chr(i) for i in range(0xE0, 0xFF) if i != 0xF7),  # accented Latin-1
+    "".join(map(chr, range(0x430, 0x450))),  # Cyrillic
+    "".join(chr(i) for i in range(0x3B1, 0x3CA) if i != 0x3C2),  # Greek but the final sigma
+)
+PLACE = {c: (k, i) for k, letters in enumerate(CLASSES) for i, c in enumerate(letters)}
+
+
 def move_characters(f: Feistel, kind: str, text: str) -> str:
-    """ASCII letters and digits of ``text`` permuted within their class; case and other characters stay."""
-    x, n, low = 0, 1, text.lower()
-    sizes = [26 if "a" <= c <= "z" else 10 if "0" <= c <= "9" else 1 for c in low]
+    """Letters and digits of ``text`` permuted within their class of ``CLASSES``; case and other characters stay."""
+    low = [c.lower() if len(c.lower()) == 1 else c for c in text]
+    at = [PLACE.get(c) for c in low]
+    shape = kind + "".join(c if p is None else CLASSES[p[0]][0] for c, p in zip(low, at, strict=True))
+    sizes = [1 if p is None else len(CLASSES[p[0]]) for p in at]
     if len(text) > LONG:
-        shape = "".join("a" if s == 26 else "0" if s == 10 else c for c, s in zip(low, sizes, strict=True))
-        digits = [ord(c) - (97 if s == 26 else 48) if s > 1 else 0 for c, s in zip(low, sizes, strict=True)]
-        new = f.move_digits(kind + shape, digits, sizes)
-        moved = (chr(d + (97 if s == 26 else 48)) if s > 1 else c for d, s, c in zip(new, sizes, low, strict=True))
-        return "".join(d.upper() if c.isupper() else d for c, d in zip(text, moved, strict=True))
-    for c, s in zip(low, sizes, strict=True):
-        if s > 1:
-            x, n = x * s + (ord(c) - (97 if s == 26 else 48)), n * s
-    y = f.move(f"{kind}{''.join('a' if s == 26 else '0' if s == 10 else c for c, s in zip(low, sizes, strict=True))}", n, x)
-    out = []
-    for c, s in zip(reversed(text), reversed(sizes), strict=True):
-        if s > 1:
-            y, d = divmod(y, s)
-            new = chr(d + (97 if s == 26 else 48))
-            c = new.upper() if c.isupper() else new
-        out.append(c)
-    return "".join(reversed(out))
+        new = f.move_digits(shape, [0 if p is None else p[1] for p in at], sizes)
+    else:
+        x, n = 0, 1
+        for p, s in zip(at, sizes, strict=True):
+            if p is not None:
+                x, n = x * s + p[1], n * s
+        y, new = f.move(shape, n, x), [0] * len(at)
+        for i in range(len(at) - 1, -1, -1):
+            if at[i] is not None:
+                y, new[i] = divmod(y, sizes[i])
+    moved = (c if p is None else CLASSES[p[0]][d] for c, p, d in zip(text, at, new, strict=True))
+    return "".join(d.upper() if p is not None and c.isupper() else d for c, p, d in zip(text, at, moved, strict=True))
 
 
 def _hex(f: Feistel, text: str) -> str:
@@ -144,15 +154,19 @@ def secret(f: Feistel, m: re.Match) -> str | None:
 
 def iban(f: Feistel, m: re.Match) -> str | None:
     plain = m[0].replace(" ", "")
+    if not m[0].isupper() and sum(c.isdigit() for c in plain) < 10:
+        return None  # words in small letters
     if not 15 <= len(plain) <= 34 or int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 != 1:
         return None
-    body = move_characters(f, f"iban{plain[:2]}", plain[4:])
+    body = move_characters(f, f"iban{plain[:2].upper()}", plain[4:])
     check = 98 - int("".join(str(int(c, 36)) for c in f"{body}{plain[:2]}00")) % 97
     it = iter(f"{plain[:2]}{check:02d}{body}")
     return "".join(c if c == " " else next(it) for c in m[0])
 
 
 def ip(f: Feistel, m: re.Match) -> str | None:
+    if m["six"]:
+        return ip6(f, m["six"])
     parts = m[0].split(".")
     if any(int(p) > 255 or (len(p) > 1 and p[0] == "0") for p in parts):
         return None
@@ -160,7 +174,22 @@ def ip(f: Feistel, m: re.Match) -> str | None:
     return ".".join(map(str, y.to_bytes(4, "big")))
 
 
+def ip6(f: Feistel, text: str) -> str | None:
+    """Stays compressed or written out, and in its case."""
+    try:
+        x = int(ipaddress.IPv6Address(text))
+    except ValueError:
+        return None
+    if not re.search("[0-9]", text) or x < 1 << 16:
+        return None
+    new = ipaddress.IPv6Address(f.move("ip6", 2**128, x))
+    new = str(new) if "::" in text or min(map(len, text.split(":"))) < 4 else new.exploded
+    return new.upper() if text.upper() == text else new
+
+
 def date(f: Feistel, m: re.Match) -> str | None:
+    if m["month"]:
+        return worded_date(f, m)
     a, sep, b, c = m["a"], m["sep"], m["b"], m["c"]
     year_first = len(a) == 4
     if len(c) != 4 and (not year_first or len(c) > 2):
@@ -182,6 +211,20 @@ def date(f: Feistel, m: re.Match) -> str | None:
     return None
 
 
+def worded_date(f: Feistel, m: re.Match) -> str | None:
+    """A day, the English name of a month (or its first three letters) and a year."""
+    name = m["month"]
+    try:
+        day = datetime.date(int(m["year"]), MONTHS.index(name[:3].lower()) + 1, int(m["day"])).toordinal()
+    except ValueError:
+        return None
+    if not FIRST_DAY <= day <= LAST_DAY:
+        return None
+    new = datetime.date.fromordinal(FIRST_DAY + f.move("date", LAST_DAY - FIRST_DAY + 1, day - FIRST_DAY))
+    month = new.strftime("%b" if len(name) == 3 else "%B")
+    return f"{new.day} {month} {new.year}"
+
+
 def phone(f: Feistel, m: re.Match) -> str | None:
     """The country code stays; the other digits move."""
     shape = m["rest"] or m["plain"]
@@ -212,14 +255,13 @@ def card(f: Feistel, m: re.Match) -> str | None:
     return fill_digits(m[0], body + luhn_digit(body))
 
 
-
 #: (kind, character that a text must hold, pattern, function), in order of precedence.
 DETECTORS: list[tuple[str, str, re.Pattern, Callable]] = [
     (
         "email",
         "@",
         re.compile(
-            r"(?<![\w.%+-])[\w.%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}(?![A-Za-z0-9])", re.A
+            r"(?<![\w.%+-])[\w.%+-]+@[^\W_](?:[^\W_]|-){0,62}(?:\.(?:[^\W_]|-){1,63})*\.[^\W\d_]{2,24}(?![^\W_])"
         ),
         email,
     ),
@@ -237,15 +279,31 @@ DETECTORS: list[tuple[str, str, re.Pattern, Callable]] = [
     (
         "iban",
         "",
-        re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", re.A),
+        re.compile(
+            r"(?<![A-Za-z0-9])(?:[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+            r"|[a-z]{2}\d{2}(?: ?[a-z0-9]{4}){2,7}(?: ?[a-z0-9]{1,3})?)(?![A-Za-z0-9])",
+            re.A,
+        ),
         iban,
     ),
-    ("ip", ".", re.compile(r"(?<!\d)(?<!\d\.)\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)", re.A), ip),
+    (
+        "ip",
+        "",
+        re.compile(
+            r"(?<!\d)(?<!\d\.)\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)"
+            r"|(?<![\w:])(?P<six>(?=[0-9A-Fa-f]{0,4}:)(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4})(?![\w:])",
+            re.A,
+        ),
+        ip,
+    ),
     (
         "date",
         "",
         re.compile(
-            r"(?<!\d)(?<!\d[./-])(?P<a>\d{4}|\d{1,2})(?P<sep>[-./])(?P<b>\d{1,2})(?P=sep)(?P<c>\d{1,4})(?![./-]?\d)", re.A
+            r"(?<!\d)(?<!\d[./-])(?P<a>\d{4}|\d{1,2})(?P<sep>[-./])(?P<b>\d{1,2})(?P=sep)(?P<c>\d{1,4})(?![./-]?\d)"
+            r"|(?<![\d.,])(?P<day>\d{1,2}) (?P<month>(?i:january|february|march|april|may|june|july|august|september|october"
+            r"|november|december|jan|feb|mar|apr|jun|jul|aug|sep|oct|nov|dec)) (?P<year>\d{4})(?!\d)",
+            re.A,
         ),
         date,
     ),

@@ -115,3 +115,41 @@ def test_digits_of_long_values_are_permuted_without_fixed_points():
     values = [[a, b, 0, c] for a in range(3) for b in range(4) for c in range(5)]
     moved = [F1.move_digits("x", v, [3, 4, 1, 5]) for v in values]
     assert sorted(moved) == values and all(a != b for a, b in zip(moved, values, strict=True))
+
+
+def test_names_beyond_ascii_are_replaced_whole():
+    for mail in ("jürgen.müller@example.de", "ЯнаП@почта.рф", "Ελένη.x@mail.gr", "a" * 90 + "é@example.com"):
+        new = only(f"to {mail}.", "email")[3:-1]
+        local, old = new.split("@")[0], mail.split("@")[0]
+        assert len(local) == len(old) and new.rsplit(".", 1)[1] == mail.rsplit(".", 1)[1]
+        assert [c.isupper() for c in local] == [c.isupper() for c in old]
+        assert "ürgen" not in new and "müller" not in new
+    names = [f"{a}{b}é" for a in "äöüßçñ" for b in "xyz"]
+    assert len({pseudonymize_text(F1, f"{n}@mail.de")[0] for n in names}) == len(names)
+
+
+def test_small_letter_iban_and_ipv6():
+    new = only("iban de89370400440532013000 ok", "iban").split()[1]
+    assert new[:2] == "de" and new == new.lower()
+    assert int("".join(str(int(c, 36)) for c in new[4:] + new[:4])) % 97 == 1
+    assert only("IBAN DE89370400440532013000 ok", "iban").lower() == f"iban {new} ok"
+    for shape in ("2001:db8::8a2e:370:7334", "2001:0DB8:0000:0000:0000:8A2E:0370:7334", "fe80::1ff:fe23:4567:890a"):
+        out = only(f"at {shape}, now", "ip")[3:-5]
+        import ipaddress
+
+        assert ipaddress.IPv6Address(out) != ipaddress.IPv6Address(shape)
+        assert (out.upper() == out) == (shape.upper() == shape)
+    for text in ("at 12:30:45 or 1:2", "std::vector a::b", "face::add", ":: and ::1", "12:34:56:78:90:12:34:56:78"):
+        assert pseudonymize_text(F1, text)[0] == text
+
+
+def test_worded_dates():
+    new = only("on 14 September 2001", "date")
+    assert re.fullmatch(r"on \d{1,2} [A-Z][a-z]{2,8} (19|20)\d\d", new)
+    short = only("on 14 Sep 2001", "date")
+    assert re.fullmatch(r"on \d{1,2} [A-Z][a-z]{2} (19|20)\d\d", short)
+    datetime.datetime.strptime(short, "on %d %b %Y")
+    same = pseudonymize_text(F1, "2001-09-14")[0]
+    assert datetime.datetime.strptime(new, "on %d %B %Y").strftime("%Y-%m-%d") == same
+    for text in ("31 February 2001", "1.5 May 2001", "in May 2001", "14 Septembers 2001"):
+        assert pseudonymize_text(F1, text)[0] == text
