@@ -5,7 +5,7 @@ under each language's character model, the likelihood of the declared language
 (markup or column), the likelihood of the address suffix, and a prior from its
 host. The character models are trigram counts summed over all labelled rows.
 The other three come from grouped aggregations of the text's own best language:
-declared and suffix tables by language, and host counts smoothed toward their
+declared (for labelled rows the label once more) and suffix tables by language, and host counts smoothed toward their
 site's, which are smoothed toward the whole table's (a row's own count is taken
 out of its host's and its site's).
 """
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from abtest_spark.llm.common import cut, packed, unpacked
 
+MAX_LANGUAGES = 64  # labels (the most frequent) that are languages of the model
 BINS = 1 << 15  # hashed byte trigrams
 SMOOTH = 0.5  # added to every trigram count
 DEPENDENCE = 0.25  # share of a text's trigrams counted as independent
@@ -48,9 +49,10 @@ def trigram_codes(text: str) -> np.ndarray:
 
 
 class LanguageModel:
-    """Languages in alphabetical order and their log-probabilities per trigram."""
+    """Languages in alphabetical order and their log-probabilities per trigram; ``left_out``: labelled rows of others."""
 
-    def __init__(self, counts: dict[str, np.ndarray]):
+    def __init__(self, counts: dict[str, np.ndarray], left_out: int = 0):
+        self.left_out = left_out
         self.langs = sorted(counts)
         table = np.array([counts[k] for k in self.langs], np.float64).reshape(-1, BINS) + SMOOTH
         p = table / table.sum(1, keepdims=True)
@@ -58,8 +60,18 @@ class LanguageModel:
         self.typical = (p * np.log(p)).sum(1).tolist()
 
 
-def train(rows: DataFrame, text: Column, lang: Column) -> LanguageModel:
-    """Trigram counts of all rows whose ``lang`` is not null, per language, summed by Spark."""
+def train(rows: DataFrame, text: Column, lang: Column, most: int = MAX_LANGUAGES) -> LanguageModel:
+    """Trigram counts of all rows whose ``lang`` is not null, per language, summed by Spark.
+
+    Labels beyond the ``most`` frequent ones (ties by name) are no languages of
+    the model, whatever junk the column holds; ``left_out`` says how many rows
+    they have. Such rows are identified like any other.
+    """
+    labels = rows.select(lang.alias("k")).where("k is not null").groupBy("k").agg(F.count("*").alias("n"))
+    labels = cut(labels)
+    kept = labels.orderBy(F.desc("n"), "k").limit(most).collect()
+    left_out = (labels.agg(F.sum("n")).first()[0] or 0) - sum(r["n"] for r in kept)
+    known = [r["k"] for r in kept]
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, np.ndarray] = {}
@@ -73,7 +85,7 @@ def train(rows: DataFrame, text: Column, lang: Column) -> LanguageModel:
 
     found = (
         rows.select(text.alias("t"), lang.alias("k"))
-        .where("t is not null and k is not null")
+        .where(F.col("t").isNotNull() & F.col("k").isin(known))
         .mapInPandas(count, "k string, bin long, n long")
         .groupBy("k", "bin")
         .agg(F.sum("n").alias("n"))
@@ -86,7 +98,7 @@ def train(rows: DataFrame, text: Column, lang: Column) -> LanguageModel:
         counts[r["k"]] = np.zeros(BINS, np.int64)
         for b, n in r["bins"]:
             counts[r["k"]][b] = n
-    return LanguageModel(counts)
+    return LanguageModel(counts, left_out)
 
 
 def text_evidence(text: Column, model: LanguageModel) -> Column:

@@ -124,3 +124,14 @@ def test_query_agrees_with_declared_languages(spark):
     for part in (docs, pages):
         assert sum(r.lang == r.declared for r in part) >= 0.99 * len(part)
         assert sum(r.kept for r in part) >= 0.99 * len(part)
+
+
+def test_junk_labels_are_no_languages(spark):
+    rows = [(t, k) for k, texts in (("en", EN), ("fr", FR)) for t in texts * 3] + [(EN[0], f"junk{i}") for i in range(90)] + [(EN[0], None)]
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    found = train(df, F.col("text"), F.col("lang"), most=2)
+    assert (found.langs, found.left_out) == (["en", "fr"], 90)
+    assert train(df, F.col("text"), F.col("lang")).left_out == 92 - lang_id.MAX_LANGUAGES
+    only = train(df.where("lang in ('en', 'fr')"), F.col("text"), F.col("lang"))
+    assert (only.log == found.log).all() and only.left_out == 0
+    assert train(df.where("false"), F.col("text"), F.col("lang")).langs == []
