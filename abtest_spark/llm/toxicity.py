@@ -196,12 +196,12 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Crf:
     """Fits on at most SAMPLE_TOXIC + SAMPLE_CLEAN rows of ``docs`` joined with ``labels`` (doc_id, toxic).
 
     ``usable`` (of doc_id) says which rows may be learned from. Null texts and
-    labels are left out.
+    labels are left out; a document with conflicting labels is toxic.
     """
     known = (
         labels.where(usable & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
-        .select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id")
+        .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     )
     short = docs.select("doc_id", "text").where(F.char_length("text") <= SAMPLE_CHARS)
     order = F.xxhash64("doc_id")

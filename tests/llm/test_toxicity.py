@@ -73,3 +73,14 @@ def test_query_on_held_out_rows(spark):
     toxic = [p for y, p in out if y]
     clean = [p for y, p in out if not y]
     assert sum(toxic) >= 0.95 * len(toxic) and sum(clean) <= 0.01 * len(clean)
+
+
+def test_conflicting_labels_are_toxic(spark, monkeypatch):
+    from abtest_spark.llm import toxicity
+
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(4)] + [(None, "no id")], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 0), (0, 1), (0, 0), (1, 0), (1, None), (2, 1), (None, 1), (3, 7)], "doc_id long, toxic long").repartition(4)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic: seen.append(dict(zip(texts, toxic, strict=True))))
+    toxicity.train(docs, labels, F.lit(True))
+    assert seen == [{"text 0": 1, "text 1": 0, "text 2": 1}]
