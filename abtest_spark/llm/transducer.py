@@ -18,10 +18,11 @@ import mmap
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
-from pyspark import SparkFiles
+from pyspark import SparkFiles, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +31,9 @@ from abtest_spark.llm.common import scratch, shared_fs
 from abtest_spark.llm.words import Splitter, byte_alphabet, chunks
 
 LEXICON_WORDS = 50_000  # most frequent words that are compiled
-COUNT_FLUSH = 40_000  # distinct chunks a counting task holds before it emits them
+COUNT_FLUSH = 40_000  # distinct chunks a counting task holds before it splits them
+COUNT_WORDS = 120_000  # distinct words it holds before it emits them
+COUNT_BINS = 4096  # word counts below this have a bin each in the histogram, those above 16 to a doubling
 MEMO = 90_000  # chunks remembered per Python worker and generation
 CHUNKS_AT_ONCE = 120_000  # chunks of texts that are encoded together
 LONG_WORD = 64  # bytes from which a word is merged by itself
@@ -259,23 +262,30 @@ def word_counts(docs: DataFrame, tokenizer_path: str, text_col: str = "text") ->
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         split = _splitter(tokenizer_path).pieces
-        seen: Counter = Counter()
+        seen: Counter = Counter()  # chunks
+        words: Counter = Counter()
 
-        def emit() -> pd.DataFrame:
-            words: Counter = Counter()
+        def fold() -> None:
             for chunk, n in seen.items():
                 for p in split(chunk):
                     if isinstance(p, bytes):
                         words[p] += n
             seen.clear()
-            return pd.DataFrame({"word": list(words.keys()), "n": list(words.values())})
+
+        def emit() -> pd.DataFrame:
+            out = pd.DataFrame({"word": list(words.keys()), "n": list(words.values())})
+            words.clear()
+            return out
 
         for pdf in batches:
             for text in pdf["text"]:
                 seen.update(chunks(text))
                 if len(seen) >= COUNT_FLUSH:
-                    yield emit()
-        if seen:
+                    fold()
+                    if len(words) >= COUNT_WORDS:
+                        yield emit()
+        fold()
+        if words:
             yield emit()
 
     texts = docs.select(F.col(text_col).alias("text")).where("text is not null")
@@ -288,13 +298,32 @@ def _splitter(path: str) -> Splitter:
     return Splitter(Tokenizer.from_file(path))
 
 
+def frequent_words(counts: DataFrame, most: int) -> list[bytes]:
+    """Words of ``counts`` (word, n) above the least count that leaves at most ``most`` of them.
+
+    A histogram of the counts (at most some 5,000 bins) gives that count, so what
+    reaches the driver depends neither on the number of partitions nor on the
+    number of words. Counted words are kept on disk between the two jobs.
+    """
+    bin_of = F.when(F.col("n") < COUNT_BINS, F.col("n")).otherwise(COUNT_BINS + F.floor(F.log2(F.col("n") / COUNT_BINS) * 16))
+    counts = counts.withColumn("bin", bin_of.cast("long")).persist(StorageLevel.DISK_ONLY)
+    try:
+        bins = sorted(((r["bin"], r["words"]) for r in counts.groupBy("bin").agg(F.count("*").alias("words")).collect()), reverse=True)
+        held, least = 0, 1 << 62
+        for b, n in bins:
+            if held + n > most:
+                break
+            held, least = held + n, b
+        return [bytes(r["word"]) for r in counts.where(F.col("bin") >= least).select("word").collect()]
+    finally:
+        counts.unpersist()
+
+
 def build_lexicon(docs: DataFrame, tokenizer_path: str, words: int = LEXICON_WORDS, text_col: str = "text") -> str:
-    """Compiles the ``words`` most frequent words of ``docs``; returns the shipped file's name."""
-    spark = docs.sparkSession
-    top = word_counts(docs, tokenizer_path, text_col).orderBy(F.desc("n"), "word").limit(words).collect()
-    known = [bytes(r["word"]) for r in top]
+    """Compiles the most frequent words of ``docs``, at most ``words``; returns the shipped file's name."""
+    known = frequent_words(word_counts(docs, tokenizer_path, text_col), words)
     ids = Merger(tokenizer_path).ids(known)
-    return ship(spark, compile_lexicon(dict(zip(known, ids, strict=True))))
+    return ship(docs.sparkSession, compile_lexicon(dict(zip(known, ids, strict=True))))
 
 
 def ship(spark: SparkSession, content: bytes) -> str:
@@ -374,11 +403,19 @@ def decode(ids: Column, tokenizer_path: str) -> Column:
 
     @F.pandas_udf(T.StringType())
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        token = _tokens(tokenizer_path).get
+        known = _tokens(tokenizer_path)
+        table = [known.get(i) for i in range(max(known) + 1)]
+        whole = all(table)
+
+        def text(x: np.ndarray | None) -> str:
+            if x is None or len(x) == 0:
+                return ""
+            if whole and len(x) > 1 and 0 <= x.min() and x.max() < len(table):
+                return " ".join(itemgetter(*x.tolist())(table))
+            return " ".join(filter(None, map(known.get, x.tolist())))
+
         for batch in batches:
-            yield pd.Series(
-                [" ".join(filter(None, map(token, () if x is None else x.tolist()))) for x in batch], dtype=object
-            )
+            yield pd.Series(list(map(text, batch)), dtype=object)
 
     return decoded(ids)
 

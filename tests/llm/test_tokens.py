@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 from abtest_spark.llm import pfor
 from abtest_spark.llm.pfor import FileBuilder, IdFile, decode_blocks, encode_ids, token_files, tokenizer_file
-from abtest_spark.llm.transducer import Encoder, Lexicon, Merger, compile_lexicon, digests, encode_documents, word_counts
+from abtest_spark.llm.transducer import Encoder, Lexicon, Merger, compile_lexicon, digests, encode_documents, frequent_words, word_counts
 from abtest_spark.llm.words import chunks
 
 DOCS = "doc_id long, text string, known boolean, word string, ids string, file string"
@@ -172,3 +172,15 @@ def test_bpe_query(spark, library):
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
         decoded = library.decode(ids, skip_special_tokens=False)
         assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("most", [0, 1, 5, 30, 1000])
+def test_frequent_words_are_those_above_a_count(spark, most):
+    counts = {b"a%d" % i: n for i, n in enumerate([9000, 9000, 8000, 70, 70, 9, 9, 9, *[2] * 10, *[1] * 50])}
+    df = spark.createDataFrame([(bytearray(w), n) for w, n in counts.items()], "word binary, n long").repartition(5)
+    got = frequent_words(df, most)
+    assert len(got) <= most and len(got) == len(set(got))
+    left = [n for w, n in counts.items() if w not in set(got)]
+    assert not left or not got or min(counts[w] for w in got) > max(left)
+    want = max(k for k in (0, 2, 3, 5, 8, 18, 68) if k <= most)
+    assert len(got) == want or (want == 3 and len(got) == 3)
