@@ -250,11 +250,11 @@ class Lexicon:
 
 def same_length(words: list[bytes]) -> dict[int, list[int]]:
     """Positions of the non-empty words by length."""
-    out: dict[int, list[int]] = {}
-    for i, w in enumerate(words):
-        if w:
-            out.setdefault(len(w), []).append(i)
-    return out
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(sizes, kind="stable")
+    found, first = np.unique(sizes[order], return_index=True)
+    places = np.split(order, first[1:]) if len(words) else []
+    return {n: p.tolist() for n, p in zip(found.tolist(), places, strict=True) if n}
 
 
 def word_counts(docs: DataFrame, tokenizer_path: str, text_col: str = "text") -> DataFrame:
@@ -298,6 +298,17 @@ def _splitter(path: str) -> Splitter:
     return Splitter(Tokenizer.from_file(path))
 
 
+def letter_runs(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(word binary, n): runs of letters of every document in small letters, counted without Python.
+
+    These are the words that recur; signs and digits are pieces of their own, and a
+    text that the tokenizer would normalize otherwise only means a word less in the lexicon.
+    """
+    runs = F.explode(F.split(F.lower(text_col), r"[^\p{L}]+"))
+    words = docs.select(runs.alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
+    return words.select(F.col("word").cast("binary").alias("word"), "n")
+
+
 def frequent_words(counts: DataFrame, most: int) -> list[bytes]:
     """Words of ``counts`` (word, n) above the least count that leaves at most ``most`` of them.
 
@@ -321,7 +332,7 @@ def frequent_words(counts: DataFrame, most: int) -> list[bytes]:
 
 def build_lexicon(docs: DataFrame, tokenizer_path: str, words: int = LEXICON_WORDS, text_col: str = "text") -> str:
     """Compiles the most frequent words of ``docs``, at most ``words``; returns the shipped file's name."""
-    known = frequent_words(word_counts(docs, tokenizer_path, text_col), words)
+    known = frequent_words(letter_runs(docs, text_col), words)
     ids = Merger(tokenizer_path).ids(known)
     return ship(docs.sparkSession, compile_lexicon(dict(zip(known, ids, strict=True))))
 
@@ -351,16 +362,12 @@ class Encoder:
 
     def encode(self, lists: list[list[str]]) -> list[np.ndarray]:
         """Ids of each text, given as its chunks."""
-        known, todo = {}, []
-        for c in set().union(*lists):
-            ids = self.new.get(c)
-            if ids is None:
-                ids = self.old.get(c)
-            if ids is None:
-                todo.append(c)
-            else:
-                known[c] = ids
-        known |= self._chunks(todo)
+        todo, known = set().union(*lists), {}
+        for held in (self.new, self.old):
+            found = {c: ids for c in todo if (ids := held.get(c)) is not None}
+            known |= found
+            todo -= found.keys()
+        known |= self._chunks(list(todo))
         if len(self.new) + len(known) > MEMO:
             self.old, self.new = self.new, {}
         if len(known) <= MEMO:
@@ -375,7 +382,10 @@ class Encoder:
         ids.update(zip(words, self.lexicon.ids(words), strict=True))
         merge = [p for p in words if ids[p] is None]
         ids.update(zip(merge, self.merger.ids(merge), strict=True))
-        return {c: b"".join([ids[p] for p in found]) for c, found in zip(todo, split, strict=True)}
+        return {
+            c: ids[found[0]] if len(found) == 1 else b"".join([ids[p] for p in found])
+            for c, found in zip(todo, split, strict=True)
+        }
 
 
 def encode(text: Column, tokenizer_path: str, lexicon: str) -> Column:

@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 from abtest_spark.llm import pfor
 from abtest_spark.llm.pfor import FileBuilder, IdFile, decode_blocks, encode_ids, token_files, tokenizer_file
-from abtest_spark.llm.transducer import Encoder, Lexicon, Merger, compile_lexicon, digests, encode_documents, frequent_words, word_counts
+from abtest_spark.llm.transducer import Encoder, Lexicon, Merger, compile_lexicon, digests, encode_documents, frequent_words, letter_runs, word_counts
 from abtest_spark.llm.words import chunks
 
 DOCS = "doc_id long, text string, known boolean, word string, ids string, file string"
@@ -184,3 +184,11 @@ def test_frequent_words_are_those_above_a_count(spark, most):
     assert not left or not got or min(counts[w] for w in got) > max(left)
     want = max(k for k in (0, 2, 3, 5, 8, 18, 68) if k <= most)
     assert len(got) == want or (want == 3 and len(got) == 3)
+
+
+def test_letter_runs_are_counted_over_all_rows(spark):
+    rows = [(1, "The the, THE."), (2, "été Élan-the 12 a1b"), (3, None), (4, "  "), (4, "été")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {bytes(r["word"]).decode(): r["n"] for r in letter_runs(df).collect()}
+    assert got == {"the": 12, "été": 6, "élan": 3, "a": 3, "b": 3}
+    assert letter_runs(df.where("false")).collect() == []
