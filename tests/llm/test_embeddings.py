@@ -141,3 +141,35 @@ def test_topk_query_against_all_scores(spark):
     assert [r.vec_id for r in rows] == list(range(len(rows)))
     got = QUERIES["op2_exact_topk"](spark, d).collect()
     assert sorted(map(tuple, got)) == topk([(r.embedding, r.label) for r in rows], 20)
+
+
+def test_planted_pairs_are_found_in_trees_of_many_leaves(spark, monkeypatch):
+    """Pairs just above the threshold (cosine 0.931 to 0.95), trees of at least 64 leaves: recall of links."""
+    from abtest_spark.llm import rp_forest
+
+    made = []
+    fitted = rp_forest.Tree.__init__
+
+    def fit(self, *args):
+        fitted(self, *args)
+        made.append(int(np.isnan(self.cut_at).sum()))
+
+    monkeypatch.setattr(rp_forest, "LEAF_ROWS", 48)
+    monkeypatch.setattr(rp_forest.Tree, "__init__", fit)
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(4000, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = rng.normal(size=(800, 64))
+    side -= (side * base[:800]).sum(1, keepdims=True) * base[:800]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cos = rng.uniform(0.931, 0.95, size=(800, 1))
+    x = np.concatenate([base, base[:800] * cos + side * np.sqrt(1 - cos**2)]).astype(np.float32)
+    df = spark.createDataFrame([(i, v, 0) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>, label int")
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.93
+    np.fill_diagonal(near, False)
+    want = near.sum(1)
+    got = {r.vec_id: r.n_links for r in near_duplicate_vectors(df.repartition(4)).collect()}
+    assert len(made) == rp_forest.TREES and min(made) >= 64
+    assert want.sum() >= 1600 and all(got[i] <= n for i, n in enumerate(want.tolist()))
+    assert sum(got.values()) >= 0.98 * want.sum()
