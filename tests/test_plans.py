@@ -105,3 +105,16 @@ def test_bucketed_attribution_shuffles_no_event(spark, tmp_path):
     want = SV.flag_purchases(rows)
     assert found.select(*want.columns).exceptAll(want).isEmpty() and want.exceptAll(found.select(*want.columns)).isEmpty()
     spark.sql("DROP TABLE bronze_plan_test")
+
+
+@pytest.mark.parametrize("name", ["chi2_test", "variant_totals", "multi_variant_experiments", "conversion_ranking"])
+def test_analyses_read_gold_once(spark, name):
+    """Analyses that need gold several times read the materialised table, never the events again."""
+    plan = _final_plan(QUERIES[name](spark, SF))
+    assert "Scan ExistingRDD" in plan and "FileScan" not in plan
+
+
+def test_posterior_runs_without_python_and_single_partition_windows(spark):
+    for name in ("bayes_hdi", "bayes_draws", "posterior_histogram", "bayes_comparison"):
+        plan = _final_plan(QUERIES[name](spark, SF))
+        assert "Python" not in plan and "Pandas" not in plan and "SinglePartition" not in plan, name
