@@ -35,7 +35,7 @@ COUNT_FLUSH = 40_000  # distinct chunks a counting task holds before it splits t
 COUNT_WORDS = 120_000  # distinct words it holds before it emits them
 COUNT_BINS = 4096  # word counts below this have a bin each in the histogram, those above 16 to a doubling
 MEMO = 90_000  # chunks remembered per Python worker and generation
-CHUNKS_AT_ONCE = 120_000  # chunks of texts that are encoded together
+CHUNKS_AT_ONCE = 80_000  # chunks of texts that are encoded together
 LONG_WORD = 64  # bytes from which a word is merged by itself
 NO_RANK = 1 << 30
 MAGIC = b"ACYCLIC1"
@@ -388,6 +388,35 @@ class Encoder:
         }
 
 
+class Decoder:
+    """Texts of ids: the tokens joined by a space, special tokens included; unknown ids are left out."""
+
+    def __init__(self, tokenizer_path: str):
+        self.known = _tokens(tokenizer_path)
+        self.table = [self.known.get(i) for i in range(max(self.known) + 1)]
+        self.whole = all(self.table)
+
+    def text(self, ids: np.ndarray | None) -> str:
+        if ids is None or len(ids) == 0:
+            return ""
+        if self.whole and len(ids) > 1 and 0 <= ids.min() and ids.max() < len(self.table):
+            return " ".join(itemgetter(*ids.tolist())(self.table))
+        return " ".join(filter(None, map(self.known.get, ids.tolist())))
+
+
+def _groups(batch: pd.Series) -> Iterator[list[list[str]]]:
+    """The texts of a batch as chunks, in groups, so that a batch's ids and decoded texts are never all held."""
+    lists, size = [], 0
+    for t in batch:
+        lists.append(chunks(t or ""))
+        size += len(lists[-1])
+        if size >= CHUNKS_AT_ONCE:
+            yield lists
+            lists, size = [], 0
+    if lists:
+        yield lists
+
+
 def encode(text: Column, tokenizer_path: str, lexicon: str) -> Column:
     """Ids of ``text`` (null as empty) as array<int>; ``lexicon`` is the name build_lexicon returned."""
 
@@ -395,39 +424,36 @@ def encode(text: Column, tokenizer_path: str, lexicon: str) -> Column:
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder(tokenizer_path, SparkFiles.get(lexicon))
         for batch in batches:
-            lists, size = [], 0
-            for t in batch:  # in groups, so that a batch's ids and decoded texts are never all held
-                lists.append(chunks(t or ""))
-                size += len(lists[-1])
-                if size >= CHUNKS_AT_ONCE:
-                    yield pd.Series(encoder.encode(lists), dtype=object)
-                    lists, size = [], 0
-            if lists:
+            for lists in _groups(batch):
                 yield pd.Series(encoder.encode(lists), dtype=object)
 
     return encoded(text)
 
 
 def decode(ids: Column, tokenizer_path: str) -> Column:
-    """Text of ``ids`` (null as none): the tokens joined by a space, special tokens included; unknown ids are left out."""
+    """Text of ``ids`` (null as none) as a Decoder gives it."""
 
     @F.pandas_udf(T.StringType())
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = _tokens(tokenizer_path)
-        table = [known.get(i) for i in range(max(known) + 1)]
-        whole = all(table)
+        decoder = Decoder(tokenizer_path)
+        for batch in batches:
+            yield pd.Series(list(map(decoder.text, batch)), dtype=object)
+
+    return decoded(ids)
+
 
-        def text(x: np.ndarray | None) -> str:
-            if x is None or len(x) == 0:
-                return ""
-            if whole and len(x) > 1 and 0 <= x.min() and x.max() < len(table):
-                return " ".join(itemgetter(*x.tolist())(table))
-            return " ".join(filter(None, map(known.get, x.tolist())))
+def transcode(text: Column, tokenizer_path: str, lexicon: str) -> Column:
+    """struct(ids, decoded): ``encode`` and then ``decode`` of its ids in one Python worker instead of two."""
 
+    @F.pandas_udf("ids array<int>, decoded string")
+    def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder, decoder = Encoder(tokenizer_path, SparkFiles.get(lexicon)), Decoder(tokenizer_path)
         for batch in batches:
-            yield pd.Series(list(map(text, batch)), dtype=object)
+            for lists in _groups(batch):
+                ids = encoder.encode(lists)
+                yield pd.DataFrame({"ids": ids, "decoded": list(map(decoder.text, ids))})
 
-    return decoded(ids)
+    return coded(text)
 
 
 def encode_documents(
@@ -441,9 +467,9 @@ def encode_documents(
     """
     lexicon = build_lexicon(docs, tokenizer_path, words, text_col)
     coded = docs.select(
-        F.col(id_col).alias("doc_id"), encode(F.col(text_col), tokenizer_path, lexicon).alias("ids")
+        F.col(id_col).alias("doc_id"), transcode(F.col(text_col), tokenizer_path, lexicon).alias("c")
     )
-    return coded.select("doc_id", "ids", decode(F.col("ids"), tokenizer_path).alias("decoded"))
+    return coded.select("doc_id", "c.ids", "c.decoded")
 
 
 def digests(coded: DataFrame) -> DataFrame:
