@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 from abtest_spark.llm import pfor
 from abtest_spark.llm.pfor import FileBuilder, IdFile, decode_blocks, encode_ids, token_files, tokenizer_file
-from abtest_spark.llm.transducer import Encoder, Lexicon, Merger, compile_lexicon, digests, encode_documents, frequent_words, letter_runs, word_counts
+from abtest_spark.llm.transducer import Decoder, Encoder, Lexicon, Merger, build_lexicon, compile_lexicon, decode, digests, encode, encode_documents, frequent_words, letter_runs, word_counts
 from abtest_spark.llm.words import chunks
 
 DOCS = "doc_id long, text string, known boolean, word string, ids string, file string"
@@ -192,3 +192,17 @@ def test_letter_runs_are_counted_over_all_rows(spark):
     got = {bytes(r["word"]).decode(): r["n"] for r in letter_runs(df).collect()}
     assert got == {"the": 12, "été": 6, "élan": 3, "a": 3, "b": 3}
     assert letter_runs(df.where("false")).collect() == []
+
+
+def test_encode_and_decode_alone(spark, library):
+    """The two columns of their own give what encode_documents gives; unknown ids are left out, null ids have no text."""
+    df = frame(spark, list(enumerate(TEXTS)))
+    lexicon = build_lexicon(df, tokenizer_file(), 20)
+    ids = df.select("doc_id", encode(df["text"], tokenizer_file(), lexicon).alias("ids"))
+    got = ids.select("doc_id", "ids", decode(ids["ids"], tokenizer_file()).alias("decoded")).collect()
+    want = {r.doc_id: (r.ids, r.decoded) for r in encode_documents(df, tokenizer_file(), words=20).collect()}
+    assert {r.doc_id: (r.ids, r.decoded) for r in got} == want
+    d = Decoder(tokenizer_file())
+    some = np.array(ids_of(library, "hello world"))
+    assert d.text(np.append(some, 10**7)) == d.text(some) == library.decode(some.tolist(), skip_special_tokens=False)
+    assert d.text(None) == d.text(np.zeros(0, np.int64)) == ""
