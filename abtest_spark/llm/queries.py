@@ -235,6 +235,48 @@ QUERIES = {
     "op13_conversation_repair": op13_conversation_repair,
 }
 
+_TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+_FIM_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS hx FROM documents),
+h AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS u,
+    CAST('0x' || hx[1:8] AS BIGINT) AS h1, CAST('0x' || hx[9:16] AS BIGINT) AS h2,
+    CAST('0x' || hx[17:24] AS BIGINT) AS h3, CAST('0x' || hx[25:32] AS BIGINT) AS h4
+  FROM d),
+c AS (
+  SELECT *, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+         WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h),
+s AS (
+  SELECT doc_id, text, len(u) AS n, form, coalesce(array_to_string(u[1:a], ''), '') AS p,
+    coalesce(array_to_string(u[a + 1:b], ''), '') AS m, coalesce(array_to_string(u[b + 1:len(u)], ''), '') AS s
+  FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+         ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM s
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_exact_topk": _TOPK_SQL,
+    "op11_fill_in_middle": _FIM_SQL,
     "op5_mixture": _mixture_sql(),
 }
