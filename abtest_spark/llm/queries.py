@@ -275,7 +275,77 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
 FROM s
 """
 
+def _repair_sql() -> str:
+    """Damage, faults and the cheapest edits as a recursion over rows that keeps the least (cost, audit) of each state."""
+    roles, steps = {conversation.USER: "user", conversation.ASSISTANT: "assistant"}, []
+    for kind, table in conversation.KINDS.items():
+        for state, row in enumerate(table):
+            for to, (cost, edits) in enumerate(row):
+                if cost < conversation.FAR:
+                    at, inserted = state, []
+                    for _ in edits[:-1]:
+                        at = conversation.NEXT[at]
+                        inserted.append(f"'{roles[at]}:'")
+                    new = roles.get(conversation.NEXT[at], "")
+                    steps.append(f"('{kind}', {state}, {to}, {cost}, '{edits}', [{', '.join(inserted)}]::VARCHAR[], '{new}')")
+    tails = ", ".join(
+        f"({k}, '{t}', {['[]', "['user:', 'assistant:']", "['assistant:']", '[]'][k]}::VARCHAR[])" for k, t in enumerate(conversation.TAIL)
+    )
+    byte = "list_reduce(list_prepend(xor(a, c), range(1, 9)), lambda r, k: xor(r >> 1, CASE WHEN r & 1 = 1 THEN 3988292384 ELSE 0 END))"
+    return f"""
+WITH RECURSIVE dealt AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(
+      coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda a, c: {byte})) % 20 AS deal
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN deal = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN deal = 1 THEN '' WHEN deal = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN deal = 3 THEN [0, 1] ELSE [0] END) AS again
+  FROM dealt WHERE deal <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), again) AS i,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS shown
+  FROM damaged),
+faulted AS (
+  SELECT *, CASE WHEN shown = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+                 WHEN shown NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+    CASE WHEN role[1:1] IN ('s', 'u', 'a') THEN role[1:1] ELSE 'o' END AS initial,
+    lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1:1] AS pair
+  FROM placed),
+kinds AS (
+  SELECT *, CASE WHEN fault IN ('b', 'd') THEN 'x' WHEN fault = 't' THEN upper(initial) ELSE initial END AS kind FROM faulted),
+steps(kind, state, nxt, cost, edits, inserted, new_role) AS (VALUES {", ".join(steps)}),
+tails(state, tail, rest) AS (VALUES {tails}),
+walk(conv_id, i, state, cost, audit, lines) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, 0, 0::BIGINT, '', []::VARCHAR[] FROM conversations
+  UNION ALL
+  SELECT * FROM (
+    SELECT w.conv_id, r.i, t.nxt AS state, w.cost + t.cost AS cost, w.audit || t.edits AS audit,
+      list_concat(list_concat(w.lines, t.inserted), CASE right(t.edits, 1) WHEN 'D' THEN []::VARCHAR[]
+        WHEN 'K' THEN [r.role || ':' || r.text] ELSE [t.new_role || ':' || r.text] END) AS lines
+    FROM walk w JOIN kinds r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1
+    JOIN steps t ON t.kind = r.kind AND t.state = w.state)
+  QUALIFY row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) = 1),
+ends AS (
+  SELECT conv_id, cost + 2 * length(tail) AS cost, audit || tail AS audit, list_concat(lines, rest) AS lines
+  FROM walk w JOIN tails USING (state)
+  WHERE i = (SELECT count(*) FROM placed p WHERE p.conv_id IS NOT DISTINCT FROM w.conv_id)
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY cost + 2 * length(tail), audit || tail) = 1),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'b') AS blank,
+    count_if(fault = 'd') AS duplicate, count_if(fault = 't') AS truncated, count_if(pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulted GROUP BY 1)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, cost::BIGINT AS cost, audit,
+  sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op13_conversation_repair": _repair_sql(),
     "op2_exact_topk": _TOPK_SQL,
     "op11_fill_in_middle": _FIM_SQL,
     "op5_mixture": _mixture_sql(),
