@@ -26,14 +26,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from abtest_spark.llm.common import cut, scratch, shared_fs
-from abtest_spark.llm.words import Memo, Splitter, byte_alphabet, chunks, worker_cache
+from abtest_spark.llm.words import Splitter, TextIds, byte_alphabet, text_groups, worker_cache
 
 MAGIC = b"PFORIDS1"
 BLOCK = 128
 PERCENTILE = 0.9
 FILE_IDS = 8_000_000  # ids after which a partition begins its next file
 SEGMENT = 1 << 19  # ids packed or unpacked at once
-MEMO = 180_000  # chunks and words remembered per Python worker and generation
+MEMO = 180_000  # words remembered per Python worker and generation
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -205,27 +205,29 @@ class IdFile:
         return out
 
 
-def library_memo(path: str) -> Memo:
-    """Chunk of text -> its ids as little-endian uint32 bytes, by the tokenizers library's model."""
-    from tokenizers import Tokenizer
+def library_ids(path: str) -> TextIds:
+    """Ids of texts by the tokenizers library's model."""
+    from tokenizers import AddedToken, Tokenizer
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     tokenizer = Tokenizer.from_file(path)
-    split, merge = Splitter(tokenizer).pieces, tokenizer.model.tokenize
-    sign = dict(enumerate(byte_alphabet()))
+    # words are normalized and split before: the model alone, on many words with a mark between them
+    model = Tokenizer(tokenizer.model)
+    model.add_special_tokens([AddedToken("\n", normalized=False)])
+    mark = model.token_to_id("\n")
+    if mark in tokenizer.get_vocab(with_added_tokens=False).values():
+        raise ValueError("the vocabulary has gaps in its ids")
+    sign = {b: c for b, c in enumerate(byte_alphabet()) if b != 0x0A}  # no word holds one
 
-    def word(piece: bytes | int) -> bytes:
-        if isinstance(piece, int):
-            return piece.to_bytes(4, "little")
-        # printable ASCII stands for itself in the byte alphabet
-        name = piece.decode() if piece.isalnum() else piece.decode("latin-1").translate(sign)
-        return b"".join([t.id.to_bytes(4, "little") for t in merge(name)])
+    def word_ids(words: list[bytes]) -> list[bytes]:
+        if not words:
+            return []
+        names = b"\n".join([*words, b""]).decode("latin-1").translate(sign)
+        ids = np.array(model.encode_batch_fast([names], add_special_tokens=False)[0].ids, "<u4")  # fast: without offsets
+        raw, ends = ids.tobytes(), (4 * np.flatnonzero(ids == mark)).tolist()
+        return [raw[a:b] for a, b in zip([0, *[e + 4 for e in ends[:-1]]], ends, strict=True)]
 
-    words = Memo(word, MEMO)
-
-    def chunk(text: str) -> bytes:
-        return b"".join([words[p] for p in split(text)])
-
-    return Memo(chunk, MEMO)
+    return TextIds(Splitter(tokenizer), word_ids, MEMO)
 
 
 def write_token_files(
@@ -250,7 +252,7 @@ def write_token_files(
     )
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = worker_cache("pfor", (tokenizer_path,), lambda: library_memo(tokenizer_path))
+        encoder = worker_cache("pfor", (tokenizer_path,), lambda: library_ids(tokenizer_path))
         end = np.array([end_id], "<u4").tobytes()
         fs, base = shared_fs(folder)
         fs.create_dir(base, recursive=True)
@@ -266,8 +268,9 @@ def write_token_files(
             made.append((name, len(file.doc_ids), file.n_ids))
 
         for pdf in batches:
-            for known, doc_id, text in zip(pdf["known"], pdf["doc_id"], pdf["text"], strict=True):
-                file.add(int(doc_id) if known else None, b"".join(map(memo.__getitem__, chunks(text))) + end)
+            coded = (ids for texts in text_groups(pdf["text"]) for ids in encoder.encode(texts))
+            for known, doc_id, ids in zip(pdf["known"], pdf["doc_id"], coded, strict=True):
+                file.add(int(doc_id) if known else None, ids + end)
                 if file.n_ids >= FILE_IDS:
                     flush()
                     file = FileBuilder()

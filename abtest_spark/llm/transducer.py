@@ -28,14 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from abtest_spark.llm.common import scratch, shared_fs
-from abtest_spark.llm.words import Splitter, byte_alphabet, chunks
+from abtest_spark.llm.words import Splitter, TextIds, byte_alphabet, chunks, text_groups
 
 LEXICON_WORDS = 50_000  # most frequent words that are compiled
 COUNT_FLUSH = 40_000  # distinct chunks a counting task holds before it splits them
 COUNT_WORDS = 120_000  # distinct words it holds before it emits them
 COUNT_BINS = 4096  # word counts below this have a bin each in the histogram, those above 16 to a doubling
-MEMO = 90_000  # chunks remembered per Python worker and generation
-CHUNKS_AT_ONCE = 80_000  # chunks of texts that are encoded together
+MEMO = 90_000  # words remembered per Python worker and generation
 LONG_WORD = 64  # bytes from which a word is merged by itself
 NO_RANK = 1 << 30
 MAGIC = b"ACYCLIC1"
@@ -349,43 +348,28 @@ def ship(spark: SparkSession, content: bytes) -> str:
 
 
 class Encoder:
-    """Encodes texts in groups: distinct chunks once, words by the lexicon, the others by merges.
+    """Encodes texts in groups: distinct words once, by the lexicon, the others by merges.
 
-    Chunks of former groups are remembered in two generations of bounded size.
+    Words of former groups are remembered in two generations of bounded size.
     """
 
     def __init__(self, tokenizer_path: str, lexicon_path: str):
-        self.split = _splitter(tokenizer_path).pieces
         self.merger, self.lexicon = Merger(tokenizer_path), Lexicon(lexicon_path)
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.ids = TextIds(_splitter(tokenizer_path), self._words, MEMO)
 
     def encode(self, lists: list[list[str]]) -> list[np.ndarray]:
         """Ids of each text, given as its chunks."""
-        todo, known = set().union(*lists), {}
-        for held in (self.new, self.old):
-            found = {c: ids for c in todo if (ids := held.get(c)) is not None}
-            known |= found
-            todo -= found.keys()
-        known |= self._chunks(list(todo))
-        if len(self.new) + len(known) > MEMO:
-            self.old, self.new = self.new, {}
-        if len(known) <= MEMO:
-            self.new |= known
-        return [np.frombuffer(b"".join(map(known.__getitem__, x)), "<i4") for x in lists]
-
-    def _chunks(self, todo: list[str]) -> dict[str, bytes]:
-        split = [self.split(c) for c in todo]
-        distinct = {p for found in split for p in found}
-        ids: dict[bytes | int, bytes] = {p: p.to_bytes(4, "little") for p in distinct if isinstance(p, int)}
-        words = [p for p in distinct if isinstance(p, bytes)]
-        ids.update(zip(words, self.lexicon.ids(words), strict=True))
-        merge = [p for p in words if ids[p] is None]
-        ids.update(zip(merge, self.merger.ids(merge), strict=True))
-        return {
-            c: ids[found[0]] if len(found) == 1 else b"".join([ids[p] for p in found])
-            for c, found in zip(todo, split, strict=True)
-        }
+        return self.encode_texts([" ".join(x) for x in lists])
+
+    def encode_texts(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.frombuffer(ids, "<i4") for ids in self.ids.encode(texts)]
+
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        ids = self.lexicon.ids(words)
+        places = [i for i, x in enumerate(ids) if x is None]
+        for i, x in zip(places, self.merger.ids([words[i] for i in places]), strict=True):
+            ids[i] = x
+        return ids
 
 
 class Decoder:
@@ -404,19 +388,6 @@ class Decoder:
         return " ".join(filter(None, map(self.known.get, ids.tolist())))
 
 
-def _groups(batch: pd.Series) -> Iterator[list[list[str]]]:
-    """The texts of a batch as chunks, in groups, so that a batch's ids and decoded texts are never all held."""
-    lists, size = [], 0
-    for t in batch:
-        lists.append(chunks(t or ""))
-        size += len(lists[-1])
-        if size >= CHUNKS_AT_ONCE:
-            yield lists
-            lists, size = [], 0
-    if lists:
-        yield lists
-
-
 def encode(text: Column, tokenizer_path: str, lexicon: str) -> Column:
     """Ids of ``text`` (null as empty) as array<int>; ``lexicon`` is the name build_lexicon returned."""
 
@@ -424,8 +395,8 @@ def encode(text: Column, tokenizer_path: str, lexicon: str) -> Column:
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder(tokenizer_path, SparkFiles.get(lexicon))
         for batch in batches:
-            for lists in _groups(batch):
-                yield pd.Series(encoder.encode(lists), dtype=object)
+            for texts in text_groups(batch):
+                yield pd.Series(encoder.encode_texts(texts), dtype=object)
 
     return encoded(text)
 
@@ -449,8 +420,8 @@ def transcode(text: Column, tokenizer_path: str, lexicon: str) -> Column:
     def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder, decoder = Encoder(tokenizer_path, SparkFiles.get(lexicon)), Decoder(tokenizer_path)
         for batch in batches:
-            for lists in _groups(batch):
-                ids = encoder.encode(lists)
+            for texts in text_groups(batch):
+                ids = encoder.encode_texts(texts)
                 yield pd.DataFrame({"ids": ids, "decoded": list(map(decoder.text, ids))})
 
     return coded(text)

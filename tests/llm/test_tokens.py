@@ -6,10 +6,10 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from abtest_spark.llm import pfor
-from abtest_spark.llm.pfor import FileBuilder, IdFile, decode_blocks, encode_ids, token_files, tokenizer_file
+from abtest_spark.llm import pfor, transducer, words
+from abtest_spark.llm.pfor import FileBuilder, IdFile, decode_blocks, encode_ids, library_ids, token_files, tokenizer_file
 from abtest_spark.llm.transducer import Decoder, Encoder, Lexicon, Merger, build_lexicon, compile_lexicon, decode, digests, encode, encode_documents, frequent_words, letter_runs, word_counts
-from abtest_spark.llm.words import chunks
+from abtest_spark.llm.words import Splitter, TextIds, chunks
 
 DOCS = "doc_id long, text string, known boolean, word string, ids string, file string"
 TEXTS = [
@@ -206,3 +206,41 @@ def test_encode_and_decode_alone(spark, library):
     some = np.array(ids_of(library, "hello world"))
     assert d.text(np.append(some, 10**7)) == d.text(some) == library.decode(some.tolist(), skip_special_tokens=False)
     assert d.text(None) == d.text(np.zeros(0, np.int64)) == ""
+
+
+def mixed_texts(n=1500):
+    r = random.Random(5)
+    signs = [chr(i) for i in range(0x260)] + list(" \t\n　'''sStTlLvVrReEmMdD<|>’“́ЖжΣσςİﬁ½²日本😀") + ["<|endoftext|>", "'LL", "é"]
+    return ["".join(r.choices(signs[:k], k=r.randint(0, 40))) for k in (128, 0x250, len(signs)) for _ in range(n)] + TEXTS
+
+
+def test_whole_texts_split_and_encode_as_the_library_does(library, tmp_path, monkeypatch):
+    """Also where what is remembered is dropped between groups, and with words of former groups."""
+    texts = mixed_texts()
+    want = [ids_of(library, t) for t in texts]
+    (tmp_path / "lexicon").write_bytes(compile_lexicon({}))
+    for size in (3, 400, 10**6):
+        monkeypatch.setattr(pfor, "MEMO", size)
+        monkeypatch.setattr(transducer, "MEMO", size)
+        for encode in (library_ids(tokenizer_file()).encode, Encoder(tokenizer_file(), str(tmp_path / "lexicon")).encode_texts):
+            got = [np.frombuffer(ids, "<u4").tolist() for at in range(0, len(texts), 97) for ids in encode([t or "" for t in texts[at : at + 97]])]
+            assert got == want
+
+
+def test_words_are_asked_for_once_in_a_group_and_forms_share_them(library):
+    asked = []
+
+    def word_ids(words):
+        asked.extend(words)
+        return [b"\0\0\0\0"] * len(words)
+
+    ids = TextIds(Splitter(library), word_ids, 100)
+    ids.encode(["The dog, the DOG.", "dog; (the) été ÉTÉ", "the dog"])
+    ids.encode(["The dog... été, cat", ""])
+    assert sorted(asked) == sorted([b"the", b"dog", b",", b".", b";", b"(", b")", "été".encode(), b"...", b"cat"])
+
+
+def test_groups_are_bounded_and_keep_every_text(monkeypatch):
+    monkeypatch.setattr(words, "GROUP_CHARS", 10)
+    texts = ["a" * 4, None, "b" * 7, "c" * 30, "", "d"]
+    assert list(words.text_groups(texts)) == [["a" * 4, "", "b" * 7], ["c" * 30], ["", "d"]]
