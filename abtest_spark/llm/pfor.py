@@ -207,22 +207,22 @@ class IdFile:
 
 def library_ids(path: str) -> TextIds:
     """Ids of texts by the tokenizers library's model."""
-    from tokenizers import AddedToken, Tokenizer
+    from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import WhitespaceSplit
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     tokenizer = Tokenizer.from_file(path)
-    # words are normalized and split before: the model alone, on many words with a mark between them
+    # words are normalized and split before: the model alone, on many words with spaces between them
     model = Tokenizer(tokenizer.model)
-    model.add_special_tokens([AddedToken("\n", normalized=False)])
-    mark = model.token_to_id("\n")
-    if mark in tokenizer.get_vocab(with_added_tokens=False).values():
-        raise ValueError("the vocabulary has gaps in its ids")
-    sign = {b: c for b, c in enumerate(byte_alphabet()) if b != 0x0A}  # no word holds one
+    model.pre_tokenizer = WhitespaceSplit()
+    sign = {b: c for b, c in enumerate(byte_alphabet()) if b != 0x20}
+    # a line break as a word of its own marks the end of each word: no word holds one, so no other word has its id
+    (mark,) = model.encode(sign[0x0A], add_special_tokens=False).ids
 
     def word_ids(words: list[bytes]) -> list[bytes]:
         if not words:
             return []
-        names = b"\n".join([*words, b""]).decode("latin-1").translate(sign)
+        names = b" \n ".join([*words, b""]).decode("latin-1").translate(sign)
         ids = np.array(model.encode_batch_fast([names], add_special_tokens=False)[0].ids, "<u4")  # fast: without offsets
         raw, ends = ids.tobytes(), (4 * np.flatnonzero(ids == mark)).tolist()
         return [raw[a:b] for a, b in zip([0, *[e + 4 for e in ends[:-1]]], ends, strict=True)]
